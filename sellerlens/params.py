@@ -45,3 +45,8 @@ class Params:
     lookup_order_id: int = 7
     lookup_seller_id: int = 1616
     lookup_product_id: int = 79
+
+
+# Fixed run clock for reproducible stamps in the registered queries.
+RUN_TS = _dt.datetime(2001, 8, 1, 6, 0, 0)
+RUN_TS_PREV = _dt.datetime(2001, 7, 31, 6, 0, 0)

@@ -218,3 +218,118 @@ def _abtl(spark, sf, p):
 def _abt(spark, sf, p):
     o, i = _oi(spark, sf)
     return A.abt_seller_churn(o, i, p.refs, p.lookback_months, p.churn_days, p.item_scope)
+
+
+# ------------------------------------------------- quality and table layer
+from pyspark.sql import functions as F  # noqa: E402
+
+from ..operators import quality as Q  # noqa: E402
+from ..params import RUN_TS, RUN_TS_PREV  # noqa: E402
+from ..sources import tables as K  # noqa: E402
+from . import medallion as M  # noqa: E402
+
+
+@register("bronze_stamp")
+def _bronze(spark, sf, p):
+    return Q.bronze_batch(adapter.landing_orders(spark, sf), "postgres_public_orders", RUN_TS)
+
+
+@register("silver_orders")
+def _silver_o(spark, sf, p):
+    b = Q.bronze_batch(adapter.landing_orders(spark, sf), "postgres_public_orders", RUN_TS)
+    return Q.stamp_silver(Q.silver_orders(b), RUN_TS.date(), "overwrite")
+
+
+@register("silver_items")
+def _silver_i(spark, sf, p):
+    b = Q.bronze_batch(adapter.landing_items(spark, sf), "postgres_public_order_items", RUN_TS)
+    return Q.stamp_silver(Q.silver_items(b), RUN_TS.date(), "overwrite")
+
+
+def _two_day_bronze(spark, sf):
+    store = M.scratch_store(spark, "bronze")
+    landing = {"postgres_public_orders": adapter.landing_orders(spark, sf)}
+    M.run_bronze(store, landing, RUN_TS_PREV)
+    M.run_bronze(store, landing, RUN_TS)
+    M.run_bronze(store, landing, RUN_TS)  # same-day rerun: idempotent
+    return store
+
+
+@register("latest_snapshot")
+def _latest(spark, sf, p):
+    store = _two_day_bronze(spark, sf)
+    return K.latest_snapshot(store.read("bronze", "postgres_public_orders"), M.BRONZE_PART)
+
+
+@register("reload_partition")
+def _reload(spark, sf, p):
+    store = _two_day_bronze(spark, sf)
+    return (store.read("bronze", "postgres_public_orders")
+            .groupBy(M.BRONZE_PART).agg(F.count(F.lit(1)).alias("n_rows")))
+
+
+@register("load_log")
+def _load_log(spark, sf, p):
+    store = M.scratch_store(spark, "log")
+    M.run_bronze(store, {"postgres_public_orders": adapter.landing_orders(spark, sf),
+                         "postgres_public_order_items": adapter.landing_items(spark, sf)}, RUN_TS)
+    return store.load_log().select("layer", "table_name", "written_lines")
+
+
+@register("upsert")
+def _upsert(spark, sf, p):
+    """Delivery feed: processing orders arrive delivered on their estimate."""
+    store = M.scratch_store(spark, "upsert")
+    orders = adapter.load_orders(spark, sf)
+    store.create(orders, "silver", "orders")
+    feed = (orders.where(F.col("order_status") == "PROCESSING")
+            .withColumns({"order_status": F.lit("DELIVERED"),
+                          "order_delivered_customer_date": F.col("order_estimated_delivery_date")}))
+    store.upsert(feed, "silver", "orders", "order_id")
+    store.upsert(feed, "silver", "orders", "order_id")  # idempotent
+    return store.read("silver", "orders")
+
+
+def _partial_then_backfill(spark, sf, p, first_n=3):
+    store = M.scratch_store(spark, "fs")
+    o, i = _oi(spark, sf)
+    M.run_feature_stores(store, o, i, list(p.refs[:first_n]), RUN_TS, p.lookback_months, p.item_scope)
+    return store, o, i
+
+
+@register("ingested_refs")
+def _ingested(spark, sf, p):
+    store, _, _ = _partial_then_backfill(spark, sf, p)
+    return store.ingested_refs("analytics", "fs_seller_purchases")
+
+
+@register("missing_refs")
+def _missing(spark, sf, p):
+    store, _, _ = _partial_then_backfill(spark, sf, p)
+    return K.missing_refs(M.refs_frame(spark, p.refs), store.ingested_refs("analytics", "fs_seller_purchases"))
+
+
+@register("fs_backfill")
+def _backfill(spark, sf, p):
+    store, o, i = _partial_then_backfill(spark, sf, p)
+    M.run_feature_stores(store, o, i, list(p.refs), RUN_TS, p.lookback_months, p.item_scope)
+    return (store.read("analytics", "fs_seller_purchases")
+            .groupBy(FS.REF).agg(F.count(F.lit(1)).alias("n_sellers")))
+
+
+def _abt(spark, sf, p):
+    o, i = _oi(spark, sf)
+    return A.abt_seller_churn(o, i, p.refs, p.lookback_months, p.churn_days, p.item_scope)
+
+
+@register("missing_rate")
+def _mrate(spark, sf, p):
+    return Q.missing_rate(_abt(spark, sf, p))
+
+
+IMPUTE_VALUES = {"frequency": 0.0, "avg_seller_interval": 0.0}
+
+
+@register("impute")
+def _impute(spark, sf, p):
+    return Q.impute(_abt(spark, sf, p), IMPUTE_VALUES)
