@@ -562,3 +562,232 @@ _RAW: dict[str, str] = {
 
 def statements() -> dict[str, str]:
     return {k: rounded(v, DOUBLES.get(k, [])) for k, v in _RAW.items()}
+
+
+# ------------------------------------------ statistics, evaluation, decision
+from sellerlens.operators import decision as _X  # noqa: E402
+from sellerlens.operators import evaluate as _EV  # noqa: E402
+
+ABT_NUMERIC = [c for c in ABT_COLUMNS if c not in ("_mt_date_reference", "seller_id")]
+FEATS = [c for c in ABT_NUMERIC if c != "churn"]
+
+
+def sig7(c: str) -> str:
+    """7 significant digits, same formula on both sides: the mantissa is
+    rounded, then scaled by an exact power of ten (multiply or divide)."""
+    e = f"floor(log10(abs({c})))"
+    m = f"round({c} / pow(10, {e}) + {NUDGE}, 6)"
+    return (f"CAST(CASE WHEN {c} = 0 OR {c} IS NULL THEN {c} WHEN {e} >= 0 THEN {m} * pow(10, {e}) "
+            f"ELSE round({c} * pow(10, -{e}) + {NUDGE}, 6) / pow(10, -{e}) END AS DOUBLE)")
+
+
+def sig_wrap(sql: str, cols: list[str]) -> str:
+    rep = ", ".join(f"{sig7(c)} AS {c}" for c in cols)
+    return f"SELECT * REPLACE ({rep}) FROM (\n{sql}\n) q"
+
+
+def _dbl(c):
+    return f"CAST({c} AS DOUBLE)"
+
+
+_rule = " + ".join([f"CAST({_EV.RULE_INTERCEPT} AS DOUBLE)"] + [
+    f"COALESCE(CAST({f} AS DOUBLE), 0) * CAST({c} AS DOUBLE)" for f, c in zip(_EV.RULE_FEATURES, _EV.RULE_COEFS)])
+_SCORED = f"{_ABT_CTES},\nscored AS (SELECT *, round(1.0 / (1.0 + exp(-({_rule}))), 3) AS churn_proba FROM abt)"
+
+DESCRIBE = f"WITH {_ABT_CTES}\n" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", CAST(COUNT({c}) AS DOUBLE) AS count, AVG({_dbl(c)}) AS mean, "
+    f"STDDEV_SAMP({_dbl(c)}) AS std, CAST(MIN({c}) AS DOUBLE) AS min, quantile_cont({_dbl(c)}, 0.25) AS q25, "
+    f"quantile_cont({_dbl(c)}, 0.5) AS q50, quantile_cont({_dbl(c)}, 0.75) AS q75, CAST(MAX({c}) AS DOUBLE) AS max FROM abt"
+    for c in ABT_NUMERIC)
+
+
+def _moments(c):
+    x = _dbl(c)
+    return (f"SELECT '{c}' AS \"column\", COUNT({x}) AS n, "
+            f"AVG(POWER({x} - m, 2)) AS m2, AVG(POWER({x} - m, 3)) AS m3, AVG(POWER({x} - m, 4)) AS m4 "
+            f"FROM abt, (SELECT AVG({x}) AS m FROM abt) mm")
+
+
+SKEW_KURTOSIS = (f"WITH {_ABT_CTES},\nmoments AS (\n" + "\nUNION ALL\n".join(_moments(c) for c in ABT_NUMERIC) + ")\n"
+                 "SELECT \"column\", "
+                 "sqrt(n * (n - 1.0)) / NULLIF(n - 2.0, 0) * (m3 / NULLIF(pow(m2, 1.5), 0)) AS skew, "
+                 "(n - 1.0) / NULLIF((n - 2.0) * (n - 3.0), 0) * ((n + 1.0) * (m4 / NULLIF(m2 * m2, 0) - 3.0) + 6.0) AS kurtosis "
+                 "FROM moments")
+BOWLEY = (f"WITH {_ABT_CTES}\n" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", ((q3 - q2) - (q2 - q1)) / NULLIF(q3 - q1, 0) AS bowley FROM "
+    f"(SELECT quantile_cont({_dbl(c)}, 0.25) AS q1, quantile_cont({_dbl(c)}, 0.5) AS q2, "
+    f"quantile_cont({_dbl(c)}, 0.75) AS q3 FROM abt)" for c in ABT_NUMERIC))
+_PAIRS = [(a, b) for i, a in enumerate(ABT_NUMERIC) for b in ABT_NUMERIC[i + 1:]]
+CORRELATION = (f"WITH {_ABT_CTES}\n" + "\nUNION ALL\n".join(
+    f"SELECT '{a}' AS column_a, '{b}' AS column_b, corr({_dbl(a)}, {_dbl(b)}) AS corr FROM abt" for a, b in _PAIRS))
+POINT_BISERIAL = (f"WITH {_ABT_CTES},\npb AS (\n" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS \"column\", corr(CAST(churn AS DOUBLE), {_dbl(c)}) AS r, "
+    f"COUNT(CASE WHEN {c} IS NOT NULL AND churn IS NOT NULL THEN 1 END) AS n FROM abt" for c in FEATS) + ")\n"
+    "SELECT \"column\", r, n, r * sqrt((n - 2) / NULLIF(1 - r * r, 0)) AS t FROM pb")
+HISTOGRAM_BY_CLASS = f"""WITH {_ABT_CTES},
+d AS (SELECT CAST(recency AS DOUBLE) AS x, churn FROM abt WHERE recency IS NOT NULL),
+mm AS (SELECT MIN(x) AS mn, MAX(x) AS mx FROM d),
+b AS (SELECT churn, CAST(COALESCE(LEAST(floor((x - mn) / NULLIF(mx - mn, 0) * 10), 9), 0) AS INTEGER) AS bin FROM d, mm),
+c AS (SELECT churn, bin, COUNT(*) AS count FROM b GROUP BY 1, 2)
+SELECT churn, bin, mn + bin * ((mx - mn) / 10) AS lo, mn + (bin + 1) * ((mx - mn) / 10) AS hi, count,
+  count / NULLIF(SUM(count) OVER (PARTITION BY churn) * ((mx - mn) / 10), 0) AS density
+FROM c, mm"""
+RECENCY_ECDF = f"""WITH {_ABT_CTES},
+sizes AS (SELECT churn, COUNT(*) AS class_n FROM abt GROUP BY 1),
+c AS (SELECT churn, CAST(LEAST(floor((recency - 1) / 5), 8) AS INTEGER) AS bin, COUNT(*) AS count
+      FROM abt WHERE recency >= 1 AND recency <= 46 GROUP BY 1, 2)
+SELECT c.churn, bin, 1 + bin * 5 AS lo, count,
+  SUM(count) OVER (PARTITION BY c.churn ORDER BY bin) / class_n AS cum_share
+FROM c JOIN sizes s ON c.churn = s.churn"""
+FLAG_RATE_BY_CLASS = f"""WITH {_ABT_CTES},
+f AS (
+  SELECT 'interval_one_week' AS flag, churn,
+    CASE WHEN CAST(trunc(COALESCE(avg_seller_interval, 0)) AS INTEGER) > 7 THEN 1 ELSE 0 END AS value FROM abt
+  UNION ALL
+  SELECT 'one_year', churn, CASE WHEN days_from_first_sell > 365 THEN 1 ELSE 0 END FROM abt)
+SELECT flag, churn, value, COUNT(*) / (SELECT COUNT(*) FROM abt) AS share FROM f GROUP BY 1, 2, 3"""
+CLASS_BALANCE = f"""WITH {_ABT_CTES}
+SELECT _mt_date_reference, churn, COUNT(*) AS count,
+  COUNT(*) / SUM(COUNT(*)) OVER (PARTITION BY _mt_date_reference) AS share
+FROM abt GROUP BY 1, 2"""
+SHAPE = f"WITH {_ABT_CTES}\nSELECT COUNT(*) AS n_rows, {len(ABT_COLUMNS)} AS n_columns FROM abt"
+SELLER_HISTORY = f"SELECT * FROM (\n{MONTHLY_LTV}\n) h WHERE seller_id = {P.lookup_seller_id}"
+_SPLIT = (f"CASE WHEN _mt_date_reference < {_d(P.oot_month)} THEN 'train' "
+          f"WHEN _mt_date_reference = {_d(P.oot_month)} THEN 'oot' "
+          f"WHEN _mt_date_reference = {_d(P.score_month)} THEN 'score' END")
+TIME_SPLIT = f"WITH {_ABT_CTES}\nSELECT * FROM (SELECT *, {_SPLIT} AS split FROM abt) WHERE split IS NOT NULL"
+TARGET_RATE = (f"WITH {_ABT_CTES}\nSELECT split, AVG(CAST(churn AS DOUBLE)) AS target_rate, COUNT(*) AS n_rows "
+               f"FROM (SELECT *, {_SPLIT} AS split FROM abt) WHERE split IS NOT NULL GROUP BY 1")
+ARGMAX_HISTORY = (f"WITH {_ABT_CTES}\nSELECT * FROM abt WHERE seller_id = "
+                  "(SELECT seller_id FROM abt ORDER BY ltv DESC, seller_id DESC LIMIT 1)")
+MANUAL_SIGMOID = f"WITH {_SCORED}\nSELECT _mt_date_reference, seller_id, churn, churn_proba FROM scored"
+SCORE_BY_REF = (f"WITH {_SCORED}\nSELECT _mt_date_reference, AVG(churn_proba) AS mean_proba, COUNT(*) AS n_rows "
+                "FROM scored GROUP BY 1")
+_AUC_BODY = """pos AS (SELECT churn_proba AS s FROM scored WHERE churn = 1),
+neg AS (SELECT churn_proba AS s FROM scored WHERE churn = 0),
+auc AS (
+  SELECT SUM(CASE WHEN pos.s > neg.s THEN 1.0 WHEN pos.s = neg.s THEN 0.5 ELSE 0.0 END)
+    / ((SELECT COUNT(*) FROM pos) * (SELECT COUNT(*) FROM neg)) AS auc
+  FROM pos, neg)"""
+AUC = f"WITH {_SCORED},\n{_AUC_BODY}\nSELECT auc FROM auc"
+THRESHOLD_METRICS = f"""WITH {_SCORED},
+{_AUC_BODY},
+th AS (SELECT k, k * CAST(0.05 AS DOUBLE) AS t FROM range(0, 21) r(k)),
+cm AS (
+  SELECT t,
+    CAST(COUNT(CASE WHEN churn_proba >= t AND churn = 1 THEN 1 END) AS DOUBLE) AS tp,
+    CAST(COUNT(CASE WHEN churn_proba >= t AND churn = 0 THEN 1 END) AS DOUBLE) AS fp,
+    CAST(COUNT(CASE WHEN churn_proba < t AND churn = 1 THEN 1 END) AS DOUBLE) AS fn,
+    CAST(COUNT(CASE WHEN churn_proba < t AND churn = 0 THEN 1 END) AS DOUBLE) AS tn
+  FROM th, scored GROUP BY t)
+SELECT t AS p,
+  COALESCE((tp / NULLIF(tp + fn, 0) + tn / NULLIF(tn + fp, 0)) / 2, 0) AS balanced_accuracy,
+  (SELECT auc FROM auc) AS auc,
+  COALESCE(fp / NULLIF(fp + tn, 0), 0) AS false_positive_rate,
+  COALESCE(tp / NULLIF(tp + fp, 0), 0) AS precision,
+  COALESCE(tp / NULLIF(tp + fn, 0), 0) AS sensibility,
+  COALESCE(tn / NULLIF(tn + fp, 0), 0) AS specificity,
+  COALESCE(tn / NULLIF(tn + fp, 0) - fn / NULLIF(tp + fn, 0), 0) AS ks_diffs
+FROM cm ORDER BY p"""
+CONFUSION_MATRIX = (f"WITH {_SCORED}\nSELECT churn AS label, CAST(churn_proba > 0.4 AS INTEGER) AS pred, "
+                    "COUNT(*) AS n FROM scored GROUP BY 1, 2")
+LIFT_GAIN = f"""WITH {_SCORED},
+ranked AS (SELECT churn, ROW_NUMBER() OVER (ORDER BY churn_proba DESC, _mt_date_reference, seller_id) AS rn FROM scored),
+tot AS (SELECT COUNT(*) AS n, SUM(churn) AS ones FROM scored),
+cuts AS (SELECT i * CAST(0.1 AS DOUBLE) AS x FROM range(1, 11) r(i)),
+c AS (SELECT x, CAST(ceil(x * n) AS BIGINT) AS n_rows, ones, n FROM cuts, tot)
+SELECT x AS fraction, n_rows,
+  (SELECT SUM(churn) FROM ranked WHERE rn <= n_rows) / ones AS gain,
+  ((SELECT SUM(churn) FROM ranked WHERE rn <= n_rows) / n_rows) / (ones / n) AS lift
+FROM c ORDER BY fraction"""
+TOP_CHURN = (f"WITH {_SCORED}\nSELECT seller_id, churn_proba, ltv FROM scored "
+             f"WHERE _mt_date_reference = {_d(P.score_month)} ORDER BY churn_proba DESC, seller_id LIMIT 100")
+_GIFT = " ".join(f"WHEN churn_proba >= {f} THEN CAST({g} AS DOUBLE)" for f, g in _X.GIFT_TIERS)
+_INPUTS = (f"{_SCORED},\ninputs AS (SELECT seller_id, churn_proba, ltv, CASE {_GIFT} ELSE CAST({_X.GIFT_DEFAULT} AS DOUBLE) END AS gift "
+           f"FROM scored WHERE _mt_date_reference = {_d(P.score_month)}),\n"
+           f"cands AS (SELECT * FROM inputs WHERE churn_proba >= {P.proba_floor})")
+GIFT_TIER = f"WITH {_INPUTS}\nSELECT * FROM inputs"
+_GREEDY = (f"greedy AS (SELECT seller_id, churn_proba, ltv, gift FROM (SELECT *, SUM(gift) OVER (ORDER BY churn_proba DESC, seller_id "
+           f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cg FROM cands WHERE gift < {_X.SKIP_GIFT}) WHERE cg <= {P.budget})")
+BUDGET_GREEDY = f"WITH {_INPUTS},\n{_GREEDY}\nSELECT * FROM greedy"
+_WS = sorted({g for _, g in _X.GIFT_TIERS} | {_X.GIFT_DEFAULT}, reverse=True)
+_WS = [w for w in _WS if w <= P.budget]
+
+
+def _optimal_cte() -> str:
+    # per-class prefix sums, count vectors within budget, best vector, rows
+    parts = [f"kr AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY gift ORDER BY ltv DESC, seller_id) AS rk FROM cands "
+             f"WHERE ltv > 0 AND gift IN ({', '.join(str(w) for w in _WS)}))"]
+    for i, w in enumerate(_WS):
+        parts.append(f"p{i} AS (SELECT 0 AS n, 0.0 AS v UNION ALL SELECT rk, SUM(ltv) OVER (ORDER BY rk) FROM kr "
+                     f"WHERE gift = {w} QUALIFY rk * {w} <= {P.budget})")
+    frm = ", ".join(f"p{i} AS t{i}" for i in range(len(_WS)))
+    cost = " + ".join(f"t{i}.n * {w}" for i, w in enumerate(_WS))
+    val = " + ".join(f"t{i}.v" for i in range(len(_WS)))
+    ns = ", ".join(f"t{i}.n AS n{i}" for i in range(len(_WS)))
+    order = ", ".join(f"n{i}" for i in range(len(_WS)))
+    parts.append(f"best AS (SELECT {ns}, {val} AS value, {cost} AS cost FROM {frm} WHERE {cost} <= {P.budget} "
+                 f"ORDER BY value DESC, cost, {order} LIMIT 1)")
+    conds = " OR ".join(f"(kr.gift = {w} AND kr.rk <= best.n{i})" for i, w in enumerate(_WS))
+    parts.append(f"optimal AS (SELECT seller_id, churn_proba, ltv, gift FROM kr, best WHERE {conds})")
+    return ",\n".join(parts)
+
+
+BUDGET_OPTIMAL = f"WITH {_INPUTS},\n{_GREEDY},\n{_optimal_cte()}\nSELECT * FROM optimal"
+
+
+def _agg(name, src):
+    return (f"SELECT '{name}' AS scenario, COUNT(DISTINCT seller_id) AS sellers, SUM(ltv) AS total_ltv, "
+            f"SUM(gift) AS total_gift, COUNT(DISTINCT seller_id) / (SELECT COUNT(DISTINCT seller_id) FROM cands) "
+            f"AS share_of_floor_sellers FROM {src}")
+
+
+ROI_SUMMARY = (f"WITH {_INPUTS},\n{_GREEDY},\n{_optimal_cte()}\n" + "\nUNION ALL\n".join(
+    [_agg("all_scored", "inputs"), _agg("all_above_floor", "cands"), _agg("greedy", "greedy"),
+     _agg("optimal", "optimal")]))
+MONTHLY_PROFIT = (f"SELECT seller_id, order_month_purchase, forecast_ltv, forecast_ltv - LAG(forecast_ltv) OVER "
+                  f"(PARTITION BY seller_id ORDER BY order_month_purchase) AS current_month_profit FROM (\n{MONTHLY_LTV}\n) h")
+
+SIG: dict[str, list[str]] = {
+    "describe": ["count", "mean", "std", "min", "q25", "q50", "q75", "max"],
+    "skew_kurtosis": ["skew", "kurtosis"],
+    "bowley": ["bowley"],
+    "correlation": ["corr"],
+    "point_biserial": ["r", "t"],
+    "histogram_by_class": ["lo", "hi", "density"],
+    "roi_summary": ["total_ltv", "total_gift", "share_of_floor_sellers"],
+}
+DOUBLES.update({
+    "recency_ecdf": ["cum_share"], "flag_rate_by_class": ["share"], "class_balance": ["share"],
+    "seller_history": ["forecast_ltv"],
+    "time_split": _FS1_COLS + _FS2_COLS, "target_rate": ["target_rate"],
+    "argmax_history": _FS1_COLS + _FS2_COLS, "manual_sigmoid": ["churn_proba"],
+    "score_by_ref": ["mean_proba"], "auc": ["auc"],
+    "threshold_metrics": ["p", "balanced_accuracy", "auc", "false_positive_rate", "precision",
+                          "sensibility", "specificity", "ks_diffs"],
+    "lift_gain": ["fraction", "gain", "lift"], "top_churn": ["churn_proba", "ltv"],
+    "gift_tier": ["churn_proba", "ltv", "gift"], "budget_greedy": ["churn_proba", "ltv", "gift"],
+    "budget_optimal": ["churn_proba", "ltv", "gift"],
+    "roi_summary": ["total_ltv", "total_gift", "share_of_floor_sellers"],
+    "monthly_profit": ["forecast_ltv", "current_month_profit"],
+})
+_RAW.update({
+    "describe": DESCRIBE, "skew_kurtosis": SKEW_KURTOSIS, "bowley": BOWLEY, "correlation": CORRELATION,
+    "point_biserial": POINT_BISERIAL, "histogram_by_class": HISTOGRAM_BY_CLASS, "recency_ecdf": RECENCY_ECDF,
+    "flag_rate_by_class": FLAG_RATE_BY_CLASS, "class_balance": CLASS_BALANCE, "shape": SHAPE,
+    "seller_history": SELLER_HISTORY, "time_split": TIME_SPLIT, "target_rate": TARGET_RATE,
+    "argmax_history": ARGMAX_HISTORY, "manual_sigmoid": MANUAL_SIGMOID, "score_by_ref": SCORE_BY_REF,
+    "auc": AUC, "threshold_metrics": THRESHOLD_METRICS, "confusion_matrix": CONFUSION_MATRIX,
+    "lift_gain": LIFT_GAIN, "top_churn": TOP_CHURN, "gift_tier": GIFT_TIER, "budget_greedy": BUDGET_GREEDY,
+    "budget_optimal": BUDGET_OPTIMAL, "roi_summary": ROI_SUMMARY, "monthly_profit": MONTHLY_PROFIT,
+})
+
+
+def statements() -> dict[str, str]:  # noqa: F811
+    out = {}
+    for k, v in _RAW.items():
+        if k in SIG:
+            out[k] = sig_wrap(v, SIG[k])
+        else:
+            out[k] = rounded(v, DOUBLES.get(k, []))
+    return out

@@ -333,3 +333,169 @@ IMPUTE_VALUES = {"frequency": 0.0, "avg_seller_interval": 0.0}
 @register("impute")
 def _impute(spark, sf, p):
     return Q.impute(_abt(spark, sf, p), IMPUTE_VALUES)
+
+
+# ------------------------------------------ statistics, evaluation, decision
+from ..operators import decision as X  # noqa: E402
+from ..operators import evaluate as EV  # noqa: E402
+from ..operators import stats as ST  # noqa: E402
+
+ABT_NUMERIC = [c for c in A.ABT_FEATURES if c not in (FS.REF, "seller_id")] + ["churn"]
+
+
+def _scored(spark, sf, p):
+    return EV.score_rule(_abt(spark, sf, p))
+
+
+@register("describe")
+def _describe(spark, sf, p):
+    return ST.describe(_abt(spark, sf, p), ABT_NUMERIC)
+
+
+@register("skew_kurtosis")
+def _skew(spark, sf, p):
+    return ST.skew_kurtosis(_abt(spark, sf, p), ABT_NUMERIC)
+
+
+@register("bowley")
+def _bowley(spark, sf, p):
+    return ST.bowley(_abt(spark, sf, p), ABT_NUMERIC)
+
+
+@register("correlation")
+def _corr(spark, sf, p):
+    return ST.correlation(_abt(spark, sf, p), ABT_NUMERIC)
+
+
+@register("point_biserial")
+def _pb(spark, sf, p):
+    return ST.point_biserial(_abt(spark, sf, p), "churn", ABT_NUMERIC[:-1])
+
+
+@register("point_biserial_test")
+def _pbt(spark, sf, p):
+    return ST.point_biserial_test(_abt(spark, sf, p), "churn", ABT_NUMERIC[:-1])
+
+
+@register("histogram_by_class")
+def _hist(spark, sf, p):
+    return ST.histogram_by_class(_abt(spark, sf, p), "recency", "churn", bins=10)
+
+
+@register("recency_ecdf")
+def _ecdf(spark, sf, p):
+    return ST.recency_ecdf(_abt(spark, sf, p))
+
+
+@register("flag_rate_by_class")
+def _flags(spark, sf, p):
+    return ST.flag_rate_by_class(_abt(spark, sf, p))
+
+
+@register("class_balance")
+def _balance(spark, sf, p):
+    return ST.class_balance(_abt(spark, sf, p), "churn", [FS.REF])
+
+
+@register("shape")
+def _shape(spark, sf, p):
+    return ST.shape(_abt(spark, sf, p))
+
+
+@register("seller_history")
+def _hist_seller(spark, sf, p):
+    o, i = _oi(spark, sf)
+    m = D.monthly_ltv(o, i, p.window_start, p.window_end)
+    return m.where(m["seller_id"] == p.lookup_seller_id)
+
+
+@register("time_split")
+def _tsplit(spark, sf, p):
+    return ST.time_split(_abt(spark, sf, p), p.oot_month, p.score_month)
+
+
+@register("target_rate")
+def _trate(spark, sf, p):
+    return ST.target_rate(ST.time_split(_abt(spark, sf, p), p.oot_month, p.score_month))
+
+
+@register("argmax_history")
+def _argmax(spark, sf, p):
+    return ST.argmax_history(_abt(spark, sf, p), "ltv")
+
+
+@register("manual_sigmoid")
+def _sig(spark, sf, p):
+    return _scored(spark, sf, p).select(FS.REF, "seller_id", "churn", "churn_proba")
+
+
+@register("score_by_ref")
+def _sbr(spark, sf, p):
+    return ST.score_by_ref(_scored(spark, sf, p))
+
+
+@register("auc")
+def _auc(spark, sf, p):
+    return EV.auc(_scored(spark, sf, p))
+
+
+@register("threshold_metrics")
+def _thr(spark, sf, p):
+    return EV.threshold_metrics(_scored(spark, sf, p))
+
+
+@register("confusion_matrix")
+def _cm(spark, sf, p):
+    return EV.confusion_matrix(_scored(spark, sf, p), 0.4)
+
+
+@register("lift_gain")
+def _lift(spark, sf, p):
+    return EV.lift_gain(_scored(spark, sf, p))
+
+
+@register("top_churn")
+def _top(spark, sf, p):
+    s = _scored(spark, sf, p)
+    s = s.where(s[FS.REF] == F.lit(p.score_month))
+    return EV.top_k(s, 100).select("seller_id", "churn_proba", "ltv")
+
+
+def _inputs(spark, sf, p, floor=True):
+    return X.decision_inputs(_scored(spark, sf, p), p.score_month, p.proba_floor if floor else None)
+
+
+@register("gift_tier")
+def _gift(spark, sf, p):
+    return _inputs(spark, sf, p, floor=False)
+
+
+@register("budget_greedy")
+def _greedy(spark, sf, p):
+    return X.budget_greedy(_inputs(spark, sf, p), p.budget)
+
+
+@register("budget_optimal")
+def _optimal(spark, sf, p):
+    ws = [g for _, g in X.GIFT_TIERS] + [X.GIFT_DEFAULT]
+    return X.budget_optimal(_inputs(spark, sf, p), p.budget, ws)
+
+
+@register("roi_summary")
+def _roi(spark, sf, p):
+    cands = _inputs(spark, sf, p)
+    ws = [g for _, g in X.GIFT_TIERS] + [X.GIFT_DEFAULT]
+    return X.roi_summary(_inputs(spark, sf, p, floor=False), X.budget_greedy(cands, p.budget),
+                         X.budget_optimal(cands, p.budget, ws), p.proba_floor)
+
+
+@register("monthly_profit")
+def _mprofit(spark, sf, p):
+    o, i = _oi(spark, sf)
+    return X.monthly_profit(D.monthly_ltv(o, i, p.window_start, p.window_end))
+
+
+@register("holt_forecast")
+def _holt(spark, sf, p):
+    o, i = _oi(spark, sf)
+    return X.holt_forecast(D.monthly_ltv(o, i, p.window_start, p.window_end))
