@@ -748,6 +748,19 @@ ROI_SUMMARY = (f"WITH {_INPUTS},\n{_GREEDY},\n{_optimal_cte()}\n" + "\nUNION ALL
 MONTHLY_PROFIT = (f"SELECT seller_id, order_month_purchase, forecast_ltv, forecast_ltv - LAG(forecast_ltv) OVER "
                   f"(PARTITION BY seller_id ORDER BY order_month_purchase) AS current_month_profit FROM (\n{MONTHLY_LTV}\n) h")
 
+from sellerlens.operators import model as _MD  # noqa: E402
+
+ROBUST_SCALE = (f"WITH {_ABT_CTES},\nq AS (SELECT " + ", ".join(
+    f"quantile_cont(CAST({c} AS DOUBLE), [0.25, 0.5, 0.75]) AS q_{c}" for c in _MD.ROBUST_FEATURES) + " FROM abt)\n"
+    "SELECT _mt_date_reference, seller_id, " + ", ".join(
+    f"({c} - q_{c}[2]) / NULLIF(q_{c}[3] - q_{c}[1], 0) AS {c}" for c in _MD.ROBUST_FEATURES) + " FROM abt, q")
+MIN_MAX_SCALE = (f"WITH {_ABT_CTES},\nm AS (SELECT " + ", ".join(
+    f"MIN({c}) AS lo_{c}, MAX({c}) AS hi_{c}" for c in _MD.MINMAX_FEATURES) + " FROM abt)\n"
+    "SELECT _mt_date_reference, seller_id, " + ", ".join(
+    f"({c} - lo_{c}) / NULLIF(hi_{c} - lo_{c}, 0) AS {c}" for c in _MD.MINMAX_FEATURES) + " FROM abt, m")
+DOUBLES.update({"robust_scale": list(_MD.ROBUST_FEATURES), "min_max_scale": list(_MD.MINMAX_FEATURES)})
+_RAW.update({"robust_scale": ROBUST_SCALE, "min_max_scale": MIN_MAX_SCALE})
+
 SIG: dict[str, list[str]] = {
     "describe": ["count", "mean", "std", "min", "q25", "q50", "q75", "max"],
     "skew_kurtosis": ["skew", "kurtosis"],

@@ -499,3 +499,112 @@ def _mprofit(spark, sf, p):
 def _holt(spark, sf, p):
     o, i = _oi(spark, sf)
     return X.holt_forecast(D.monthly_ltv(o, i, p.window_start, p.window_end))
+
+
+# ------------------------------------------------------------------ models
+from ..operators import model as MD  # noqa: E402
+
+GRID_C = (0.001, 0.01, 0.1, 1, 10, 100, 1000)
+FINAL_C = 0.1
+
+
+def _train_oot_score(spark, sf, p):
+    t = ST.time_split(_abt(spark, sf, p), p.oot_month, p.score_month)
+    return t.where("split = 'train'"), t.where("split = 'oot'"), t.where("split = 'score'")
+
+
+def _final_model(train, n):
+    return MD.build_pipeline(MD.logistic(FINAL_C, n)).fit(train)
+
+
+@register("split")
+def _split(spark, sf, p):
+    tr, _, _ = _train_oot_score(spark, sf, p)
+    return MD.split(tr, 80, 2).select(FS.REF, "seller_id", "churn", "is_train")
+
+
+@register("robust_scale")
+def _rscale(spark, sf, p):
+    return MD.robust_scale(_abt(spark, sf, p), list(MD.ROBUST_FEATURES)).select(
+        FS.REF, "seller_id", *MD.ROBUST_FEATURES)
+
+
+@register("min_max_scale")
+def _mmscale(spark, sf, p):
+    return MD.min_max_scale(_abt(spark, sf, p), list(MD.MINMAX_FEATURES)).select(
+        FS.REF, "seller_id", *MD.MINMAX_FEATURES)
+
+
+@register("pipeline")
+def _pipe(spark, sf, p):
+    from pyspark.ml.functions import vector_to_array
+    tr, _, _ = _train_oot_score(spark, sf, p)
+    prep = MD.build_pipeline().fit(tr)
+    return prep.transform(_abt(spark, sf, p)).select(FS.REF, "seller_id", vector_to_array("features").alias("features"))
+
+
+@register("glm_binomial")
+def _glm(spark, sf, p):
+    tr, _, _ = _train_oot_score(spark, sf, p)
+    return MD.glm_binomial(tr)
+
+
+@register("select_by_pvalue")
+def _sel(spark, sf, p):
+    tr, _, _ = _train_oot_score(spark, sf, p)
+    return MD.select_by_pvalue(MD.glm_binomial(tr), 0.2)
+
+
+@register("logistic")
+def _logit(spark, sf, p):
+    tr, _, _ = _train_oot_score(spark, sf, p)
+    n = tr.count()
+    return MD.coefficients(_final_model(tr, n), MD.feature_names())
+
+
+@register("coefficients")
+def _coefs(spark, sf, p):
+    tr, _, _ = _train_oot_score(spark, sf, p)
+    m = MD.build_pipeline(MD.logistic(100, tr.count())).fit(tr)
+    return MD.coefficients(m, MD.feature_names())
+
+
+@register("lasso")
+def _lasso(spark, sf, p):
+    tr, _, _ = _train_oot_score(spark, sf, p)
+    return MD.lasso(tr, 0.0005)
+
+
+@register("cv")
+def _cv(spark, sf, p):
+    tr, oot, _ = _train_oot_score(spark, sf, p)
+    n = tr.count()
+    return MD.cv(tr, oot, lambda: MD.logistic(FINAL_C, n), k=10)
+
+
+@register("rfe")
+def _rfe(spark, sf, p):
+    tr, _, _ = _train_oot_score(spark, sf, p)
+    n = tr.count()
+    return MD.rfe(tr, lambda: MD.logistic(100, n))
+
+
+@register("grid_search")
+def _grid(spark, sf, p):
+    tr, _, _ = _train_oot_score(spark, sf, p)
+    return MD.grid_search(tr, GRID_C, ("l2", "none"), (True, False), k=5)
+
+
+@register("score")
+def _score(spark, sf, p):
+    tr, _, sc = _train_oot_score(spark, sf, p)
+    return MD.score(_final_model(tr, tr.count()), sc)
+
+
+@register("persist_model")
+def _persist(spark, sf, p):
+    tr, _, sc = _train_oot_score(spark, sf, p)
+    store = M.scratch_store(spark, "model")
+    path = f"{store.root}/models/churn_logistic"
+    MD.save_model(_final_model(tr, tr.count()), path)
+    return MD.score(MD.load_model(path), sc)
