@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import dates_array, day_of
-from .features import FS1_COLUMNS, FS2_COLUMNS, REF, TS, fs_seller_orders, fs_seller_purchases
+from .features import (FS1_COLUMNS, FS2_COLUMNS, REF, TS, _with_unique_products, fs_seller_orders,
+                       seller_day_core)
 
 ABT_FEATURES = FS1_COLUMNS + FS2_COLUMNS[2:]
 
@@ -53,12 +54,17 @@ def label(features: DataFrame, orders: DataFrame, items: DataFrame, refs: Sequen
 def abt_seller_churn(orders: DataFrame, items: DataFrame, refs: Sequence,
                      lookback_months: int = 6, churn_days: int = 45,
                      item_scope: str = "seller", label_complete: bool = False) -> DataFrame:
-    """ABT: one row per (ref, active seller) with 29 features and ``churn``."""
-    purchases = fs_seller_purchases(orders, items, refs, lookback_months, item_scope)
+    """ABT: one row per (ref, active seller) with 29 features and ``churn``.
+
+    The purchase features and the first sale on/after each ref come out of
+    the same pass (``seller_day_core``); the recency gate is applied before
+    the remaining joins."""
+    core = seller_day_core(orders, items, refs, lookback_months, item_scope)
+    core = core.where(F.col("recency") <= churn_days)
+    purchases = _with_unique_products(core, orders, items, refs, lookback_months, item_scope,
+                                      extra=["first_sale"])
     sorders = fs_seller_orders(orders, items, refs, lookback_months, item_scope)
-    feats = abt_features(purchases, sorders, churn_days)
-    first = first_sale_on_or_after(orders, items, refs)
-    j = feats.join(first, [REF, "seller_id"], "left")
+    j = purchases.join(sorders, [REF, "seller_id"], "left")
     ok = F.datediff("first_sale", REF) <= (F.lit(churn_days) - F.col("recency"))
     cols = [*ABT_FEATURES, F.when(ok, 0).otherwise(1).alias("churn")]
     if label_complete:

@@ -107,8 +107,14 @@ def budget_optimal(cands: DataFrame, budget: float, weights: Sequence[float],
     if not ws:
         return cands.limit(0)
     c = cands.where((F.col(value) > 0) & F.col(gift).isin(ws))
+    # only a tier's top budget // w rows can ever be picked: distributed top-k
+    # per tier (TakeOrdered), so the ranking window sees a bounded row count
+    top = None
+    for w in ws:
+        t = c.where(F.col(gift) == w).orderBy(F.desc(value), F.asc(key)).limit(int(budget // w))
+        top = t if top is None else top.unionByName(t)
     r = Window.partitionBy(gift).orderBy(F.desc(value), F.asc(key))
-    ranked = c.select("*", F.row_number().over(r).alias("_rank"))
+    ranked = top.select("*", F.row_number().over(r).alias("_rank"))
     # per-class prefix sums for n <= budget // w (n = 0 added), a bounded table
     run = Window.partitionBy(gift).orderBy("_rank").rowsBetween(Window.unboundedPreceding, 0)
     pref = (ranked.select(gift, "_rank", F.sum(value).over(run).alias("_v"))

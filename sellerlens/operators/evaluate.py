@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import sigmoid
+from ..session import cut_lineage
 from .prefix import cumulative_sums
 
 # Fixed scoring rule used where a fitted model is not wanted (manual logistic
@@ -33,15 +34,20 @@ def score_rule(abt: DataFrame, features: Sequence[str] = RULE_FEATURES,
     return filled.select(*abt.columns, F.round(p, digits).alias("churn_proba"))
 
 
-def _score_counts(scored: DataFrame, label: str, proba: str) -> DataFrame:
+def score_counts(scored: DataFrame, label: str = "churn", proba: str = "churn_proba") -> DataFrame:
+    """(score, positives, negatives, rows) per distinct score, checkpointed:
+    every metric below reads this instead of recomputing the scored input."""
     y = F.col(label)
-    return scored.groupBy(F.col(proba).alias("s")).agg(
-        F.count(F.when(y == 1, 1)).alias("pos"), F.count(F.when(y == 0, 1)).alias("neg"))
+    c = scored.groupBy(F.col(proba).alias("s")).agg(
+        F.count(F.when(y == 1, 1)).alias("pos"), F.count(F.when(y == 0, 1)).alias("neg"),
+        F.count(F.lit(1)).alias("cnt"))
+    return cut_lineage(c)
 
 
-def auc(scored: DataFrame, label: str = "churn", proba: str = "churn_proba") -> DataFrame:
+def auc(scored: DataFrame, label: str = "churn", proba: str = "churn_proba",
+        counts: DataFrame | None = None) -> DataFrame:
     """Exact ROC AUC, ties counted one half (rank-sum with average ranks)."""
-    c = _score_counts(scored, label, proba)
+    c = counts if counts is not None else score_counts(scored, label, proba)
     cum = cumulative_sums(c, "s", ["neg"], inclusive=False)  # negatives strictly below
     return cum.agg(F.try_divide(F.sum(F.col("pos") * (F.col("cum_neg") + F.col("neg") * 0.5)),
                                 F.sum("pos") * F.sum("neg")).alias("auc"))
@@ -59,11 +65,10 @@ def threshold_metrics(scored: DataFrame, label: str = "churn", proba: str = "chu
     precision, recall, specificity, KS difference; undefined ratios -> 0."""
     ts = thresholds(step)
     arr = F.array(*[F.lit(t) for t in ts])
-    y = F.col(label)
+    c = score_counts(scored, label, proba)
     # bin = number of thresholds <= p; then p >= t_k  <=>  bin > k
-    binned = scored.select(F.size(F.filter(arr, lambda t: t <= F.col(proba))).alias("b"), y.alias("y"))
-    bins = binned.groupBy("b").agg(F.count(F.when(F.col("y") == 1, 1)).alias("pos"),
-                                   F.count(F.when(F.col("y") == 0, 1)).alias("neg"))  # <= len(ts)+1 rows
+    bins = (c.select(F.size(F.filter(arr, lambda t: t <= F.col("s"))).alias("b"), "pos", "neg")
+            .groupBy("b").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")))  # <= len(ts)+1 rows
     per_t = bins.select("*", F.explode(F.sequence(F.lit(0), F.lit(len(ts) - 1))).alias("k"))
     hit = F.col("b") > F.col("k")
     m = per_t.groupBy("k").agg(
@@ -71,7 +76,7 @@ def threshold_metrics(scored: DataFrame, label: str = "churn", proba: str = "chu
         F.sum(F.when(hit, F.col("neg")).otherwise(0)).alias("fp"),
         F.sum(F.when(hit, 0).otherwise(F.col("pos"))).alias("fn"),
         F.sum(F.when(hit, 0).otherwise(F.col("neg"))).alias("tn"))
-    auc_value = auc(scored, label, proba).scalar()
+    auc_value = auc(scored, label, proba, counts=c).scalar()
     z = F.lit(0.0)
     tp, fp, fn, tn = (F.col(c).cast("double") for c in ("tp", "fp", "fn", "tn"))
     rec = F.try_divide(tp, tp + fn)
@@ -105,11 +110,10 @@ def lift_gain(scored: DataFrame, label: str = "churn", proba: str = "churn_proba
     groups cut by a boundary are ranked row by row.
     """
     fr = [step * i for i in range(1, int(round(1 / step)) + 1)]
-    n_all = scored.select(F.count(F.lit(1))).scalar()
-    ones = scored.select(F.sum(F.col(label))).scalar()
-    c = scored.groupBy(F.col(proba).alias("s")).agg(F.count(F.lit(1)).alias("cnt"),
-                                                    F.sum(F.col(label)).alias("pos"))
-    cum = cumulative_sums(c, "s", ["cnt", "pos"], descending=True, inclusive=False)
+    c = score_counts(scored, label, proba)
+    n_all = c.select(F.sum("cnt")).scalar()
+    ones = c.select(F.sum("pos")).scalar()
+    cum = cumulative_sums(c.select("s", "cnt", "pos"), "s", ["cnt", "pos"], descending=True, inclusive=False)
     cuts = F.array(*[F.lit(x) for x in fr])
     n_of = lambda x: F.ceil(x * n_all)
     hit = (cum.select("s", "cnt", "pos", "cum_cnt", "cum_pos", F.explode(cuts).alias("x"))

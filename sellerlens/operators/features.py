@@ -149,6 +149,90 @@ def seller_life(orders: DataFrame, items: DataFrame, refs: Sequence) -> DataFram
     )
 
 
+def seller_day_core(orders: DataFrame, items: DataFrame, refs: Sequence, lookback_months: int = 6,
+                    item_scope: str = "seller") -> DataFrame:
+    """FS1 (without distinct products) and the first sale on/after each ref,
+    for every (ref, seller) with a sale inside the ref's look-back window, in
+    one pass: (order, seller) measures -> (seller, day) rows over all history
+    -> one per-seller window (running totals, previous / next sale day) -> one
+    explode that routes each day to
+      * refs whose window holds it          (window statistics),
+      * the ref it is the last sale before  (as-of life totals; this day is
+        inside that ref's window whenever the (ref, seller) row exists),
+      * refs it is the first sale on/after  (churn label),
+    -> one aggregation per (ref, seller)."""
+    it = items.where(F.col("seller_id").isNotNull())
+    own = it.groupBy("order_id", "seller_id").agg(*_measures())
+    if item_scope == "seller":
+        per = own.withColumn("own_price", F.col("sum_price"))
+    elif item_scope == "order":
+        per = (own.select("order_id", "seller_id", F.col("sum_price").alias("own_price"))
+               .join(items.groupBy("order_id").agg(*_measures()), "order_id"))
+    else:
+        raise ValueError("item_scope must be 'seller' or 'order'")
+    o = orders.select("order_id", day_of(TS).alias("day")).where(F.col("day").isNotNull())
+    sd = (per.join(o, "order_id").groupBy("seller_id", "day")
+          .agg(F.sum("n_prod").alias("n_prod"), F.sum("sum_price").alias("sum_price"),
+               F.sum("n_price").alias("n_price"), F.sum("sum_line").alias("sum_line"),
+               F.sum("n_line").alias("n_line"), F.max("max_line").alias("max_line"),
+               F.min("min_line").alias("min_line"), F.max("max_price").alias("max_price"),
+               F.min("min_price").alias("min_price"), F.sum("own_price").alias("own_price"),
+               F.count("order_id").alias("n_orders")))
+    w = Window.partitionBy("seller_id").orderBy("day")
+    run = w.rowsBetween(Window.unboundedPreceding, 0)
+    sd = sd.select("*",
+                   F.sum("own_price").over(run).alias("ltv"),
+                   F.sum("n_orders").over(run).alias("cum_orders"),
+                   F.min("day").over(run).alias("first_day"),
+                   F.lag("day").over(w).alias("prev_day"),
+                   F.lead("day").over(w).alias("next_day"))
+    day, prev, nxt = F.col("day"), F.col("prev_day"), F.col("next_day")
+
+    def tags(r):
+        in_w = (day < r) & (day >= F.add_months(r, -lookback_months))
+        first = (r <= day) & (prev.isNull() | (r > prev))
+        return F.struct(r.alias("ref"), in_w.alias("in_w"),
+                        (in_w & (nxt.isNull() | (r <= nxt))).alias("asof"), first.alias("first"))
+    routed = sd.select("*", F.explode(F.filter(F.transform(dates_array(refs), tags),
+                                               lambda t: t["in_w"] | t["first"])).alias("t"))
+    in_w, asof = F.col("t.in_w"), F.col("t.asof")
+
+    def wv(c):
+        return F.when(in_w, F.col(c))
+    g = routed.groupBy(F.col("t.ref").alias(REF), "seller_id").agg(
+        F.count_if(in_w).alias("quantity_date_orders"),
+        F.max(wv("day")).alias("_last"), F.min(wv("day")).alias("_first_w"),
+        F.sum(wv("sum_price")).alias("_sum_price"), F.sum(wv("n_prod")).alias("_n_prod"),
+        F.sum(wv("n_orders")).alias("_n_orders"), F.sum(wv("sum_line")).alias("_sum_line"),
+        F.sum(wv("n_line")).alias("_n_line"), F.sum(wv("n_price")).alias("_n_price"),
+        F.max(wv("max_line")).alias("max_order_items_price"),
+        F.min(wv("min_line")).alias("min_order_items_price"),
+        F.max(wv("max_price")).alias("max_item_price"), F.min(wv("min_price")).alias("min_item_price"),
+        F.max(F.when(asof, F.col("ltv"))).alias("ltv"),
+        F.max(F.when(asof, F.col("first_day"))).alias("_first_day"),
+        F.max(F.when(asof, safe_div(F.col("cum_orders"), F.datediff("day", "first_day")))).alias("frequency"),
+        F.min(F.when(F.col("t.first"), day)).alias("first_sale"),
+    ).where(F.col("quantity_date_orders") > 0)
+    r = F.col(REF)
+    return g.select(
+        REF, "seller_id",
+        F.datediff(r, F.col("_last")).alias("recency"),
+        safe_div(F.col("_sum_price"), F.col("_n_prod")).alias("avg_ticket"),
+        safe_div(F.col("_n_prod"), F.col("_n_orders")).alias("avg_order_product"),
+        "max_order_items_price", "min_order_items_price",
+        safe_div(F.col("_sum_line"), F.col("_n_line")).alias("avg_order_items_price"),
+        "max_item_price", "min_item_price",
+        safe_div(F.col("_sum_price"), F.col("_n_price")).alias("avg_item_price"),
+        "quantity_date_orders",
+        F.col("_n_prod").alias("quantity_products_selled"),
+        safe_div(F.datediff(F.col("_last"), F.col("_first_w")), F.col("quantity_date_orders") - 1)
+        .alias("avg_seller_interval"),
+        "ltv",
+        F.datediff(r, F.col("_first_day")).alias("days_from_first_sell"),
+        "frequency", "first_sale",
+    )
+
+
 FS1_COLUMNS = [
     REF, "seller_id", "recency", "avg_ticket", "avg_order_product",
     "max_order_items_price", "min_order_items_price", "avg_order_items_price",
@@ -162,16 +246,19 @@ def fs_seller_purchases(orders: DataFrame, items: DataFrame, refs: Sequence,
                         lookback_months: int = 6, item_scope: str = "seller",
                         run_ts: Column | None = None) -> DataFrame:
     """FS1: purchase features per (reference date, seller)."""
-    base = seller_orders_base(_window_filter(orders, refs, lookback_months), items, item_scope)
-    desc = seller_descriptions(base, refs, lookback_months)
+    core = seller_day_core(orders, items, refs, lookback_months, item_scope)
+    return _with_unique_products(core, orders, items, refs, lookback_months, item_scope, run_ts)
+
+
+def _with_unique_products(core: DataFrame, orders: DataFrame, items: DataFrame, refs: Sequence,
+                          lookback_months: int, item_scope: str, run_ts: Column | None = None,
+                          extra: Sequence[str] = ()) -> DataFrame:
     uniq = seller_unique_products(_window_filter(orders, refs, lookback_months), items, refs,
                                   lookback_months, item_scope)
-    life = seller_life(orders, items, refs)
-    out = (desc.join(uniq, [REF, "seller_id"], "left")
+    out = (core.join(uniq, [REF, "seller_id"], "left")
            .withColumn("quantity_unique_product_selled",
                        F.coalesce("quantity_unique_product_selled", F.lit(0)))
-           .join(life, [REF, "seller_id"], "inner")
-           .select(*FS1_COLUMNS))
+           .select(*FS1_COLUMNS, *extra))
     if run_ts is not None:
         out = out.select(REF, run_ts.alias("_mt_ingestion_date"), *FS1_COLUMNS[1:])
     return out

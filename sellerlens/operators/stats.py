@@ -31,26 +31,29 @@ def _long(wide: DataFrame, cols: list[str], stats: list[str]) -> DataFrame:
     return wide.selectExpr(f"stack({len(cols)}, {structs}) AS ({names})")
 
 
+def to_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(column, value) rows: one per input row and column (``stack``)."""
+    body = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
+    return df.selectExpr(f"stack({len(cols)}, {body}) AS (column, value)")
+
+
 def describe(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
     """Count, mean, sample std, min, quartiles (linear interpolation), max.
 
-    ``exact=True`` uses ``percentile`` (exact, holds a column's distinct
-    values in the final buffer); ``exact=False`` uses ``percentile_approx``
-    for very large inputs.
+    Long form grouped by column, so the columns are summarised in parallel
+    tasks. ``exact=True`` uses ``percentile`` (exact; a column's distinct
+    values meet in its final buffer); ``exact=False`` uses
+    ``percentile_approx`` for very large inputs.
     """
     cols = list(cols or numeric_columns(df))
-    aggs = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        q = (F.percentile(x, [0.25, 0.5, 0.75]) if exact
-             else F.percentile_approx(x, [0.25, 0.5, 0.75], 100000).cast("array<double>"))
-        aggs += [F.count(x).alias(f"count__{c}"), F.avg(x).alias(f"mean__{c}"),
-                 F.stddev_samp(x).alias(f"std__{c}"), F.min(x).alias(f"min__{c}"),
-                 q.alias(f"q__{c}"), F.max(x).alias(f"max__{c}")]
-    wide = df.agg(*aggs)
-    wide = wide.select("*", *[F.col(f"q__{c}")[i].alias(f"{n}__{c}") for c in cols
-                              for i, n in enumerate(["q25", "q50", "q75"])])
-    return _long(wide, cols, ["count", "mean", "std", "min", "q25", "q50", "q75", "max"])
+    x = F.col("value")
+    q = (F.percentile(x, [0.25, 0.5, 0.75]) if exact
+         else F.percentile_approx(x, [0.25, 0.5, 0.75], 100000).cast("array<double>"))
+    g = to_long(df, cols).groupBy("column").agg(
+        F.count(x).cast("double").alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
+        F.min(x).alias("min"), q.alias("q"), F.max(x).alias("max"))
+    return g.select("column", "count", "mean", "std", "min", F.col("q")[0].alias("q25"),
+                    F.col("q")[1].alias("q50"), F.col("q")[2].alias("q75"), "max")
 
 
 def skew_kurtosis(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

@@ -462,7 +462,11 @@ def _top(spark, sf, p):
 
 
 def _inputs(spark, sf, p, floor=True):
-    return X.decision_inputs(_scored(spark, sf, p), p.score_month, p.proba_floor if floor else None)
+    """Scored sellers of the scoring month, materialised once in the shared
+    checkpoint dir: greedy, optimal and the summary all read it."""
+    from ..session import cut_lineage
+    d = cut_lineage(X.decision_inputs(_scored(spark, sf, p), p.score_month))
+    return d.where(F.col("churn_proba") >= p.proba_floor) if floor else d
 
 
 @register("gift_tier")
