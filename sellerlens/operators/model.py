@@ -150,7 +150,8 @@ def coefficients(model, names: Sequence[str]) -> DataFrame:
 
 
 # ------------------------------------------------------------- M5, M6
-def glm_binomial(df: DataFrame, label: str = "churn", names: Sequence[str] | None = None) -> DataFrame:
+def glm_binomial(df: DataFrame, label: str = "churn", names: Sequence[str] | None = None,
+                 ridge: float = 1e-6) -> DataFrame:
     """Logistic GLM without intercept on the prepared features; coefficients,
     standard errors, z values and p-values."""
     from pyspark.ml.feature import VectorSlicer
@@ -162,8 +163,11 @@ def glm_binomial(df: DataFrame, label: str = "churn", names: Sequence[str] | Non
     var = prep.select(Summarizer.metrics("variance").summary(F.col("features")).alias("s")).first()["s"]
     keep = [i for i, v in enumerate(var["variance"].toArray()) if v > 0]
     sliced = VectorSlicer(inputCol="features", outputCol="kept", indices=keep).transform(prep)
+    # a tiny ridge keeps the normal equations solvable when two features are
+    # exactly collinear (avg_ticket equals avg_item_price when no product id
+    # is missing); standard errors and p-values then stay available
     glm = GeneralizedLinearRegression(family="binomial", link="logit", fitIntercept=False,
-                                      featuresCol="kept", labelCol=label, maxIter=50)
+                                      featuresCol="kept", labelCol=label, maxIter=50, regParam=ridge)
     m = glm.fit(sliced)
     s = m.summary
     stats = dict(zip(keep, zip(m.coefficients.toArray(), s.coefficientStandardErrors, s.tValues, s.pValues)))
