@@ -221,7 +221,7 @@ def cv(df: DataFrame, oot: DataFrame, make_estimator, k: int = 10, label: str =
 
 
 def _auc_of(model, df, label):
-    return float(auc(score(model, df), label).first()[0])
+    return _evaluator_auc(model.transform(df), label)
 
 
 # ---------------------------------------------------------------- M11
@@ -230,18 +230,23 @@ def rfe(df: DataFrame, make_estimator, names: Sequence[str] | None = None, label
     """Recursive elimination: fit, drop the smallest |coefficient|, repeat down
     to one feature. Each step's AUC on a stable-hash holdout (20 %) picks the
     best subset size (as RFECV does with its CV score); features of that
-    subset get rank 1, the others their elimination rank."""
+    subset get rank 1, the others their elimination rank. Scaling is per
+    feature, so the prepared vectors are built once and each step refits only
+    the estimator on a ``VectorSlicer`` view."""
+    from pyspark.ml.feature import VectorSlicer
     names = list(names or feature_names())
-    sp = cut_lineage(split(df, 80, seed))
-    tr, va = sp.where("is_train"), sp.where("NOT is_train")
+    sp = split(df, 80, seed)
+    prep = build_pipeline().fit(sp.where("is_train"))
+    data = cut_lineage(prep.transform(sp).select(label, "is_train", F.col("features").alias("all_features")))
+    tr, va = data.where("is_train"), data.where("NOT is_train")
+    index = {n: i for i, n in enumerate(names)}
     current, dropped, scores = list(names), [], []
     while current:
-        rb = [c for c in current if c in ROBUST_FEATURES]
-        mm = [c for c in current if c in MINMAX_FEATURES]
-        m = build_pipeline(make_estimator(), rb, mm).fit(tr)
-        scores.append((len(current), _auc_of(m, va, label)))
-        coefs = m.stages[-1].coefficients.toArray().tolist()
-        worst = min(zip(rb + mm, coefs), key=lambda t: abs(t[1]))[0]
+        sl = VectorSlicer(inputCol="all_features", outputCol="features", indices=[index[c] for c in current])
+        m = make_estimator().fit(sl.transform(tr))
+        scores.append((len(current), _evaluator_auc(m.transform(sl.transform(va)), label)))
+        coefs = m.coefficients.toArray().tolist()
+        worst = min(zip(current, coefs), key=lambda t: abs(t[1]))[0]
         dropped.append(worst)
         current.remove(worst)
     best_n = max(scores, key=lambda t: (t[1], -t[0]))[0]
@@ -254,6 +259,14 @@ def rfe(df: DataFrame, make_estimator, names: Sequence[str] | None = None, label
     return df.sparkSession.createDataFrame(rows, "feature string, ranking int, holdout_auc_at_size double")
 
 
+def _evaluator_auc(pred: DataFrame, label: str) -> float:
+    """Exact ROC AUC from MLlib (``numBins=0``: no down-sampling of distinct scores)."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="probability",
+                                       metricName="areaUnderROC", numBins=0)
+    return float(ev.evaluate(pred))
+
+
 # ---------------------------------------------------------------- M13
 def grid_search(df: DataFrame, Cs: Sequence[float], penalties: Sequence[str] = ("l2", "none"),
                 weights: Sequence[bool] = (True, False), k: int = 5, label: str = "churn",

@@ -160,3 +160,13 @@ def test_holt_matches_python_recurrence(spark):
 def test_t_pvalue():
     assert abs(t_two_sided_p(2.0, 10) - 0.07338803477) < 1e-8
     assert abs(t_two_sided_p(0.0, 5) - 1.0) < 1e-12
+
+
+def test_mllib_auc_numbins0_is_exact_with_ties(spark):
+    from pyspark.ml.linalg import Vectors
+
+    from sellerlens.operators.model import _evaluator_auc
+    rnd = random.Random(9)
+    rows = [(round(rnd.random(), 1), int(rnd.random() < 0.4)) for _ in range(400)]
+    df = spark.createDataFrame([(Vectors.dense([1 - p, p]), y) for p, y in rows], ["probability", "churn"])
+    assert abs(_evaluator_auc(df, "churn") - _brute_auc([r[0] for r in rows], [r[1] for r in rows])) < 1e-12
