@@ -110,7 +110,12 @@ def lift_gain(scored: DataFrame, label: str = "churn", proba: str = "churn_proba
     groups cut by a boundary are ranked row by row.
     """
     fr = [step * i for i in range(1, int(round(1 / step)) + 1)]
-    c = score_counts(scored, label, proba)
+    # the counts and the row-level ranking of split groups both read these rows
+    scored = cut_lineage(scored.select(proba, label, *tie_keys))
+    y = F.col(label)
+    c = scored.groupBy(F.col(proba).alias("s")).agg(
+        F.count(F.when(y == 1, 1)).alias("pos"), F.count(F.when(y == 0, 1)).alias("neg"),
+        F.count(F.lit(1)).alias("cnt"))
     n_all = c.select(F.sum("cnt")).scalar()
     ones = c.select(F.sum("pos")).scalar()
     cum = cumulative_sums(c.select("s", "cnt", "pos"), "s", ["cnt", "pos"], descending=True, inclusive=False)
