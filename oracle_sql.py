@@ -161,10 +161,10 @@ FROM filter_orders o LEFT JOIN si i ON i.order_id = o.order_id"""
 
 SUSPICIOUS_CUSTOMERS = f"""WITH {ADAPTER},
 filter_orders AS (
-  SELECT order_id AS flagged_order_id, customer_id AS flagged_customer_id FROM so
+  SELECT order_id, customer_id FROM so
   WHERE order_purchase_timestamp >= {WS} AND order_purchase_timestamp < {WE} AND order_status = 'CREATED')
-SELECT o.*, f.flagged_order_id, f.flagged_customer_id
-FROM so o INNER JOIN filter_orders f ON o.customer_id = f.flagged_customer_id"""
+SELECT o.*, (SELECT COUNT(*) FROM filter_orders f WHERE f.customer_id = o.customer_id) AS n_flagged_orders
+FROM so o WHERE o.customer_id IN (SELECT customer_id FROM filter_orders)"""
 
 STUCK_PROCESSING = f"""WITH {ADAPTER}
 SELECT order_id, customer_id, order_purchase_timestamp, order_approved_at, order_estimated_delivery_date,

@@ -75,11 +75,13 @@ def suspicious_orders(orders: DataFrame, items: DataFrame, start, end) -> DataFr
 
 
 def suspicious_customers(orders: DataFrame, start, end) -> DataFrame:
-    """D-4: every order of customers owning a 'created' order."""
+    """D-4: every order of customers owning a 'created' order, with the number
+    of such orders per customer. The flagged side is reduced to one row per
+    customer first, so a customer with many flagged orders does not multiply
+    its order history (no order x flagged-order pairs)."""
     flagged = (_window(orders, start, end).where(_status("created"))
-               .select(F.col("order_id").alias("flagged_order_id"),
-                       F.col("customer_id").alias("flagged_customer_id")))
-    return orders.join(flagged, orders["customer_id"] == flagged["flagged_customer_id"])
+               .groupBy("customer_id").agg(F.count(F.lit(1)).alias("n_flagged_orders")))
+    return orders.join(flagged, "customer_id")
 
 
 def stuck_processing(orders: DataFrame, start, end, as_of) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import MinMaxScaler, RobustScaler, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GeneralizedLinearRegression, LinearRegression
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import stable_hash_bucket
@@ -49,11 +49,10 @@ def split(df: DataFrame, train_pct: int = 80, seed: int = 2, keys: Sequence[str]
 
 def stratified_folds(df: DataFrame, k: int, label: str = "churn", seed: int = 2,
                      keys: Sequence[str] = KEYS) -> DataFrame:
-    """Fold id per row: rows of each class ordered by a stable hash, dealt
-    round-robin to k folds (stratified k-fold)."""
-    h = F.xxhash64(F.lit(seed), *[F.col(c) for c in keys])
-    w = Window.partitionBy(label).orderBy(h, *keys)  # one partition per class
-    return df.withColumn("fold", ((F.row_number().over(w) - 1) % k).cast("int"))
+    """Fold id per row from a stable hash of (label, key): every class is
+    spread evenly over the k folds in expectation, with no per-class ranking
+    window (which would put a whole class into one task)."""
+    return df.withColumn("fold", stable_hash_bucket([label, *keys], seed, k).cast("int"))
 
 
 # ------------------------------------------------------------ M2, M3
@@ -122,10 +121,12 @@ def feature_names(robust_features=ROBUST_FEATURES, minmax_features=MINMAX_FEATUR
 
 # ---------------------------------------------------------------- M7
 def with_balanced_weights(df: DataFrame, label: str = "churn") -> DataFrame:
-    """sklearn ``class_weight='balanced'``: n / (2 * n_class) per row."""
-    w = Window.partitionBy(label)  # two partitions, one row count each
-    n = df.select(F.count(F.lit(1))).scalar()
-    return df.withColumn("class_weight", n / (2 * F.count(F.lit(1)).over(w)))
+    """sklearn ``class_weight='balanced'``: n / (2 * n_class) per row. Class
+    counts come from a grouped count (one row per class, broadcast)."""
+    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n_class"))
+    n = counts.select(F.sum("_n_class")).scalar()
+    w = counts.select(label, (n / (2 * F.col("_n_class"))).alias("class_weight"))
+    return df.join(F.broadcast(w), label)
 
 
 def logistic(C: float, n: int, penalty: str = "l2", balanced: bool = False,

@@ -18,10 +18,14 @@ from pyspark.sql import functions as F
 
 
 def cumulative_sums(df: DataFrame, order_col: str, weight_cols: Sequence[str],
-                    descending: bool = False, n_buckets: int = 64,
+                    descending: bool = False, n_buckets: int | None = None,
                     inclusive: bool = True) -> DataFrame:
     """Add ``cum_<w>`` = sum of ``w`` over rows ordered before (and, when
-    ``inclusive``, at) each row's ``order_col`` value."""
+    ``inclusive``, at) each row's ``order_col`` value. ``n_buckets`` defaults
+    to ``spark.sql.shuffle.partitions`` (at least 64), so range sizes shrink
+    as the cluster grows."""
+    if n_buckets is None:
+        n_buckets = max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
     key = -F.col(order_col) if descending else F.col(order_col)
     probs = [i / n_buckets for i in range(1, n_buckets)]
     keyed = df.withColumn("_k", key.cast("double"))
@@ -41,6 +45,6 @@ def cumulative_sums(df: DataFrame, order_col: str, weight_cols: Sequence[str],
 
 
 def cumulative_counts(df: DataFrame, order_col: str, weight_col: str,
-                      descending: bool = False, n_buckets: int = 64) -> DataFrame:
+                      descending: bool = False, n_buckets: int | None = None) -> DataFrame:
     out = cumulative_sums(df, order_col, [weight_col], descending, n_buckets)
     return out.select(order_col, F.col(f"cum_{weight_col}").alias("cum_w"))

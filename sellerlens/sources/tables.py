@@ -28,9 +28,10 @@ class DuplicateKeyError(ValueError):
 
 
 class TableStore:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, max_records_per_file: int = 5_000_000):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.max_records_per_file = max_records_per_file
 
     # ------------------------------------------------------------ paths
     def path(self, db: str, table: str) -> str:
@@ -55,10 +56,10 @@ class TableStore:
                partition_by: Sequence[str] = (), dynamic: bool = False) -> int:
         obs = Observation(f"{db}.{table}")
         df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-        if partition_by:
-            # hash distribution by partition value: one writer per partition
-            df = df.repartition(*partition_by)
-        w = df.write.mode(mode)
+        # no repartition by the partition column: a daily batch has a single
+        # partition value and would land in one writer task; every input task
+        # writes its own files instead, capped in size by maxRecordsPerFile
+        w = df.write.mode(mode).option("maxRecordsPerFile", self.max_records_per_file)
         if dynamic:
             w = w.option("partitionOverwriteMode", "dynamic")
         if partition_by:
