@@ -80,7 +80,9 @@ def load(spark: SparkSession, sf_dir: str, seller: str = "partkey") -> tuple[Dat
 # ---------------------------------------------------------------- landing form
 
 def _ts_text(c: str) -> Column:
-    return F.date_format(F.col(c), "yyyy-MM-dd HH:mm:ss")
+    # a plain cast formats timestamp_ntz without any time zone (date_format
+    # would pass through the session zone and move times inside DST gaps)
+    return F.col(c).cast("timestamp_ntz").cast("string")
 
 
 def landing_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
