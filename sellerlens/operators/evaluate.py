@@ -116,8 +116,8 @@ def lift_gain(scored: DataFrame, label: str = "churn", proba: str = "churn_proba
     c = scored.groupBy(F.col(proba).alias("s")).agg(
         F.count(F.when(y == 1, 1)).alias("pos"), F.count(F.when(y == 0, 1)).alias("neg"),
         F.count(F.lit(1)).alias("cnt"))
-    n_all = c.select(F.sum("cnt")).scalar()
-    ones = c.select(F.sum("pos")).scalar()
+    tot = c.agg(F.sum("cnt"), F.sum("pos")).first()  # one row of totals
+    n_all, ones = F.lit(tot[0]), F.lit(tot[1])
     cum = cumulative_sums(c.select("s", "cnt", "pos"), "s", ["cnt", "pos"], descending=True, inclusive=False)
     cuts = F.array(*[F.lit(x) for x in fr])
     n_of = lambda x: F.ceil(x * n_all)

@@ -56,9 +56,9 @@ def sellers_price_selling_days(items: DataFrame, orders: DataFrame) -> DataFrame
 def bounded_calendar(values: DataFrame, col: str, limit: int = MAX_GRID_DAYS):
     """Sorted distinct values of ``col`` as one array, computed as a scalar
     subquery; fails loudly if the calendar exceeds ``limit`` entries."""
-    arr = values.select(F.sort_array(F.collect_set(col))).scalar()
-    return F.when(F.size(arr) <= F.lit(limit), arr).otherwise(
-        F.raise_error(F.lit(f"calendar larger than {limit} entries")))
+    cal = F.collect_set(col)
+    return values.select(F.when(F.size(cal) <= F.lit(limit), F.sort_array(cal)).otherwise(
+        F.raise_error(F.lit(f"calendar larger than {limit} entries")))).scalar()
 
 
 def sellers_intermittent_daily(items: DataFrame, orders: DataFrame) -> DataFrame:

@@ -58,24 +58,29 @@ def stratified_folds(df: DataFrame, k: int, label: str = "churn", seed: int = 2,
 # ------------------------------------------------------------ M2, M3
 def robust_scale(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
     """(x - median) / (Q3 - Q1) per column, quartiles from one aggregation."""
-    q = (lambda c: F.percentile(F.col(c).cast("double"), [0.25, 0.5, 0.75])) if exact else \
-        (lambda c: F.percentile_approx(F.col(c).cast("double"), [0.25, 0.5, 0.75], 100000).cast("array<double>"))
-    qs = df.agg(*[q(c).alias(c) for c in cols])
+    from .stats import to_long
+    x = F.col("value")
+    q = (F.percentile(x, [0.25, 0.5, 0.75]) if exact
+         else F.percentile_approx(x, [0.25, 0.5, 0.75], 100000).cast("array<double>"))
+    # one job, columns summarised in parallel (long form grouped by column);
+    # the quartiles (3 numbers per column, like MLlib's RobustScaler fit)
+    # become literals in a narrow projection
+    stats = {r["column"]: r["q"] for r in to_long(df, cols).groupBy("column").agg(q.alias("q")).collect()}
     out = {}
     for c in cols:
-        arr = qs.select(c).scalar()
-        out[c] = F.try_divide(F.col(c) - arr[1], arr[2] - arr[0])
+        q1, q2, q3 = (stats.get(c) or [None, None, None])
+        out[c] = F.try_divide(F.col(c) - F.lit(q2), F.lit(q3) - F.lit(q1)) if q1 is not None else F.lit(None)
     return df.withColumns(out)
 
 
 def min_max_scale(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(x - min) / (max - min) per column into [0, 1]."""
-    mm = df.agg(*[F.struct(F.min(c).cast("double").alias("lo"), F.max(c).cast("double").alias("hi")).alias(c)
-                  for c in cols])
+    stats = df.agg(*[F.min(c).cast("double").alias(f"lo_{c}") for c in cols],
+                   *[F.max(c).cast("double").alias(f"hi_{c}") for c in cols]).first()
     out = {}
     for c in cols:
-        s = mm.select(c).scalar()
-        out[c] = F.try_divide(F.col(c) - s["lo"], s["hi"] - s["lo"])
+        lo, hi = F.lit(stats[f"lo_{c}"]).cast("double"), F.lit(stats[f"hi_{c}"]).cast("double")
+        out[c] = F.try_divide(F.col(c) - lo, hi - lo)
     return df.withColumns(out)
 
 

@@ -123,8 +123,9 @@ def histogram_by_class(df: DataFrame, col: str, label: str = "churn", bins: int
     density per class. min/max come from one scalar subquery each."""
     x = F.log1p(F.col(col)) if log1p else F.col(col).cast("double")
     d = df.select(x.alias("x"), F.col(label).alias(label)).where(F.col("x").isNotNull())
-    mn = d.select(F.min("x")).scalar()
-    mx = d.select(F.max("x")).scalar()
+    # one-row range (like numpy's first pass); literals keep the plan narrow
+    lo_hi = d.agg(F.min("x"), F.max("x")).first()
+    mn, mx = F.lit(lo_hi[0]).cast("double"), F.lit(lo_hi[1]).cast("double")
     width = (mx - mn) / F.lit(bins)
     b = F.least(F.floor(F.try_divide(F.col("x") - mn, mx - mn) * F.lit(bins)), F.lit(bins - 1))
     b = F.coalesce(b, F.lit(0)).cast("int")
