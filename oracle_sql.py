@@ -761,6 +761,21 @@ MIN_MAX_SCALE = (f"WITH {_ABT_CTES},\nm AS (SELECT " + ", ".join(
 DOUBLES.update({"robust_scale": list(_MD.ROBUST_FEATURES), "min_max_scale": list(_MD.MINMAX_FEATURES)})
 _RAW.update({"robust_scale": ROBUST_SCALE, "min_max_scale": MIN_MAX_SCALE})
 
+def _inner(sql: str) -> str:
+    """Body of a ``WITH ...`` statement usable as a CTE after the ABT CTEs."""
+    return sql.split("\n", 1)[1] if sql.startswith("WITH ") else sql
+
+
+DESCRIBE_FULL = (f"SELECT d.*, sk.skew, sk.kurtosis, b.bowley FROM (\n{DESCRIBE}\n) d\n"
+                 f"JOIN (\n{SKEW_KURTOSIS}\n) sk ON d.\"column\" = sk.\"column\"\n"
+                 f"JOIN (\n{BOWLEY}\n) b ON d.\"column\" = b.\"column\"")
+LAST_MONTH_PROFIT = (f"WITH p AS ({MONTHLY_PROFIT})\n"
+                     "SELECT MAX(order_month_purchase) AS month, SUM(forecast_ltv) AS ltv_last_month, "
+                     "SUM(current_month_profit) AS profit_last_month FROM p "
+                     "WHERE order_month_purchase = (SELECT MAX(order_month_purchase) FROM p)")
+DOUBLES.update({"last_month_profit": ["ltv_last_month", "profit_last_month"]})
+_RAW.update({"last_month_profit": LAST_MONTH_PROFIT, "describe_full": DESCRIBE_FULL})
+
 SIG: dict[str, list[str]] = {
     "describe": ["count", "mean", "std", "min", "q25", "q50", "q75", "max"],
     "skew_kurtosis": ["skew", "kurtosis"],
@@ -769,6 +784,7 @@ SIG: dict[str, list[str]] = {
     "point_biserial": ["r", "t"],
     "histogram_by_class": ["lo", "hi", "density"],
     "roi_summary": ["total_ltv", "total_gift", "share_of_floor_sellers"],
+    "describe_full": ["count", "mean", "std", "min", "q25", "q50", "q75", "max", "skew", "kurtosis", "bowley"],
 }
 DOUBLES.update({
     "recency_ecdf": ["cum_share"], "flag_rate_by_class": ["share"], "class_balance": ["share"],

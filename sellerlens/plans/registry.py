@@ -612,3 +612,33 @@ def _persist(spark, sf, p):
     path = f"{store.root}/models/churn_logistic"
     MD.save_model(_final_model(tr, tr.count()), path)
     return MD.score(MD.load_model(path), sc)
+
+
+@register("describe_full")
+def _describe_full(spark, sf, p):
+    """Describe, skew/kurtosis and Bowley side by side, joined on the column name."""
+    abt = _abt(spark, sf, p)
+    return (ST.describe(abt, ABT_NUMERIC).join(ST.skew_kurtosis(abt, ABT_NUMERIC), "column")
+            .join(ST.bowley(abt, ABT_NUMERIC), "column"))
+
+
+@register("last_month_profit")
+def _last_month(spark, sf, p):
+    """X6 (history part): cumulative LTV summed over sellers in the last
+    history month, and that month's profit (change of the cumulative LTV)."""
+    o, i = _oi(spark, sf)
+    prof = X.monthly_profit(D.monthly_ltv(o, i, p.window_start, p.window_end))
+    last = prof.select(F.max("order_month_purchase")).scalar()
+    return (prof.where(F.col("order_month_purchase") == last)
+            .agg(F.first("order_month_purchase").alias("month"),
+                 F.sum("forecast_ltv").alias("ltv_last_month"),
+                 F.sum("current_month_profit").alias("profit_last_month")))
+
+
+@register("forecast_profit")
+def _forecast_profit(spark, sf, p):
+    """X1 + X6: next month's forecast total over all sellers (floored at 0)."""
+    o, i = _oi(spark, sf)
+    f = X.holt_forecast(D.monthly_ltv(o, i, p.window_start, p.window_end))
+    return f.agg(F.first("order_month_purchase").alias("month"), F.count(F.lit(1)).alias("sellers"),
+                 F.sum("forecast_ltv").alias("forecast_ltv_total"))

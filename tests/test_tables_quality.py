@@ -105,3 +105,19 @@ def test_checkpoint_dir_is_respected(spark):
     from sellerlens.session import ensure_checkpoint_dir
     assert ensure_checkpoint_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert os.path.isabs(spark.conf.get("spark.checkpoint.dir")) or "://" in spark.conf.get("spark.checkpoint.dir")
+
+
+def test_snapshot_and_drop_columns(spark):
+    from sellerlens.sources.landing import snapshot
+    path = tempfile.mkdtemp(prefix="sellerlens-snap-") + "/orders"
+    df = spark.createDataFrame([(1, "a")], "k long, v string")
+    snapshot(df, path, dt.datetime(2020, 1, 1))
+    back = spark.read.parquet(path)
+    assert back.count() == 1 and "last_updated_dt" in back.columns
+    assert Q.drop_columns(back, ["v", "not_there"]).columns == ["k", "last_updated_dt"]
+
+
+def test_money_format(spark):
+    from sellerlens.functions.columns import money
+    r = spark.createDataFrame([(9610970.224,)], "x double").select(money("x").alias("m")).first()
+    assert r["m"] == "$9,610,970.22"
