@@ -43,12 +43,12 @@ def cohort(orders: DataFrame, items: DataFrame, start, end) -> DataFrame:
 
 
 def cohort_retention(cohorts: DataFrame, decimals: int = 3) -> DataFrame:
-    """D-2 (long form): cohort size share per month index, index 1 = 1.0."""
-    first = (cohorts.where(F.col("cohort_index") == 1)
-             .select("cohort_date", F.col("seller_id").alias("cohort_size")))
-    return (cohorts.join(first, "cohort_date", "left")
-            .select("cohort_date", "cohort_index",
-                    F.round(F.try_divide(F.col("seller_id"), F.col("cohort_size")), decimals).alias("retention")))
+    """D-2 (long form): cohort size share per month index, index 1 = 1.0.
+    The index-1 size comes from a window over the (small) aggregated cohort
+    table, so the cohorts are computed once."""
+    size = F.max(F.when(F.col("cohort_index") == 1, F.col("seller_id"))).over(Window.partitionBy("cohort_date"))
+    return cohorts.select("cohort_date", "cohort_index",
+                          F.round(F.try_divide(F.col("seller_id"), size), decimals).alias("retention"))
 
 
 def cohort_pivot(cohorts: DataFrame, n_index: int) -> DataFrame:
