@@ -70,7 +70,7 @@ def stamp_silver(df: DataFrame, run_date: _dt.date, update_key: str) -> DataFram
 
 
 def stamp_gold(df: DataFrame, run_date: _dt.date, update_key: str) -> DataFrame:
-    """Q7 (columns); the written-row count goes to the load log via ``observe``."""
+    """Q7 (columns); the written-row count goes to the load log (read from the written footers)."""
     return df.withColumns({"_mt_gold_ingestion_date": F.lit(run_date),
                            "_mt_gold_update_key": F.lit(update_key)})
 

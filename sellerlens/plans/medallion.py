@@ -40,7 +40,7 @@ def run_bronze(store: TableStore, landing: Mapping[str, DataFrame], run_ts: _dt.
         if df is None:
             continue
         batch = Q.bronze_batch(df, name, run_ts)
-        n = store.reload_partition(batch, "bronze", name, BRONZE_PART)
+        n = store.reload_partition(batch, "bronze", name, BRONZE_PART, [run_ts.date()])
         store.log_load(name, n, run_ts, "bronze")
         written[name] = n
     return written
@@ -128,7 +128,7 @@ def run_feature_stores(store: TableStore, orders: DataFrame, items: DataFrame,
             df = fn(orders, items, todo, lookback_months, item_scope=item_scope,
                     run_ts=F.lit(run_ts).cast("timestamp_ntz"))
             if store.exists("analytics", name):
-                n = store.append(df, "analytics", name, [FS.REF])
+                n = store.append(df, "analytics", name, [FS.REF], partition_values=todo)
             else:
                 n = store.create(df, "analytics", name, [FS.REF])
             store.log_load(name, n, run_ts, "analytics")

@@ -6,7 +6,11 @@ create-or-replace, reload one partition, upsert); on plain parquet:
 * upsert = target ``left_anti`` source, ``unionByName`` source; the merged
   result is checkpointed into ``spark.checkpoint.dir`` (shared storage) before
   the target path is rewritten, so the write never reads its own output;
-* row counts for the load log come from ``observe`` during the write.
+* row counts for the load log are read back from the written parquet
+  footers (metadata only, restricted to the partitions just written), so the
+  batch is never scanned a second time. (``df.observe`` would avoid even
+  that, but an ``Observation`` leaves the session unserializable for later
+  MLlib model transforms on Spark 4.1.)
 """
 
 from __future__ import annotations
@@ -15,7 +19,7 @@ import datetime as _dt
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -53,9 +57,7 @@ class TableStore:
 
     # ----------------------------------------------------------- writes
     def _write(self, df: DataFrame, db: str, table: str, mode: str,
-               partition_by: Sequence[str] = (), dynamic: bool = False) -> int:
-        obs = Observation(f"{db}.{table}")
-        df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+               partition_by: Sequence[str] = (), dynamic: bool = False) -> None:
         # no repartition by the partition column: a daily batch has a single
         # partition value and would land in one writer task; every input task
         # writes its own files instead, capped in size by maxRecordsPerFile
@@ -65,27 +67,43 @@ class TableStore:
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(self.path(db, table))
-        return int(obs.get.get("rows", 0))
+
+    def count_rows(self, db, table, partition_col: str | None = None, values=None) -> int:
+        """Rows of the table (or of the given partitions): answered from the
+        parquet footers; partition filters prune the listing."""
+        t = self.read(db, table)
+        if partition_col is not None and values is not None:
+            t = t.where(F.col(partition_col).isin(list(values)))
+        return int(t.count())
 
     def create(self, df, db, table, partition_by=()) -> int:
         """K1."""
-        return self._write(df, db, table, "errorifexists", partition_by)
+        self._write(df, db, table, "errorifexists", partition_by)
+        return self.count_rows(db, table)
 
-    def append(self, df, db, table, partition_by=()) -> int:
-        """K2."""
-        return self._write(df, db, table, "append", partition_by)
+    def append(self, df, db, table, partition_by=(), partition_values=None) -> int | None:
+        """K2. Returns the rows of ``partition_values`` when given (the
+        partitions this append creates), else ``None``."""
+        self._write(df, db, table, "append", partition_by)
+        if partition_by and partition_values is not None:
+            return self.count_rows(db, table, partition_by[0], partition_values)
+        return None
 
     def replace(self, df, db, table, partition_by=()) -> int:
         """K3: create-or-replace. A plan reading the target is cut first."""
         if self.exists(db, table):
             df = cut_lineage(df)
-        return self._write(df, db, table, "overwrite", partition_by)
+        self._write(df, db, table, "overwrite", partition_by)
+        return self.count_rows(db, table)
 
-    def reload_partition(self, df, db, table, partition_col: str) -> int:
-        """K4: replace exactly the partitions present in ``df`` (idempotent)."""
+    def reload_partition(self, df, db, table, partition_col: str, values=None) -> int:
+        """K4: replace exactly the partitions present in ``df`` (idempotent).
+        ``values``: the partition values being loaded, for the row count."""
         if not self.exists(db, table):
-            return self.create(df, db, table, [partition_col])
-        return self._write(df, db, table, "overwrite", [partition_col], dynamic=True)
+            self._write(df, db, table, "errorifexists", [partition_col])
+        else:
+            self._write(df, db, table, "overwrite", [partition_col], dynamic=True)
+        return self.count_rows(db, table, partition_col, values)
 
     def upsert(self, df, db, table, keys: Sequence[str] | str) -> int:
         """K5: update-all / insert-all on one or comma-separated keys."""
@@ -98,14 +116,16 @@ class TableStore:
             return self.create(df, db, table)
         target = self.read(db, table)
         merged = target.join(df.select(*keys), list(keys), "left_anti").unionByName(df)
-        return self._write(cut_lineage(merged), db, table, "overwrite")
+        self._write(cut_lineage(merged), db, table, "overwrite")
+        return self.count_rows(db, table)
 
     def write(self, df, db, table, mode: str, keys=None, partition_by=()) -> int:
         """Explicit modes: overwrite / append / upsert / reload."""
         if mode == "overwrite":
             return self.replace(df, db, table, partition_by)
         if mode == "append":
-            return self.append(df, db, table, partition_by)
+            self.append(df, db, table, partition_by)
+            return self.count_rows(db, table)
         if mode == "upsert":
             return self.upsert(df, db, table, keys)
         if mode == "reload":

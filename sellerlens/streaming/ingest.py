@@ -35,7 +35,8 @@ def ingest_landing(spark: SparkSession, store: TableStore, table: str, landing_p
         if batch.isEmpty():
             return
         run_ts = clock()
-        n = store.reload_partition(Q.bronze_batch(batch, table, run_ts), "bronze", table, BRONZE_PART)
+        n = store.reload_partition(Q.bronze_batch(batch, table, run_ts), "bronze", table, BRONZE_PART,
+                                   [run_ts.date()])
         store.log_load(table, n, run_ts, "bronze")
         written.append(batch_id)
 
