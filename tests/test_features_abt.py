@@ -104,3 +104,21 @@ def test_abt_plan_has_no_nested_loop_or_python(spark, capsys):
     plan = capsys.readouterr().out
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
         assert bad not in plan
+
+
+def test_censor_at_ref_option(spark):
+    # delivered after the reference date: counted as not yet delivered (D7 option)
+    o = make_orders(spark, [(1, "DELIVERED", "2018-06-20 00:00:00", "2018-06-20 00:00:00",
+                             "2018-07-10 00:00:00", "2018-07-05 00:00:00")])
+    i = make_items(spark, [(1, 1, 1, 7, 1.0)])
+    plain = FS.fs_seller_orders(o, i, [R]).first()
+    cens = FS.fs_seller_orders(o, i, [R], censor_at_ref=True).first()
+    assert plain["max_approval_delivery_days"] == 20 and cens["max_approval_delivery_days"] == 11
+
+
+def test_label_complete_flag(spark):
+    # last ref, no sale after it in the data: churn 1 and label not complete
+    o = make_orders(spark, [(1, "DELIVERED", "2018-06-20 00:00:00")])
+    i = make_items(spark, [(1, 1, 1, 7, 1.0)])
+    r = A.abt_seller_churn(o, i, [R], label_complete=True).first()
+    assert r["churn"] == 1 and r["label_complete"] is False
