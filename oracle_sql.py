@@ -773,7 +773,11 @@ LAST_MONTH_PROFIT = (f"WITH p AS ({MONTHLY_PROFIT})\n"
                      "SELECT MAX(order_month_purchase) AS month, SUM(forecast_ltv) AS ltv_last_month, "
                      "SUM(current_month_profit) AS profit_last_month FROM p "
                      "WHERE order_month_purchase = (SELECT MAX(order_month_purchase) FROM p)")
-DOUBLES.update({"last_month_profit": ["ltv_last_month", "profit_last_month"]})
+BEST_THRESHOLDS = f"SELECT * FROM (\n{THRESHOLD_METRICS}\n) m ORDER BY ks_diffs DESC, p LIMIT 5"
+DOUBLES.update({"last_month_profit": ["ltv_last_month", "profit_last_month"],
+                "best_thresholds": ["p", "balanced_accuracy", "auc", "false_positive_rate", "precision",
+                                    "sensibility", "specificity", "ks_diffs"]})
+_RAW.update({"best_thresholds": BEST_THRESHOLDS})
 _RAW.update({"last_month_profit": LAST_MONTH_PROFIT, "describe_full": DESCRIBE_FULL})
 
 SIG: dict[str, list[str]] = {

@@ -144,3 +144,8 @@ def top_k(scored: DataFrame, k: int = 100, proba: str = "churn_proba",
           tie_keys: Sequence[str] = ("seller_id",)) -> DataFrame:
     """Top ``k`` rows by score (TakeOrderedAndProject, no global sort)."""
     return scored.orderBy(F.desc(proba), *tie_keys).limit(k)
+
+
+def best_thresholds(metrics: DataFrame, k: int = 5) -> DataFrame:
+    """Thresholds with the largest KS difference (ties: lower threshold)."""
+    return metrics.orderBy(F.desc("ks_diffs"), F.asc("p")).limit(k)

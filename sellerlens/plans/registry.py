@@ -642,3 +642,8 @@ def _forecast_profit(spark, sf, p):
     f = X.holt_forecast(D.monthly_ltv(o, i, p.window_start, p.window_end))
     return f.agg(F.first("order_month_purchase").alias("month"), F.count(F.lit(1)).alias("sellers"),
                  F.sum("forecast_ltv").alias("forecast_ltv_total"))
+
+
+@register("best_thresholds")
+def _best_thr(spark, sf, p):
+    return EV.best_thresholds(EV.threshold_metrics(_scored(spark, sf, p)), 5)

@@ -32,10 +32,13 @@ class DuplicateKeyError(ValueError):
 
 
 class TableStore:
-    def __init__(self, spark: SparkSession, root: str, max_records_per_file: int = 5_000_000):
+    def __init__(self, spark: SparkSession, root: str, max_records_per_file: int = 5_000_000,
+                 dictionary_page_bytes: int = 128 * 1024 * 1024):
         self.spark = spark
         self.root = root.rstrip("/")
         self.max_records_per_file = max_records_per_file
+        # K6: the reference's 128 MiB parquet dictionary size
+        self.dictionary_page_bytes = dictionary_page_bytes
 
     # ------------------------------------------------------------ paths
     def path(self, db: str, table: str) -> str:
@@ -61,7 +64,8 @@ class TableStore:
         # no repartition by the partition column: a daily batch has a single
         # partition value and would land in one writer task; every input task
         # writes its own files instead, capped in size by maxRecordsPerFile
-        w = df.write.mode(mode).option("maxRecordsPerFile", self.max_records_per_file)
+        w = (df.write.mode(mode).option("maxRecordsPerFile", self.max_records_per_file)
+             .option("parquet.dictionary.page.size", self.dictionary_page_bytes))
         if dynamic:
             w = w.option("partitionOverwriteMode", "dynamic")
         if partition_by:
