@@ -19,11 +19,21 @@ from pyspark.sql import functions as F
 
 def cumulative_sums(df: DataFrame, order_col: str, weight_cols: Sequence[str],
                     descending: bool = False, n_buckets: int | None = None,
-                    inclusive: bool = True) -> DataFrame:
+                    inclusive: bool = True, small_rows: int = 1_000_000) -> DataFrame:
     """Add ``cum_<w>`` = sum of ``w`` over rows ordered before (and, when
     ``inclusive``, at) each row's ``order_col`` value. ``n_buckets`` defaults
     to ``spark.sql.shuffle.partitions`` (at least 64), so range sizes shrink
-    as the cluster grows."""
+    as the cluster grows.
+
+    Callers pass a materialised (checkpointed) input; its row count is
+    checked first and, when it is at most ``small_rows``, one ordered window
+    (a single task over a proven-small table) replaces the bucketed plan."""
+    end = 0 if inclusive else -1
+    if small_rows and df.count() <= small_rows:
+        key = F.desc(order_col) if descending else F.asc(order_col)
+        w = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, end)  # <= small_rows rows
+        return df.select(*df.columns, *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(f"cum_{c}")
+                                        for c in weight_cols])
     if n_buckets is None:
         n_buckets = max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
     key = -F.col(order_col) if descending else F.col(order_col)
@@ -36,7 +46,6 @@ def cumulative_sums(df: DataFrame, order_col: str, weight_cols: Sequence[str],
     wb = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # <= n_buckets rows
     offsets = totals.select("_b", *[F.coalesce(F.sum(f"_t_{w}").over(wb), F.lit(0)).alias(f"_o_{w}")
                                     for w in weight_cols])
-    end = 0 if inclusive else -1
     wi = Window.partitionBy("_b").orderBy("_k").rowsBetween(Window.unboundedPreceding, end)
     out = keyed.join(F.broadcast(offsets), "_b")
     cols = [(F.col(f"_o_{w}") + F.coalesce(F.sum(w).over(wi), F.lit(0))).alias(f"cum_{w}")

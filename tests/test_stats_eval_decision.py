@@ -80,11 +80,16 @@ def test_prefix_sums_match_cumsum(spark):
     rnd = random.Random(3)
     vals = sorted({rnd.randint(0, 10_000) for _ in range(2000)})
     df = spark.createDataFrame([(float(v), 1 + v % 7) for v in vals], "v double, w long")
-    got = {r["v"]: r["cum_w"] for r in cumulative_sums(df, "v", ["w"], n_buckets=16).collect()}
-    run = 0
-    for v in vals:
-        run += 1 + v % 7
-        assert got[float(v)] == run
+    for small in (0, 1_000_000):  # bucketed path and the size-checked single window
+        got = {r["v"]: r["cum_w"] for r in cumulative_sums(df, "v", ["w"], n_buckets=16, small_rows=small).collect()}
+        run = 0
+        for v in vals:
+            run += 1 + v % 7
+            assert got[float(v)] == run
+    desc = {r["v"]: r["cum_w"] for r in cumulative_sums(df, "v", ["w"], descending=True, inclusive=False,
+                                                         n_buckets=16, small_rows=0).collect()}
+    total = sum(1 + v % 7 for v in vals)
+    assert desc[float(vals[0])] == total - (1 + vals[0] % 7) and desc[float(vals[-1])] == 0
 
 
 def test_gift_tier_edges(spark):
