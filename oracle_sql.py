@@ -774,6 +774,39 @@ LAST_MONTH_PROFIT = (f"WITH p AS ({MONTHLY_PROFIT})\n"
                      "SUM(current_month_profit) AS profit_last_month FROM p "
                      "WHERE order_month_purchase = (SELECT MAX(order_month_purchase) FROM p)")
 BEST_THRESHOLDS = f"SELECT * FROM (\n{THRESHOLD_METRICS}\n) m ORDER BY ks_diffs DESC, p LIMIT 5"
+_AL = ", ".join(f"({a})" for a in _X.HOLT_ALPHAS)
+_BE = ", ".join(f"({b})" for b in _X.HOLT_BETAS)
+_HOLT_CTES = f"""hm AS ({MONTHLY_LTV}),
+hs AS (
+  SELECT seller_id, order_month_purchase AS ds, CAST(forecast_ltv AS DOUBLE) AS y,
+    ROW_NUMBER() OVER (PARTITION BY seller_id ORDER BY order_month_purchase) AS i,
+    COUNT(*) OVER (PARTITION BY seller_id) AS n,
+    MAX(order_month_purchase) OVER (PARTITION BY seller_id) AS last_ds
+  FROM hm),
+hg AS (SELECT CAST(a AS DOUBLE) AS a, CAST(b AS DOUBLE) AS b FROM (VALUES {_AL}) ta(a), (VALUES {_BE}) tb(b)),
+rec AS (
+  SELECT s2.seller_id, g.a, g.b, 2 AS i, s2.y AS l, s2.y - s1.y AS t, CAST(0 AS DOUBLE) AS sse, s2.n
+  FROM hs s1 JOIN hs s2 ON s1.seller_id = s2.seller_id AND s1.i = 1 AND s2.i = 2, hg g
+  UNION ALL
+  SELECT r.seller_id, r.a, r.b, r.i + 1,
+    r.a * s.y + (1 - r.a) * (r.l + r.t),
+    r.b * ((r.a * s.y + (1 - r.a) * (r.l + r.t)) - r.l) + (1 - r.b) * r.t,
+    r.sse + (s.y - r.l - r.t) * (s.y - r.l - r.t), r.n
+  FROM rec r JOIN hs s ON s.seller_id = r.seller_id AND s.i = r.i + 1),
+best AS (
+  SELECT seller_id, a, b, l + t AS f FROM rec WHERE i = n
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY seller_id ORDER BY sse, a, b, l + t) = 1),
+holt AS (
+  SELECT h.seller_id, CAST(h.last_ds + INTERVAL 1 MONTH AS DATE) AS order_month_purchase,
+    greatest(COALESCE(b.f, h.y), 0.0) AS forecast_ltv, b.a AS alpha, b.b AS beta
+  FROM hs h LEFT JOIN best b ON b.seller_id = h.seller_id
+  WHERE h.i = h.n)"""
+HOLT_FORECAST = f"WITH RECURSIVE {_HOLT_CTES}\nSELECT * FROM holt"
+FORECAST_PROFIT = (f"WITH RECURSIVE {_HOLT_CTES}\nSELECT MIN(order_month_purchase) AS month, COUNT(*) AS sellers, "
+                   "SUM(forecast_ltv) AS forecast_ltv_total FROM holt")
+_RAW.update({"holt_forecast": HOLT_FORECAST, "forecast_profit": FORECAST_PROFIT})
+DOUBLES.update({"holt_forecast": ["forecast_ltv", "alpha", "beta"]})
+SIG_EXTRA = {"forecast_profit": ["forecast_ltv_total"]}
 DOUBLES.update({"last_month_profit": ["ltv_last_month", "profit_last_month"],
                 "best_thresholds": ["p", "balanced_accuracy", "auc", "false_positive_rate", "precision",
                                     "sensibility", "specificity", "ks_diffs"]})
@@ -790,6 +823,7 @@ SIG: dict[str, list[str]] = {
     "roi_summary": ["total_ltv", "total_gift", "share_of_floor_sellers"],
     "describe_full": ["count", "mean", "std", "min", "q25", "q50", "q75", "max", "skew", "kurtosis", "bowley"],
 }
+SIG.update(SIG_EXTRA)
 DOUBLES.update({
     "recency_ecdf": ["cum_share"], "flag_rate_by_class": ["share"], "class_balance": ["share"],
     "seller_history": ["forecast_ltv"],
