@@ -57,3 +57,26 @@ def cumulative_counts(df: DataFrame, order_col: str, weight_col: str,
                       descending: bool = False, n_buckets: int | None = None) -> DataFrame:
     out = cumulative_sums(df, order_col, [weight_col], descending, n_buckets)
     return out.select(order_col, F.col(f"cum_{weight_col}").alias("cum_w"))
+
+
+def ordered_cumulative_sums(df: DataFrame, order_cols: Sequence[str], weight_cols: Sequence[str],
+                            n_partitions: int | None = None) -> DataFrame:
+    """Running totals of ``weight_cols`` in the total order ``order_cols``
+    (any orderable types, ascending; make the order total with key columns).
+
+    Range-partitions the rows on the order columns (so a hot leading value is
+    still split by the following columns), takes each range's running totals
+    in its own window partition, and shifts them by the totals of the earlier
+    ranges (one row per range, broadcast). The input should be materialised:
+    range boundaries come from sampling it."""
+    if n_partitions is None:
+        n_partitions = max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
+    ranged = df.repartitionByRange(n_partitions, *order_cols).withColumn("_p", F.spark_partition_id())
+    totals = ranged.groupBy("_p").agg(*[F.sum(w).alias(f"_t_{w}") for w in weight_cols])
+    wp = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # <= n_partitions rows
+    offsets = totals.select("_p", *[F.coalesce(F.sum(f"_t_{w}").over(wp), F.lit(0)).alias(f"_o_{w}")
+                                    for w in weight_cols])
+    wi = Window.partitionBy("_p").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
+    out = ranged.join(F.broadcast(offsets), "_p")
+    return out.select(*df.columns, *[(F.col(f"_o_{w}") + F.sum(w).over(wi)).alias(f"cum_{w}")
+                                     for w in weight_cols])
