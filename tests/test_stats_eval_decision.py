@@ -176,3 +176,16 @@ def test_mllib_auc_numbins0_is_exact_with_ties(spark):
     rows = [(round(rnd.random(), 1), int(rnd.random() < 0.4)) for _ in range(400)]
     df = spark.createDataFrame([(Vectors.dense([1 - p, p]), y) for p, y in rows], ["probability", "churn"])
     assert abs(_evaluator_auc(df, "churn") - _brute_auc([r[0] for r in rows], [r[1] for r in rows])) < 1e-12
+
+
+def test_ordered_cumulative_sums_composite_string_keys(spark):
+    from sellerlens.operators.prefix import ordered_cumulative_sums
+    rnd = random.Random(13)
+    # a hot leading value (half the rows share g='a'), string tie keys
+    rows = [("a" if k % 2 else rnd.choice("bcd"), f"s{k:05d}", rnd.randint(0, 3)) for k in range(3000)]
+    df = spark.createDataFrame(rows, "g string, key string, w long")
+    got = {(r["g"], r["key"]): r["cum_w"] for r in ordered_cumulative_sums(df, ["g", "key"], ["w"], 16).collect()}
+    run = 0
+    for g, key, w in sorted(rows):
+        run += w
+        assert got[(g, key)] == run
