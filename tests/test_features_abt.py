@@ -122,3 +122,16 @@ def test_label_complete_flag(spark):
     i = make_items(spark, [(1, 1, 1, 7, 1.0)])
     r = A.abt_seller_churn(o, i, [R], label_complete=True).first()
     assert r["churn"] == 1 and r["label_complete"] is False
+
+
+def test_core_item_scope_order_vs_seller(spark):
+    # shared order: seller 100 sells 10.0, seller 200 sells 30.0
+    o = make_orders(spark, [(1, "DELIVERED", "2018-06-01 00:00:00")])
+    i = make_items(spark, [(1, 1, 1, 100, 10.0), (1, 2, 2, 200, 30.0)])
+    by_seller = {r["seller_id"]: r for r in FS.fs_seller_purchases(o, i, [R], item_scope="seller").collect()}
+    by_order = {r["seller_id"]: r for r in FS.fs_seller_purchases(o, i, [R], item_scope="order").collect()}
+    assert by_seller[100]["avg_ticket"] == 10.0 and by_order[100]["avg_ticket"] == 20.0
+    assert by_seller[100]["quantity_unique_product_selled"] == 1
+    assert by_order[100]["quantity_unique_product_selled"] == 2
+    # life-time value always counts the seller's own items
+    assert by_seller[100]["ltv"] == by_order[100]["ltv"] == 10.0
