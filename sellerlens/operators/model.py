@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import stable_hash_bucket
 from ..session import cut_lineage
-from .evaluate import auc
 
 KEYS = ("_mt_date_reference", "seller_id")
 
