@@ -145,6 +145,7 @@ def run_abt(store: TableStore, orders: DataFrame, items: DataFrame, refs: Sequen
     ok = F.datediff("first_sale", FS.REF) <= (F.lit(churn_days) - F.col("recency"))
     df = (feats.join(first, [FS.REF, "seller_id"], "left")
           .select(*A.ABT_FEATURES, F.when(ok, 0).otherwise(1).alias("churn")))
-    n = store.replace(df, "analytics", "abt_seller_churn")
+    # partitioned by reference date: train / out-of-time / scoring reads prune
+    n = store.replace(df, "analytics", "abt_seller_churn", [FS.REF])
     store.log_load("abt_seller_churn", n, run_ts, "analytics")
     return n

@@ -56,6 +56,16 @@ def test_medallion_end_to_end(spark, store):
     assert store.read("gold", "postgres_public_sellers_rfm").count() > 0
     log = {r["table_name"]: r["written_lines"] for r in store.load_log().collect()}
     assert log["postgres_public_orders"] == adapter.load_orders(spark, SF).count()
+    # feature stores + ABT from the stored silver tables
+    from sellerlens.operators.abt import abt_seller_churn
+    o = store.read("silver", "postgres_public_orders")
+    i = store.read("silver", "postgres_public_order_items")
+    refs = [dt.date(2000, 1, 1), dt.date(2000, 2, 1)]
+    M.run_feature_stores(store, o, i, refs, run)
+    n = M.run_abt(store, o, i, refs, run)
+    assert n == abt_seller_churn(o, i, refs).count() > 0
+    stored = store.read("analytics", "abt_seller_churn")
+    assert stored.where(F.col("_mt_date_reference") == F.lit(refs[0])).count() > 0
 
 
 def test_missing_refs_and_backfill(spark, store):
