@@ -206,3 +206,23 @@ def argmax_history(df: DataFrame, col: str, key: str = "seller_id",
 def score_by_ref(scored: DataFrame, proba: str = "churn_proba", ref: str = "_mt_date_reference") -> DataFrame:
     """Mean score per reference date."""
     return scored.groupBy(ref).agg(F.avg(proba).alias("mean_proba"), F.count(F.lit(1)).alias("n_rows"))
+
+
+def describe_full(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
+    """T1 + T2 + T3 side by side (U3) from one long-form aggregation: the
+    summary, sample-adjusted skew/kurtosis and Bowley from the quartiles."""
+    cols = list(cols or numeric_columns(df))
+    x = F.col("value")
+    q = (F.percentile(x, [0.25, 0.5, 0.75]) if exact
+         else F.percentile_approx(x, [0.25, 0.5, 0.75], 100000).cast("array<double>"))
+    g = to_long(df, cols).groupBy("column").agg(
+        F.count(x).cast("double").alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
+        F.min(x).alias("min"), q.alias("q"), F.max(x).alias("max"),
+        F.skewness(x).alias("g1"), F.kurtosis(x).alias("g2"))
+    n = F.col("count")
+    q1, q2, q3 = F.col("q")[0], F.col("q")[1], F.col("q")[2]
+    return g.select(
+        "column", "count", "mean", "std", "min", q1.alias("q25"), q2.alias("q50"), q3.alias("q75"), "max",
+        (F.try_divide(F.sqrt(n * (n - 1)), n - 2) * F.col("g1")).alias("skew"),
+        (F.try_divide(n - 1, (n - 2) * (n - 3)) * ((n + 1) * F.col("g2") + 6)).alias("kurtosis"),
+        F.try_divide((q3 - q2) - (q2 - q1), q3 - q1).alias("bowley"))

@@ -617,9 +617,7 @@ def _persist(spark, sf, p):
 @register("describe_full")
 def _describe_full(spark, sf, p):
     """Describe, skew/kurtosis and Bowley side by side, joined on the column name."""
-    abt = _abt(spark, sf, p)
-    return (ST.describe(abt, ABT_NUMERIC).join(ST.skew_kurtosis(abt, ABT_NUMERIC), "column")
-            .join(ST.bowley(abt, ABT_NUMERIC), "column"))
+    return ST.describe_full(_abt(spark, sf, p), ABT_NUMERIC)
 
 
 @register("last_month_profit")
