@@ -5,6 +5,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +21,7 @@ ALNUM_TABLE = bytes(
 )
 
 _local_dir: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def alnum_words(text: bytes) -> list[bytes]:
@@ -48,6 +51,26 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dir[app]
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package's modules to the executors' Python workers, once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    top = Path(__file__).resolve().parents[2]
+    name = f"{tempfile.mkdtemp(prefix='llm-code-')}/sellerlens-{uuid.uuid4().hex[:8]}.zip"
+    with zipfile.ZipFile(name, "w") as z:
+        for f in [top / "sellerlens" / "__init__.py", top / "sellerlens" / "params.py", *sorted(Path(__file__).parent.glob("*.py"))]:
+            z.write(f, f.relative_to(top))
+    sc.addPyFile(name)
+    _shipped.add(sc.applicationId)
+
+
+def map_arrow(df: DataFrame, func, schema) -> DataFrame:
+    """``mapInArrow`` whose function may use this package's modules."""
+    ship(df.sparkSession)
+    return df.mapInArrow(func, schema)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Cut lineage: write ``df`` as Parquet into the shared folder and read it back.
 

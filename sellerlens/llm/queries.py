@@ -7,10 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sellerlens.llm import quality_llr
+from sellerlens.llm import decontaminate, quality_llr
 from sellerlens.llm.common import table
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontaminate.measure(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return out.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"), "contaminated", "longest",
+    )
+
+
 def op10_quality_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = quality_llr.quality_rules(docs, table(spark, sf_dir, "labels"))
@@ -19,6 +27,7 @@ def op10_quality_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_decontaminate": op4_decontaminate,
     "op10_quality_llr": op10_quality_llr,
 }
 
