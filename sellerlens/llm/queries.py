@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sellerlens.llm import decontaminate, quality_llr
+from sellerlens.llm import decontaminate, packing, quality_llr
 from sellerlens.llm.common import table
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate.measure(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -19,6 +22,11 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), TOKENIZER, keep_ids=False)
+    return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 def op10_quality_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = quality_llr.quality_rules(docs, table(spark, sf_dir, "labels"))
@@ -28,6 +36,7 @@ def op10_quality_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_decontaminate": op4_decontaminate,
+    "op7_packing": op7_packing,
     "op10_quality_llr": op10_quality_llr,
 }
 
