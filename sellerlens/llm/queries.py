@@ -8,12 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sellerlens.llm import decontaminate, packing, quality_llr
+from sellerlens.llm import decontaminate, jaccard_join, packing, quality_llr
 from sellerlens.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.components(table(spark, sf_dir, "documents"))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate.measure(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.select(
@@ -35,6 +39,7 @@ def op10_quality_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_jaccard_join": op2_jaccard_join,
     "op4_decontaminate": op4_decontaminate,
     "op7_packing": op7_packing,
     "op10_quality_llr": op10_quality_llr,
