@@ -85,9 +85,11 @@ def materialise(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def keep_if_listed(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+def keep_if_listed(df: DataFrame, key: str, ids: DataFrame, listed: bool = True) -> DataFrame:
     """Rows of ``df`` whose ``key`` may be in ``ids`` (one column): no listed row is lost.
 
+    With ``listed=False`` the other rows, null keys among them.
+
     A one-hash bit table of at most ``FILTER_WORDS`` 64-bit rows, whatever the
     size of ``ids``, is broadcast, so wide rows that cannot match never reach
     a shuffle. False positives go at the exact join that follows.
@@ -103,7 +105,7 @@ def keep_if_listed(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
         F.broadcast(bits),
         (F.shiftright(p, 6) == bits["_w"])
         & (F.expr("_b").bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), p.bitwiseAND(F.lit(63)).cast("int"))) != 0),
-        "left_semi",
+        "left_semi" if listed else "left_anti",
     )
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sellerlens.llm import decontaminate, jaccard_join, packing, quality_llr
+from sellerlens.llm import decontaminate, jaccard_join, line_dedup, packing, quality_llr
 from sellerlens.llm.common import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -26,6 +26,17 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.aggregate("deleted", F.lit(0).cast("long"), lambda a, x: a + x["e"] - x["s"])
+    kept = F.when(F.col("text") == "", F.lit(0)).otherwise(F.size(F.split("text", "\n")))
+    return out.select(
+        "doc_id", removed.alias("n_deleted_lines"), kept.cast("long").alias("n_kept_lines"),
+        F.array_join(F.transform("deleted", lambda x: F.concat_ws(":", x["s"], x["e"])), ",").alias("deleted_runs"),
+        F.sha2("text", 256).alias("text_sha256"),
+    )
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), TOKENIZER, keep_ids=False)
     return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
@@ -41,6 +52,7 @@ def op10_quality_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_jaccard_join": op2_jaccard_join,
     "op4_decontaminate": op4_decontaminate,
+    "op5_line_dedup": op5_line_dedup,
     "op7_packing": op7_packing,
     "op10_quality_llr": op10_quality_llr,
 }
