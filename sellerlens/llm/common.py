@@ -152,3 +152,12 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )
+
+
+def drop_listed(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose ``key`` is not in ``ids`` (one column); only possible matches are shuffled."""
+    ids = materialise(ids)
+    name = ids.columns[0]
+    maybe = keep_if_listed(df, key, ids)
+    rest = keep_if_listed(df, key, ids, listed=False)
+    return maybe.join(ids, maybe[key] == ids[name], "left_anti").unionByName(rest)

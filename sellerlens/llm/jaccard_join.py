@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sellerlens.llm.common import (connected_components, keep_if_listed, map_arrow, materialise, ship, space_words)
+from sellerlens.llm.common import (connected_components, drop_listed, keep_if_listed, map_arrow, materialise, ship, space_words)
 
 N = 5
 # Expected shingles in a partition at a band's upper end.
@@ -50,7 +50,8 @@ PER_PARTITION = 3
 STAR_YIELD = 0.2
 # Shingles in a block of the last, blockwise test.
 BLOCK_SHINGLES = 1 << 16
-SEEN_SETS = 1 << 20
+# In the first star round a document stars with this many of its rarest signatures.
+FIRST_RANKS = 2
 
 U = np.uint64
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=U)
@@ -119,19 +120,13 @@ def signatures(s: np.ndarray):
 
 
 def _signer(batches):
-    hashes, seen = WordHashes(), set()
+    hashes = WordHashes()
     for b in batches:
         sig, doc, which, places = [], [], [], []
         for d, t in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist()):
             s = shingle_set(t, hashes)
             if d is None or not len(s):
                 continue
-            key = (len(s), int(mix(s ^ _ODD[2]).sum(dtype=U)), int(s.sum(dtype=U)))
-            if key in seen:  # an equal set has signed in this task: same class, no need
-                continue
-            if len(seen) >= SEEN_SETS:
-                seen.clear()
-            seen.add(key)
             for g, w, p in signatures(s):
                 sig.append(g)
                 doc.append(np.full(len(g), d, np.int64))
@@ -192,7 +187,7 @@ def classes(docs: DataFrame) -> DataFrame:
 
 
 def buckets(docs: DataFrame) -> DataFrame:
-    """(sig, doc): the enumerated signatures that two documents or more share."""
+    """(sig, doc, rank): the enumerated signatures that two documents or more share; rank 1 is the rarest."""
     rows = map_arrow(docs.select("doc_id", "text"), _signer, "sig long, doc long, places int")
     shared = materialise(rows.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("sig"))).where("df > 1"))
     own = Window.partitionBy("doc", "places")
@@ -201,9 +196,8 @@ def buckets(docs: DataFrame) -> DataFrame:
         .withColumns({"_all": F.count(F.lit(1)).over(own), "_rank": F.row_number().over(own.orderBy("df", "sig"))})
         .where("(places & 3) = 2 OR _rank <= _all + shiftright(places, 2)")
     )
-    few = materialise(rare.select("sig", "doc").distinct())
-    still = few.groupBy("sig").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("sig")
-    return few.join(still, "sig")
+    few = rare.groupBy("sig", "doc").agg(F.min("_rank").alias("rank"))
+    return few.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("sig"))).where("_n > 1").drop("_n")
 
 
 def _open(members: DataFrame, turn: int) -> DataFrame:
@@ -292,7 +286,8 @@ def _leftovers(members: DataFrame, still: DataFrame, sets: DataFrame) -> DataFra
 def components(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) per document; component_id is the smallest reachable doc_id."""
     cls = materialise(classes(docs))
-    shared = materialise(buckets(docs))
+    copies = cls.where("doc_id <> rep").select("doc_id").distinct()
+    shared = materialise(buckets(drop_listed(docs.select("doc_id", "text"), "doc_id", copies)))
     ids = materialise(shared.select("doc").distinct())
     listed = keep_if_listed(docs.select("doc_id", "text").where("doc_id IS NOT NULL"), "doc_id", ids)
     listed = listed.join(ids, listed["doc_id"] == ids["doc"], "left_semi").dropDuplicates(["doc_id"])
@@ -302,7 +297,8 @@ def components(docs: DataFrame) -> DataFrame:
 
     turn = 0
     while True:
-        members = materialise(shared.join(labels, "doc"))
+        rows = shared.where(F.col("rank") <= FIRST_RANKS) if turn == 0 else shared
+        members = materialise(rows.join(labels, "doc"))
         still = materialise(_open(members, turn))
         pairs = (
             members.join(still, "sig").where("comp <> pivot_comp")
@@ -313,8 +309,10 @@ def components(docs: DataFrame) -> DataFrame:
         n, good = tested.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("ok").cast("int")), F.lit(0))).first()
         if good:
             labels = _contract(labels, tested.where("ok"))
-        if n == 0 or good < STAR_YIELD * n:
-            break
+        if turn:  # what is closed stays closed
+            shared = materialise(members.join(still, "sig", "left_semi").select("sig", "doc", "rank"))
+            if n == 0 or good < STAR_YIELD * n:
+                break
         turn += 1
     if n:
         members = materialise(shared.join(labels, "doc"))
