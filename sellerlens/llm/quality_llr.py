@@ -40,9 +40,12 @@ def word_hashes(text: Column) -> Column:
 
 def bins_of(hashes: Column, bins: int) -> Column:
     """Bins of all words and adjacent word pairs of a word-hash array."""
-    one = F.transform(hashes, lambda h: F.pmod(h, F.lit(bins)).cast("int"))
-    two = F.transform(hashes, lambda h, i: F.when(i > 0, F.pmod(F.xxhash64(F.get(hashes, i - 1), h), F.lit(bins)).cast("int")))
-    return F.concat(one, F.slice(two, 2, F.greatest(F.size(hashes) - 1, F.lit(0))))
+    def of(hs: Column) -> Column:
+        one = F.transform(hs, lambda h: F.pmod(h, F.lit(bins)).cast("int"))
+        two = F.transform(hs, lambda h, i: F.when(i > 0, F.pmod(F.xxhash64(F.get(hs, i - 1), h), F.lit(bins)).cast("int")))
+        return F.concat(one, F.slice(two, 2, F.greatest(F.size(hs) - 1, F.lit(0))))
+
+    return let(hashes, of)
 
 
 def trusted_ids(labels: DataFrame, max_trusted: int = MAX_TRUSTED) -> DataFrame:
@@ -76,18 +79,18 @@ def bin_ratios(docs: DataFrame, labels: DataFrame, bins: int = BINS, max_trusted
 
 def _covered(starts: Column) -> Column:
     """Words inside five-word windows that begin at the sorted ``starts``."""
-    return F.aggregate(
-        F.transform(starts, lambda p, i: F.least(F.lit(5), F.coalesce(F.get(starts, i + 1) - p, F.lit(5)))),
+    return let(starts, lambda s: F.aggregate(
+        F.transform(s, lambda p, i: F.least(F.lit(5), F.coalesce(F.get(s, i + 1) - p, F.lit(5)))),
         F.lit(0).cast("long"), lambda acc, x: acc + x,
-    )
+    ))
 
 
 def _repeat_words(hashes: Column) -> Column:
     """Words in five-word windows found twice or more: sort the window hashes, keep equal neighbours."""
-    windows = F.when(F.size(hashes) >= 5, F.transform(
-        F.sequence(F.lit(0), F.size(hashes) - 5),
-        lambda i: F.xxhash64(*[F.get(hashes, i + k) for k in range(5)]),
-    )).otherwise(F.array().cast("array<bigint>"))
+    windows = let(hashes, lambda hs: F.when(F.size(hs) >= 5, F.transform(
+        F.sequence(F.lit(0), F.size(hs) - 5),
+        lambda i: F.xxhash64(*[F.get(hs, i + k) for k in range(5)]),
+    )).otherwise(F.array().cast("array<bigint>")))
 
     def repeated(ws: Column) -> Column:
         order = F.sort_array(F.transform(ws, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
