@@ -174,16 +174,18 @@ def bootstrap(slots: DataFrame, turns: int = TURNS, min_share: float = MIN_SHARE
     patterns = None
     for _ in range(turns):
         known = graph.join(shapes.withColumn("_in", F.lit(True)), ["shape", "seed"], "left")
-        patterns = materialise(
+        rated = materialise(
             known.groupBy("pattern").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("_in"), F.col("n")).otherwise(0)).alias("good"))
+            .where(F.col("n") >= min_seen)
             .withColumn("score", F.col("good") / F.col("n") * F.log2(F.col("good") + 1))
-            .where((F.col("good") >= min_seen) & (F.col("good") >= min_share * F.col("n")))
+            .withColumn("ok", (F.col("good") >= min_seen) & (F.col("good") >= min_share * F.col("n")))
         )
-        fits = graph.where("NOT seed").join(patterns.select("pattern", "score"), "pattern", "left")
+        patterns = rated.where("ok").select("pattern", "score")
+        # a shape is judged by the slots that are seen often enough to be rated
         found = (
-            fits.groupBy("shape").agg(
-                F.sum("n").alias("n"), F.sum(F.when(F.col("score").isNotNull(), F.col("n")).otherwise(0)).alias("good"),
-                F.count("score").alias("patterns"), F.avg("score").alias("score"))
+            graph.where("NOT seed").join(rated.select("pattern", "score", "ok"), "pattern").groupBy("shape")
+            .agg(F.sum("n").alias("n"), F.sum(F.when(F.col("ok"), F.col("n")).otherwise(0)).alias("good"),
+                 F.sum(F.col("ok").cast("int")).alias("patterns"))
             .where((F.col("good") >= min_share * F.col("n")) & (F.col("patterns") >= min_patterns))
         )
         shapes = materialise(graph.where("seed").select("shape", "seed").distinct().unionByName(
