@@ -109,6 +109,12 @@ def keep_if_listed(df: DataFrame, key: str, ids: DataFrame, listed: bool = True)
     )
 
 
+def apart(df: DataFrame) -> DataFrame:
+    """Forget the partitioning of an aggregate, so that a join on its grouping key deals both sides
+    anew and AQE can split a hot key's partition of the other side."""
+    return df.hint("rebalance")
+
+
 def let(value: Column, body) -> Column:
     """Evaluate ``value`` once per row and hand it to ``body`` as a lambda variable."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -135,11 +141,11 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         # large star: hang every larger neighbour on the smallest id around
         both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.where("v > u").join(apart(low), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # small star: hang all smaller neighbours and the node itself on the smallest
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (
-            large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+            large.join(apart(low), "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .unionByName(low.select("u", F.col("m").alias("v"))).distinct()
         )
         e = materialise(small)

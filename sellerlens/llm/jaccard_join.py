@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sellerlens.llm.common import (connected_components, drop_listed, keep_if_listed, map_arrow, materialise, ship, space_words)
+from sellerlens.llm.common import (apart, connected_components, drop_listed, keep_if_listed, map_arrow, materialise, ship, space_words)
 
 N = 5
 # Expected shingles in a partition at a band's upper end.
@@ -182,7 +182,7 @@ def classes(docs: DataFrame) -> DataFrame:
     d = materialise(map_arrow(docs.select("doc_id", "text"), _classifier, "doc_id long, n_shingles long, k1 long, k2 long"))
     full = d.where("n_shingles > 0 AND doc_id IS NOT NULL")
     reps = full.groupBy("n_shingles", "k1", "k2").agg(F.min("doc_id").alias("rep"))
-    return full.join(reps, ["n_shingles", "k1", "k2"]).select("doc_id", "n_shingles", "rep").unionByName(
+    return full.join(apart(reps), ["n_shingles", "k1", "k2"]).select("doc_id", "n_shingles", "rep").unionByName(
         d.where("n_shingles = 0 OR doc_id IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("rep")))
 
 
