@@ -38,7 +38,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sellerlens.llm.common import keep_if_listed, let, materialise
+from sellerlens.llm.common import apart, keep_if_listed, let, materialise
 
 MIN_WORDS = 51
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -69,7 +69,7 @@ def segments(lines: DataFrame, min_words: int) -> DataFrame:
     ``upto`` counts the segment's words up to and including the line.
     """
     twice = lines.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id")
-    met = lines.join(twice, "id").dropDuplicates([*KEY, "pos"])
+    met = lines.join(apart(twice), "id").dropDuplicates([*KEY, "pos"])
     seg = [*KEY, "seg"]
     return (
         met.withColumn("seg", F.col("pos") - F.row_number().over(Window.partitionBy(*KEY).orderBy("pos")))
@@ -113,7 +113,7 @@ def doubled_classes(seg: DataFrame, longest: int) -> DataFrame:
             "id", F.when(F.col("id").isNotNull() & F.col("_f").isNotNull(), _name(F.col("id"), F.col("_f")))).drop("_f")
         sizes = level.where("id IS NOT NULL").groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("id", F.lit(True).alias("_in"))
         level = materialise(
-            level.join(sizes, "id", "left").select(*KEY, "seg", "pos", F.when(F.col("_in"), F.col("id")).alias("id")))
+            level.join(apart(sizes), "id", "left").select(*KEY, "seg", "pos", F.when(F.col("_in"), F.col("id")).alias("id")))
         levels.append(level.where("id IS NOT NULL").select(*KEY, "pos", F.lit(k + 1).alias("k"), "id"))
     out = levels[0]
     for x in levels[1:]:
@@ -130,7 +130,7 @@ def later_runs(runs: DataFrame, names: DataFrame) -> DataFrame:
     both = head.withColumn("at", F.col("pos") + F.col("n") - F.expr("shiftleft(1, k)")).join(tail, [*KEY, "at", "k"])
     both = materialise(both.select(*KEY, "pos", "n", "head", "tail"))
     first = both.groupBy("n", "head", "tail").agg(F.min(F.struct(*KEY, "pos")).alias("first"))
-    return both.join(first, ["n", "head", "tail"]).where(F.struct(*KEY, "pos") > F.col("first")).select(*KEY, "pos", "n")
+    return both.join(apart(first), ["n", "head", "tail"]).where(F.struct(*KEY, "pos") > F.col("first")).select(*KEY, "pos", "n")
 
 
 def deleted_spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
