@@ -10,8 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sellerlens.llm import (chat_format, decontaminate, jaccard_join, license_scan, line_dedup, packing, pii,
-                            quality_llr, url_filters)
+from sellerlens.llm import (chat_format, decontaminate, jaccard_join, language_id, license_scan, line_dedup, packing,
+                            pii, quality_llr, url_filters)
 from sellerlens.llm.common import map_arrow, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -59,6 +59,12 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", F.coalesce(part != 2, F.lit(False)).alias("train"))
+    return language_id.identify(docs).select("doc_id", F.coalesce(part == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"), TOKENIZER, keep_ids=False)
     return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
@@ -107,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_license_scan": op3_license_scan,
     "op4_decontaminate": op4_decontaminate,
     "op5_line_dedup": op5_line_dedup,
+    "op6_language_id": op6_language_id,
     "op7_packing": op7_packing,
     "op8_url_filters": op8_url_filters,
     "op9_chat_format": op9_chat_format,
