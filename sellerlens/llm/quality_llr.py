@@ -3,8 +3,9 @@ and the raw corpus. Native: DataFrame functions only.
 
 Every word and word pair of a text falls into one of ``bins`` hash bins. Two
 multinomials over the bins are counted, one over trusted documents, one over
-all documents. A document's score is the mean log ratio of its n-grams
-(length-normalised); ``kept`` is a fixed threshold on it, after simple base
+all documents, and a pseudo-count per bin keeps rare bins near ratio one, so
+that unlabelled clean documents do not suffer from words of their own. A
+document's score is the mean log ratio of its n-grams (length-normalised); ``kept`` is a fixed threshold on it, after simple base
 rules. Raw counts cover every document; the trusted side is fitted on at most
 ``max_trusted`` labelled documents (lowest id hashes), so that the id list
 that marks them has a proven size.
@@ -25,7 +26,8 @@ from sellerlens.llm.common import let, materialise
 BINS = 1 << 16
 MAX_TRUSTED = 20_000
 THRESHOLD = -0.16
-SMOOTH = 0.5
+# Pseudo-counts of trusted n-grams per bin: a bin with little evidence has a ratio near one.
+PRIOR = 5.0
 SPACES = "[\\x20\\x09-\\x0D]+"
 COLUMNS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "llr", "base_failed", "kept"]
 
@@ -69,11 +71,10 @@ def bin_ratios(docs: DataFrame, labels: DataFrame, bins: int = BINS, max_trusted
         F.sort_array(F.collect_list(F.struct("bin", "raw", "good"))).alias("c"),
         F.sum("raw").alias("n_raw"), F.sum("good").alias("n_good"),
     )
-    a = F.lit(SMOOTH)
-    ratio = F.when(F.col("n_good") == 0, F.transform("c", lambda x: F.lit(0.0))).otherwise(F.transform(
-        "c",
-        lambda x: F.log((x["good"] + a) / (F.col("n_good") + a * bins)) - F.log((x["raw"] + a) / (F.col("n_raw") + a * bins)),
-    ))
+    # both multinomials get the same prior mass, the raw one scaled to its size
+    share = F.col("n_good") / F.col("n_raw")
+    ratio = F.when(F.col("n_good") == 0, F.transform("c", lambda x: F.lit(0.0))).otherwise(
+        F.transform("c", lambda x: F.log((x["good"] + F.lit(PRIOR)) / (x["raw"] * share + F.lit(PRIOR)))))
     return materialise(row.select(ratio.alias("ratio")))
 
 
