@@ -104,11 +104,21 @@ def keep_if_listed(df: DataFrame, key: str, ids: DataFrame, listed: bool = True)
     return df.join(
         F.broadcast(bits),
         (F.shiftright(p, 6) == bits["_w"])
-        & (F.expr("_b").bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), p.bitwiseAND(F.lit(63)).cast("int"))) != 0),
+        & (bits["_b"].bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), p.bitwiseAND(F.lit(63)).cast("int"))) != 0),
         "left_semi" if listed else "left_anti",
     )
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, row): all columns of ``docs`` in one struct, where no other name can clash with them."""
+    return docs.select("doc_id", "text", F.struct(*[docs[c] for c in docs.columns]).alias("row"))
+
+
+def unpacked(df: DataFrame, columns: list[str], **changed: Column) -> DataFrame:
+    """The columns of a ``packed`` frame, some of them changed."""
+    return df.select(*[changed.get(c, F.col("row")[c]).alias(c) for c in columns])
+
+
 def apart(df: DataFrame) -> DataFrame:
     """Forget the partitioning of an aggregate, so that a join on its grouping key deals both sides
     anew and AQE can split a hot key's partition of the other side."""

@@ -38,7 +38,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sellerlens.llm.common import apart, keep_if_listed, let, materialise
+from sellerlens.llm.common import apart, keep_if_listed, let, materialise, packed, unpacked
 
 MIN_WORDS = 51
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -159,20 +159,30 @@ def _without(text: Column, spans: Column) -> Column:
     return let(F.split(text, "\n"), gaps)
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` with later copies of repeated runs cut out of the texts, and ``deleted`` spans (else empty)."""
-    spans = materialise(deleted_spans(docs, min_words))
+def cut_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """``packed`` documents with the remaining ``text`` and the ``deleted`` spans (else empty)."""
+    rows = packed(docs)
+    spans = materialise(deleted_spans(docs.select("doc_id", "text"), min_words))
     none = F.array().cast("array<struct<s:int,e:int>>")
-    keyed = docs.drop("deleted")
-    listed = keep_if_listed(keyed, "doc_id", spans.select("doc"))
-    cut = listed.join(
-        spans, (listed["doc_id"] == spans["doc"]) & (text_key(listed["text"]) == spans["h"]), "left"
-    ).drop("doc", "h")
-    cut = cut.withColumn("deleted", F.coalesce("spans", none)).withColumn("_changed", F.size("deleted") > 0)
-    cut = cut.withColumn("text", F.when(F.col("_changed"), _without(F.col("text"), F.col("deleted"))).otherwise(F.col("text")))
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        cut = cut.withColumn("n_chars", F.when(F.col("_changed"), F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    rest = keep_if_listed(keyed, "doc_id", spans.select("doc"), listed=False).withColumn("deleted", none)
-    columns = [*keyed.columns, "deleted"]
-    return cut.select(*columns).unionByName(rest.select(*columns))
+    listed = keep_if_listed(rows, "doc_id", spans.select("doc"))
+    cut = listed.join(spans, (listed["doc_id"] == spans["doc"]) & (text_key(listed["text"]) == spans["h"]), "left")
+    cut = cut.select(
+        "doc_id", F.when(F.col("spans").isNull(), F.col("text")).otherwise(_without(F.col("text"), F.col("spans"))).alias("text"),
+        "row", F.coalesce("spans", none).alias("deleted"))
+    rest = keep_if_listed(rows, "doc_id", spans.select("doc"), listed=False)
+    return cut.unionByName(rest.withColumn("deleted", none))
+
+
+def remaining(cut: DataFrame, columns: list[str]) -> DataFrame:
+    """The documents' own columns after ``cut_lines``."""
+    changed = {"text": F.col("text")}
+    if "n_chars" in columns:
+        was = F.col("row")["n_chars"]
+        kind = cut.schema["row"].dataType["n_chars"].dataType
+        changed["n_chars"] = F.when(F.size("deleted") > 0, F.length("text").cast(kind)).otherwise(was)
+    return unpacked(cut, columns, **changed)
+
+
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """``docs`` without the later copies of repeated runs."""
+    return remaining(cut_lines(docs, min_words), docs.columns)

@@ -49,7 +49,7 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = line_dedup.cut_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     removed = F.aggregate("deleted", F.lit(0).cast("long"), lambda a, x: a + x["e"] - x["s"])
     kept = F.when(F.col("text") == "", F.lit(0)).otherwise(F.size(F.split("text", "\n")))
     return out.select(
