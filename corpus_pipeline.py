@@ -11,22 +11,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sellerlens.llm import decontaminate, jaccard_join, line_dedup, packing, quality_llr
-from sellerlens.llm.common import drop_listed, materialise, table
+from sellerlens.llm.common import drop_listed, materialise, packed, table, unpacked
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep; labels only mark the trusted target."""
-    out = quality_llr.quality_rules(docs, table(spark, sf_dir, "labels"))
-    return out.where("kept").select(*docs.columns)
+    out = quality_llr.quality_rules(packed(docs), table(spark, sf_dir, "labels"))
+    return unpacked(out.where("kept"), docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without later copies of repeated line runs; a text of which no word is left goes."""
-    out = line_dedup.dedup_lines(docs)
+    out = line_dedup.cut_lines(docs)
     left = (F.size("deleted") == 0) | F.col("text").rlike(line_dedup.WORD)
-    return out.where(left).select(*docs.columns)
+    return line_dedup.remaining(out.where(left), docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
