@@ -43,7 +43,7 @@ MIN_CHARS, MIN_DIGITS = 8, 4
 # The base patterns (the email's local part is walked backwards from each @).
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)+")
+DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
@@ -80,12 +80,13 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
             low = m.end()
         at = text.find("@", max(at + 1, low))
     for run in DOTTED.finditer(text):
-        parts, begin = run[0].split("."), run.start()
+        parts, start = run[0].split("."), run.start()
         for k in range(0, len(parts) - 3, 4):
             four = parts[k:k + 4]
-            start = begin + sum(map(len, parts[:k])) + k
+            end = start + sum(map(len, four)) + 3
             if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in four):
-                out.append(("ip", start, start + sum(map(len, four)) + 3))
+                out.append(("ip", start, end))
+            start = end + 1
     for m in CARD.finditer(text):
         if m.end() - m.start() >= 16:
             digits = _only_digits(m[0])
