@@ -48,7 +48,7 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 DIGIT_OR_AT = re.compile(r"[0-9@]")
-TOKEN = re.compile(r"[^\s]*[0-9][^\s]*")
+FROM_DIGIT = re.compile(r"[0-9]\S*")
 WORD_LEFT = re.compile(r"(\S{1,40})\s*\Z")
 WORD_RIGHT = re.compile(r"\s*(\S{1,40})")
 EDGE = "\"'`()[]{}<>.,;:!?*|"
@@ -124,9 +124,12 @@ def candidates(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[int,
     """(start, end, shape) of identifier-like tokens that touch no base span."""
     out = []
     spans = sorted((s, e) for _, s, e in taken)
-    k = 0
-    for m in TOKEN.finditer(text):
+    k = last = 0
+    for m in FROM_DIGIT.finditer(text):
         s, e = m.span()
+        while s > last and not text[s - 1].isspace():
+            s -= 1
+        last = e
         while s < e and text[s] in EDGE:
             s += 1
         while s < e and text[e - 1] in EDGE:
