@@ -302,7 +302,6 @@ IMPUTE = (f"WITH {_ABT_CTES}\nSELECT * REPLACE (COALESCE(frequency, 0) AS freque
 # ------------------------------------------------ bronze / silver / tables
 from pyspark.sql import types as _T  # noqa: E402
 
-from sellerlens.operators.quality import BRONZE_METADATA  # noqa: E402
 from sellerlens.params import RUN_TS, RUN_TS_PREV  # noqa: E402
 
 _LO_COLS = ["order_id", "customer_id", "order_status", "order_approved_at", "order_delivered_carrier_date",
@@ -333,42 +332,30 @@ _LANDING_ITEMS = f"""li AS (
   FROM si)"""
 
 
-def _stamps(run_ts, schema_json, partition_as_date=False):
+def _stamps(run_ts, schema_json, partition_as_date=False, created_by=True):
     part = (f"DATE '{run_ts:%Y-%m-%d}'" if partition_as_date else f"'{run_ts:%Y-%m-%d}'")
-    return (f"'{run_ts:%Y-%m-%d %H:%M:%S}' AS _mt_bronze_ingestion_time, {part} AS _mt_bronze_partition_date, "
-            f"'{schema_json}' AS _mt_bronze_dataframe_schema, "
-            f"'{BRONZE_METADATA['_mt_bronze_workflow_created_by']}' AS _mt_bronze_workflow_created_by, "
-            f"'{BRONZE_METADATA['_mt_bronze_extraction_tool']}' AS _mt_bronze_extraction_tool, "
-            f"'{BRONZE_METADATA['_mt_bronze_source_system']}' AS _mt_bronze_source_system")
+    out = {"ingestion_time": f"'{run_ts:%Y-%m-%d %H:%M:%S}'", "partition_date": part, "dataframe_schema": f"'{schema_json}'",
+           "workflow_created_by": "'sellerlens'", "extraction_tool": "'file_drop'", "source_system": "'oltp'"}
+    return ", ".join(f"{v} AS _mt_bronze_{k}" for k, v in out.items() if created_by or k != "workflow_created_by")
 
 
 BRONZE_STAMP = f"WITH {ADAPTER},\n{_LANDING_ORDERS}\nSELECT *, {_stamps(RUN_TS, _LO_SCHEMA)} FROM lo"
 LATEST_SNAPSHOT = f"WITH {ADAPTER},\n{_LANDING_ORDERS}\nSELECT DISTINCT *, {_stamps(RUN_TS, _LO_SCHEMA, True)} FROM lo"
-SILVER_ORDERS = f"""WITH {ADAPTER},
-{_LANDING_ORDERS}
-SELECT order_id, customer_id, upper(trim(order_status)) AS order_status,
-  TRY_CAST(order_approved_at AS TIMESTAMP) AS order_approved_at,
-  TRY_CAST(order_delivered_carrier_date AS TIMESTAMP) AS order_delivered_carrier_date,
-  TRY_CAST(order_delivered_customer_date AS TIMESTAMP) AS order_delivered_customer_date,
-  TRY_CAST(order_estimated_delivery_date AS TIMESTAMP) AS order_estimated_delivery_date,
-  TRY_CAST(order_purchase_timestamp AS TIMESTAMP) AS order_purchase_timestamp,
-  '{RUN_TS:%Y-%m-%d %H:%M:%S}' AS _mt_bronze_ingestion_time, '{RUN_TS:%Y-%m-%d}' AS _mt_bronze_partition_date,
-  '{_LO_SCHEMA}' AS _mt_bronze_dataframe_schema,
-  '{BRONZE_METADATA['_mt_bronze_extraction_tool']}' AS _mt_bronze_extraction_tool,
-  '{BRONZE_METADATA['_mt_bronze_source_system']}' AS _mt_bronze_source_system,
-  DATE '{RUN_TS:%Y-%m-%d}' AS _mt_silver_ingestion_date, 'overwrite' AS _mt_silver_update_key
-FROM lo"""
-SILVER_ITEMS = f"""WITH {ADAPTER},
-{_LANDING_ITEMS}
-SELECT order_id, order_item_id, product_id, seller_id,
-  TRY_CAST(price AS DOUBLE) AS price, TRY_CAST(freight_value AS DOUBLE) AS freight_value,
-  TRY_CAST(shipping_limit_date AS TIMESTAMP) AS shipping_limit_date,
-  '{RUN_TS:%Y-%m-%d %H:%M:%S}' AS _mt_bronze_ingestion_time, '{RUN_TS:%Y-%m-%d}' AS _mt_bronze_partition_date,
-  '{_LI_SCHEMA}' AS _mt_bronze_dataframe_schema,
-  '{BRONZE_METADATA['_mt_bronze_extraction_tool']}' AS _mt_bronze_extraction_tool,
-  '{BRONZE_METADATA['_mt_bronze_source_system']}' AS _mt_bronze_source_system,
-  DATE '{RUN_TS:%Y-%m-%d}' AS _mt_silver_ingestion_date, 'overwrite' AS _mt_silver_update_key
-FROM li"""
+_SILVER_STAMP = f"DATE '{RUN_TS:%Y-%m-%d}' AS _mt_silver_ingestion_date, 'overwrite' AS _mt_silver_update_key"
+
+
+def _silver(cte, table, schema, **how):
+    """All landing columns but the empty notes, some of them retyped."""
+    typed = ", ".join(f"{expr} AS {c}" for c, expr in how.items())
+    notes = " EXCLUDE (order_notes)" if table == "lo" else ""
+    return (f"WITH {ADAPTER},\n{cte}\nSELECT *{notes} REPLACE ({typed}), "
+            f"{_stamps(RUN_TS, schema, created_by=False)}, {_SILVER_STAMP} FROM {table}")
+
+
+SILVER_ORDERS = _silver(_LANDING_ORDERS, "lo", _LO_SCHEMA, order_status="upper(trim(order_status))",
+                        **{c: f"TRY_CAST({c} AS TIMESTAMP)" for c in _LO_COLS[3:8]})
+SILVER_ITEMS = _silver(_LANDING_ITEMS, "li", _LI_SCHEMA, price="TRY_CAST(price AS DOUBLE)",
+                       freight_value="TRY_CAST(freight_value AS DOUBLE)", shipping_limit_date="TRY_CAST(shipping_limit_date AS TIMESTAMP)")
 RELOAD_PARTITION = f"""SELECT DATE '{RUN_TS_PREV:%Y-%m-%d}' AS _mt_bronze_partition_date, COUNT(*) AS n_rows FROM orders
 UNION ALL SELECT DATE '{RUN_TS:%Y-%m-%d}', COUNT(*) FROM orders"""
 LOAD_LOG = """SELECT 'bronze' AS layer, 'postgres_public_orders' AS table_name, COUNT(*) AS written_lines FROM orders

@@ -102,21 +102,20 @@ def confusion_matrix(scored: DataFrame, cut: float = 0.4, label: str = "churn",
 
 
 def lift_gain(scored: DataFrame, label: str = "churn", proba: str = "churn_proba",
-              tie_keys: Sequence[str] = ("_mt_date_reference", "seller_id"), step: float = 0.1,
-              small_rows: int = 1_000_000) -> DataFrame:
+              tie_keys: Sequence[str] = ("_mt_date_reference", "seller_id"), step: float = 0.1) -> DataFrame:
     """Gain and lift of the top ``ceil(x*N)`` rows by score, x = step..1.
 
     Rows are ordered by (score desc, tie_keys). Whole score groups are
     counted from prefix sums over distinct scores; only the (at most 10)
-    groups cut by a boundary are ranked row by row, distributed when large.
+    groups cut by a boundary are ranked row by row, range-partitioned.
     """
     fr = [step * i for i in range(1, int(round(1 / step)) + 1)]
     # the counts and the row-level ranking of split groups both read these rows
     scored = cut_lineage(scored.select(proba, label, *tie_keys))
     y = F.col(label)
-    c = scored.groupBy(F.col(proba).alias("s")).agg(
+    c = cut_lineage(scored.groupBy(F.col(proba).alias("s")).agg(
         F.count(F.when(y == 1, 1)).alias("pos"), F.count(F.when(y == 0, 1)).alias("neg"),
-        F.count(F.lit(1)).alias("cnt"))
+        F.count(F.lit(1)).alias("cnt")))
     tot = c.agg(F.sum("cnt"), F.sum("pos")).first()  # one row of totals
     n_all, ones = F.lit(tot[0]), F.lit(tot[1])
     cum = cumulative_sums(c.select("s", "cnt", "pos"), "s", ["cnt", "pos"], descending=True, inclusive=False)
@@ -126,24 +125,17 @@ def lift_gain(scored: DataFrame, label: str = "churn", proba: str = "churn_proba
            .where((F.col("cum_cnt") < n_of(F.col("x")))
                   & (n_of(F.col("x")) <= F.col("cum_cnt") + F.col("cnt"))))
     hit = hit.select("*", (n_of(F.col("x")) - F.col("cum_cnt")).alias("m"))
-    # row-level ranking only inside the score groups that a cut splits; a
-    # single window per group when the groups are proven small (their sizes
-    # are known from the counts), else a range-partitioned running count that
-    # splits even a hot score group across tasks
-    split_groups = hit.select("s", "cnt").distinct()
-    biggest = split_groups.agg(F.max("cnt")).first()[0] or 0
-    split = (scored.join(F.broadcast(split_groups.select(F.col("s").alias(proba))), proba, "left_semi")
+    # row-level ranking only inside the (at most 10) score groups that a cut splits: a
+    # range-partitioned running count, so even a hot score group spreads over tasks
+    split_groups = hit.select(F.col("s").alias(proba)).distinct()
+    split = (scored.join(F.broadcast(split_groups), proba, "left_semi")
              .select(F.col(proba).alias("s"), *tie_keys, F.col(label).alias("_y"), F.lit(1).alias("_one")))
-    if biggest <= small_rows:
-        w = Window.partitionBy("s").orderBy(*tie_keys).rowsBetween(Window.unboundedPreceding, 0)
-        ranked = split.select("s", F.sum("_one").over(w).alias("m"), F.sum("_y").over(w).alias("pos_in"))
-    else:
-        cum = ordered_cumulative_sums(split, ["s", *tie_keys], ["_one", "_y"])
-        first = cum.groupBy("s").agg(F.min(F.col("cum__one") - 1).alias("_before"),
-                                     F.min(F.col("cum__y") - F.col("_y")).alias("_pos_before"))
-        ranked = (cum.join(F.broadcast(first), "s")  # one row per split group (<= 10)
-                  .select("s", (F.col("cum__one") - F.col("_before")).alias("m"),
-                          (F.col("cum__y") - F.col("_pos_before")).alias("pos_in")))
+    run = cut_lineage(ordered_cumulative_sums(split, ["s", *tie_keys], ["_one", "_y"]))
+    first = run.groupBy("s").agg(F.min(F.col("cum__one") - 1).alias("_before"),
+                                 F.min(F.col("cum__y") - F.col("_y")).alias("_pos_before"))
+    ranked = (run.join(F.broadcast(first), "s")  # one row per split group (<= 10)
+              .select("s", (F.col("cum__one") - F.col("_before")).alias("m"),
+                      (F.col("cum__y") - F.col("_pos_before")).alias("pos_in")))
     j = hit.join(ranked, ["s", "m"], "left")
     n_here = n_of(F.col("x"))
     ones_here = F.col("cum_pos") + F.coalesce(F.col("pos_in"), F.lit(0))

@@ -1,82 +1,53 @@
 """Distributed running totals over a global order.
 
 A window with ``orderBy`` and no ``partitionBy`` runs in one task. Here the
-ordering key is cut into ``n_buckets`` value ranges (``approxQuantile``
-bounds: ``n_buckets - 1`` numbers reach the driver, nothing else), each range gets its running total in its
-own window partition, and a tiny per-range offset table (``n_buckets`` rows,
-broadcast) shifts it to the global total. Input rows must have distinct
-ordering values: callers pre-aggregate ties, which also removes skew from a
-hot value.
+rows are range-partitioned on the order columns and written once, with the
+number of their range, into the shared checkpoint folder; so totals per range
+and rows come from the very same ranges, whatever Spark samples. Each range
+gets its running totals in a window partition of its own, and one row per
+range (broadcast: as many rows as ranges) shifts them to global totals. The
+plan is the same at every size.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def cumulative_sums(df: DataFrame, order_col: str, weight_cols: Sequence[str],
-                    descending: bool = False, n_buckets: int | None = None,
-                    inclusive: bool = True, small_rows: int = 1_000_000) -> DataFrame:
-    """Add ``cum_<w>`` = sum of ``w`` over rows ordered before (and, when
-    ``inclusive``, at) each row's ``order_col`` value. ``n_buckets`` defaults
-    to ``spark.sql.shuffle.partitions`` (at least 64), so range sizes shrink
-    as the cluster grows.
-
-    Callers pass a materialised (checkpointed) input; its row count is
-    checked first and, when it is at most ``small_rows``, one ordered window
-    (a single task over a proven-small table) replaces the bucketed plan."""
-    end = 0 if inclusive else -1
-    if small_rows and df.count() <= small_rows:
-        key = F.desc(order_col) if descending else F.asc(order_col)
-        w = Window.orderBy(key).rowsBetween(Window.unboundedPreceding, end)  # <= small_rows rows
-        return df.select(*df.columns, *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(f"cum_{c}")
-                                        for c in weight_cols])
-    if n_buckets is None:
-        n_buckets = max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
-    key = -F.col(order_col) if descending else F.col(order_col)
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    keyed = df.withColumn("_k", key.cast("double"))
-    bounds = sorted(set(x for x in keyed.approxQuantile("_k", probs, 1e-3) if x is not None))
-    arr = F.array(*[F.lit(float(b)) for b in bounds]) if bounds else F.array().cast("array<double>")
-    keyed = keyed.withColumn("_b", F.size(F.filter(arr, lambda b: b < F.col("_k"))))
-    totals = keyed.groupBy("_b").agg(*[F.sum(w).alias(f"_t_{w}") for w in weight_cols])
-    wb = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)  # <= n_buckets rows
-    offsets = totals.select("_b", *[F.coalesce(F.sum(f"_t_{w}").over(wb), F.lit(0)).alias(f"_o_{w}")
-                                    for w in weight_cols])
-    wi = Window.partitionBy("_b").orderBy("_k").rowsBetween(Window.unboundedPreceding, end)
-    out = keyed.join(F.broadcast(offsets), "_b")
-    cols = [(F.col(f"_o_{w}") + F.coalesce(F.sum(w).over(wi), F.lit(0))).alias(f"cum_{w}")
-            for w in weight_cols]
-    return out.select(*[c for c in df.columns], *cols)
-
-
-def cumulative_counts(df: DataFrame, order_col: str, weight_col: str,
-                      descending: bool = False, n_buckets: int | None = None) -> DataFrame:
-    out = cumulative_sums(df, order_col, [weight_col], descending, n_buckets)
-    return out.select(order_col, F.col(f"cum_{weight_col}").alias("cum_w"))
+from ..session import cut_lineage
 
 
-def ordered_cumulative_sums(df: DataFrame, order_cols: Sequence[str], weight_cols: Sequence[str],
-                            n_partitions: int | None = None) -> DataFrame:
-    """Running totals of ``weight_cols`` in the total order ``order_cols``
-    (any orderable types, ascending; make the order total with key columns).
+def ordered_cumulative_sums(df: DataFrame, order_cols: Sequence[str | Column], weight_cols: Sequence[str],
+                            n_partitions: int | None = None, inclusive: bool = True) -> DataFrame:
+    """``df`` with ``cum_<w>``: the sum of ``w`` over all rows before a row in the order of
+    ``order_cols`` (names ascending, or sort expressions) and, when ``inclusive``, the row's own.
 
-    Range-partitions the rows on the order columns (so a hot leading value is
-    still split by the following columns), takes each range's running totals
-    in its own window partition, and shifts them by the totals of the earlier
-    ranges (one row per range, broadcast). The input should be materialised:
-    range boundaries come from sampling it."""
+    Make the order total with key columns: a hot leading value is then split between ranges."""
     if n_partitions is None:
         n_partitions = max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")))
-    ranged = df.repartitionByRange(n_partitions, *order_cols).withColumn("_p", F.spark_partition_id())
+    order = [F.asc(c) if isinstance(c, str) else c for c in order_cols]
+    ranged = cut_lineage(df.repartitionByRange(n_partitions, *order).withColumn("_p", F.spark_partition_id()))
     totals = ranged.groupBy("_p").agg(*[F.sum(w).alias(f"_t_{w}") for w in weight_cols])
-    wp = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # <= n_partitions rows
+    wp = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
     offsets = totals.select("_p", *[F.coalesce(F.sum(f"_t_{w}").over(wp), F.lit(0)).alias(f"_o_{w}")
                                     for w in weight_cols])
-    wi = Window.partitionBy("_p").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
+    wi = Window.partitionBy("_p").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
     out = ranged.join(F.broadcast(offsets), "_p")
-    return out.select(*df.columns, *[(F.col(f"_o_{w}") + F.sum(w).over(wi)).alias(f"cum_{w}")
+    return out.select(*df.columns, *[(F.col(f"_o_{w}") + F.coalesce(F.sum(w).over(wi), F.lit(0))).alias(f"cum_{w}")
                                      for w in weight_cols])
+
+
+def cumulative_sums(df: DataFrame, order_col: str, weight_cols: Sequence[str],
+                    descending: bool = False, n_buckets: int | None = None,
+                    inclusive: bool = True) -> DataFrame:
+    """Running totals by one column of distinct values (callers pre-aggregate ties)."""
+    key = F.desc(order_col) if descending else F.asc(order_col)
+    return ordered_cumulative_sums(df, [key], weight_cols, n_buckets, inclusive)
+
+
+def cumulative_counts(df: DataFrame, order_col: str, weight_col: str,
+                      descending: bool = False, n_buckets: int | None = None) -> DataFrame:
+    out = cumulative_sums(df, order_col, [weight_col], descending, n_buckets)
+    return out.select(order_col, F.col(f"cum_{weight_col}").alias("cum_w"))

@@ -19,16 +19,16 @@ from ..operators import abt as A
 from ..operators import features as FS
 from ..operators import marts as G
 from ..operators import quality as Q
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, remove_at_exit
 from ..sources.tables import TableStore, latest_snapshot, missing_refs
 
 BRONZE_PART = "_mt_bronze_partition_date"
 
 
 def scratch_store(spark: SparkSession, name: str = "run") -> TableStore:
-    """A fresh store under the shared ``spark.checkpoint.dir``."""
+    """A fresh store under the shared ``spark.checkpoint.dir``, removed when the driver ends."""
     root = ensure_checkpoint_dir(spark)
-    return TableStore(spark, f"{root.rstrip('/')}/sellerlens-{name}-{uuid.uuid4().hex[:12]}")
+    return TableStore(spark, remove_at_exit(spark, f"{root.rstrip('/')}/sellerlens-{name}-{uuid.uuid4().hex[:12]}"))
 
 
 # ------------------------------------------------------------------ bronze
@@ -50,19 +50,19 @@ def run_bronze(store: TableStore, landing: Mapping[str, DataFrame], run_ts: _dt.
 @dataclass(frozen=True)
 class SilverSpec:
     bronze_table: str
-    query: str
+    typing: Mapping[str, Sequence[str]]
     key: str = "overwrite"  # overwrite | append | comma-separated upsert keys
 
 
 SILVER = {
-    "postgres_public_orders": SilverSpec("postgres_public_orders", Q.SILVER_ORDERS_SQL),
-    "postgres_public_order_items": SilverSpec("postgres_public_order_items", Q.SILVER_ITEMS_SQL),
+    "postgres_public_orders": SilverSpec("postgres_public_orders", Q.SILVER_ORDERS),
+    "postgres_public_order_items": SilverSpec("postgres_public_order_items", Q.SILVER_ITEMS),
 }
 
 
 def silver_frame(store: TableStore, spec: SilverSpec, run_ts: _dt.datetime) -> DataFrame:
     bronze = latest_snapshot(store.read("bronze", spec.bronze_table), BRONZE_PART)
-    return Q.stamp_silver(Q.silver_transform(bronze, spec.query), run_ts.date(), spec.key)
+    return Q.stamp_silver(Q.silver_transform(bronze, spec.typing), run_ts.date(), spec.key)
 
 
 def run_silver(store: TableStore, run_ts: _dt.datetime,

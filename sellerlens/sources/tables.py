@@ -109,6 +109,15 @@ class TableStore:
             self._write(df, db, table, "overwrite", [partition_col], dynamic=True)
         return self.count_rows(db, table, partition_col, values)
 
+    def reload_parts(self, df, db, table, parts: dict) -> int:
+        """K4 for one partition of several columns, given by their values."""
+        mode = "overwrite" if self.exists(db, table) else "errorifexists"
+        self._write(df, db, table, mode, list(parts), dynamic=mode == "overwrite")
+        t = self.read(db, table)
+        for c, v in parts.items():
+            t = t.where(F.col(c) == F.lit(v))
+        return int(t.count())
+
     def upsert(self, df, db, table, keys: Sequence[str] | str) -> int:
         """K5: update-all / insert-all on one or comma-separated keys."""
         if isinstance(keys, str):

@@ -19,10 +19,9 @@ def spark():
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", "4")
          .config("spark.sql.session.timeZone", "UTC")
+         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="sellerlens-test-ckpt-"))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="sellerlens-test-ckpt-"))
     yield s
 
 

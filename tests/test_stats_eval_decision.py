@@ -60,13 +60,12 @@ def test_auc_lift_thresholds_brute_force(spark):
     # lift/gain: order by (proba desc, ref, seller)
     srt = sorted(rows, key=lambda r: (-r[2], r[0], r[1]))
     ones, n = sum(y), len(y)
-    for small in (1_000_000, 0):  # window per split group / range-partitioned ranking
-        got = {round(r["fraction"], 6): (r["n_rows"], r["gain"]) for r in EV.lift_gain(df, small_rows=small).collect()}
-        for i in range(1, 11):
-            x = 0.1 * i
-            k = math.ceil(x * n)
-            here = sum(r[3] for r in srt[:k])
-            assert got[round(x, 6)][0] == k and abs(got[round(x, 6)][1] - here / ones) < 1e-12
+    got = {round(r["fraction"], 6): (r["n_rows"], r["gain"]) for r in EV.lift_gain(df).collect()}
+    for i in range(1, 11):
+        x = 0.1 * i
+        k = math.ceil(x * n)
+        here = sum(r[3] for r in srt[:k])
+        assert got[round(x, 6)][0] == k and abs(got[round(x, 6)][1] - here / ones) < 1e-12
     # thresholds: p >= t with numpy's float grid
     tm = {round(r["p"], 6): r for r in EV.threshold_metrics(df).collect()}
     for k in range(21):
@@ -81,14 +80,12 @@ def test_prefix_sums_match_cumsum(spark):
     rnd = random.Random(3)
     vals = sorted({rnd.randint(0, 10_000) for _ in range(2000)})
     df = spark.createDataFrame([(float(v), 1 + v % 7) for v in vals], "v double, w long")
-    for small in (0, 1_000_000):  # bucketed path and the size-checked single window
-        got = {r["v"]: r["cum_w"] for r in cumulative_sums(df, "v", ["w"], n_buckets=16, small_rows=small).collect()}
-        run = 0
-        for v in vals:
-            run += 1 + v % 7
-            assert got[float(v)] == run
-    desc = {r["v"]: r["cum_w"] for r in cumulative_sums(df, "v", ["w"], descending=True, inclusive=False,
-                                                         n_buckets=16, small_rows=0).collect()}
+    got = {r["v"]: r["cum_w"] for r in cumulative_sums(df, "v", ["w"], n_buckets=16).collect()}
+    run = 0
+    for v in vals:
+        run += 1 + v % 7
+        assert got[float(v)] == run
+    desc = {r["v"]: r["cum_w"] for r in cumulative_sums(df, "v", ["w"], descending=True, inclusive=False, n_buckets=16).collect()}
     total = sum(1 + v % 7 for v in vals)
     assert desc[float(vals[0])] == total - (1 + vals[0] % 7) and desc[float(vals[-1])] == 0
 
@@ -189,3 +186,13 @@ def test_ordered_cumulative_sums_composite_string_keys(spark):
     for g, key, w in sorted(rows):
         run += w
         assert got[(g, key)] == run
+
+
+def test_running_totals_over_many_ranges_are_exact(spark):
+    from sellerlens.operators.prefix import ordered_cumulative_sums
+    n = 3_000_000
+    df = spark.range(n, numPartitions=8).selectExpr("xxhash64(id) AS k", "id", "1L AS w", "CAST(id % 17 AS STRING) AS extra")
+    out = ordered_cumulative_sums(df, ["k", "id"], ["w"], 32)
+    assert out.columns == ["k", "id", "w", "extra", "cum_w"]
+    r = out.selectExpr("count(DISTINCT cum_w) AS d", "max(cum_w) AS hi", "min(cum_w) AS lo", "count(extra) AS n").first()
+    assert (r.d, r.hi, r.lo, r.n) == (n, n, 1, n)
