@@ -453,8 +453,6 @@ def statements() -> dict[str, str]:
 
 
 # ------------------------------------------ statistics, evaluation, decision
-from sellerlens.operators import decision as _X  # noqa: E402
-from sellerlens.operators import evaluate as _EV  # noqa: E402
 
 ABT_NUMERIC = [c for c in ABT_COLUMNS if c not in ("_mt_date_reference", "seller_id")]
 FEATS = [c for c in ABT_NUMERIC if c != "churn"]
@@ -478,8 +476,8 @@ def _dbl(c):
     return f"CAST({c} AS DOUBLE)"
 
 
-_rule = " + ".join([f"CAST({_EV.RULE_INTERCEPT} AS DOUBLE)"] + [
-    f"COALESCE(CAST({f} AS DOUBLE), 0) * CAST({c} AS DOUBLE)" for f, c in zip(_EV.RULE_FEATURES, _EV.RULE_COEFS)])
+_RULE = {"recency": 0.09, "quantity_date_orders": -0.35, "days_from_first_sell": -0.0015, "pct_status_canceled": 1.5}
+_rule = " + ".join(["CAST(0.4 AS DOUBLE)"] + [f"COALESCE(CAST({f} AS DOUBLE), 0) * CAST({c} AS DOUBLE)" for f, c in _RULE.items()])
 _SCORED = f"{_ABT_CTES},\nscored AS (SELECT *, round(1.0 / (1.0 + exp(-({_rule}))), 3) AS churn_proba FROM abt)"
 
 DESCRIBE = f"WITH {_ABT_CTES}\n" + "\nUNION ALL\n".join(
@@ -590,16 +588,13 @@ SELECT x AS fraction, n_rows,
 FROM c ORDER BY fraction"""
 TOP_CHURN = (f"WITH {_SCORED}\nSELECT seller_id, churn_proba, ltv FROM scored "
              f"WHERE _mt_date_reference = {_d(P.score_month)} ORDER BY churn_proba DESC, seller_id LIMIT 100")
-_GIFT = " ".join(f"WHEN churn_proba >= {f} THEN CAST({g} AS DOUBLE)" for f, g in _X.GIFT_TIERS)
-_INPUTS = (f"{_SCORED},\ninputs AS (SELECT seller_id, churn_proba, ltv, CASE {_GIFT} ELSE CAST({_X.GIFT_DEFAULT} AS DOUBLE) END AS gift "
-           f"FROM scored WHERE _mt_date_reference = {_d(P.score_month)}),\n"
-           f"cands AS (SELECT * FROM inputs WHERE churn_proba >= {P.proba_floor})")
+_INPUTS_SLOT = "@inputs@"
+_INPUTS = _INPUTS_SLOT
 GIFT_TIER = f"WITH {_INPUTS}\nSELECT * FROM inputs"
 _GREEDY = (f"greedy AS (SELECT seller_id, churn_proba, ltv, gift FROM (SELECT *, SUM(gift) OVER (ORDER BY churn_proba DESC, seller_id "
-           f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cg FROM cands WHERE gift < {_X.SKIP_GIFT}) WHERE cg <= {P.budget})")
+           f"ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cg FROM cands WHERE gift < 10000) WHERE cg <= {P.budget})")
 BUDGET_GREEDY = f"WITH {_INPUTS},\n{_GREEDY}\nSELECT * FROM greedy"
-_WS = sorted({g for _, g in _X.GIFT_TIERS} | {_X.GIFT_DEFAULT}, reverse=True)
-_WS = [w for w in _WS if w <= P.budget]
+_WS = [w for w in (10000.0, 400.0, 100.0, 50.0) if w <= P.budget]
 
 
 def _optimal_cte() -> str:
@@ -607,7 +602,7 @@ def _optimal_cte() -> str:
     parts = [f"kr AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY gift ORDER BY ltv DESC, seller_id) AS rk FROM cands "
              f"WHERE ltv > 0 AND gift IN ({', '.join(str(w) for w in _WS)}))"]
     for i, w in enumerate(_WS):
-        parts.append(f"p{i} AS (SELECT 0 AS n, 0.0 AS v UNION ALL SELECT rk, SUM(ltv) OVER (ORDER BY rk) FROM kr "
+        parts.append(f"p{i} AS (SELECT 0 AS n, CAST(0 AS DOUBLE) AS v UNION ALL SELECT rk, SUM(ltv) OVER (ORDER BY rk) FROM kr "
                      f"WHERE gift = {w} QUALIFY rk * {w} <= {P.budget})")
     frm = ", ".join(f"p{i} AS t{i}" for i in range(len(_WS)))
     cost = " + ".join(f"t{i}.n * {w}" for i, w in enumerate(_WS))
@@ -636,17 +631,22 @@ ROI_SUMMARY = (f"WITH {_INPUTS},\n{_GREEDY},\n{_optimal_cte()}\n" + "\nUNION ALL
 MONTHLY_PROFIT = (f"SELECT seller_id, order_month_purchase, forecast_ltv, forecast_ltv - LAG(forecast_ltv) OVER "
                   f"(PARTITION BY seller_id ORDER BY order_month_purchase) AS current_month_profit FROM (\n{MONTHLY_LTV}\n) h")
 
-from sellerlens.operators import model as _MD  # noqa: E402
-
+_ROBUST = ["avg_ticket", "max_order_items_price", "min_order_items_price", "avg_order_items_price", "max_item_price",
+           "min_item_price", "avg_item_price", "quantity_date_orders", "quantity_products_selled",
+           "quantity_unique_product_selled", "avg_seller_interval", "ltv", "frequency", "avg_freight_value",
+           "min_freight_value", "max_freight_value", "min_approval_delivery_days", "max_approval_delivery_days",
+           "quantity_delay_orders"]
+_MINMAX = ["avg_order_product", "days_from_first_sell", "avg_approval_purchase_days", "min_approval_purchase_days",
+           "max_approval_purchase_days"]
 ROBUST_SCALE = (f"WITH {_ABT_CTES},\nq AS (SELECT " + ", ".join(
-    f"quantile_cont(CAST({c} AS DOUBLE), [0.25, 0.5, 0.75]) AS q_{c}" for c in _MD.ROBUST_FEATURES) + " FROM abt)\n"
+    f"quantile_cont(CAST({c} AS DOUBLE), [0.25, 0.5, 0.75]) AS q_{c}" for c in _ROBUST) + " FROM abt)\n"
     "SELECT _mt_date_reference, seller_id, " + ", ".join(
-    f"({c} - q_{c}[2]) / NULLIF(q_{c}[3] - q_{c}[1], 0) AS {c}" for c in _MD.ROBUST_FEATURES) + " FROM abt, q")
+    f"({c} - q_{c}[2]) / NULLIF(q_{c}[3] - q_{c}[1], 0) AS {c}" for c in _ROBUST) + " FROM abt, q")
 MIN_MAX_SCALE = (f"WITH {_ABT_CTES},\nm AS (SELECT " + ", ".join(
-    f"MIN({c}) AS lo_{c}, MAX({c}) AS hi_{c}" for c in _MD.MINMAX_FEATURES) + " FROM abt)\n"
+    f"MIN({c}) AS lo_{c}, MAX({c}) AS hi_{c}" for c in _MINMAX) + " FROM abt)\n"
     "SELECT _mt_date_reference, seller_id, " + ", ".join(
-    f"({c} - lo_{c}) / NULLIF(hi_{c} - lo_{c}, 0) AS {c}" for c in _MD.MINMAX_FEATURES) + " FROM abt, m")
-DOUBLES.update({"robust_scale": list(_MD.ROBUST_FEATURES), "min_max_scale": list(_MD.MINMAX_FEATURES)})
+    f"({c} - lo_{c}) / NULLIF(hi_{c} - lo_{c}, 0) AS {c}" for c in _MINMAX) + " FROM abt, m")
+DOUBLES.update({"robust_scale": list(_ROBUST), "min_max_scale": list(_MINMAX)})
 _RAW.update({"robust_scale": ROBUST_SCALE, "min_max_scale": MIN_MAX_SCALE})
 
 def _inner(sql: str) -> str:
@@ -657,13 +657,14 @@ def _inner(sql: str) -> str:
 DESCRIBE_FULL = (f"SELECT d.*, sk.skew, sk.kurtosis, b.bowley FROM (\n{DESCRIBE}\n) d\n"
                  f"JOIN (\n{SKEW_KURTOSIS}\n) sk ON d.\"column\" = sk.\"column\"\n"
                  f"JOIN (\n{BOWLEY}\n) b ON d.\"column\" = b.\"column\"")
-LAST_MONTH_PROFIT = (f"WITH p AS ({MONTHLY_PROFIT})\n"
+_OF_MONTH = f"seller_id IN (SELECT seller_id FROM (WITH {_ABT_CTES} SELECT * FROM abt) z WHERE _mt_date_reference = {_d(P.score_month)})"
+LAST_MONTH_PROFIT = (f"WITH p AS (SELECT * FROM ({MONTHLY_PROFIT}) y WHERE {_OF_MONTH})\n"
                      "SELECT MAX(order_month_purchase) AS month, SUM(forecast_ltv) AS ltv_last_month, "
                      "SUM(current_month_profit) AS profit_last_month FROM p "
                      "WHERE order_month_purchase = (SELECT MAX(order_month_purchase) FROM p)")
 BEST_THRESHOLDS = f"SELECT * FROM (\n{THRESHOLD_METRICS}\n) m ORDER BY ks_diffs DESC, p LIMIT 5"
-_AL = ", ".join(f"({a})" for a in _X.HOLT_ALPHAS)
-_BE = ", ".join(f"({b})" for b in _X.HOLT_BETAS)
+_AL = "(0.1), (0.3), (0.5), (0.7), (0.9)"
+_BE = "(0.05), (0.1), (0.2), (0.3), (0.5)"
 _HOLT_CTES = f"""hm AS ({MONTHLY_LTV}),
 hs AS (
   SELECT seller_id, order_month_purchase AS ds, CAST(forecast_ltv AS DOUBLE) AS y,
@@ -681,17 +682,23 @@ rec AS (
     r.b * ((r.a * s.y + (1 - r.a) * (r.l + r.t)) - r.l) + (1 - r.b) * r.t,
     r.sse + (s.y - r.l - r.t) * (s.y - r.l - r.t), r.n
   FROM rec r JOIN hs s ON s.seller_id = r.seller_id AND s.i = r.i + 1),
-best AS (
+tuned AS (
   SELECT seller_id, a, b, l + t AS f FROM rec WHERE i = n
   QUALIFY ROW_NUMBER() OVER (PARTITION BY seller_id ORDER BY sse, a, b, l + t) = 1),
 holt AS (
   SELECT h.seller_id, CAST(h.last_ds + INTERVAL 1 MONTH AS DATE) AS order_month_purchase,
     greatest(COALESCE(b.f, h.y), 0.0) AS forecast_ltv, b.a AS alpha, b.b AS beta
-  FROM hs h LEFT JOIN best b ON b.seller_id = h.seller_id
+  FROM hs h LEFT JOIN tuned b ON b.seller_id = h.seller_id
   WHERE h.i = h.n)"""
 HOLT_FORECAST = f"WITH RECURSIVE {_HOLT_CTES}\nSELECT * FROM holt"
+# the decision step's inputs: the scoring month's sellers, their forecast LTV and gift
+_GIFT = "CASE WHEN churn_proba >= 0.95 THEN 10000.0 WHEN churn_proba >= 0.85 THEN 400.0 WHEN churn_proba >= 0.75 THEN 100.0 ELSE 50.0 END"
+_INPUTS_CTES = (f"RECURSIVE {_SCORED},\n{_HOLT_CTES},\ninputs AS (SELECT scored.seller_id, churn_proba, coalesce(holt.forecast_ltv, 0) AS ltv, "
+                f"CAST({_GIFT} AS DOUBLE) AS gift FROM scored LEFT JOIN holt ON holt.seller_id = scored.seller_id "
+                f"WHERE _mt_date_reference = {_d(P.score_month)}),\n"
+                f"cands AS (SELECT * FROM inputs WHERE churn_proba >= {P.proba_floor})")
 FORECAST_PROFIT = (f"WITH RECURSIVE {_HOLT_CTES}\nSELECT MIN(order_month_purchase) AS month, COUNT(*) AS sellers, "
-                   "SUM(forecast_ltv) AS forecast_ltv_total FROM holt")
+                   f"SUM(forecast_ltv) AS forecast_ltv_total FROM holt WHERE {_OF_MONTH}")
 _RAW.update({"holt_forecast": HOLT_FORECAST, "forecast_profit": FORECAST_PROFIT})
 DOUBLES.update({"holt_forecast": ["forecast_ltv", "alpha", "beta"]})
 SIG_EXTRA = {"forecast_profit": ["forecast_ltv_total"]}
@@ -741,6 +748,7 @@ _RAW.update({
 def statements() -> dict[str, str]:  # noqa: F811
     out = {}
     for k, v in _RAW.items():
+        v = v.replace(_INPUTS_SLOT, _INPUTS_CTES)
         if k in SIG:
             out[k] = sig_wrap(v, SIG[k])
         else:

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import tier
@@ -162,14 +162,11 @@ def roi_summary(scored: DataFrame, greedy: DataFrame, optimal: DataFrame,
     return out.select("*", (F.col("sellers") / n50).alias("share_of_floor_sellers"))
 
 
-def decision_inputs(abt_scored: DataFrame, month, floor: float | None = None,
+def decision_inputs(abt_scored: DataFrame, month, forecast: DataFrame, floor: float | None = None,
                     proba: str = "churn_proba") -> DataFrame:
-    """Scored sellers of one month with LTV and gift (LTV keyed by seller)."""
-    d = abt_scored.where(F.col("_mt_date_reference") == F.lit(month)).select("seller_id", proba, "ltv")
-    d = gift_tier(d, proba)
+    """Scored sellers of one month with their forecast LTV (0 without a delivered
+    order in the history) and gift. ``forecast`` is ``holt_forecast``'s result."""
+    d = abt_scored.where(F.col("_mt_date_reference") == F.lit(month)).select("seller_id", proba)
+    d = d.join(forecast.select("seller_id", F.col("forecast_ltv").alias("ltv")), "seller_id", "left")
+    d = gift_tier(d.select("seller_id", proba, F.coalesce("ltv", F.lit(0.0)).alias("ltv")), proba)
     return d if floor is None else d.where(F.col(proba) >= floor)
-
-
-def money_col(c: str) -> Column:
-    from ..functions.columns import money
-    return money(c)

@@ -23,18 +23,25 @@ from ..session import cut_lineage
 
 KEYS = ("_mt_date_reference", "seller_id")
 
-# Feature groups of the reference pipeline.
+# The pipeline's scaler groups and dropped columns, full and reduced.
 ROBUST_FEATURES = (
-    "recency", "avg_ticket", "avg_order_product", "max_order_items_price", "min_order_items_price",
-    "avg_order_items_price", "max_item_price", "min_item_price", "avg_item_price",
-    "quantity_date_orders", "quantity_products_selled", "quantity_unique_product_selled",
-    "avg_seller_interval", "ltv", "days_from_first_sell", "frequency",
+    "avg_ticket", "max_order_items_price", "min_order_items_price", "avg_order_items_price",
+    "max_item_price", "min_item_price", "avg_item_price", "quantity_date_orders",
+    "quantity_products_selled", "quantity_unique_product_selled", "avg_seller_interval", "ltv", "frequency",
     "avg_freight_value", "min_freight_value", "max_freight_value",
-    "avg_approval_delivery_days", "min_approval_delivery_days", "max_approval_delivery_days",
-    "avg_approval_purchase_days", "min_approval_purchase_days", "max_approval_purchase_days",
-    "quantity_delay_orders",
+    "min_approval_delivery_days", "max_approval_delivery_days", "quantity_delay_orders",
+)
+MINMAX_FEATURES = (
+    "avg_order_product", "days_from_first_sell", "avg_approval_purchase_days",
+    "min_approval_purchase_days", "max_approval_purchase_days",
+)
+DROPPED = ("recency", "_mt_date_reference", "seller_id")
+REDUCED_ROBUST_FEATURES = (
+    "min_order_items_price", "avg_order_items_price", "max_item_price", "min_item_price",
+    "quantity_date_orders", "quantity_products_selled", "quantity_unique_product_selled",
+    "avg_seller_interval", "ltv", "frequency", "min_approval_delivery_days", "quantity_delay_orders",
 )
-MINMAX_FEATURES = ("pct_status_delivered", "pct_status_canceled", "pct_delay_delivered_orders")
+REDUCED_MINMAX_FEATURES = ("avg_order_product", "min_approval_purchase_days", "max_approval_purchase_days")
 IMPUTE = {"frequency": 0.0, "avg_seller_interval": 0.0}
 
 
@@ -55,25 +62,22 @@ def stratified_folds(df: DataFrame, k: int, label: str = "churn", seed: int = 2,
 
 
 # ------------------------------------------------------------ M2, M3
-def robust_scale(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
-    """(x - median) / (Q3 - Q1) per column, quartiles from one aggregation."""
-    from .stats import to_long
-    x = F.col("value")
-    q = (F.percentile(x, [0.25, 0.5, 0.75]) if exact
-         else F.percentile_approx(x, [0.25, 0.5, 0.75], 100000).cast("array<double>"))
-    # one job, columns summarised in parallel (long form grouped by column);
-    # the quartiles (3 numbers per column, like MLlib's RobustScaler fit)
-    # become literals in a narrow projection
-    stats = {r["column"]: r["q"] for r in to_long(df, cols).groupBy("column").agg(q.alias("q")).collect()}
+def robust_scale(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(x - median) / (Q3 - Q1) per column, exact quartiles."""
+    from .stats import quartiles, to_long
+    df = cut_lineage(df)  # read by the quartiles and by the scaling
+    # three numbers per column, as MLlib's scaler fits; literals keep the projection narrow
+    stats = {r["column"]: r for r in quartiles(to_long(df, cols)).collect()}
     out = {}
     for c in cols:
-        q1, q2, q3 = (stats.get(c) or [None, None, None])
-        out[c] = F.try_divide(F.col(c) - F.lit(q2), F.lit(q3) - F.lit(q1)) if q1 is not None else F.lit(None)
+        r = stats.get(c)
+        out[c] = F.try_divide(F.col(c) - F.lit(r.q50), F.lit(r.q75) - F.lit(r.q25)) if r else F.lit(None)
     return df.withColumns(out)
 
 
 def min_max_scale(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(x - min) / (max - min) per column into [0, 1]."""
+    df = cut_lineage(df)  # read by the range and by the scaling
     stats = df.agg(*[F.min(c).cast("double").alias(f"lo_{c}") for c in cols],
                    *[F.max(c).cast("double").alias(f"hi_{c}") for c in cols]).first()
     out = {}
@@ -162,7 +166,7 @@ def glm_binomial(df: DataFrame, label: str = "churn", names: Sequence[str] | Non
     from pyspark.ml.feature import VectorSlicer
     from pyspark.ml.stat import Summarizer
     names = list(names or feature_names())
-    prep = build_pipeline().fit(df).transform(df)
+    prep = cut_lineage(build_pipeline().fit(df).transform(df).select(label, "features"))
     # zero-variance columns (e.g. zero IQR after robust scaling) make the
     # design singular; they are left out and reported with null statistics
     var = prep.select(Summarizer.metrics("variance").summary(F.col("features")).alias("s")).first()["s"]
@@ -191,7 +195,7 @@ def lasso(df: DataFrame, alpha: float = 0.0005, label: str = "churn",
     """L1 linear regression on the prepared features (same objective as
     sklearn's Lasso: 1/(2n)||y - Xw||^2 + alpha ||w||_1)."""
     names = list(names or feature_names())
-    prep = build_pipeline().fit(df).transform(df)
+    prep = cut_lineage(build_pipeline().fit(df).transform(df).select(label, "features"))
     m = LinearRegression(featuresCol="features", labelCol=label, regParam=alpha, elasticNetParam=1.0,
                          standardization=False, maxIter=200).fit(prep)
     rows = [(n, float(c)) for n, c in zip(names, m.coefficients.toArray())]
@@ -231,37 +235,42 @@ def _auc_of(model, df, label):
 
 # ---------------------------------------------------------------- M11
 def rfe(df: DataFrame, make_estimator, names: Sequence[str] | None = None, label: str = "churn",
-        seed: int = 2) -> DataFrame:
-    """Recursive elimination: fit, drop the smallest |coefficient|, repeat down
-    to one feature. Each step's AUC on a stable-hash holdout (20 %) picks the
-    best subset size (as RFECV does with its CV score); features of that
-    subset get rank 1, the others their elimination rank. Scaling is per
-    feature, so the prepared vectors are built once and each step refits only
-    the estimator on a ``VectorSlicer`` view."""
+        k: int = 5) -> DataFrame:
+    """Recursive elimination with stratified k-fold AUC: in every fold features are
+    dropped one by one (smallest |coefficient| first) and each subset size is scored on
+    the held-out fold; the size with the best mean AUC wins. Elimination over all rows
+    then ranks the features: those of the winning subset get rank 1, the others their
+    elimination order. Scaling is per feature, so the prepared vectors are built once
+    per fold and each step refits only the estimator on a ``VectorSlicer`` view."""
     from pyspark.ml.feature import VectorSlicer
     names = list(names or feature_names())
-    sp = split(df, 80, seed)
-    prep = build_pipeline().fit(sp.where("is_train"))
-    data = cut_lineage(prep.transform(sp).select(label, "is_train", F.col("features").alias("all_features")))
-    tr, va = data.where("is_train"), data.where("NOT is_train")
     index = {n: i for i, n in enumerate(names)}
-    current, dropped, scores = list(names), [], []
-    while current:
-        sl = VectorSlicer(inputCol="all_features", outputCol="features", indices=[index[c] for c in current])
-        m = make_estimator().fit(sl.transform(tr))
-        scores.append((len(current), _evaluator_auc(m.transform(sl.transform(va)), label)))
-        coefs = m.coefficients.toArray().tolist()
-        worst = min(zip(current, coefs), key=lambda t: abs(t[1]))[0]
-        dropped.append(worst)
-        current.remove(worst)
-    best_n = max(scores, key=lambda t: (t[1], -t[0]))[0]
-    auc_by_n = dict(scores)
+    folded = cut_lineage(stratified_folds(df, k, label))
+
+    def eliminate(train: DataFrame, valid: DataFrame | None):
+        prep = build_pipeline().fit(train)
+        vectors = lambda d: cut_lineage(prep.transform(d).select(label, F.col("features").alias("all_features")))
+        tr, va = vectors(train), vectors(valid) if valid is not None else None
+        current, dropped, scores = list(names), [], {}
+        while current:
+            sl = VectorSlicer(inputCol="all_features", outputCol="features", indices=[index[c] for c in current])
+            m = make_estimator().fit(sl.transform(tr))
+            if va is not None:
+                scores[len(current)] = _evaluator_auc(m.transform(sl.transform(va)), label)
+            worst = min(zip(current, m.coefficients.toArray().tolist()), key=lambda t: abs(t[1]))[0]
+            dropped.append(worst)
+            current.remove(worst)
+        return dropped, scores
+
+    by_fold = [eliminate(folded.where(F.col("fold") != f), folded.where(F.col("fold") == f))[1] for f in range(k)]
+    mean = {n: sum(s[n] for s in by_fold) / k for n in range(1, len(names) + 1)}
+    best_n = max(mean, key=lambda n: (mean[n], -n))
+    dropped, _ = eliminate(folded, None)
     rows = []
     for i, f in enumerate(reversed(dropped)):  # last dropped = most important
         n_left = i + 1
-        rank = 1 if n_left <= best_n else n_left - best_n + 1
-        rows.append((f, rank, float(auc_by_n[n_left])))
-    return df.sparkSession.createDataFrame(rows, "feature string, ranking int, holdout_auc_at_size double")
+        rows.append((f, 1 if n_left <= best_n else n_left - best_n + 1, float(mean[n_left])))
+    return df.sparkSession.createDataFrame(rows, "feature string, ranking int, mean_auc_at_size double")
 
 
 def _evaluator_auc(pred: DataFrame, label: str) -> float:
@@ -283,7 +292,7 @@ def grid_search(df: DataFrame, Cs: Sequence[float], penalties: Sequence[str] = (
     n = df.count()
     dfw = cut_lineage(stratified_folds(with_balanced_weights(df, label), k, label))
     ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction",
-                                       metricName="areaUnderROC")
+                                       metricName="areaUnderROC", numBins=0)
     rows = []
     for balanced in weights:
         lr = LogisticRegression(featuresCol="features", labelCol=label, standardization=False, maxIter=100)

@@ -7,14 +7,15 @@ only per-column summary rows leave the executors.
 from __future__ import annotations
 
 import datetime as _dt
+import math
 from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.tdist import t_two_sided_p
+from ..session import cut_lineage
+from .prefix import ordered_cumulative_sums
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -37,23 +38,47 @@ def to_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.selectExpr(f"stack({len(cols)}, {body}) AS (column, value)")
 
 
-def describe(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
-    """Count, mean, sample std, min, quartiles (linear interpolation), max.
-
-    Long form grouped by column, so the columns are summarised in parallel
-    tasks. ``exact=True`` uses ``percentile`` (exact; a column's distinct
-    values meet in its final buffer); ``exact=False`` uses
-    ``percentile_approx`` for very large inputs.
-    """
+def quantiles(long: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """(column, p, q): exact quantiles with linear interpolation of (column, value) rows.
+
+    Equal values are counted first; running counts over ranges of (column, value)
+    then give every value its positions, and the two positions around each quantile
+    are looked up. No column's values meet in one buffer."""
+    counts = cut_lineage(long.where("value IS NOT NULL").groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")))
+    run = ordered_cumulative_sums(counts, ["column", "value"], ["n"])
+    size = counts.groupBy("column").agg(F.sum("n").alias("size"))
+    before = Window.orderBy("column").rowsBetween(Window.unboundedPreceding, -1)  # one row per column
+    at = F.col("p") * (F.col("size") - 1)
+    wanted = (
+        size.select("column", "size", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("off"))
+        .withColumn("p", F.explode(F.array(*[F.lit(float(x)) for x in probs])))
+        .select("column", "p", (F.col("off") + F.floor(at)).alias("lo"), (F.col("off") + F.ceil(at)).alias("hi"), (at - F.floor(at)).alias("part"))
+    )
+    inside = lambda c: (F.col(c) >= F.col("cum_n") - F.col("n")) & (F.col(c) < F.col("cum_n"))
+    around = (
+        run.join(F.broadcast(wanted), "column").where(inside("lo") | inside("hi")).groupBy("column", "p", "part")
+        .agg(F.max(F.when(inside("lo"), F.col("value"))).alias("a"), F.max(F.when(inside("hi"), F.col("value"))).alias("b"))
+    )
+    return around.select("column", "p", (F.col("a") + (F.col("b") - F.col("a")) * F.col("part")).alias("q"))
+
+
+def quartiles(long: DataFrame) -> DataFrame:
+    """(column, q25, q50, q75), exact."""
+    pick = lambda x: F.max(F.when(F.col("p") == x, F.col("q")))
+    return quantiles(long, [0.25, 0.5, 0.75]).groupBy("column").agg(pick(0.25).alias("q25"), pick(0.5).alias("q50"), pick(0.75).alias("q75"))
+
+
+def describe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """Count, mean, sample std, min, quartiles (exact, linear interpolation), max."""
     cols = list(cols or numeric_columns(df))
+    df = cut_lineage(df.select(*cols))  # read by the moments and by the quartiles
     x = F.col("value")
-    q = (F.percentile(x, [0.25, 0.5, 0.75]) if exact
-         else F.percentile_approx(x, [0.25, 0.5, 0.75], 100000).cast("array<double>"))
-    g = to_long(df, cols).groupBy("column").agg(
+    long = to_long(df, cols)
+    g = long.groupBy("column").agg(
         F.count(x).cast("double").alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
-        F.min(x).alias("min"), q.alias("q"), F.max(x).alias("max"))
-    return g.select("column", "count", "mean", "std", "min", F.col("q")[0].alias("q25"),
-                    F.col("q")[1].alias("q50"), F.col("q")[2].alias("q75"), "max")
+        F.min(x).alias("min"), F.max(x).alias("max"))
+    return g.join(F.broadcast(quartiles(long)), "column", "left").select(
+        "column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")  # one row per column
 
 
 def skew_kurtosis(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -106,23 +131,60 @@ def point_biserial(df: DataFrame, label: str = "churn", cols: Sequence[str] | No
     return long.select("column", "r", "n", t.alias("t")).orderBy(F.desc(F.abs("r")), "column")
 
 
-@F.pandas_udf(T.DoubleType())
-def _t_pvalue(t: pd.Series, dof: pd.Series) -> pd.Series:
-    return pd.Series([t_two_sided_p(a, b) for a, b in zip(t, dof)], dtype="float64")
+def _log_gamma(z: Column) -> Column:
+    """ln Gamma(z) for z > 0: Stirling's series at z + 10, then down by the recurrence."""
+    y = z + 10
+    series = (y - 0.5) * F.log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * y ** 3) + 1 / (1260 * y ** 5) - 1 / (1680 * y ** 7)
+    down = F.log(z)
+    for k in range(1, 10):
+        down = down + F.log(z + k)
+    return series - down
+
+
+def _beta_fraction(a: str, b: str, x: str, terms: int = 400) -> Column:
+    """The continued fraction of the incomplete beta function, as a fold over its terms
+    (two per step; numerators and denominators are rescaled to stay in range)."""
+    step = f"""
+      named_struct(
+        'p', acc.q + (m * ({b} - m) * {x} / (({a} + 2 * m - 1) * ({a} + 2 * m))) * acc.p,
+        'q', acc.q, 'r', acc.s + (m * ({b} - m) * {x} / (({a} + 2 * m - 1) * ({a} + 2 * m))) * acc.r, 's', acc.s)"""
+    odd = f"(-({a} + m) * ({a} + {b} + m) * {x} / (({a} + 2 * m) * ({a} + 2 * m + 1)))"
+    return F.expr(f"""
+      aggregate(sequence(1, {terms}),
+        named_struct('p', 1D, 'q', 1D, 'r', 1D, 's', 1D - ({a} + {b}) * {x} / ({a} + 1)),
+        (acc, m) -> transform(array({step}), e -> transform(array(named_struct(
+            'p', e.p, 'q', e.p + {odd} * e.q, 'r', e.r, 's', e.r + {odd} * e.s)), g -> named_struct(
+            'p', g.p / g.s, 'q', g.q / g.s, 'r', g.r / g.s, 's', 1D))[0])[0],
+        acc -> acc.q / acc.s)""")
+
+
+def t_two_sided(df: DataFrame, t: str = "t", dof: str = "dof", name: str = "p_value") -> DataFrame:
+    """``df`` with the two-sided tail probability of Student's t as ``name``: the regularised incomplete
+    beta function I_x(dof / 2, 1 / 2) at x = dof / (dof + t * t), in built-in expressions."""
+    d = df.withColumns({"_a": F.col(dof).cast("double") / 2, "_b": F.lit(0.5)})
+    d = d.withColumn("_x", F.col(dof) / (F.col(dof) + F.col(t) * F.col(t))).withColumn("_y", 1 - F.col("_x"))
+    a, b, x, y = (F.col(c) for c in ("_a", "_b", "_x", "_y"))
+    front = F.exp(_log_gamma(a + b) - _log_gamma(a) - _log_gamma(b) + a * F.log(x) + b * F.log(y))
+    left = x < (a + 1) / (a + b + 2)
+    tail = F.when(left, front * _beta_fraction("_a", "_b", "_x") / a).otherwise(1 - front * _beta_fraction("_b", "_a", "_y") / b)
+    p = F.when((F.col(dof) <= 0) | F.isnan(t) | F.col(t).isNull(), F.lit(float("nan"))).when(
+        F.abs(F.col(t)) == float("inf"), F.lit(0.0)).when(F.col(t) == 0, F.lit(1.0)).otherwise(tail)
+    return d.withColumn(name, p).drop("_a", "_b", "_x", "_y")
 
 
 def point_biserial_test(df: DataFrame, label: str = "churn", cols: Sequence[str] | None = None) -> DataFrame:
     """T5 with the two-sided p-value of H0: r = 0 (t with n-2 dof)."""
-    pb = point_biserial(df, label, cols)
-    return pb.select("*", _t_pvalue(F.col("t"), (F.col("n") - 2).cast("double")).alias("p_value"))
+    pb = point_biserial(df, label, cols).withColumn("dof", (F.col("n") - 2).cast("double"))
+    return t_two_sided(pb).drop("dof")
 
 
 def histogram_by_class(df: DataFrame, col: str, label: str = "churn", bins: int = 10,
                        log1p: bool = False) -> DataFrame:
     """Equal-width bins over [min, max] (last bin closed), counts and
-    density per class. min/max come from one scalar subquery each."""
+    density per class."""
     x = F.log1p(F.col(col)) if log1p else F.col(col).cast("double")
-    d = df.select(x.alias("x"), F.col(label).alias(label)).where(F.col("x").isNotNull())
+    # the range and the bins read these two columns
+    d = cut_lineage(df.select(x.alias("x"), F.col(label).alias(label)).where(F.col("x").isNotNull()))
     # one-row range (like numpy's first pass); literals keep the plan narrow
     lo_hi = d.agg(F.min("x"), F.max("x")).first()
     mn, mx = F.lit(lo_hi[0]).cast("double"), F.lit(lo_hi[1]).cast("double")

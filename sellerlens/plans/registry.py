@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import Params
+from ..session import cut_lineage
 from ..operators import abt as A
 from ..operators import descriptive as D
 from ..operators import features as FS
@@ -462,10 +463,12 @@ def _top(spark, sf, p):
 
 
 def _inputs(spark, sf, p, floor=True):
-    """Scored sellers of the scoring month, materialised once in the shared
-    checkpoint dir: greedy, optimal and the summary all read it."""
-    from ..session import cut_lineage
-    d = cut_lineage(X.decision_inputs(_scored(spark, sf, p), p.score_month))
+    """Scored sellers of the scoring month with their forecast LTV, materialised once in
+    the shared checkpoint dir: greedy, optimal and the summary all read it."""
+    o, i = _oi(spark, sf)
+    scored = _scored(spark, sf, p).where(F.col(FS.REF) == F.lit(p.score_month))
+    forecast = X.holt_forecast(D.monthly_ltv(o, i, p.window_start, p.window_end))
+    d = cut_lineage(X.decision_inputs(scored, p.score_month, forecast))
     return d.where(F.col("churn_proba") >= p.proba_floor) if floor else d
 
 
@@ -487,10 +490,20 @@ def _optimal(spark, sf, p):
 
 @register("roi_summary")
 def _roi(spark, sf, p):
-    cands = _inputs(spark, sf, p)
+    scored = _inputs(spark, sf, p, floor=False)
+    cands = scored.where(F.col("churn_proba") >= p.proba_floor)
     ws = [g for _, g in X.GIFT_TIERS] + [X.GIFT_DEFAULT]
-    return X.roi_summary(_inputs(spark, sf, p, floor=False), X.budget_greedy(cands, p.budget),
-                         X.budget_optimal(cands, p.budget, ws), p.proba_floor)
+    return X.roi_summary(scored, X.budget_greedy(cands, p.budget), X.budget_optimal(cands, p.budget, ws), p.proba_floor)
+
+
+@register("score_decision")
+def _score_decision(spark, sf, p):
+    """The whole chain: fitted model -> scores -> forecast LTV -> gifts -> exact selection."""
+    o, i = _oi(spark, sf)
+    forecast = X.holt_forecast(D.monthly_ltv(o, i, p.window_start, p.window_end))
+    scored = cut_lineage(X.decision_inputs(_score(spark, sf, p), p.score_month, forecast))
+    ws = [g for _, g in X.GIFT_TIERS] + [X.GIFT_DEFAULT]
+    return X.budget_optimal(scored.where(F.col("churn_proba") >= p.proba_floor), p.budget, ws)
 
 
 @register("monthly_profit")
@@ -513,7 +526,8 @@ FINAL_C = 0.1
 
 
 def _train_oot_score(spark, sf, p):
-    t = ST.time_split(_abt(spark, sf, p), p.oot_month, p.score_month)
+    # fits read their rows many times: the split ABT is written once
+    t = cut_lineage(ST.time_split(_abt(spark, sf, p), p.oot_month, p.score_month))
     return t.where("split = 'train'"), t.where("split = 'oot'"), t.where("split = 'score'")
 
 
@@ -590,7 +604,7 @@ def _cv(spark, sf, p):
 def _rfe(spark, sf, p):
     tr, _, _ = _train_oot_score(spark, sf, p)
     n = tr.count()
-    return MD.rfe(tr, lambda: MD.logistic(100, n))
+    return MD.rfe(tr, lambda: MD.logistic(100, n), k=3)
 
 
 @register("grid_search")
@@ -601,16 +615,18 @@ def _grid(spark, sf, p):
 
 @register("score")
 def _score(spark, sf, p):
-    tr, _, sc = _train_oot_score(spark, sf, p)
-    return MD.score(_final_model(tr, tr.count()), sc)
+    tr, oot, sc = _train_oot_score(spark, sf, p)
+    known = tr.unionByName(oot)  # the final fit uses all labelled months
+    return MD.score(_final_model(known, known.count()), sc)
 
 
 @register("persist_model")
 def _persist(spark, sf, p):
-    tr, _, sc = _train_oot_score(spark, sf, p)
+    tr, oot, sc = _train_oot_score(spark, sf, p)
+    known = tr.unionByName(oot)
     store = M.scratch_store(spark, "model")
     path = f"{store.root}/models/churn_logistic"
-    MD.save_model(_final_model(tr, tr.count()), path)
+    MD.save_model(_final_model(known, known.count()), path)
     return MD.score(MD.load_model(path), sc)
 
 
@@ -620,12 +636,18 @@ def _describe_full(spark, sf, p):
     return ST.describe_full(_abt(spark, sf, p), ABT_NUMERIC)
 
 
+def _scoring_sellers(spark, sf, p, series):
+    """``series`` of the sellers that the scoring month has, written once for its readers."""
+    wanted = _abt(spark, sf, p).where(F.col(FS.REF) == F.lit(p.score_month)).select("seller_id")
+    return cut_lineage(series.join(wanted, "seller_id", "left_semi"))
+
+
 @register("last_month_profit")
 def _last_month(spark, sf, p):
-    """X6 (history part): cumulative LTV summed over sellers in the last
+    """X6 (history part): cumulative LTV of the scoring month's sellers in the last
     history month, and that month's profit (change of the cumulative LTV)."""
     o, i = _oi(spark, sf)
-    prof = X.monthly_profit(D.monthly_ltv(o, i, p.window_start, p.window_end))
+    prof = X.monthly_profit(_scoring_sellers(spark, sf, p, D.monthly_ltv(o, i, p.window_start, p.window_end)))
     last = prof.select(F.max("order_month_purchase")).scalar()
     return (prof.where(F.col("order_month_purchase") == last)
             .agg(F.first("order_month_purchase").alias("month"),
@@ -635,9 +657,9 @@ def _last_month(spark, sf, p):
 
 @register("forecast_profit")
 def _forecast_profit(spark, sf, p):
-    """X1 + X6: next month's forecast total over all sellers (floored at 0)."""
+    """X1 + X6: next month's forecast total over the scoring month's sellers (floored at 0)."""
     o, i = _oi(spark, sf)
-    f = X.holt_forecast(D.monthly_ltv(o, i, p.window_start, p.window_end))
+    f = X.holt_forecast(_scoring_sellers(spark, sf, p, D.monthly_ltv(o, i, p.window_start, p.window_end)))
     return f.agg(F.first("order_month_purchase").alias("month"), F.count(F.lit(1)).alias("sellers"),
                  F.sum("forecast_ltv").alias("forecast_ltv_total"))
 

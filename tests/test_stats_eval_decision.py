@@ -6,7 +6,6 @@ import pandas as pd
 from conftest import d
 from pyspark.sql import functions as F
 
-from sellerlens.functions.tdist import t_two_sided_p
 from sellerlens.operators import decision as X
 from sellerlens.operators import evaluate as EV
 from sellerlens.operators import stats as ST
@@ -160,9 +159,12 @@ def test_holt_matches_python_recurrence(spark):
         assert abs(got[k] - _holt_py(ys, X.HOLT_ALPHAS, X.HOLT_BETAS)) < 1e-6
 
 
-def test_t_pvalue():
-    assert abs(t_two_sided_p(2.0, 10) - 0.07338803477) < 1e-8
-    assert abs(t_two_sided_p(0.0, 5) - 1.0) < 1e-12
+def test_t_pvalue(spark):
+    known = [(2.0, 10.0, 0.07338803477), (-2.0, 10.0, 0.07338803477), (0.5, 1.0, 0.70483276469), (0.0, 5.0, 1.0),
+             (12.7062047364, 1.0, 0.05), (1.9623390808, 1000.0, 0.05), (3.290526731, 1e9, 0.001), (40.0, 30.0, 0.0)]
+    df = spark.createDataFrame(known, "t double, dof double, want double")
+    for r in ST.t_two_sided(df).collect():
+        assert abs(r.p_value - r.want) < 1e-8, r
 
 
 def test_mllib_auc_numbins0_is_exact_with_ties(spark):
