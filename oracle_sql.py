@@ -202,6 +202,12 @@ _IN_WINDOW = f"""seen AS (
     ON order_purchase_timestamp < ref AND order_purchase_timestamp >= (ref - INTERVAL {P.lookback_months} MONTH)::DATE
   WHERE seller_id IS NOT NULL)"""
 
+# the wider item scope: all items of an order count for each of its sellers
+_WHOLE_ORDERS = f"""{_IN_WINDOW.replace("seen AS", "own AS", 1)},
+seen AS (
+  SELECT w.ref, w.seller_id, sales.* EXCLUDE (seller_id), date_diff('day', day, w.ref) AS age
+  FROM (SELECT DISTINCT ref, seller_id, order_id FROM own) w JOIN sales USING (order_id))"""
+
 _FS1 = f"""{_SALES},
 {_IN_WINDOW},
 described AS (
@@ -293,6 +299,12 @@ ABT_COLUMNS = (["_mt_date_reference", "seller_id", "recency"] + _FS1_COLS[:8]
                   "pct_status_delivered", "pct_status_canceled", "pct_delay_delivered_orders",
                   "quantity_delay_orders", "churn"])
 
+
+
+def _order_scope(sql: str) -> str:
+    return sql.replace(_IN_WINDOW, _WHOLE_ORDERS)
+
+
 MISSING_RATE = f"WITH {_ABT_CTES}\n" + "\nUNION ALL\n".join(
     f"SELECT '{c}' AS \"column\", AVG(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END) AS missing_rate FROM abt"
     for c in ABT_COLUMNS)
@@ -397,6 +409,9 @@ DOUBLES: dict[str, list[str]] = {
     "fs_order_totals": ["price", "freight_value"],
     "fs_seller_orders": _FS2_COLS,
     "abt_features": _FS1_COLS + _FS2_COLS,
+    "fs_seller_purchases_order_scope": _FS1_COLS, "fs_order_totals_order_scope": ["price", "freight_value"],
+    "fs_seller_orders_order_scope": _FS2_COLS, "abt_seller_churn_order_scope": _FS1_COLS + _FS2_COLS,
+    "seller_record": _FS1_COLS + _FS2_COLS,
     "abt_seller_churn": _FS1_COLS + _FS2_COLS,
     "impute": _FS1_COLS + _FS2_COLS,
     "missing_rate": ["missing_rate"],
@@ -433,6 +448,13 @@ _RAW: dict[str, str] = {
     "abt_features": ABT_FEATURES,
     "abt_label": ABT_LABEL,
     "abt_seller_churn": ABT_SELLER_CHURN,
+    "fs_seller_purchases_order_scope": _order_scope(FS_SELLER_PURCHASES),
+    "fs_order_totals_order_scope": _order_scope(FS_ORDER_TOTALS),
+    "fs_seller_orders_order_scope": _order_scope(FS_SELLER_ORDERS),
+    "abt_seller_churn_order_scope": _order_scope(ABT_SELLER_CHURN),
+    "seller_record": f"SELECT * FROM (\n{ABT_SELLER_CHURN}\n) z WHERE seller_id = {P.lookup_seller_id}",
+    "gold_load": """SELECT 'postgres_public_sellers_rfm' AS table_name, count(DISTINCT l_partkey) AS written_lines, 'overwrite' AS update_key FROM lineitem
+      UNION ALL SELECT 'postgres_public_sellers_price_selling_days', count(DISTINCT (l_partkey, o_orderdate)), 'overwrite' FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
     "bronze_stamp": BRONZE_STAMP,
     "silver_orders": SILVER_ORDERS,
     "silver_items": SILVER_ITEMS,

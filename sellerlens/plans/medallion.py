@@ -87,11 +87,12 @@ GOLD: dict[str, Callable[[DataFrame, DataFrame], DataFrame]] = {
 }
 
 
-def run_gold(store: TableStore, run_ts: _dt.datetime) -> dict[str, int]:
+def run_gold(store: TableStore, run_ts: _dt.datetime,
+             marts: Mapping[str, Callable[[DataFrame, DataFrame], DataFrame]] = GOLD) -> dict[str, int]:
     items = store.read("silver", "postgres_public_order_items")
     orders = store.read("silver", "postgres_public_orders")
     written = {}
-    for name, fn in GOLD.items():
+    for name, fn in marts.items():
         df = Q.stamp_gold(fn(items, orders), run_ts.date(), "overwrite")
         n = store.replace(df, "gold", name)
         store.log_load(name, n, run_ts, "gold")

@@ -199,6 +199,31 @@ def _fso(spark, sf, p):
     return FS.fs_seller_orders(o, i, p.refs, p.lookback_months, p.item_scope)
 
 
+@register("fs_seller_purchases_order_scope")
+def _fsp_order(spark, sf, p):
+    """The wider item scope: every item of a seller's orders counts for the seller."""
+    o, i = _oi(spark, sf)
+    return FS.fs_seller_purchases(o, i, p.refs, p.lookback_months, "order")
+
+
+@register("fs_order_totals_order_scope")
+def _fot_order(spark, sf, p):
+    o, i = _oi(spark, sf)
+    return FS.fs_order_totals(o, i, p.refs, p.lookback_months, "order")
+
+
+@register("fs_seller_orders_order_scope")
+def _fso_order(spark, sf, p):
+    o, i = _oi(spark, sf)
+    return FS.fs_seller_orders(o, i, p.refs, p.lookback_months, "order")
+
+
+@register("abt_seller_churn_order_scope")
+def _abt_order(spark, sf, p):
+    o, i = _oi(spark, sf)
+    return A.abt_seller_churn(o, i, p.refs, p.lookback_months, p.churn_days, "order")
+
+
 @register("abt_features")
 def _abtf(spark, sf, p):
     o, i = _oi(spark, sf)
@@ -323,6 +348,30 @@ def _abt(spark, sf, p):
     return A.abt_seller_churn(o, i, p.refs, p.lookback_months, p.churn_days, p.item_scope)
 
 
+@register("seller_record")
+def _seller_record(spark, sf, p):
+    """One seller's ABT rows."""
+    return _abt(spark, sf, p).where(F.col("seller_id") == F.lit(p.lookup_seller_id))
+
+
+@register("gold_load")
+def _gold_load(spark, sf, p):
+    """G1, G2 stamped, stored and logged from the silver tables."""
+    store = M.scratch_store(spark, "gold")
+    o, i = _oi(spark, sf)
+    store.create(i, "silver", "postgres_public_order_items")
+    store.create(o, "silver", "postgres_public_orders")
+    M.run_gold(store, RUN_TS, {k: f for k, f in M.GOLD.items() if "intermitent" not in k})
+    keys = None
+    for name in M.GOLD:
+        if "intermitent" in name:
+            continue
+        t = store.read("gold", name).select(F.lit(name).alias("table_name"), F.col("_mt_gold_update_key").alias("update_key")).distinct()
+        keys = t if keys is None else keys.unionByName(t)
+    log = store.load_log().where("layer = 'gold'").select("table_name", "written_lines")
+    return log.join(keys, "table_name")
+
+
 @register("missing_rate")
 def _mrate(spark, sf, p):
     return Q.missing_rate(_abt(spark, sf, p))
