@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import (date_lit, day_of, fractional_days, in_range,
                                  month_floor, month_index, year_month)
+from ..session import cut_lineage
 from .marts import bounded_calendar
 
 TS = "order_purchase_timestamp"
@@ -113,12 +114,13 @@ def monthly_ltv(orders: DataFrame, items: DataFrame, start, end, fill: str = "ze
     lines = (f.join(items.where(F.col("seller_id").isNotNull()), "order_id")
              .select("seller_id", "order_month_purchase",
                      (F.col("price") * F.col("order_item_id")).alias("monetary")))
-    monthly = lines.groupBy("seller_id", "order_month_purchase").agg(F.sum("monetary").alias("monetary"))
+    # written once: running totals, the calendar and the seller list read it, not the items again
+    monthly = cut_lineage(lines.groupBy("seller_id", "order_month_purchase").agg(F.sum("monetary").alias("monetary")))
     w = Window.partitionBy("seller_id").orderBy("order_month_purchase")
     ltv = monthly.select("seller_id", "order_month_purchase",
                          F.sum("monetary").over(w).alias("ltv"))
-    months = bounded_calendar(lines.select("order_month_purchase"), "order_month_purchase")
-    grid = (lines.select("seller_id").distinct()
+    months = bounded_calendar(monthly.select("order_month_purchase"), "order_month_purchase")
+    grid = (monthly.select("seller_id").distinct()
             .select("seller_id", F.explode(months).alias("order_month_purchase")))
     out = grid.join(ltv, ["seller_id", "order_month_purchase"], "left")
     if fill == "zero":
@@ -176,7 +178,6 @@ def seller_pareto(orders: DataFrame, items: DataFrame, start, end, top: int | No
     ``top`` distinct values and never needs a global window. ``top=None``
     ranks everyone with the distributed prefix count.
     """
-    from ..session import cut_lineage
     from .prefix import cumulative_counts
 
     # one row per seller, read by the count, the top-k, its floor and the

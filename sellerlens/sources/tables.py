@@ -3,9 +3,11 @@
 Operations are the ones a lakehouse catalog offers (create, append,
 create-or-replace, reload one partition, upsert); on plain parquet:
 * partition reload = dynamic partition overwrite (one write, idempotent);
-* upsert = target ``left_anti`` source, ``unionByName`` source; the merged
-  result is checkpointed into ``spark.checkpoint.dir`` (shared storage) before
-  the target path is rewritten, so the write never reads its own output;
+* replace and upsert (target ``left_anti`` source, ``unionByName`` source)
+  write a new version folder and then switch the table's small pointer file:
+  readers see the old version or the new one whole, a crash leaves the old
+  one live, and a plan may read the table that it replaces. The version
+  before the live one is kept for readers that still run, older ones go;
 * row counts for the load log are read back from the written parquet
   footers (metadata only, restricted to the partitions just written), so the
   batch is never scanned a second time. (``df.observe`` would avoid even
@@ -16,21 +18,30 @@ create-or-replace, reload one partition, upsert); on plain parquet:
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
-
 LOAD_LOG = ("_meta", "load_log")
 
 
+POINTER = "_live"
+
+
 class DuplicateKeyError(ValueError):
     pass
 
 
+class TableExistsError(ValueError):
+    pass
+
+
+class TableNotFoundError(LookupError):
+    pass
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str, max_records_per_file: int = 5_000_000,
                  dictionary_page_bytes: int = 128 * 1024 * 1024):
@@ -44,33 +55,69 @@ class TableStore:
     def path(self, db: str, table: str) -> str:
         return f"{self.root}/{db}/{table}"
 
+    def _fs(self, path: str):
+        """(file system, path) of the session's Hadoop configuration: local disk or any store."""
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
+
+    def versions(self, db: str, table: str) -> list[str]:
+        """The live version and, after a replace, the one before it."""
+        fs, p = self._fs(f"{self.path(db, table)}/{POINTER}")
+        if not fs.exists(p):
+            return []
+        stream = fs.open(p)
+        try:
+            return bytes(stream.readAllBytes()).decode().split()
+        finally:
+            stream.close()
+
+    def live(self, db: str, table: str) -> str:
+        """The folder of the live version."""
+        found = self.versions(db, table)
+        if not found:
+            raise TableNotFoundError(f"{db}.{table}")
+        return f"{self.path(db, table)}/{found[0]}"
+
+    def _switch(self, db: str, table: str, version: str) -> None:
+        before = self.versions(db, table)
+        fs, p = self._fs(f"{self.path(db, table)}/{POINTER}")
+        stream = fs.create(p, True)
+        try:
+            stream.write(bytearray(" ".join([version, *before[:1]]).encode()))
+        finally:
+            stream.close()
+        for old in before[1:]:
+            fs.delete(self._fs(f"{self.path(db, table)}/{old}")[1], True)
+
     def exists(self, db: str, table: str) -> bool:
         """K7."""
-        try:
-            self.spark.read.parquet(self.path(db, table)).schema  # noqa: B018
-            return True
-        except AnalysisException as e:
-            if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e) \
-                    or "UNABLE_TO_INFER_SCHEMA" in str(e):
-                return False
-            raise
+        return bool(self.versions(db, table))
 
     def read(self, db: str, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(db, table))
+        return self.spark.read.parquet(self.live(db, table))
 
     # ----------------------------------------------------------- writes
-    def _write(self, df: DataFrame, db: str, table: str, mode: str,
-               partition_by: Sequence[str] = (), dynamic: bool = False) -> None:
+    def _writer(self, df: DataFrame, mode: str, partition_by: Sequence[str] = ()):
         # no repartition by the partition column: a daily batch has a single
         # partition value and would land in one writer task; every input task
         # writes its own files instead, capped in size by maxRecordsPerFile
         w = (df.write.mode(mode).option("maxRecordsPerFile", self.max_records_per_file)
              .option("parquet.dictionary.page.size", self.dictionary_page_bytes))
-        if dynamic:
+        return w.partitionBy(*partition_by) if partition_by else w
+
+    def _new_version(self, df: DataFrame, db: str, table: str, partition_by: Sequence[str] = ()) -> None:
+        version = f"v-{uuid.uuid4().hex[:12]}"
+        self._writer(df, "errorifexists", partition_by).parquet(f"{self.path(db, table)}/{version}")
+        self._switch(db, table, version)
+
+    def _into_live(self, df: DataFrame, db: str, table: str, mode: str, partition_by: Sequence[str] = ()) -> None:
+        if not self.exists(db, table):
+            self._new_version(df, db, table, partition_by)
+            return
+        w = self._writer(df, mode, partition_by)
+        if mode == "overwrite":  # only the partitions that df holds
             w = w.option("partitionOverwriteMode", "dynamic")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(self.path(db, table))
+        w.parquet(self.live(db, table))
 
     def count_rows(self, db, table, partition_col: str | None = None, values=None) -> int:
         """Rows of the table (or of the given partitions): answered from the
@@ -82,37 +129,33 @@ class TableStore:
 
     def create(self, df, db, table, partition_by=()) -> int:
         """K1."""
-        self._write(df, db, table, "errorifexists", partition_by)
+        if self.exists(db, table):
+            raise TableExistsError(f"{db}.{table}")
+        self._new_version(df, db, table, partition_by)
         return self.count_rows(db, table)
 
     def append(self, df, db, table, partition_by=(), partition_values=None) -> int | None:
         """K2. Returns the rows of ``partition_values`` when given (the
         partitions this append creates), else ``None``."""
-        self._write(df, db, table, "append", partition_by)
+        self._into_live(df, db, table, "append", partition_by)
         if partition_by and partition_values is not None:
             return self.count_rows(db, table, partition_by[0], partition_values)
         return None
 
     def replace(self, df, db, table, partition_by=()) -> int:
-        """K3: create-or-replace. A plan reading the target is cut first."""
-        if self.exists(db, table):
-            df = cut_lineage(df)
-        self._write(df, db, table, "overwrite", partition_by)
+        """K3: create-or-replace; ``df`` may read the table itself."""
+        self._new_version(df, db, table, partition_by)
         return self.count_rows(db, table)
 
     def reload_partition(self, df, db, table, partition_col: str, values=None) -> int:
         """K4: replace exactly the partitions present in ``df`` (idempotent).
         ``values``: the partition values being loaded, for the row count."""
-        if not self.exists(db, table):
-            self._write(df, db, table, "errorifexists", [partition_col])
-        else:
-            self._write(df, db, table, "overwrite", [partition_col], dynamic=True)
+        self._into_live(df, db, table, "overwrite", [partition_col])
         return self.count_rows(db, table, partition_col, values)
 
     def reload_parts(self, df, db, table, parts: dict) -> int:
         """K4 for one partition of several columns, given by their values."""
-        mode = "overwrite" if self.exists(db, table) else "errorifexists"
-        self._write(df, db, table, mode, list(parts), dynamic=mode == "overwrite")
+        self._into_live(df, db, table, "overwrite", list(parts))
         t = self.read(db, table)
         for c, v in parts.items():
             t = t.where(F.col(c) == F.lit(v))
@@ -129,7 +172,7 @@ class TableStore:
             return self.create(df, db, table)
         target = self.read(db, table)
         merged = target.join(df.select(*keys), list(keys), "left_anti").unionByName(df)
-        self._write(cut_lineage(merged), db, table, "overwrite")
+        self._new_version(merged, db, table)
         return self.count_rows(db, table)
 
     def write(self, df, db, table, mode: str, keys=None, partition_by=()) -> int:

@@ -131,3 +131,20 @@ def test_money_format(spark):
     from sellerlens.functions.columns import money
     r = spark.createDataFrame([(9610970.224,)], "x double").select(money("x").alias("m")).first()
     assert r["m"] == "$9,610,970.22"
+
+
+def test_replace_switches_versions_and_may_read_itself(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    store.create(spark.range(10).toDF("k"), "d", "t")
+    old = store.read("d", "t")
+    store.replace(store.read("d", "t").selectExpr("k + 1 AS k"), "d", "t")
+    assert old.count() == 10  # a reader of the version before still finds its files
+    store.replace(store.read("d", "t").where("k > 5"), "d", "t")
+    assert sorted(r.k for r in store.read("d", "t").collect()) == [6, 7, 8, 9, 10]
+    assert len(store.versions("d", "t")) == 2
+    live = store.live("d", "t")
+    try:  # a failing write leaves the live version alone
+        store.replace(store.read("d", "t").selectExpr("k", "raise_error('x') AS e"), "d", "t")
+    except Exception:
+        pass
+    assert store.live("d", "t") == live and store.read("d", "t").count() == 5
