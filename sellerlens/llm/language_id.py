@@ -7,7 +7,8 @@
 * **Training.** Follow-the-regularised-leader with per-coordinate rates and an
   elastic-net penalty (L1 keeps the weights sparse) over at most ``per_class``
   documents of each language, lowest id hashes first; a bounded sample, so one
-  task holds it. Every fifth of them is set aside for calibration.
+  task holds it. A hash threshold from the language's row count thins the rows
+  before any shuffle, so a language with most rows sends no more than others. Every fifth of them is set aside for calibration.
 * **Calibration.** One temperature, found by golden-section search on the
   calibration part's log loss, divides the scores before the softmax.
 * **Prediction** covers every whole text.
@@ -34,7 +35,9 @@ from pyspark.sql import functions as F
 from sellerlens.llm.common import map_arrow
 
 DIMS = 1 << 15
-PER_CLASS = 1500
+PER_CLASS = 1000
+# A language's rows are thinned by id hash to about this many times its sample before they are ranked.
+SPARE = 4
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 2e-4, 1e-4
 LETTER = re.compile(r"[^\W\d_]")
@@ -125,13 +128,17 @@ def temperature(scores: np.ndarray, y: np.ndarray) -> float:
     return math.exp((a + b) / 2)
 
 
-def fit(train: DataFrame, idf: np.ndarray, classes: list[str], per_class: int = PER_CLASS, epochs: int = EPOCHS):
+def fit(train: DataFrame, idf: np.ndarray, sizes: dict[str, int], per_class: int = PER_CLASS, epochs: int = EPOCHS):
     """(weights, temperature) from the bounded labelled sample, trained in one task."""
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
-    # each map task keeps its first per_class rows of a language before the shuffle
+    classes = sorted(sizes)
+    spot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    limit = F.lit(0)
+    for lang, n in sizes.items():
+        limit = F.when(F.col("lang") == lang, F.lit(math.ceil((1 << 30) * min(1.0, SPARE * per_class / n)))).otherwise(limit)
+    order = Window.partitionBy("lang").orderBy("_s", "doc_id", F.xxhash64("text"))
     sample = (
-        train.select("doc_id", "lang", "text").withColumn("_r", F.row_number().over(order))
-        .where(F.col("_r") <= per_class).select("text", "lang", "_r").repartition(1)
+        train.select("doc_id", "lang", "text", spot.alias("_s")).where(F.col("_s") < limit)
+        .withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= per_class).select("text", "lang", "_r").repartition(1)
     )
 
     def run(batches):
@@ -159,11 +166,12 @@ def identify(docs: DataFrame, dims: int = DIMS, per_class: int = PER_CLASS) -> D
     """(doc_id, train, lang_pred, score) for every row of ``docs`` (doc_id, text, lang, train)."""
     d = docs.select("doc_id", "text", "lang", "train")
     train = d.where("train AND lang IS NOT NULL AND text IS NOT NULL")
-    classes = sorted(r.lang for r in train.select("lang").distinct().collect())
+    sizes = {r.lang: r.n for r in train.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    classes = sorted(sizes)
     if classes:
         df, n = document_frequency(train, dims)
         idf = np.log((n + 1) / (df + 1)) + 1.0
-        weights, t = fit(train, idf, classes, per_class)
+        weights, t = fit(train, idf, sizes, per_class)
 
     def one(text):
         if not classes or not text or not LETTER.search(text):
