@@ -9,9 +9,10 @@
   those rows only.
 * X5 exact 0/1 knapsack for few distinct weights: inside one weight class an
   optimal pick is always the class's top-n by value, so the search is over
-  count vectors (n_w) with sum(n_w * w) <= budget. Counts are generated with
-  ``sequence`` + equi-joins on the per-class prefix sums; nothing grows with
-  the number of candidate rows except one ranking window per class.
+  counts per class. Classes are folded in one by one: the best value per
+  spent cost so far meets the class's prefix sums by an equi-join on the
+  count, and only the best row per cost goes on. The work is a sum over the
+  classes of costs x counts, never their product.
 """
 
 from __future__ import annotations
@@ -96,14 +97,11 @@ def budget_greedy(cands: DataFrame, budget: float, proba: str = "churn_proba",
 
 # ------------------------------------------------------------------- X5
 def budget_optimal(cands: DataFrame, budget: float, weights: Sequence[float],
-                   value: str = "ltv", gift: str = "gift", key: str = "seller_id",
-                   max_weights: int = 4) -> DataFrame:
+                   value: str = "ltv", gift: str = "gift", key: str = "seller_id") -> DataFrame:
     """Exact 0/1 knapsack (max total value with total gift <= budget) for
     rows whose gift is one of ``weights``. Returns the chosen rows.
     Ties: higher value, then lower cost, then fewer rows of the first weights."""
     ws = sorted({float(w) for w in weights if 0 < float(w) <= budget}, reverse=True)
-    if len(ws) > max_weights:
-        raise ValueError(f"{len(ws)} distinct weights; exact search supports at most {max_weights}")
     if not ws:
         return cands.limit(0)
     c = cands.where((F.col(value) > 0) & F.col(gift).isin(ws))
@@ -123,25 +121,21 @@ def budget_optimal(cands: DataFrame, budget: float, weights: Sequence[float],
                                                F.lit(0).alias("_rank"), F.lit(0.0).alias("_v"))
     pref = pref.select(F.col(gift).cast("double").alias(gift), F.col("_rank").cast("int").alias("_rank"),
                        "_v").unionByName(zero)
-    combos = None
-    for i, w in enumerate(ws):
-        t = (pref.where(F.col(gift) == w)
-             .select(F.col("_rank").alias(f"n{i}"), F.col("_v").alias(f"v{i}")))
-        if combos is None:
-            combos = t.select(f"n{i}", f"v{i}", (F.col(f"n{i}") * w).alias("cost"), F.col(f"v{i}").alias("value"))
-            continue
-        # counts of this class that still fit, then an equi-join on the count
-        room = F.floor((F.lit(budget) - F.col("cost")) / w).cast("int")
-        combos = combos.select("*", F.explode(F.sequence(F.lit(0), room)).alias(f"n{i}"))
-        combos = combos.join(F.broadcast(t), f"n{i}")
-        combos = combos.select(*[c_ for c_ in combos.columns if c_ not in ("cost", "value")],
-                               (F.col("cost") + F.col(f"n{i}") * w).alias("cost"),
-                               (F.col("value") + F.col(f"v{i}")).alias("value"))
-    order = [F.desc("value"), F.asc("cost"), *[F.asc(f"n{i}") for i in range(len(ws))]]
-    best = combos.orderBy(*order).limit(1)
+    state = ranked.sparkSession.range(1).select(F.lit(0.0).alias("cost"), F.lit(0.0).alias("value"),
+                                                F.array().cast("array<int>").alias("ns"))
+    for w in ws:
+        t = pref.where(F.col(gift) == w).select(F.col("_rank").alias("n"), "_v")
+        room = F.floor((F.lit(float(budget)) - F.col("cost")) / w).cast("int")
+        state = (
+            state.withColumn("n", F.explode(F.sequence(F.lit(0), room))).join(t, "n")
+            .select((F.col("cost") + F.col("n") * w).alias("cost"), (F.col("value") + F.col("_v")).alias("value"),
+                    F.concat("ns", F.array(-F.col("n"))).alias("ns"))
+            .groupBy("cost").agg(F.max(F.struct("value", "ns")).alias("best")).select("cost", "best.*")
+        )
+    best = state.orderBy(F.desc("value"), F.asc("cost"), F.desc("ns")).limit(1)
     counts = best.select(F.explode(F.array(*[
-        F.struct(F.lit(w).alias(gift), F.col(f"n{i}").alias("_n")) for i, w in enumerate(ws)])).alias("x")
-    ).select("x.*")
+        F.struct(F.lit(w).alias(gift), (-F.col("ns")[i]).alias("_n")) for i, w in enumerate(ws)])).alias("x")
+    ).select("x.*")  # one row per class
     return (ranked.join(F.broadcast(counts), gift)
             .where(F.col("_rank") <= F.col("_n")).drop("_rank", "_n"))
 
