@@ -65,21 +65,6 @@ def in_range(ts, start, end) -> Column:
     return (ts >= ts_of(start)) & (ts < ts_of(end))
 
 
-def upper_trim(c) -> Column:
-    return F.upper(F.trim(col_(c)))
-
-
-def clip_low(c, low=0.0) -> Column:
-    return F.greatest(col_(c), F.lit(low))
-
-
-def flag_gt(c, threshold, truncate: bool = False) -> Column:
-    x = col_(c)
-    if truncate:
-        x = x.cast("int")
-    return (x > F.lit(threshold)).cast("int")
-
-
 def sigmoid(features: Sequence[str], coefs: Sequence[float], intercept: float = 0.0) -> Column:
     """Logistic function of a linear score written as a column expression."""
     z = F.lit(float(intercept))

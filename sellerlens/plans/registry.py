@@ -602,7 +602,7 @@ def _mmscale(spark, sf, p):
         FS.REF, "seller_id", *MD.MINMAX_FEATURES)
 
 
-@register("pipeline")
+@register("feature_pipeline")
 def _pipe(spark, sf, p):
     from pyspark.ml.functions import vector_to_array
     tr, _, _ = _train_oot_score(spark, sf, p)
