@@ -67,6 +67,20 @@ def parse(formatted: str) -> list[Turn]:
     return [(unescape(m["role"]), unescape(m["inst"] if m["inst"] is not None else m["plain"])) for m in _TURN.finditer(formatted)]
 
 
+def first_difference(a: str, b: str) -> int | None:
+    """Where two strings first differ, by halving; None if one begins with the other."""
+    low, high = 0, min(len(a), len(b))
+    if a[:high] == b[:high]:
+        return None
+    while high - low > 1:
+        mid = (low + high) // 2
+        if a[low:mid] == b[low:mid]:
+            low = mid
+        else:
+            high = mid
+    return low
+
+
 def locate(turns: list[Turn], template: Template) -> tuple[str, bool, list[tuple[int, int]]]:
     """(output, rewrites history, text span [s, e) of each turn; empty list if history is rewritten)."""
     before, spans = "", []
@@ -75,7 +89,7 @@ def locate(turns: list[Turn], template: Template) -> tuple[str, bool, list[tuple
         if not now.startswith(before):
             return template(turns), True, []
         probes = [template([*turns[:i], (role, p)]) for p in ("A", "B")]
-        start = next((k for k, (a, b) in enumerate(zip(*probes)) if a != b), None)
+        start = first_difference(*probes)
         if start is None or start < len(before) or not now.startswith(probes[0][:start]):
             return template(turns), True, []
         size = len(now) - len(probes[0]) + 1
