@@ -38,7 +38,7 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = license_scan.scan(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_base", "first_word", "last_word",
-                      F.array_join("base_labels", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), "score")
+                      F.array_join("base_labels", ",").alias("base_labels"), F.array_join("labels", ",").alias("labels"), F.round("score", 6).alias("score"))
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
