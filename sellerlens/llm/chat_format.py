@@ -13,8 +13,13 @@ roles and texts with backslashes, reversibly. ``parse`` reads the turns back
 from the output alone.
 
 Conversations stream: rows are dealt by conversation and sorted, and one
-conversation at a time is held. Its renderings take time quadratic in its
-number of turns; that is the price of treating the template as a black box.
+conversation at a time is held. Rendering every prefix of a long conversation
+takes time quadratic in its turns. So beyond ``BLOCK`` turns prefixes grow
+inside blocks, each behind the first turn and the one before the block, and
+the turns' pieces are joined; the result counts only if it equals the rendering
+of the whole conversation and of its prefixes of 1, 2, 4, .. turns. Otherwise
+(a template that rewrites history, or numbers its turns) all prefixes are
+rendered after all.
 
 Cases: null role or text is empty; null conv_id is one conversation; rows tie
 by (turn, role, text), null turn first; repeated rows are turns of their own;
@@ -32,6 +37,8 @@ from pyspark.sql import DataFrame
 
 from sellerlens.llm.common import map_arrow
 
+BLOCK = 16
+
 Turn = tuple[str, str]
 Template = Callable[[list[Turn]], str]
 
@@ -81,21 +88,53 @@ def first_difference(a: str, b: str) -> int | None:
     return low
 
 
-def locate(turns: list[Turn], template: Template) -> tuple[str, bool, list[tuple[int, int]]]:
-    """(output, rewrites history, text span [s, e) of each turn; empty list if history is rewritten)."""
-    before, spans = "", []
+def _grow(context: list[Turn], turns: list[Turn], template: Template) -> list[tuple[str, int, int]] | None:
+    """Successive prefixes of ``turns`` behind ``context``: each turn's piece of output and the text's
+    place [s, e) in it; None if some output does not begin with the one before."""
+    before, out = template(context) if context else "", []
     for i, (role, _) in enumerate(turns):
-        now = template(turns[:i + 1])
-        if not now.startswith(before):
-            return template(turns), True, []
-        probes = [template([*turns[:i], (role, p)]) for p in ("A", "B")]
+        head = [*context, *turns[:i]]
+        now = template([*head, turns[i]])
+        probes = [template([*head, (role, p)]) for p in ("A", "B")]
         start = first_difference(*probes)
-        if start is None or start < len(before) or not now.startswith(probes[0][:start]):
-            return template(turns), True, []
+        if not now.startswith(before) or start is None or start < len(before) or not now.startswith(probes[0][:start]):
+            return None
         size = len(now) - len(probes[0]) + 1
-        spans.append((start, start + size))
+        out.append((now[len(before):], start - len(before), start - len(before) + size))
         before = now
-    return before, False, spans
+    return out
+
+
+def _in_blocks(turns: list[Turn], template: Template) -> list[tuple[str, int, int]] | None:
+    """``_grow`` block by block, confirmed against whole renderings; None if they disagree."""
+    out = []
+    for s in range(0, len(turns), BLOCK):
+        context = [*turns[:1], *turns[max(1, s - 1):s]] if s else []
+        grown = _grow(context, turns[s:s + BLOCK], template)
+        if grown is None:
+            return None
+        out += grown
+    size = 1
+    while size < 2 * len(turns):
+        n = min(size, len(turns))
+        if template(turns[:n]) != "".join(piece for piece, _, _ in out[:n]):
+            return None
+        size *= 2
+    return out
+
+
+def locate(turns: list[Turn], template: Template) -> tuple[str, bool, list[tuple[int, int]]]:
+    """(output, rewrites history, text span [s, e) of each turn; empty list if history is rewritten)."""
+    pieces = _in_blocks(turns, template) if len(turns) > BLOCK else None
+    if pieces is None:
+        pieces = _grow([], turns, template)
+    if pieces is None:
+        return template(turns), True, []
+    spans, at = [], 0
+    for piece, s, e in pieces:
+        spans.append((at + s, at + e))
+        at += len(piece)
+    return "".join(piece for piece, _, _ in pieces), False, spans
 
 
 def _formatter(template: Template, loss_role: str):
