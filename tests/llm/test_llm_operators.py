@@ -480,6 +480,25 @@ def test_rewriting_templates_are_detected():
     assert not chat_format.locate([("user", "q"), ("assistant", "a")], only_last_reasoning)[1]
 
 
+def test_long_conversations_equal_all_prefixes():
+    r = random.Random(3)
+    turns = [(r.choice(["user", "assistant", "system"]), " ".join(words(r.randrange(0, 12), i))) for i in range(90)]
+    out, rewrites, spans = chat_format.locate(turns, chat_format.inst_template)
+    assert not rewrites and out == chat_format.inst_template(turns)
+    assert [chat_format.unescape(out[s:e]) for s, e in spans] == [t for _, t in turns]
+
+    def numbered(ts):  # blocks cannot know a turn's number: all prefixes are rendered
+        return "".join(f"<{i}>{t}</{i}>" for i, (_, t) in enumerate(ts))
+
+    out, rewrites, spans = chat_format.locate(turns, numbered)
+    assert not rewrites and [out[s:e] for s, e in spans] == [t for _, t in turns]
+
+    def only_last_full(ts):  # history is shortened
+        return "".join(f"<{t if i == len(ts) - 1 else t[:3]}>" for i, (_, t) in enumerate(ts))
+
+    assert chat_format.locate(turns, only_last_full)[1:] == (True, [])
+
+
 def test_chats_equal_plain_digest(spark):
     rows = [(1, 1, "assistant", "b"), (1, 0, "user", "a"), (2, 0, None, None), (2, None, "assistant", "first"), (None, 3, "user", "n"), (1, 2, "assistant", "c"), (1, 2, "assistant", "c")]
     df = spark.createDataFrame([(*x, "z") for x in rows], "conv_id long, turn long, role string, text string, formatted string")
