@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import tier
+from ..session import cut_lineage
 
 # Gift tiers of the reference (floor of churn probability -> gift).
 GIFT_TIERS = ((0.95, 10000.0), (0.85, 400.0), (0.75, 100.0))
@@ -112,7 +113,8 @@ def budget_optimal(cands: DataFrame, budget: float, weights: Sequence[float],
         t = c.where(F.col(gift) == w).orderBy(F.desc(value), F.asc(key)).limit(int(budget // w))
         top = t if top is None else top.unionByName(t)
     r = Window.partitionBy(gift).orderBy(F.desc(value), F.asc(key))
-    ranked = top.select("*", F.row_number().over(r).alias("_rank"))
+    # a bounded table, read once per tier and by the result
+    ranked = cut_lineage(top.select("*", F.row_number().over(r).alias("_rank")))
     # per-class prefix sums for n <= budget // w (n = 0 added), a bounded table
     run = Window.partitionBy(gift).orderBy("_rank").rowsBetween(Window.unboundedPreceding, 0)
     pref = (ranked.select(gift, "_rank", F.sum(value).over(run).alias("_v"))

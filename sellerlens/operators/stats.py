@@ -72,12 +72,13 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Count, mean, sample std, min, quartiles (exact, linear interpolation), max."""
     cols = list(cols or numeric_columns(df))
     df = cut_lineage(df.select(*cols))  # read by the moments and by the quartiles
-    x = F.col("value")
-    long = to_long(df, cols)
-    g = long.groupBy("column").agg(
-        F.count(x).cast("double").alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
-        F.min(x).alias("min"), F.max(x).alias("max"))
-    return g.join(F.broadcast(quartiles(long)), "column", "left").select(
+    aggs = []
+    for c in cols:
+        x = F.col(c).cast("double")
+        aggs += [F.count(x).cast("double").alias(f"count__{c}"), F.avg(x).alias(f"mean__{c}"),
+                 F.stddev_samp(x).alias(f"std__{c}"), F.min(x).alias(f"min__{c}"), F.max(x).alias(f"max__{c}")]
+    g = _long(df.agg(*aggs), cols, ["count", "mean", "std", "min", "max"])
+    return g.join(F.broadcast(quartiles(to_long(df, cols))), "column", "left").select(
         "column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")  # one row per column
 
 
