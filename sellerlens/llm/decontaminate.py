@@ -27,16 +27,18 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sellerlens.llm.common import ALNUM_TABLE, alnum_words, map_arrow
+from sellerlens.llm.common import ALNUM_TABLE, alnum_words, apart, keep_if_listed, map_arrow, materialise, unpacked
 
 WINDOW = 13
 SHARD_WORDS = 500_000
 DROP_COVERAGE = 0.5
 
-SCAN = "doc_id long, n_words long, longest long, spans array<struct<s:int,e:int>>, items array<string>"
+FOUND = "n_words long, longest long, spans array<struct<s:int,e:int>>, items array<string>"
+SCAN = f"doc_id long, {FOUND}"
+HITS = f"k binary, {FOUND}"
 _WORD = re.compile(rb"[^ ]+")
 
 
@@ -199,6 +201,20 @@ def _shards(benchmark: DataFrame, shard_words: int) -> list[list[tuple[str | Non
     return [s for s in shards if s]
 
 
+def merged(spans) -> list[tuple[int, int]]:
+    """Spans in order, touching ones as one."""
+    out: list[tuple[int, int]] = []
+    for s, e in sorted(spans):
+        if out and s <= out[-1][1]:
+            out[-1] = (out[-1][0], max(e, out[-1][1]))
+        else:
+            out.append((s, e))
+    return out
+
+
+_SPANS = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())]))
+
+
 def _scanner(items: list, window: int) -> Callable:
     key = hash((window, tuple(items)))
 
@@ -206,19 +222,51 @@ def _scanner(items: list, window: int) -> Callable:
         automaton = _automaton(key, items, window)
         for b in batches:
             out = []
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist()):
+            for text in b.column(1).cast(pa.binary()).to_pylist():
                 words = alnum_words(text or b"")
                 longest, spans, found = automaton.scan(words)
-                out.append((doc, len(words), longest, [{"s": a, "e": e} for a, e in spans], sorted(x for x in found if x is not None)))
-            cols = list(zip(*out)) or [[]] * 5
-            span = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())]))
-            types = [pa.int64(), pa.int64(), pa.int64(), span, pa.list_(pa.string())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
-                                             names=["doc_id", "n_words", "longest", "spans", "items"])
+                out.append((len(words), longest, [{"s": a, "e": e} for a, e in spans], sorted(x for x in found if x is not None)))
+            cols = list(zip(*out)) or [[]] * 4
+            types = [pa.int64(), pa.int64(), _SPANS, pa.list_(pa.string())]
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, t) for c, t in zip(cols, types))],
+                                             names=[b.schema.names[0], "n_words", "longest", "spans", "items"])
 
     return run
 
 
+def _merger(batches):
+    for b in batches:
+        k = b.schema.get_field_index("spans")
+        spans = [[{"s": a, "e": e} for a, e in merged((x["s"], x["e"]) for x in row)] for row in b.column(k).to_pylist()]
+        yield b.set_column(k, "spans", pa.array(spans, _SPANS))
+
+
+def _key(text: Column) -> Column:
+    """Equal texts have equal results, so shards are merged per text hash: no id is needed, rows stay rows."""
+    return F.unhex(F.sha2(text.cast("binary"), 256))
+
+
+def _hits(docs: DataFrame, shards: list, window: int) -> DataFrame:
+    """HITS per text with a match in any shard; spans are merged over all shards."""
+    d = docs.where("text IS NOT NULL").select(_key(F.col("text")).alias("k"), "text")
+    found = [map_arrow(d, _scanner(items, window), HITS).where("longest > 0").withColumn("shard", F.lit(n))
+             for n, items in enumerate(shards)]
+    every = found[0]
+    for f in found[1:]:
+        every = every.unionByName(f)
+    # copies of a text go before lists are collected: at most one row per shard and text is left
+    every = every.groupBy("k", "shard").agg(*[F.max(c).alias(c) for c in ("n_words", "longest", "spans", "items")])
+    every = every.groupBy("k").agg(
+        F.max("n_words").alias("n_words"), F.max("longest").alias("longest"), F.flatten(F.collect_list("spans")).alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+    )
+    return map_arrow(every, _merger, HITS)
+
+
+def _n_hit() -> Column:
+    return F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + x["e"] - x["s"])
+
+
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORDS) -> DataFrame:
     """Per document: n_words, longest match, hit word spans [s, e) and the items whose windows occur."""
     d = docs.select("doc_id", "text")
@@ -244,11 +292,20 @@ def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_word
 
 def measure(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORDS) -> DataFrame:
     """``scan`` with n_hit and the contamination verdict."""
-    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + x["e"] - x["s"])
-    out = scan(docs, benchmark, window, shard_words).withColumn("n_hit", n_hit)
+    out = scan(docs, benchmark, window, shard_words).withColumn("n_hit", _n_hit())
     return out.withColumn("contaminated", contaminated(F.col("n_hit"), F.col("n_words")))
 
 
+def cut_spans(text: bytes, spans: list[tuple[int, int]]) -> bytes:
+    at = [m.span() for m in _WORD.finditer(text.translate(ALNUM_TABLE))]
+    cut = 0
+    kept = []
+    for s, e in spans:
+        kept.append(text[cut:at[s][0]])
+        cut = at[e - 1][1]
+    return b"".join([*kept, text[cut:]])
+
+
 def clean_text(text: bytes, automaton: SuffixAutomaton, drop_coverage: float) -> bytes | None:
     """``text`` without its hit spans when contaminated; None when hits cover too much of it."""
     while True:
@@ -259,13 +316,7 @@ def clean_text(text: bytes, automaton: SuffixAutomaton, drop_coverage: float) ->
             return text
         if n_hit > drop_coverage * len(words):
             return None
-        at = [m.span() for m in _WORD.finditer(text.translate(ALNUM_TABLE))]
-        cut = 0
-        kept = []
-        for s, e in spans:
-            kept.append(text[cut:at[s][0]])
-            cut = at[e - 1][1]
-        text = b"".join([*kept, text[cut:]])
+        text = cut_spans(text, spans)
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORDS,
@@ -274,26 +325,59 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, sh
 
     A text whose hits cover more than ``drop_coverage`` of its words goes
     altogether; texts that are not contaminated stay byte for byte. All
-    columns are kept, ``n_chars`` (if there) follows a changed text.
+    columns are kept, ``n_chars`` (if there) follows a changed text. Both
+    verdicts count the hits of all shards together.
     """
-    plain = docs
-    for items in _shards(benchmark, shard_words):
-        key = hash((window, tuple(items)))
-
-        def run(batches, items=items, key=key):
-            automaton = _automaton(key, items, window)
-            for b in batches:
-                k = b.schema.get_field_index("text")
-                texts = b.column(k).cast(pa.binary()).to_pylist()
-                new = [None if t is None else clean_text(t, automaton, drop_coverage) for t in texts]
-                keep = pa.array([t is None or n is not None for t, n in zip(texts, new)], pa.bool_())
-                cols = list(b.columns)
-                cols[k] = pa.array(new, pa.binary()).cast(pa.string())
-                if "n_chars" in b.schema.names:
-                    j = b.schema.get_field_index("n_chars")
-                    old = cols[j].to_pylist()
-                    cols[j] = pa.array([o if n is t or n == t or n is None else len(n.decode()) for o, t, n in zip(old, texts, new)], cols[j].type)
-                yield pa.RecordBatch.from_arrays(cols, names=b.schema.names).filter(keep)
-
-        plain = map_arrow(plain, run, docs.schema)
-    return plain
+    shards = _shards(benchmark, shard_words)
+    if len(shards) > 1:
+        return _remove_by_rounds(docs, shards, window, drop_coverage)
+    items = shards[0]
+    key = hash((window, tuple(items)))
+
+    def run(batches):
+        automaton = _automaton(key, items, window)
+        for b in batches:
+            k = b.schema.get_field_index("text")
+            texts = b.column(k).cast(pa.binary()).to_pylist()
+            new = [None if t is None else clean_text(t, automaton, drop_coverage) for t in texts]
+            keep = pa.array([t is None or n is not None for t, n in zip(texts, new)], pa.bool_())
+            cols = list(b.columns)
+            cols[k] = pa.array(new, pa.binary()).cast(pa.string())
+            if "n_chars" in b.schema.names:
+                j = b.schema.get_field_index("n_chars")
+                old = cols[j].to_pylist()
+                cols[j] = pa.array([o if n is t or n == t or n is None else len(n.decode()) for o, t, n in zip(old, texts, new)], cols[j].type)
+            yield pa.RecordBatch.from_arrays(cols, names=b.schema.names).filter(keep)
+
+    return map_arrow(docs, run, docs.schema)
+
+
+def _cutter(batches):
+    for b in batches:
+        text, spans = (b.column(b.schema.get_field_index(c)) for c in ("text", "spans"))
+        new = [cut_spans(t, [(x["s"], x["e"]) for x in s]) for t, s in zip(text.cast(pa.binary()).to_pylist(), spans.to_pylist())]
+        yield pa.RecordBatch.from_arrays(
+            [b.column(b.schema.get_field_index("row")), pa.array(new, pa.binary()).cast(pa.string())], names=["row", "text"])
+
+
+def _remove_by_rounds(docs: DataFrame, shards: list, window: int, drop_coverage: float) -> DataFrame:
+    """Each round scans all shards, then cuts or drops by the merged hits; texts that were cut go into
+    the next round, as a cut may join words into a new window. Every round takes words away, so it ends."""
+    columns, todo, done = docs.columns, docs, None
+    while True:
+        bad = materialise(_hits(todo, shards, window).withColumn("n_hit", _n_hit())
+                          .where(contaminated(F.col("n_hit"), F.col("n_words"))))
+        if bad.isEmpty():
+            return todo if done is None else done.unionByName(todo)
+        rows = todo.select(_key(todo["text"]).alias("k"), F.struct(*[todo[c] for c in columns]).alias("row"))
+        maybe = keep_if_listed(rows, "k", bad.select("k"))
+        clean = keep_if_listed(rows, "k", bad.select("k"), listed=False).unionByName(maybe.join(apart(bad), "k", "left_anti"))
+        clean = unpacked(clean, columns)
+        done = clean if done is None else done.unionByName(clean)
+        dirty = bad.where(F.col("n_hit") <= drop_coverage * F.col("n_words")).select("k", "spans")
+        dirty = maybe.join(apart(dirty), "k").select("row", F.col("row.text").alias("text"), "spans")
+        changed = {"text": F.col("text")}
+        if "n_chars" in columns:
+            changed["n_chars"] = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+        cut = map_arrow(dirty, _cutter, dirty.select("row", "text").schema)
+        todo = materialise(unpacked(cut, columns, **changed))

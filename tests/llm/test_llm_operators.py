@@ -288,6 +288,28 @@ def test_removed_spans_leave_clean_texts(spark, hostile):
     assert decontaminate.measure(hostile.limit(0), bench).count() == 0
 
 
+def test_removed_spans_do_not_depend_on_shards(spark, hostile):
+    a, b, c, d = (words(20, i) for i in (21, 22, 23, 24))
+    join = lambda *parts: " ".join(w for p in parts for w in p)
+    bench = items(spark, [" ".join(x) for x in (a, b, c, d)] + [None])
+    texts = [
+        join(words(300, 31), a, words(300, 32), b, words(30, 33)),  # 3 % from each of two shards
+        join(words(10, 34), a, words(8, 35), b, words(8, 36)),  # over half only together
+        join(words(100, 37), a, b, words(100, 38)),  # touching spans of two shards
+        join(words(80, 39), c[:10], d, c[10:], words(80, 40)),  # the cut makes a new window
+        join(words(900, 41), a), join(words(60, 42)), join(a, b), None, "",
+    ]
+    docs = frame(spark, texts).unionByName(frame(spark, texts[:3])).unionByName(frame(spark, texts).withColumn("doc_id", F.lit(None).cast("long")))
+    assert len(decontaminate._shards(bench, 40)) > 1
+    for table in (docs, hostile):
+        one, many = decontaminate.remove_spans(table, bench), decontaminate.remove_spans(table, bench, shard_words=40)
+        assert many.columns == one.columns and many.exceptAll(one).count() == 0 and one.exceptAll(many).count() == 0
+    out = {r.doc_id: r.text for r in decontaminate.remove_spans(frame(spark, texts), bench, shard_words=40).collect()}
+    assert alnum(out[0]) == words(300, 31) + words(300, 32) + words(30, 33)
+    assert alnum(out[3]) == words(80, 39) + words(80, 40)
+    assert set(out) == {0, 2, 3, 4, 5, 7, 8}
+
+
 # ---------------------------------------------------------------- line dedup
 
 def brute_deleted(rows, min_words):
