@@ -7,7 +7,7 @@ document words inside an occurrence of a window are hit.
 
 Benchmarks are dealt into shards of at most ``shard_words`` item words. One
 shard's items travel with the tasks, so what is broadcast has a fixed bound;
-larger benchmarks mean more passes, whose spans are merged per document.
+larger benchmarks mean more passes, whose spans are merged per text hash.
 
 Before streaming, NumPy keeps only stretches in which every adjacent word
 pair also occurs in an item: a necessary condition for any window, so
@@ -15,9 +15,9 @@ nothing is lost and almost no word of a clean text reaches the automaton.
 
 Cases: null or wordless documents have 0 words, no hits and are not
 contaminated; null or wordless items give no window; items with equal texts
-each count; a null item_id hits words but is not listed; repeated rows are
-judged alike (over several shards equal doc_ids must be unique); empty tables
-give empty results; columns besides (doc_id, text) are ignored.
+each count; a null item_id hits words but is not listed; every row, with a
+null or repeated doc_id too, has its own result for any number of shards; empty
+tables give empty results; columns besides (doc_id, text) are ignored.
 """
 
 from __future__ import annotations
@@ -269,25 +269,17 @@ def _n_hit() -> Column:
 
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORDS) -> DataFrame:
     """Per document: n_words, longest match, hit word spans [s, e) and the items whose windows occur."""
-    d = docs.select("doc_id", "text")
-    parts = [map_arrow(d, _scanner(items, window), SCAN) for items in _shards(benchmark, shard_words)]
-    if len(parts) == 1:
-        return parts[0]
-    every = parts[0]
-    for p in parts[1:]:
-        every = every.unionByName(p)
-    merged = every.groupBy("doc_id").agg(
-        F.max("n_words").alias("n_words"), F.max("longest").alias("longest"),
-        F.sort_array(F.flatten(F.collect_list("spans"))).alias("_s"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-    )
-    reach = "transform(_s, (x, i) -> array_max(transform(slice(_s, 1, i + 1), y -> y.e)))"
-    merged = merged.withColumn("_r", F.expr(reach)).withColumn(
-        "spans",
-        F.expr("""filter(transform(_s, (x, i) -> struct(
-            IF(i = 0, x.s, greatest(x.s, get(_r, i - 1))) AS s, get(_r, i) AS e)), x -> x.s < x.e)"""),
-    )
-    return merged.select("doc_id", "n_words", "longest", "spans", "items")
+    doc = F.col("doc_id").cast("long").alias("doc_id")
+    shards = _shards(benchmark, shard_words)
+    if len(shards) == 1:
+        return map_arrow(docs.select(doc, "text"), _scanner(shards[0], window), SCAN)
+    # every row with its number of words; the hits of its text are joined back, so rows stay rows
+    d = docs.select(F.struct(doc, _key(F.col("text")).alias("k")).alias("row"), "text")
+    rows = map_arrow(d, _scanner([], window), f"row struct<doc_id:long,k:binary>, {FOUND}")
+    rows = rows.select("row.doc_id", "row.k", "n_words")
+    out = rows.join(apart(_hits(docs, shards, window).drop("n_words")), "k", "left")
+    none = {"longest": "0L", "spans": "CAST(array() AS array<struct<s:int,e:int>>)", "items": "CAST(array() AS array<string>)"}
+    return out.select("doc_id", "n_words", *[F.coalesce(c, F.expr(v)).alias(c) for c, v in none.items()])
 
 
 def measure(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORDS) -> DataFrame:

@@ -310,6 +310,18 @@ def test_removed_spans_do_not_depend_on_shards(spark, hostile):
     assert set(out) == {0, 2, 3, 4, 5, 7, 8}
 
 
+def test_measured_rows_do_not_depend_on_shards(spark, hostile):
+    a, b = words(20, 21), words(20, 22)
+    rows = [(1, " ".join(words(60, 31) + a)), (1, " ".join(words(60, 31) + a)), (1, " ".join(words(60, 32) + b + a)),
+            (None, " ".join(words(60, 33) + b)), (None, " ".join(words(90, 34))), (None, None), (2, None), (2, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOCS)
+    bench = items(spark, [" ".join(a), " ".join(b), " ".join(words(30, 1)[:20]), " ".join(words(60, 2)[9:40])])
+    for table in (docs, hostile):
+        one, many = decontaminate.measure(table, bench), decontaminate.measure(table, bench, shard_words=40)
+        assert many.columns == one.columns and many.count() == table.count()
+        assert many.exceptAll(one).count() == 0 and one.exceptAll(many).count() == 0
+
+
 # ---------------------------------------------------------------- line dedup
 
 def brute_deleted(rows, min_words):
