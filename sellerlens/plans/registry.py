@@ -653,7 +653,7 @@ def _cv(spark, sf, p):
 def _rfe(spark, sf, p):
     tr, _, _ = _train_oot_score(spark, sf, p)
     n = tr.count()
-    return MD.rfe(tr, lambda: MD.logistic(100, n), k=3)
+    return MD.rfe(tr, lambda: MD.logistic(100, n), k=10)
 
 
 @register("grid_search")

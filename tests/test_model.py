@@ -89,3 +89,12 @@ def test_saved_model_scores_alike(abt, tmp_path):
     MD.save_model(m, str(tmp_path / "m"))
     one, two = (sorted(map(tuple, MD.score(x, abt).collect())) for x in (m, MD.load_model(str(tmp_path / "m"))))
     assert one == two and len(one) == 300
+
+
+def test_rfe_key_uses_the_reference_folds(monkeypatch):
+    from sellerlens.plans import registry as R
+    seen = {}
+    monkeypatch.setattr(R, "_train_oot_score", lambda *a: (type("T", (), {"count": lambda self: 1})(), None, None))
+    monkeypatch.setattr(R.MD, "rfe", lambda *a, **k: seen.update(k))
+    R._rfe(None, None, None)
+    assert seen["k"] == 10
