@@ -20,6 +20,8 @@ the turns' pieces are joined; the result counts only if it equals the rendering
 of the whole conversation and of its prefixes of 1, 2, 4, .. turns. Otherwise
 (a template that rewrites history, or numbers its turns) all prefixes are
 rendered after all.
+So in conversations of more than ``BLOCK`` turns rewriting that shows only in
+whole prefixes between the checked ones, and not in the whole, is not detected.
 
 Cases: null role or text is empty; null conv_id is one conversation; rows tie
 by (turn, role, text), null turn first; repeated rows are turns of their own;
