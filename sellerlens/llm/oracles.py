@@ -147,7 +147,32 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_b
 FROM d LEFT JOIN doc USING (doc_id)
 """
 
+# Every term of every document scored for every item that holds it, in 64-bit integers.
+OP11 = f"""
+WITH d AS (
+  SELECT doc_id, w, len(w) AS n FROM (SELECT doc_id, regexp_extract_all({_FOLD}, {_ALNUM}) AS w FROM documents) WHERE len(w) > 0
+),
+c AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS terms FROM d),
+q AS (
+  SELECT item_id, t, count(*) AS times
+  FROM (SELECT item_id, unnest(regexp_extract_all({_FOLD}, {_ALNUM})) AS t FROM benchmark) GROUP BY item_id, t
+),
+tf AS (
+  SELECT doc_id, n, t, count(*) AS tf FROM (SELECT doc_id, n, unnest(w) AS t FROM d)
+  WHERE t IN (SELECT t FROM q) GROUP BY doc_id, n, t
+),
+wt AS (SELECT t, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM (SELECT t, count(*) AS df FROM tf GROUP BY t), c),
+part AS (
+  SELECT tf.doc_id, tf.t, wt.w * ((1000000000 * tf.tf) // (1000 * tf.tf + 12 * (75 + (25 * tf.n * c.docs) // c.terms))) AS s
+  FROM tf JOIN wt USING (t), c
+),
+total AS (SELECT item_id, doc_id, sum(times * s)::BIGINT AS score FROM part JOIN q USING (t) GROUP BY item_id, doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM total WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
 ORACLES = {
+    "op11_ranked_search": OP11,
     "op3_license_scan": OP3,
     "op2_jaccard_join": OP2,
     "op4_decontaminate": OP4,

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sellerlens.llm import (chat_format, decontaminate, jaccard_join, language_id, license_scan, line_dedup, packing,
-                            pii, quality_llr, url_filters)
+                            pii, quality_llr, ranked_search, secret_scan, turn_repair, url_filters)
 from sellerlens.llm.common import map_arrow, table
 from sellerlens.llm.oracles import ORACLES  # noqa: F401 - part of this module's interface
 
@@ -108,6 +108,36 @@ def op10_quality_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "base_failed", "kept", "llr")
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def damaged(chats: DataFrame) -> DataFrame:
+    """The rows after damage by crc32('conv_id:turn') % 20; a dropped row only names its conversation."""
+    told = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))  # noqa: E731 - nulls are one space
+    rows = chats.select("conv_id", "turn", told("role").alias("role"), told("text").alias("text"),
+                        F.pmod(F.crc32(F.concat(told("conv_id"), F.lit(":"), told("turn")).cast("binary")), F.lit(20)).alias("fault"))
+    text = F.when(F.col("fault") == 1, "").when(F.col("fault") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    role = F.when(F.col("fault") == 4, "user").otherwise(F.col("role"))
+    return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), (F.col("fault") != 0).alias("present"),
+                       F.explode(F.array_repeat(F.lit(0), F.when(F.col("fault") == 3, 2).otherwise(1))).alias("copy")).drop("copy")
+
+
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = turn_repair.repair(damaged(table(spark, sf_dir, "conversations")))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit(":"), t["text"])), "\n")
+    return out.select("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit",
+                      F.sha2(said, 256).alias("repaired_sha256"))
+
+
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = secret_scan.scan(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long")
+    counts = [count(kind).alias(f"n_{kind}") for kind in secret_scan.KINDS]
+    return out.select("doc_id", *counts, F.sha2(_spans_text("base"), 256).alias("base_sha256"),
+                      _spans_text("spans").alias("spans"), (F.size("spans") - F.size("base")).cast("long").alias("n_learned"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_jaccard_join": op2_jaccard_join,
@@ -119,4 +149,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filters": op8_url_filters,
     "op9_chat_format": op9_chat_format,
     "op10_quality_llr": op10_quality_llr,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_turn_repair": op12_turn_repair,
+    "op13_secret_scan": op13_secret_scan,
 }
