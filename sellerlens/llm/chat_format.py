@@ -5,23 +5,23 @@ successive turn prefixes and compares consecutive outputs: where an output
 begins with the one before, the rest is the new turn's span; where it does
 not, the template rewrites history and the conversation is flagged, as spans
 found in prefixes would not hold in the whole. Inside a span the text is
-located by rendering the same prefix with two probe texts: the place of
-their first difference is where the text begins.
+located by rendering the same prefix with two probe texts of the text's own
+length: between their first and last difference the text stands, and what
+follows there must follow the real text too. A template that shortens texts,
+or whose surroundings depend on what a text says, cannot be located like
+this; it is flagged as well.
 
 The own template marks each turn by control strings and escapes these inside
 roles and texts with backslashes, reversibly. ``parse`` reads the turns back
 from the output alone.
 
 Conversations stream: rows are dealt by conversation and sorted, and one
-conversation at a time is held. Rendering every prefix of a long conversation
-takes time quadratic in its turns. So beyond ``BLOCK`` turns prefixes grow
-inside blocks, each behind the first turn and the one before the block, and
-the turns' pieces are joined; the result counts only if it equals the rendering
-of the whole conversation and of its prefixes of 1, 2, 4, .. turns. Otherwise
-(a template that rewrites history, or numbers its turns) all prefixes are
-rendered after all.
-So in conversations of more than ``BLOCK`` turns rewriting that shows only in
-whole prefixes between the checked ones, and not in the whole, is not detected.
+conversation at a time is held. By default every prefix is rendered and
+compared, whatever the length, so rewriting at any prefix is seen; time is
+quadratic in a conversation's characters, as a black box allows no less. With
+``every=k`` a caller who knows that his template does not rewrite has only
+every k-th prefix (and the last) rendered: k turns' pieces are then located
+one by one behind that prefix.
 
 Cases: null role or text is empty; null conv_id is one conversation; rows tie
 by (turn, role, text), null turn first; repeated rows are turns of their own;
@@ -39,8 +39,6 @@ from pyspark.sql import DataFrame
 
 from sellerlens.llm.common import map_arrow
 
-BLOCK = 16
-
 Turn = tuple[str, str]
 Template = Callable[[list[Turn]], str]
 
@@ -90,63 +88,49 @@ def first_difference(a: str, b: str) -> int | None:
     return low
 
 
-def _grow(context: list[Turn], turns: list[Turn], template: Template) -> list[tuple[str, int, int]] | None:
-    """Successive prefixes of ``turns`` behind ``context``: each turn's piece of output and the text's
-    place [s, e) in it; None if some output does not begin with the one before."""
-    before, out = template(context) if context else "", []
-    for i, (role, _) in enumerate(turns):
-        head = [*context, *turns[:i]]
-        now = template([*head, turns[i]])
-        probes = [template([*head, (role, p)]) for p in ("A", "B")]
-        start = first_difference(*probes)
-        if not now.startswith(before) or start is None or start < len(before) or not now.startswith(probes[0][:start]):
-            return None
-        size = len(now) - len(probes[0]) + 1
-        out.append((now[len(before):], start - len(before), start - len(before) + size))
+def place(head: list[Turn], turn: Turn, now: str, template: Template) -> tuple[int, int] | None:
+    """[s, e) of the last turn's text in the output ``now`` of ``[*head, turn]``; None if it cannot be told."""
+    role, text = turn
+    size = max(1, len(text))
+    a, b = (template([*head, (role, c * size)]) for c in "AB")
+    start = first_difference(a, b)
+    # the probes must differ in their whole length and nowhere else
+    if start is None or len(a) != len(b) or a[start:start + size] != "A" * size or b[start:start + size] != "B" * size:
+        return None
+    tail = a[start + size:]
+    end = len(now) - len(tail)
+    if b[start + size:] != tail or end < start or now[:start] != a[:start] or now[end:] != tail:
+        return None
+    return start, end
+
+
+def locate(turns: list[Turn], template: Template, every: int = 1) -> tuple[str, bool, list[tuple[int, int]]]:
+    """(output, rewrites history or hides its texts, text span [s, e) of each turn; empty list if so)."""
+    spans, before = [], ""
+    for i, turn in enumerate(turns):
+        if every > 1 and i % every and i < len(turns) - 1:
+            continue
+        now = template(turns[:i + 1])
+        if not now.startswith(before):
+            return template(turns), True, []
+        for j in range(len(spans), i + 1):
+            upto = now if j == i else template(turns[:j + 1])
+            found = place(turns[:j], turns[j], upto, template)
+            if found is None or found[0] < (spans[-1][1] if spans else 0) or (j == i and found[0] < len(before)):
+                return template(turns), True, []
+            spans.append(found)
         before = now
-    return out
+    return before, False, spans
 
 
-def _in_blocks(turns: list[Turn], template: Template) -> list[tuple[str, int, int]] | None:
-    """``_grow`` block by block, confirmed against whole renderings; None if they disagree."""
-    out = []
-    for s in range(0, len(turns), BLOCK):
-        context = [*turns[:1], *turns[max(1, s - 1):s]] if s else []
-        grown = _grow(context, turns[s:s + BLOCK], template)
-        if grown is None:
-            return None
-        out += grown
-    size = 1
-    while size < 2 * len(turns):
-        n = min(size, len(turns))
-        if template(turns[:n]) != "".join(piece for piece, _, _ in out[:n]):
-            return None
-        size *= 2
-    return out
-
-
-def locate(turns: list[Turn], template: Template) -> tuple[str, bool, list[tuple[int, int]]]:
-    """(output, rewrites history, text span [s, e) of each turn; empty list if history is rewritten)."""
-    pieces = _in_blocks(turns, template) if len(turns) > BLOCK else None
-    if pieces is None:
-        pieces = _grow([], turns, template)
-    if pieces is None:
-        return template(turns), True, []
-    spans, at = [], 0
-    for piece, s, e in pieces:
-        spans.append((at + s, at + e))
-        at += len(piece)
-    return "".join(piece for piece, _, _ in pieces), False, spans
-
-
-def _formatter(template: Template, loss_role: str):
+def _formatter(template: Template, loss_role: str, every: int):
     schema = pa.schema([
         ("conv_id", pa.int64()), ("formatted", pa.string()), ("rewrites", pa.bool_()),
         ("spans", pa.list_(pa.struct([("turn", pa.int32()), ("s", pa.int32()), ("e", pa.int32()), ("loss", pa.bool_())]))),
     ])
 
     def one(conv, turns):
-        out, rewrites, spans = locate(turns, template)
+        out, rewrites, spans = locate(turns, template, every)
         return conv, out, rewrites, [{"turn": i, "s": s, "e": e, "loss": turns[i][0] == loss_role} for i, (s, e) in enumerate(spans)]
 
     def run(batches):
@@ -170,9 +154,9 @@ def _formatter(template: Template, loss_role: str):
     return run
 
 
-def format_chats(conversations: DataFrame, template: Template = inst_template, loss_role: str = "assistant") -> DataFrame:
-    """Per conversation: formatted text, whether the template rewrites history, and each turn's text
-    span (code points, end exclusive) with its loss flag."""
+def format_chats(conversations: DataFrame, template: Template = inst_template, loss_role: str = "assistant", every: int = 1) -> DataFrame:
+    """Per conversation: formatted text, whether the template rewrites history (or its texts cannot be
+    located), and each turn's text span (code points, end exclusive) with its loss flag."""
     rows = conversations.select("conv_id", "turn", "role", "text")
     rows = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
-    return map_arrow(rows, _formatter(template, loss_role), FORMATTED)
+    return map_arrow(rows, _formatter(template, loss_role, every), FORMATTED)

@@ -3,11 +3,14 @@ prefilter, byte-level word splitting and distributed connected components."""
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 import zipfile
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,7 +48,8 @@ def shared_dir(spark: SparkSession) -> str:
         return d.rstrip("/")
     app = spark.sparkContext.applicationId
     if app not in _local_dir:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         _local_dir[app] = tempfile.mkdtemp(prefix="llm-shared-")
     return _local_dir[app]
@@ -65,10 +69,25 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system: Python workers live on after a task, and the next stage's need room."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def map_arrow(df: DataFrame, func, schema) -> DataFrame:
-    """``mapInArrow`` whose function may use this package's modules."""
+    """``mapInArrow`` whose function may use this package's modules; its memory goes back when a task ends."""
     ship(df.sparkSession)
-    return df.mapInArrow(func, schema)
+
+    def run(batches):
+        yield from func(batches)
+        give_back()
+
+    return df.mapInArrow(run, schema)
 
 
 def materialise(df: DataFrame) -> DataFrame:

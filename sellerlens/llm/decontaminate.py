@@ -5,9 +5,13 @@ through it and the longest matching length is tracked. A window is 13
 consecutive item words (a shorter, non-empty item is one window of its own);
 document words inside an occurrence of a window are hit.
 
-Benchmarks are dealt into shards of at most ``shard_words`` item words. One
-shard's items travel with the tasks, so what is broadcast has a fixed bound;
-larger benchmarks mean more passes, whose spans are merged per text hash.
+Benchmarks are read in shards of at most ``shard_words`` item words (longer
+items in pieces that overlap by a window less one word, so every window lies
+in a piece). One shard is held by the driver at a time and travels with the
+tasks, so what is broadcast has a fixed bound; larger benchmarks mean more
+passes, whose spans are merged per text hash. One plan serves every size: the
+first pass returns every row, later ones only texts with a match. (The longest
+match is told within a piece: an item longer than a shard counts as its pieces.)
 
 Before streaming, NumPy keeps only stretches in which every adjacent word
 pair also occurs in an item: a necessary condition for any window, so
@@ -37,8 +41,9 @@ SHARD_WORDS = 500_000
 DROP_COVERAGE = 0.5
 
 FOUND = "n_words long, longest long, spans array<struct<s:int,e:int>>, items array<string>"
-SCAN = f"doc_id long, {FOUND}"
+ROWS = f"row struct<doc_id:long,k:binary>, {FOUND}"
 HITS = f"k binary, {FOUND}"
+_FOUND = ("n_words", "longest", "spans", "items")
 _WORD = re.compile(rb"[^ ]+")
 
 
@@ -183,22 +188,36 @@ def _automaton(key: int, items: list, window: int) -> SuffixAutomaton:
     return _built[key]
 
 
-def _shards(benchmark: DataFrame, shard_words: int) -> list[list[tuple[str | None, bytes]]]:
-    """Item texts in shards; a word takes two bytes at least, so n_bytes / 2 bounds the words."""
-    rows = benchmark.where("text IS NOT NULL").select(
-        F.col("item_id").cast("string").alias("item"), F.encode("text", "utf-8").alias("text")
-    ).orderBy("item", "text")
-    total = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    if total <= 2 * shard_words:
-        return [[(r.item, bytes(r.text)) for r in rows.collect()]]
-    shards, size = [[]], 0
-    for r in rows.toLocalIterator():
-        shards[-1].append((r.item, bytes(r.text)))
-        size += len(r.text)
-        if size >= 2 * shard_words:
-            shards.append([])
-            size = 0
-    return [s for s in shards if s]
+def _pieces(piece_words: int, window: int):
+    """(item, words of a piece joined by blanks, their number)."""
+    step = max(1, piece_words - window + 1)
+
+    def run(batches):
+        for b in batches:
+            out = []
+            for item, text in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist()):
+                words = alnum_words(text or b"")
+                for s in range(0, max(1, len(words) - window + 1), step):
+                    part = words[s:s + step + window - 1]
+                    out.append((item, b" ".join(part), len(part)))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*out)) or [[]] * 3, (pa.string(), pa.binary(), pa.int64()))],
+                                             names=["item", "words", "n"])
+
+    return run
+
+
+def shards(benchmark: DataFrame, shard_words: int, window: int = WINDOW) -> Iterator[list[tuple[str | None, bytes]]]:
+    """Normalised items, one bounded shard at a time; one empty shard if there is no word."""
+    rows = map_arrow(benchmark.select(F.col("item_id").cast("string").alias("item"), "text"),
+                     _pieces(max(window, shard_words), window), "item string, words binary, n long").where("n > 0")
+    shard, size = [], 0
+    for r in materialise(rows).toLocalIterator():
+        if shard and size + r.n > shard_words:
+            yield shard
+            shard, size = [], 0
+        shard.append((r.item, bytes(r.words)))
+        size += r.n
+    yield shard
 
 
 def merged(spans) -> list[tuple[int, int]]:
@@ -215,21 +234,25 @@ def merged(spans) -> list[tuple[int, int]]:
 _SPANS = pa.list_(pa.struct([("s", pa.int32()), ("e", pa.int32())]))
 
 
-def _scanner(items: list, window: int) -> Callable:
+def _scanner(items: list, window: int, every_row: bool) -> Callable:
+    """First column, then FOUND; without ``every_row`` only of texts with a match, be it too short to hit."""
     key = hash((window, tuple(items)))
 
     def run(batches):
         automaton = _automaton(key, items, window)
         for b in batches:
-            out = []
-            for text in b.column(1).cast(pa.binary()).to_pylist():
-                words = alnum_words(text or b"")
+            out, rows = [], []
+            for i, text in enumerate(b.column(1).cast(pa.binary())):
+                words = alnum_words(text.as_py() or b"")
                 longest, spans, found = automaton.scan(words)
-                out.append((len(words), longest, [{"s": a, "e": e} for a, e in spans], sorted(x for x in found if x is not None)))
+                if every_row or longest:
+                    rows.append(i)
+                    out.append((len(words), longest, [{"s": a, "e": e} for a, e in spans], sorted(x for x in found if x is not None)))
             cols = list(zip(*out)) or [[]] * 4
             types = [pa.int64(), pa.int64(), _SPANS, pa.list_(pa.string())]
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, t) for c, t in zip(cols, types))],
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows, pa.int64())), *(pa.array(c, t) for c, t in zip(cols, types))],
                                              names=[b.schema.names[0], "n_words", "longest", "spans", "items"])
+        _built.clear()
 
     return run
 
@@ -246,16 +269,18 @@ def _key(text: Column) -> Column:
     return F.unhex(F.sha2(text.cast("binary"), 256))
 
 
-def _hits(docs: DataFrame, shards: list, window: int) -> DataFrame:
-    """HITS per text with a match in any shard; spans are merged over all shards."""
+def _shard_hits(docs: DataFrame, items: list, window: int) -> DataFrame:
+    """HITS of the texts with a match in one shard, once per text, written to the shared folder."""
     d = docs.where("text IS NOT NULL").select(_key(F.col("text")).alias("k"), "text")
-    found = [map_arrow(d, _scanner(items, window), HITS).where("longest > 0").withColumn("shard", F.lit(n))
-             for n, items in enumerate(shards)]
-    every = found[0]
-    for f in found[1:]:
-        every = every.unionByName(f)
-    # copies of a text go before lists are collected: at most one row per shard and text is left
-    every = every.groupBy("k", "shard").agg(*[F.max(c).alias(c) for c in ("n_words", "longest", "spans", "items")])
+    found = map_arrow(d, _scanner(items, window, every_row=False), HITS)
+    return materialise(found.groupBy("k").agg(*[F.max(c).alias(c) for c in ("n_words", "longest", "spans", "items")]))
+
+
+def _merged_hits(parts: list[DataFrame]) -> DataFrame:
+    """HITS per text over all shards: at most one row per shard and text is collected."""
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part)
     every = every.groupBy("k").agg(
         F.max("n_words").alias("n_words"), F.max("longest").alias("longest"), F.flatten(F.collect_list("spans")).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
@@ -269,17 +294,22 @@ def _n_hit() -> Column:
 
 def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORDS) -> DataFrame:
     """Per document: n_words, longest match, hit word spans [s, e) and the items whose windows occur."""
-    doc = F.col("doc_id").cast("long").alias("doc_id")
-    shards = _shards(benchmark, shard_words)
-    if len(shards) == 1:
-        return map_arrow(docs.select(doc, "text"), _scanner(shards[0], window), SCAN)
-    # every row with its number of words; the hits of its text are joined back, so rows stay rows
-    d = docs.select(F.struct(doc, _key(F.col("text")).alias("k")).alias("row"), "text")
-    rows = map_arrow(d, _scanner([], window), f"row struct<doc_id:long,k:binary>, {FOUND}")
-    rows = rows.select("row.doc_id", "row.k", "n_words")
-    out = rows.join(apart(_hits(docs, shards, window).drop("n_words")), "k", "left")
-    none = {"longest": "0L", "spans": "CAST(array() AS array<struct<s:int,e:int>>)", "items": "CAST(array() AS array<string>)"}
-    return out.select("doc_id", "n_words", *[F.coalesce(c, F.expr(v)).alias(c) for c, v in none.items()])
+    d = docs.select(F.struct(F.col("doc_id").cast("long").alias("doc_id"), _key(F.col("text")).alias("k")).alias("row"), "text")
+    rows, more = None, []
+    for items in shards(benchmark, shard_words, window):
+        if rows is None:
+            rows = map_arrow(d, _scanner(items, window, every_row=True), ROWS).select("row.*", *_FOUND)
+        else:
+            more.append(_shard_hits(docs, items, window))
+    if not more:
+        return rows.drop("k")
+    first = [F.col(c).alias(f"_{c}") for c in _FOUND]
+    out = rows.select("doc_id", "k", *first).join(apart(_merged_hits(more)), "k", "left")
+    none = {"spans": "CAST(array() AS array<struct<s:int,e:int>>)", "items": "CAST(array() AS array<string>)"}
+    both = [F.concat(f"_{c}", F.coalesce(c, F.expr(v))).alias(c) for c, v in none.items()]
+    out = out.select("doc_id", F.col("_n_words").alias("n_words"), F.greatest("_longest", F.coalesce("longest", F.lit(0).cast("long"))).alias("longest"), *both)
+    out = out.withColumn("items", F.array_sort(F.array_distinct("items")))
+    return map_arrow(out, _merger, f"doc_id long, {FOUND}")
 
 
 def measure(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORDS) -> DataFrame:
@@ -298,17 +328,12 @@ def cut_spans(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*kept, text[cut:]])
 
 
-def clean_text(text: bytes, automaton: SuffixAutomaton, drop_coverage: float) -> bytes | None:
-    """``text`` without its hit spans when contaminated; None when hits cover too much of it."""
-    while True:
-        words = alnum_words(text)
-        _, spans, _ = automaton.scan(words)
-        n_hit = sum(e - s for s, e in spans)
-        if not contaminated(n_hit, len(words)):
-            return text
-        if n_hit > drop_coverage * len(words):
-            return None
-        text = cut_spans(text, spans)
+def _cutter(batches):
+    for b in batches:
+        text, spans = (b.column(b.schema.get_field_index(c)) for c in ("text", "spans"))
+        new = [cut_spans(t, [(x["s"], x["e"]) for x in s]) for t, s in zip(text.cast(pa.binary()).to_pylist(), spans.to_pylist())]
+        yield pa.RecordBatch.from_arrays(
+            [b.column(b.schema.get_field_index("row")), pa.array(new, pa.binary()).cast(pa.string())], names=["row", "text"])
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORDS,
@@ -319,46 +344,16 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, sh
     altogether; texts that are not contaminated stay byte for byte. All
     columns are kept, ``n_chars`` (if there) follows a changed text. Both
     verdicts count the hits of all shards together.
-    """
-    shards = _shards(benchmark, shard_words)
-    if len(shards) > 1:
-        return _remove_by_rounds(docs, shards, window, drop_coverage)
-    items = shards[0]
-    key = hash((window, tuple(items)))
-
-    def run(batches):
-        automaton = _automaton(key, items, window)
-        for b in batches:
-            k = b.schema.get_field_index("text")
-            texts = b.column(k).cast(pa.binary()).to_pylist()
-            new = [None if t is None else clean_text(t, automaton, drop_coverage) for t in texts]
-            keep = pa.array([t is None or n is not None for t, n in zip(texts, new)], pa.bool_())
-            cols = list(b.columns)
-            cols[k] = pa.array(new, pa.binary()).cast(pa.string())
-            if "n_chars" in b.schema.names:
-                j = b.schema.get_field_index("n_chars")
-                old = cols[j].to_pylist()
-                cols[j] = pa.array([o if n is t or n == t or n is None else len(n.decode()) for o, t, n in zip(old, texts, new)], cols[j].type)
-            yield pa.RecordBatch.from_arrays(cols, names=b.schema.names).filter(keep)
-
-    return map_arrow(docs, run, docs.schema)
-
 
-def _cutter(batches):
-    for b in batches:
-        text, spans = (b.column(b.schema.get_field_index(c)) for c in ("text", "spans"))
-        new = [cut_spans(t, [(x["s"], x["e"]) for x in s]) for t, s in zip(text.cast(pa.binary()).to_pylist(), spans.to_pylist())]
-        yield pa.RecordBatch.from_arrays(
-            [b.column(b.schema.get_field_index("row")), pa.array(new, pa.binary()).cast(pa.string())], names=["row", "text"])
-
-
-def _remove_by_rounds(docs: DataFrame, shards: list, window: int, drop_coverage: float) -> DataFrame:
-    """Each round scans all shards, then cuts or drops by the merged hits; texts that were cut go into
-    the next round, as a cut may join words into a new window. Every round takes words away, so it ends."""
+    Each round scans (hash, text) only; then rows of contaminated texts are cut
+    or dropped and all others pass by. Texts that were cut go into the next
+    round, as a cut may join words into a new window. Every round takes words
+    away, so it ends.
+    """
     columns, todo, done = docs.columns, docs, None
     while True:
-        bad = materialise(_hits(todo, shards, window).withColumn("n_hit", _n_hit())
-                          .where(contaminated(F.col("n_hit"), F.col("n_words"))))
+        hits = _merged_hits([_shard_hits(todo, items, window) for items in shards(benchmark, shard_words, window)])
+        bad = materialise(hits.withColumn("n_hit", _n_hit()).where(contaminated(F.col("n_hit"), F.col("n_words"))))
         if bad.isEmpty():
             return todo if done is None else done.unionByName(todo)
         rows = todo.select(_key(todo["text"]).alias("k"), F.struct(*[todo[c] for c in columns]).alias("row"))

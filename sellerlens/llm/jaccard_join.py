@@ -20,10 +20,15 @@ when 100 * |a & b| >= 80 * |a | b|.
   floor(0.2 n)+1 smallest shingles (exact prefix filter among themselves).
 
 Signatures shared by documents that are not yet in one component are *open*.
-Linear star rounds test every open document against one pivot and contract
-what links; while these pay off they are repeated. What stays open goes, as
-a query set, against its family's members in blocks of bounded size. Sets
-equal to each other are one class from the start, so copies never meet.
+Linear star rounds test open documents against an open signature's pivot: its
+most central document, the one whose signatures have the most holders (of a
+text and its many near copies, the text). The first round tests each document
+against the pivot it shares most with, later ones against all its pivots, after
+which a pivot leaves its signatures; rounds go on while they pay off. What
+stays open goes, as a query set, against its family's members in blocks of
+bounded size. Labels that prune tests are contracted by a few hops only; the
+components proper are computed once, from all links. Sets equal to each other
+are one class from the start, so copies never meet.
 
 Cases: null, empty or wordless text has n_shingles 0 and is linked with
 nothing; fewer than five words give one shingle, the whole sequence; rows
@@ -50,8 +55,12 @@ PER_PARTITION = 3
 STAR_YIELD = 0.2
 # Shingles in a block of the last, blockwise test.
 BLOCK_SHINGLES = 1 << 16
-# In the first star round a document stars with this many of its rarest signatures.
-FIRST_RANKS = 2
+# Bounds of a task's word table, and signatures that it puts out at a time.
+WORDS, WORD_BYTES, SIGNATURES_OUT = 100_000, 4 << 20, 200_000
+# Hops by which labels are contracted after a round.
+HOPS = 2
+# A family's plan is repeated this often, so that its rows need not meet in one task.
+SALTS = 32
 
 U = np.uint64
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=U)
@@ -65,11 +74,15 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 class WordHashes(dict):
-    """Word -> 64-bit hash; bounded by starting anew."""
+    """Word -> 64-bit hash; bounded, in words and bytes, by starting anew."""
+
+    held = 0
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        self.held += len(word)
+        if len(self) > WORDS or self.held > WORD_BYTES:
             self.clear()
+            self.held = len(word)
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
 
@@ -122,7 +135,7 @@ def signatures(s: np.ndarray):
 def _signer(batches):
     hashes = WordHashes()
     for b in batches:
-        sig, doc, which, places = [], [], [], []
+        sig, doc, places, held = [], [], [], 0
         for d, t in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist()):
             s = shingle_set(t, hashes)
             if d is None or not len(s):
@@ -131,9 +144,10 @@ def _signer(batches):
                 sig.append(g)
                 doc.append(np.full(len(g), d, np.int64))
                 places.append(np.full(len(g), p * 4 + w, np.int32))
-            if len(sig) >= 2000:
+                held += len(g)
+            if held >= SIGNATURES_OUT:
                 yield _rows(sig, doc, places)
-                sig, doc, places = [], [], []
+                sig, doc, places, held = [], [], [], 0
         if sig:
             yield _rows(sig, doc, places)
 
@@ -187,24 +201,32 @@ def classes(docs: DataFrame) -> DataFrame:
 
 
 def buckets(docs: DataFrame) -> DataFrame:
-    """(sig, doc, rank): the enumerated signatures that two documents or more share; rank 1 is the rarest."""
+    """(sig, doc, w, mass): the enumerated signatures that two documents or more share.
+
+    Signatures with the very same holders count as one, of weight w; a document's
+    mass counts the holders of all its signatures."""
     rows = map_arrow(docs.select("doc_id", "text"), _signer, "sig long, doc long, places int")
     shared = materialise(rows.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("sig"))).where("df > 1"))
     own = Window.partitionBy("doc", "places")
+    # a document's rows stay together through duplicates, ranks and the choice
     rare = (
-        shared.dropDuplicates(["sig", "doc", "places"])
+        shared.repartition("doc").dropDuplicates(["sig", "doc", "places"])
         .withColumns({"_all": F.count(F.lit(1)).over(own), "_rank": F.row_number().over(own.orderBy("df", "sig"))})
-        .where("(places & 3) = 2 OR _rank <= _all + shiftright(places, 2)")
+        .where("(places & 3) = 2 OR _rank <= _all + shiftright(places, 2)").select("sig", "doc").distinct()
     )
-    few = rare.groupBy("sig", "doc").agg(F.min("_rank").alias("rank"))
-    return few.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("sig"))).where("_n > 1").drop("_n")
+    held = Window.partitionBy("sig")
+    spot = lambda k: F.bit_xor(F.xxhash64("doc", F.lit(k))).over(held)
+    held_by = rare.withColumns({"_n": F.count(F.lit(1)).over(held), "_h": F.xxhash64(spot(0), spot(1))}).where("_n > 1")
+    # equal hashes of different holders would only put more documents together
+    few = held_by.repartition("doc").groupBy("doc", "_n", "_h").agg(F.count(F.lit(1)).alias("w"))
+    mass = F.sum(F.col("_n") * F.col("w")).over(Window.partitionBy("doc"))
+    return few.select(F.xxhash64("_n", "_h").alias("sig"), "doc", "w", mass.alias("mass"))
 
 
-def _open(members: DataFrame, turn: int) -> DataFrame:
-    """Open signatures of (sig, doc, comp) with this turn's pivot."""
-    order = F.struct(F.xxhash64("doc", F.lit(turn)).alias("o"), "doc", "comp")
+def _open(members: DataFrame) -> DataFrame:
+    """Open signatures of (sig, doc, mass, comp) with their pivot."""
     return (
-        members.groupBy("sig").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi"), F.min(order).alias("p"))
+        members.groupBy("sig").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi"), F.max(F.struct("mass", "doc", "comp")).alias("p"))
         .where("_lo < _hi").select("sig", F.col("p.doc").alias("pivot"), F.col("p.comp").alias("pivot_comp"))
     )
 
@@ -216,13 +238,15 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _contract(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """``labels`` (doc, comp) after joining the components of linked documents (a, b)."""
+    """``labels`` (doc, comp) where components of linked documents (a, b) took the most central label within ``HOPS`` hops."""
     one = links.join(labels.select(F.col("doc").alias("a"), F.col("comp").alias("u")), "a")
-    edges = one.join(labels.select(F.col("doc").alias("b"), F.col("comp").alias("v")), "b").select("u", "v")
-    now = connected_components(edges)
-    return materialise(
-        labels.join(now, labels["comp"] == now["node"], "left")
-        .select("doc", F.coalesce("component", "comp").alias("comp")))
+    ends = one.join(labels.select(F.col("doc").alias("b"), F.col("comp").alias("v")), "b").where("u <> v")
+    up = ends.groupBy(F.least("u", "v").alias("low")).agg(F.max(F.greatest("u", "v")).alias("up"))
+    for _ in range(HOPS):
+        up = materialise(up)
+        above = up.select(F.col("low").alias("_l"), F.col("up").alias("_u"))
+        up = up.join(above, up["up"] == above["_l"], "left").select("low", F.coalesce("_u", "up").alias("up"))
+    return materialise(labels.join(up, labels["comp"] == up["low"], "left").select("doc", F.coalesce("up", "comp").alias("comp")))
 
 
 def _in_blocks(frame: pd.DataFrame) -> pd.DataFrame:
@@ -247,15 +271,12 @@ def _in_blocks(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
 
-def _leftovers(members: DataFrame, still: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links (a, b) between components of the open signatures' documents, tested in blocks."""
-    stars = members.join(still, "sig")
-    family = connected_components(stars.select("pivot_comp", "comp"))
-    m = (
-        stars.select("doc", "comp").distinct().join(family, F.col("comp") == F.col("node"))
-        .select("doc", "comp", F.col("component").alias("family")).join(sets.select("doc", "n"), "doc")
-    )
-    m = materialise(m)
+def _leftovers(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) between components of the open signatures' documents (sig, doc, mass, comp), tested in blocks.
+
+    The documents of one open signature are a family."""
+    m = members.join(apart(_open(members)), "sig", "left_semi").join(sets.select("doc", "n"), "doc")
+    m = materialise(m.select(F.col("sig").alias("family"), "doc", F.col("comp.d").alias("comp"), "n"))
     sizes = m.groupBy("family", "comp").agg(F.sum("n").alias("n"))
     plan = sizes.groupBy("family").agg(
         F.max_by("comp", F.struct("n", "comp")).alias("main"), F.sum("n").alias("n"), F.max("n").alias("n_main"))
@@ -265,7 +286,8 @@ def _leftovers(members: DataFrame, still: DataFrame, sets: DataFrame) -> DataFra
     # small families share a task; the number of such tasks follows their total size
     total = sizes.agg(F.sum("n")).first()[0] or 0
     packs = max(1, -(-total // BLOCK_SHINGLES))
-    x = m.join(plan, "family").withColumns({
+    salted = plan.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    x = m.withColumn("_s", F.pmod(F.xxhash64("doc", F.lit(2)), F.lit(SALTS)).cast("int")).join(salted, ["family", "_s"]).drop("_s").withColumns({
         "_q": F.pmod(F.xxhash64("doc"), "queries"), "_b": F.pmod(F.xxhash64("doc", F.lit(1)), "bases"),
         "_small": (F.col("bases") == 1) & (F.col("queries") == 1),
     })
@@ -288,39 +310,36 @@ def components(docs: DataFrame) -> DataFrame:
     cls = materialise(classes(docs))
     copies = cls.where("doc_id <> rep").select("doc_id").distinct()
     shared = materialise(buckets(drop_listed(docs.select("doc_id", "text"), "doc_id", copies)))
-    ids = materialise(shared.select("doc").distinct())
+    labels = materialise(shared.select("doc", F.struct(F.col("mass").alias("m"), F.col("doc").alias("d")).alias("comp")).distinct())
+    ids = labels.select("doc")
     listed = keep_if_listed(docs.select("doc_id", "text").where("doc_id IS NOT NULL"), "doc_id", ids)
     listed = listed.join(ids, listed["doc_id"] == ids["doc"], "left_semi").dropDuplicates(["doc_id"])
     sets = materialise(map_arrow(listed, _setter, "doc long, n long, items binary"))
-    start = ids.join(cls.select(F.col("doc_id").alias("doc"), F.col("rep").alias("comp")), "doc").distinct()
-    labels = materialise(start)
 
-    turn = 0
+    links, turn = None, 0
     while True:
-        rows = shared.where(F.col("rank") <= FIRST_RANKS) if turn == 0 else shared
-        members = materialise(rows.join(labels, "doc"))
-        still = materialise(_open(members, turn))
-        pairs = (
-            members.join(still, "sig").where("comp <> pivot_comp")
-            .groupBy(F.col("pivot").alias("a"), F.col("doc").alias("b")).agg(F.count(F.lit(1)).alias("_n"))
-            .groupBy("b").agg(F.max_by("a", F.struct("_n", "a")).alias("a"))
-        )
-        tested = materialise(_verified(pairs, sets))
+        members = shared.join(labels, "doc")
+        starred = materialise(members.join(apart(_open(members)), "sig"))
+        pairs = starred.where("comp <> pivot_comp").groupBy(F.col("pivot").alias("a"), F.col("doc").alias("b")).agg(F.sum("w").alias("_n"))
+        if turn == 0:
+            pairs = pairs.groupBy("b").agg(F.max_by("a", F.struct("_n", "a")).alias("a"))
+        tested = materialise(_verified(pairs.select("a", "b"), sets))
         n, good = tested.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("ok").cast("int")), F.lit(0))).first()
         if good:
-            labels = _contract(labels, tested.where("ok"))
-        if turn:  # what is closed stays closed
-            shared = materialise(members.join(still, "sig", "left_semi").select("sig", "doc", "rank"))
-            if n == 0 or good < STAR_YIELD * n:
-                break
+            found = tested.where("ok").select("a", "b")
+            links = found if links is None else links.unionByName(found)
+            labels = _contract(labels, found)
+        # what is closed stays closed; a pivot that met all its signature's documents is done with it
+        shared = starred.where("doc <> pivot" if turn else "true").select("sig", "doc", "w", "mass")
+        if n == 0 or (turn and good < STAR_YIELD * n):
+            break
         turn += 1
     if n:
-        members = materialise(shared.join(labels, "doc"))
-        still = materialise(_open(members, turn))
-        links = materialise(_leftovers(members, still, sets))
-        labels = _contract(labels, links)
-
-    # labels name components by class representatives; carry them to every member of the classes
-    top = start.withColumnRenamed("comp", "rep").join(labels, "doc").select("rep", "comp").distinct()
-    return cls.join(top, "rep", "left").select(
-        "doc_id", "n_shingles", F.coalesce("comp", "rep").alias("component_id"))
+        found = materialise(_leftovers(shared.join(labels, "doc"), sets))
+        links = found if links is None else links.unionByName(found)
+    if links is None:
+        return cls.select("doc_id", "n_shingles", F.col("rep").alias("component_id"))
+    # the linked documents stand for their classes; carry the components to every member
+    linked_reps = connected_components(links)
+    return cls.join(apart(linked_reps), cls["rep"] == linked_reps["node"], "left").select(
+        "doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))

@@ -57,7 +57,8 @@ def encoder(path: str) -> Callable[[str], np.ndarray]:
 
     A plain byte-level BPE whose ids follow its merge order is run by tiktoken,
     which gives the same ids several times faster; any other file is run by
-    ``tokenizers`` itself.
+    ``tokenizers`` itself, and so is a text on which tiktoken's pattern fails
+    (a million blanks in a row exceed its stack).
     """
     if path in _encoders:
         return _encoders[path]
@@ -73,6 +74,16 @@ def encoder(path: str) -> Callable[[str], np.ndarray]:
     if plain:
         made = [vocab["".join(m) if isinstance(m, list) else m.replace(" ", "")] for m in merges]
         plain = made == sorted(made)
+    slow: list = []
+
+    def whole(text: str) -> np.ndarray:
+        if not slow:
+            from tokenizers import Tokenizer
+
+            slow.append(Tokenizer.from_file(path))
+            slow[0].encode_special_tokens = True  # their strings in a text are ordinary text
+        return np.array(slow[0].encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+
     if plain:
         import tiktoken
 
@@ -82,13 +93,16 @@ def encoder(path: str) -> Callable[[str], np.ndarray]:
         byte_of |= {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in shown)}
         ranks = {bytes(byte_of[c] for c in token): i for token, i in vocab.items()}
         fast = tiktoken.Encoding("file", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
-        _encoders[path] = lambda text: fast.encode_to_numpy(text, disallowed_special=())
-    else:
-        from tokenizers import Tokenizer
 
-        slow = Tokenizer.from_file(path)
-        slow.encode_special_tokens = True  # their strings in a text are ordinary text
-        _encoders[path] = lambda text: np.array(slow.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+        def encode(text: str) -> np.ndarray:
+            try:
+                return fast.encode_to_numpy(text, disallowed_special=())
+            except ValueError:
+                return whole(text)
+
+        _encoders[path] = encode
+    else:
+        _encoders[path] = whole
     return _encoders[path]
 
 

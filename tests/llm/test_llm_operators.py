@@ -300,7 +300,7 @@ def test_removed_spans_do_not_depend_on_shards(spark, hostile):
         join(words(900, 41), a), join(words(60, 42)), join(a, b), None, "",
     ]
     docs = frame(spark, texts).unionByName(frame(spark, texts[:3])).unionByName(frame(spark, texts).withColumn("doc_id", F.lit(None).cast("long")))
-    assert len(decontaminate._shards(bench, 40)) > 1
+    assert sum(1 for _ in decontaminate.shards(bench, 40)) > 1
     for table in (docs, hostile):
         one, many = decontaminate.remove_spans(table, bench), decontaminate.remove_spans(table, bench, shard_words=40)
         assert many.columns == one.columns and many.exceptAll(one).count() == 0 and one.exceptAll(many).count() == 0
@@ -310,6 +310,16 @@ def test_removed_spans_do_not_depend_on_shards(spark, hostile):
     assert set(out) == {0, 2, 3, 4, 5, 7, 8}
 
 
+def test_items_longer_than_a_shard_are_read_in_pieces(spark):
+    long = words(200, 50)
+    bench = items(spark, [" ".join(long), " ".join(words(25, 51)), "one", None, ""])
+    read = list(decontaminate.shards(bench, 60))
+    assert len(read) > 3 and all(sum(len(t.split()) for _, t in shard) <= 60 for shard in read)
+    texts = [" ".join(long[a:a + 14]) + " x " + " ".join(words(9, a)) for a in range(0, 186, 7)]
+    for row in decontaminate.measure(frame(spark, texts), bench, shard_words=60).collect():
+        assert (row.n_words, row.n_hit, sorted(row["items"])) == brute_hits(texts[row.doc_id], [(0, " ".join(long)), (1, " ".join(words(25, 51))), (2, "one")])
+
+
 def test_measured_rows_do_not_depend_on_shards(spark, hostile):
     a, b = words(20, 21), words(20, 22)
     rows = [(1, " ".join(words(60, 31) + a)), (1, " ".join(words(60, 31) + a)), (1, " ".join(words(60, 32) + b + a)),
@@ -450,6 +460,9 @@ def test_encoder_equals_tokenizers():
     for _ in range(400):
         t = "".join(r.choice(alphabet) for _ in range(r.randrange(0, 300)))
         assert fast(t).tolist() == tok.encode(t, add_special_tokens=False).ids
+    for c in " \na7é!":  # runs that exceed the fast pattern's stack too
+        t = f"begin {c * 2_000_000} end"
+        assert (fast(t) == np.array(tok.encode(t, add_special_tokens=False).ids, dtype=np.uint32)).all()
 
 
 # ---------------------------------------------------------------- url filters
@@ -514,14 +527,15 @@ def test_rewriting_templates_are_detected():
     assert not chat_format.locate([("user", "q"), ("assistant", "a")], only_last_reasoning)[1]
 
 
-def test_long_conversations_equal_all_prefixes():
+def test_long_conversations_are_compared_at_every_prefix():
     r = random.Random(3)
     turns = [(r.choice(["user", "assistant", "system"]), " ".join(words(r.randrange(0, 12), i))) for i in range(90)]
-    out, rewrites, spans = chat_format.locate(turns, chat_format.inst_template)
-    assert not rewrites and out == chat_format.inst_template(turns)
-    assert [chat_format.unescape(out[s:e]) for s, e in spans] == [t for _, t in turns]
+    for every in (1, 7):
+        out, rewrites, spans = chat_format.locate(turns, chat_format.inst_template, every)
+        assert not rewrites and out == chat_format.inst_template(turns)
+        assert [chat_format.unescape(out[s:e]) for s, e in spans] == [t for _, t in turns]
 
-    def numbered(ts):  # blocks cannot know a turn's number: all prefixes are rendered
+    def numbered(ts):
         return "".join(f"<{i}>{t}</{i}>" for i, (_, t) in enumerate(ts))
 
     out, rewrites, spans = chat_format.locate(turns, numbered)
@@ -532,6 +546,23 @@ def test_long_conversations_equal_all_prefixes():
 
     assert chat_format.locate(turns, only_last_full)[1:] == (True, [])
 
+    def compacting(ts):  # only at every 20th turn
+        return f"<{len(ts)} turns>" if len(ts) % 20 == 0 else "".join(f"<{t}>" for _, t in ts)
+
+    assert not chat_format.locate(turns[:19], compacting)[1]
+    assert all(chat_format.locate(turns[:n], compacting)[1:] == (True, []) for n in (20, 21, 50, 90))
+
+
+def test_text_dependent_surroundings():
+    turns = [("user", "x" * n) for n in (120, 0, 1, 11, 2)]
+    with_length = lambda ts: "".join(f"{t}|{len(t)};" for _, t in ts)
+    out, rewrites, spans = chat_format.locate([t for t in turns if t[1]], with_length)
+    assert not rewrites and [out[s:e] for s, e in spans] == [t for _, t in turns if t]
+    checked = lambda ts: "".join(f"{t}|{zlib.crc32(t.encode())};" for _, t in ts)
+    assert chat_format.locate(turns, checked)[1:] == (True, [])
+    short = lambda ts: "".join(f"{t[:50]};" for _, t in ts)
+    assert chat_format.locate(turns, short)[1:] == (True, [])
+
 
 def test_chats_equal_plain_digest(spark):
     rows = [(1, 1, "assistant", "b"), (1, 0, "user", "a"), (2, 0, None, None), (2, None, "assistant", "first"), (None, 3, "user", "n"), (1, 2, "assistant", "c"), (1, 2, "assistant", "c")]
