@@ -274,9 +274,10 @@ def _in_blocks(frame: pd.DataFrame) -> pd.DataFrame:
 def _leftovers(members: DataFrame, sets: DataFrame) -> DataFrame:
     """Links (a, b) between components of the open signatures' documents (sig, doc, mass, comp), tested in blocks.
 
-    The documents of one open signature are a family."""
-    m = members.join(apart(_open(members)), "sig", "left_semi").join(sets.select("doc", "n"), "doc")
-    m = materialise(m.select(F.col("sig").alias("family"), "doc", F.col("comp.d").alias("comp"), "n"))
+    The documents of all open signatures with the same pivot are a family, so near copies that share
+    many signatures meet once."""
+    m = members.join(apart(_open(members)), "sig").select(F.col("pivot").alias("family"), "doc", F.col("comp.d").alias("comp")).distinct()
+    m = materialise(m.join(sets.select("doc", "n"), "doc").select("family", "doc", "comp", "n"))
     sizes = m.groupBy("family", "comp").agg(F.sum("n").alias("n"))
     plan = sizes.groupBy("family").agg(
         F.max_by("comp", F.struct("n", "comp")).alias("main"), F.sum("n").alias("n"), F.max("n").alias("n_main"))
