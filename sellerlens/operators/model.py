@@ -14,12 +14,13 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import MinMaxScaler, RobustScaler, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GeneralizedLinearRegression, LinearRegression
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import stable_hash_bucket
 from ..session import cut_lineage
+from . import logit
 
 KEYS = ("_mt_date_reference", "seller_id")
 
@@ -55,10 +56,10 @@ def split(df: DataFrame, train_pct: int = 80, seed: int = 2, keys: Sequence[str]
 
 def stratified_folds(df: DataFrame, k: int, label: str = "churn", seed: int = 2,
                      keys: Sequence[str] = KEYS) -> DataFrame:
-    """Fold id per row from a stable hash of (label, key): every class is
-    spread evenly over the k folds in expectation, with no per-class ranking
-    window (which would put a whole class into one task)."""
-    return df.withColumn("fold", stable_hash_bucket([label, *keys], seed, k).cast("int"))
+    """``fold`` per row: every class is dealt round robin in the order of a seeded hash of
+    the key, so a fold holds the class' k-th part, give or take one row. The places come
+    from distributed running counts; no class meets in one task."""
+    return logit.fold_numbers(df, k, label, [F.xxhash64(F.lit(seed), *keys), *keys])
 
 
 # ------------------------------------------------------------ M2, M3
@@ -159,36 +160,35 @@ def coefficients(model, names: Sequence[str]) -> DataFrame:
 
 
 # ------------------------------------------------------------- M5, M6
-def glm_binomial(df: DataFrame, label: str = "churn", names: Sequence[str] | None = None,
-                 ridge: float = 1e-6) -> DataFrame:
-    """Logistic GLM without intercept on the prepared features; coefficients,
-    standard errors, z values and p-values."""
-    from pyspark.ml.feature import VectorSlicer
-    from pyspark.ml.stat import Summarizer
-    names = list(names or feature_names())
-    prep = cut_lineage(build_pipeline().fit(df).transform(df).select(label, "features"))
-    # zero-variance columns (e.g. zero IQR after robust scaling) make the
-    # design singular; they are left out and reported with null statistics
-    var = prep.select(Summarizer.metrics("variance").summary(F.col("features")).alias("s")).first()["s"]
-    keep = [i for i, v in enumerate(var["variance"].toArray()) if v > 0]
-    sliced = VectorSlicer(inputCol="features", outputCol="kept", indices=keep).transform(prep)
-    # a tiny ridge keeps the normal equations solvable when two features are
-    # exactly collinear (avg_ticket equals avg_item_price when no product id
-    # is missing); standard errors and p-values then stay available
-    glm = GeneralizedLinearRegression(family="binomial", link="logit", fitIntercept=False,
-                                      featuresCol="kept", labelCol=label, maxIter=50, regParam=ridge)
-    m = glm.fit(sliced)
-    s = m.summary
-    stats = dict(zip(keep, zip(m.coefficients.toArray(), s.coefficientStandardErrors, s.tValues, s.pValues)))
-    rows = [(n, *([float(x) for x in stats[i]] if i in stats else [None] * 4)) for i, n in enumerate(names)]
-    return df.sparkSession.createDataFrame(rows, "feature string, coefficient double, std_error double, "
-                                                 "z_value double, p_value double")
+def prepared(df: DataFrame, label: str = "churn", keep: Sequence[str] = (), model: PipelineModel | None = None) -> DataFrame:
+    """(label, keep.., features as an array) of the preparation pipeline (fitted on ``df`` unless given), written once."""
+    prep = model or build_pipeline().fit(df)
+    return cut_lineage(prep.transform(df).select(label, *keep, vector_to_array("features").alias("features")))
+
+
+def glm_binomial(df: DataFrame, label: str = "churn", names: Sequence[str] | None = None) -> DataFrame:
+    """Logistic GLM without intercept and without penalty on the prepared features: coefficients,
+    standard errors, z values and p-values. Features that earlier ones determine (avg_ticket equals
+    avg_item_price when no product id is missing) are dropped by rule and reported as such."""
+    return logit.binomial_table(logit.rows_of(prepared(df, label), "features", label), list(names or feature_names()))
 
 
 def select_by_pvalue(glm_table: DataFrame, alpha: float = 0.2) -> DataFrame:
     return glm_table.where(F.col("p_value") < alpha).select("feature", "p_value")
 
 
+def reduced_logistic(df: DataFrame, glm_table: DataFrame, alpha: float = 0.2, C: float = 100, label: str = "churn") -> DataFrame:
+    """M6 + P16: the L2 logistic refitted on the features that ``select_by_pvalue`` keeps;
+    (feature, coefficient), the intercept last."""
+    kept = {r.feature for r in select_by_pvalue(glm_table, alpha).collect()}  # one row per feature
+    names = feature_names()
+    rows = logit.rows_of(prepared(df, label), "features", label)
+    fit = logit.new_fit(len(names), True, C, features=[i for i, n in enumerate(names) if n in kept])
+    logit.newton(rows, [fit], True)
+    out = [(n, float(fit.w[i])) for i, n in enumerate(names) if n in kept] + [("intercept", float(fit.w[-1]))]
+    return df.sparkSession.createDataFrame(out, "feature string, coefficient double")
+
+
 # ---------------------------------------------------------------- M9
 def lasso(df: DataFrame, alpha: float = 0.0005, label: str = "churn",
           names: Sequence[str] | None = None) -> DataFrame:
@@ -211,22 +211,21 @@ def score(model: PipelineModel, df: DataFrame, digits: int = 3, keep: Sequence[s
 
 # ---------------------------------------------------------------- M10
 def cv(df: DataFrame, oot: DataFrame, make_estimator, k: int = 10, label: str = "churn",
-       balanced: bool = False) -> DataFrame:
-    """Stratified k-fold: per fold AUC on train folds, the held-out fold and
-    the out-of-time set, then a final fit on everything (fold = -1)."""
+       balanced: bool = False, test: DataFrame | None = None) -> DataFrame:
+    """Stratified k-fold: per fold AUC on train folds, the held-out fold, the test set (if given)
+    and the out-of-time set, then a final fit on everything (fold = -1, which the test set validates)."""
     if balanced:
         df = with_balanced_weights(df, label)
     # many fits over the same rows: materialise once in the shared checkpoint dir
     folded = cut_lineage(stratified_folds(df, k, label))
-    oot = cut_lineage(oot)
+    others = [None if d is None else cut_lineage(d) for d in (test, oot)]
     rows = []
-    for f in range(k):
+    for f in [*range(k), -1]:
         tr, va = folded.where(F.col("fold") != f), folded.where(F.col("fold") == f)
         m = build_pipeline(make_estimator()).fit(tr)
-        rows.append((f, *[_auc_of(m, d, label) for d in (tr, va, oot)]))
-    m = build_pipeline(make_estimator()).fit(folded)
-    rows.append((-1, _auc_of(m, folded, label), None, _auc_of(m, oot, label)))
-    return df.sparkSession.createDataFrame(rows, "fold int, auc_train double, auc_valid double, auc_oot double")
+        train, (at_test, at_oot) = _auc_of(m, tr, label), [None if d is None else _auc_of(m, d, label) for d in others]
+        rows.append((f, train, at_test if f < 0 else _auc_of(m, va, label), at_test, at_oot))
+    return df.sparkSession.createDataFrame(rows, "fold int, auc_train double, auc_valid double, auc_test double, auc_oot double")
 
 
 def _auc_of(model, df, label):
@@ -234,43 +233,14 @@ def _auc_of(model, df, label):
 
 
 # ---------------------------------------------------------------- M11
-def rfe(df: DataFrame, make_estimator, names: Sequence[str] | None = None, label: str = "churn",
-        k: int = 5) -> DataFrame:
-    """Recursive elimination with stratified k-fold AUC: in every fold features are
-    dropped one by one (smallest |coefficient| first) and each subset size is scored on
-    the held-out fold; the size with the best mean AUC wins. Elimination over all rows
-    then ranks the features: those of the winning subset get rank 1, the others their
-    elimination order. Scaling is per feature, so the prepared vectors are built once
-    per fold and each step refits only the estimator on a ``VectorSlicer`` view."""
-    from pyspark.ml.feature import VectorSlicer
-    names = list(names or feature_names())
-    index = {n: i for i, n in enumerate(names)}
+def rfe(df: DataFrame, C: float = 100, k: int = 5, label: str = "churn", select_ranks: Sequence[int] | None = None) -> DataFrame:
+    """Recursive elimination with stratified k-fold AUC over the prepared features (scaled once, on all
+    rows): (feature, ranking, mean_auc_at_size), the last to go first; with ``select_ranks`` only
+    features of these ranks. All folds' fits share their passes over the rows (``logit.eliminate``)."""
     folded = cut_lineage(stratified_folds(df, k, label))
-
-    def eliminate(train: DataFrame, valid: DataFrame | None):
-        prep = build_pipeline().fit(train)
-        vectors = lambda d: cut_lineage(prep.transform(d).select(label, F.col("features").alias("all_features")))
-        tr, va = vectors(train), vectors(valid) if valid is not None else None
-        current, dropped, scores = list(names), [], {}
-        while current:
-            sl = VectorSlicer(inputCol="all_features", outputCol="features", indices=[index[c] for c in current])
-            m = make_estimator().fit(sl.transform(tr))
-            if va is not None:
-                scores[len(current)] = _evaluator_auc(m.transform(sl.transform(va)), label)
-            worst = min(zip(current, m.coefficients.toArray().tolist()), key=lambda t: abs(t[1]))[0]
-            dropped.append(worst)
-            current.remove(worst)
-        return dropped, scores
-
-    by_fold = [eliminate(folded.where(F.col("fold") != f), folded.where(F.col("fold") == f))[1] for f in range(k)]
-    mean = {n: sum(s[n] for s in by_fold) / k for n in range(1, len(names) + 1)}
-    best_n = max(mean, key=lambda n: (mean[n], -n))
-    dropped, _ = eliminate(folded, None)
-    rows = []
-    for i, f in enumerate(reversed(dropped)):  # last dropped = most important
-        n_left = i + 1
-        rows.append((f, 1 if n_left <= best_n else n_left - best_n + 1, float(mean[n_left])))
-    return df.sparkSession.createDataFrame(rows, "feature string, ranking int, mean_auc_at_size double")
+    rows = logit.rows_of(prepared(folded, label, ["fold"]), "features", label, "fold")
+    out = logit.eliminate(rows, feature_names(), k, C)
+    return out if select_ranks is None else out.where(F.col("ranking").isin(list(select_ranks)))
 
 
 def _evaluator_auc(pred: DataFrame, label: str) -> float:

@@ -642,18 +642,26 @@ def _lasso(spark, sf, p):
     return MD.lasso(tr, 0.0005)
 
 
+@register("reduced_logistic")
+def _reduced(spark, sf, p):
+    """The final logistic on the features that the GLM keeps."""
+    tr, _, _ = _train_oot_score(spark, sf, p)
+    return MD.reduced_logistic(tr, MD.glm_binomial(tr), 0.2)
+
+
 @register("cv")
 def _cv(spark, sf, p):
-    tr, oot, _ = _train_oot_score(spark, sf, p)
+    known, oot, _ = _train_oot_score(spark, sf, p)
+    halves = MD.split(known, 80, 2)
+    tr, test = halves.where("is_train"), halves.where("NOT is_train")
     n = tr.count()
-    return MD.cv(tr, oot, lambda: MD.logistic(FINAL_C, n), k=10)
+    return MD.cv(tr, oot, lambda: MD.logistic(FINAL_C, n), k=10, test=test)
 
 
 @register("rfe")
 def _rfe(spark, sf, p):
     tr, _, _ = _train_oot_score(spark, sf, p)
-    n = tr.count()
-    return MD.rfe(tr, lambda: MD.logistic(100, n), k=10)
+    return MD.rfe(tr, C=100, k=10)
 
 
 @register("grid_search")

@@ -1,10 +1,14 @@
 """Model layer against small NumPy solvers on the pipeline's own features."""
 
+import collections
 import datetime as dt
+import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from sellerlens.operators import logit
 from sellerlens.operators import model as MD
 
 
@@ -52,13 +56,90 @@ def test_logistic_equals_newton(abt):
 
 
 def test_glm_equals_newton_without_intercept(abt):
-    got = {r.feature: r for r in MD.glm_binomial(abt).collect()}
+    """Without a ridge; a feature that others determine and one without spread are named as dropped."""
+    last, twin = MD.feature_names()[2], MD.feature_names()[1]
+    df = abt.withColumns({twin: F.col("avg_ticket") * 2 + 3, last: F.lit(0.0)})
+    got = {r.feature: r for r in MD.glm_binomial(df).collect()}
+    x, y = matrix(df)
+    keep = [i for i, f in enumerate(MD.feature_names()) if not got[f].dropped]
+    assert {f for f in got if got[f].dropped} == {twin, last}
+    w = newton(x[:, keep], y, np.zeros(len(keep)))
+    p = 1 / (1 + np.exp(-x[:, keep] @ w))
+    se = np.sqrt(np.diag(np.linalg.inv((x[:, keep] * (p * (1 - p))[:, None]).T @ x[:, keep])))
+    names = [MD.feature_names()[i] for i in keep]
+    assert np.allclose([got[f].coefficient for f in names], w, rtol=1e-6, atol=1e-8)
+    assert np.allclose([got[f].std_error for f in names], se, rtol=1e-6)
+    assert np.allclose([got[f].p_value for f in names], [math.erfc(abs(a / b) / math.sqrt(2)) for a, b in zip(w, se)], atol=1e-9)
+
+
+def plain_auc(y, s):
+    pos, neg = s[y == 1][:, None], s[y == 0][None, :]
+    return ((pos > neg) + 0.5 * (pos == neg)).mean()
+
+
+def test_rfe_ranks_equal_numpy(abt):
+    k, c = 4, 100.0
+    folded = MD.stratified_folds(abt, k).cache()
+    rows = MD.build_pipeline().fit(folded).transform(folded).select("features", "churn", "fold").collect()
+    x, y, fold = np.array([r.features.toArray() for r in rows]), np.array([r.churn for r in rows], float), np.array([r.fold for r in rows])
+
+    def chain(use):
+        current, out = list(range(x.shape[1])), []
+        while current:
+            z = np.column_stack([x[use][:, current], np.ones(use.sum())])
+            w = newton(z, y[use], np.append(np.full(len(current), 1 / c), 0.0))
+            out.append((list(current), w))
+            current.remove(current[int(np.abs(w[:-1]).argmin())])
+        return out
+
+    aucs = [[plain_auc(y[fold == f], np.column_stack([x[fold == f][:, cur], np.ones((fold == f).sum())]) @ w) for cur, w in chain(fold != f)] for f in range(k)]
+    mean = dict(zip(range(x.shape[1], 0, -1), np.mean(aucs, axis=0)))
+    best = min(mean, key=lambda n: (-round(mean[n], 9), n))
+    whole = chain(np.ones(len(y), bool))
+    gone = [next(j for j in cur if i + 1 == len(whole) or j not in whole[i + 1][0]) for i, (cur, _) in enumerate(whole)]
+    want = {MD.feature_names()[j]: (1 if n <= best else n - best + 1, mean[n]) for n, j in zip(range(x.shape[1], 0, -1), gone)}
+    got = MD.rfe(abt, c, k).collect()
+    assert {r.feature: r.ranking for r in got} == {f: r for f, (r, _) in want.items()}
+    assert np.allclose([r.mean_auc_at_size for r in got], [want[r.feature][1] for r in got], atol=1e-6)
+    first = MD.rfe(abt, c, k, select_ranks=[1]).collect()
+    assert {r.feature for r in first} == {r.feature for r in got if r.ranking == 1}
+
+
+def test_folds_hold_equal_parts_of_every_class(abt):
+    k = 7
+    got = collections.Counter((r.churn, r.fold) for r in MD.stratified_folds(abt, k).select("churn", "fold").collect())
+    for label in (0, 1):
+        sizes = [got[label, f] for f in range(k)]
+        assert max(sizes) - min(sizes) <= 1
+    one = {r.seller_id: r.fold for r in MD.stratified_folds(abt, k).collect()}
+    assert one == {r.seller_id: r.fold for r in MD.stratified_folds(abt.repartition(9), k).collect()}
+
+
+def test_reduced_logistic_equals_newton(abt):
+    table = MD.glm_binomial(abt)
+    kept = [r.feature for r in MD.select_by_pvalue(table, 0.2).collect()]
+    got = {r.feature: r.coefficient for r in MD.reduced_logistic(abt, table, 0.2, 0.5).collect()}
     x, y = matrix(abt)
-    w = newton(x, y, np.full(x.shape[1], 1e-6 * len(y)))
-    p = 1 / (1 + np.exp(-x @ w))
-    se = np.sqrt(np.diag(np.linalg.inv((x * (p * (1 - p))[:, None]).T @ x)))
-    assert np.allclose([got[f].coefficient for f in MD.feature_names()], w, atol=2e-2)
-    assert np.allclose([got[f].std_error for f in MD.feature_names()], se, rtol=2e-2)
+    at = [MD.feature_names().index(f) for f in kept]
+    w = newton(np.column_stack([x[:, at], np.ones(len(y))]), y, np.append(np.full(len(at), 2.0), 0.0))
+    assert 0 < len(kept) < 24 and np.allclose([got[f] for f in [*kept, "intercept"]], w, atol=1e-6)
+
+
+def test_collinear_columns_are_found_in_order():
+    r = np.random.default_rng(1)
+    x = r.normal(size=(50, 4))
+    x = np.column_stack([x[:, 0], x[:, 1], x[:, 0] - 3 * x[:, 1], np.zeros(50), 1e6 * x[:, 2], x[:, 3], x[:, 3]])
+    assert logit.independent(x.T @ x) == [0, 1, 4, 5]
+
+
+def test_grouped_auc_equals_pairs(spark):
+    r = np.random.default_rng(3)
+    rows = [(int(g), float(r.integers(0, 2)), float(r.integers(0, 9))) for g in r.integers(0, 3, 200)] + [(9, 1.0, 2.0)]
+    got = {x.g: x.auc for x in logit.grouped_auc(spark.createDataFrame(rows, "g int, y double, score double"), ["g"]).collect()}
+    for g in range(3):
+        y, s = (np.array([x[i] for x in rows if x[0] == g]) for i in (1, 2))
+        assert abs(got[g] - plain_auc(y, s)) < 1e-12
+    assert got[9] is None
 
 
 def test_lasso_equals_coordinate_descent(abt):
@@ -76,10 +157,9 @@ def test_lasso_equals_coordinate_descent(abt):
 
 def test_folds_elimination_and_grid(abt):
     n = abt.count()
-    cv = MD.cv(abt, abt, lambda: MD.logistic(1.0, n), k=2).collect()
-    assert sorted(r.fold for r in cv) == [-1, 0, 1] and all(r.auc_train > 0.8 for r in cv)
-    rank = {r.feature: r.ranking for r in MD.rfe(abt, lambda: MD.logistic(1.0, n), MD.feature_names()[:3], k=2).collect()}
-    assert set(rank) == set(MD.feature_names()[:3]) and rank[MD.feature_names()[0]] == 1
+    cv = MD.cv(abt, abt, lambda: MD.logistic(1.0, n), k=2, test=abt).collect()
+    assert sorted(r.fold for r in cv) == [-1, 0, 1] and all(r.auc_train > 0.8 and r.auc_test > 0.8 for r in cv)
+    assert all(r.auc_valid == r.auc_test for r in cv if r.fold == -1)
     grid = MD.grid_search(abt, (1.0,), ("l2",), (True, False), k=2).collect()
     assert len(grid) == 2 and all(0.8 < r.mean_auc <= 1 for r in grid)
 
@@ -89,12 +169,3 @@ def test_saved_model_scores_alike(abt, tmp_path):
     MD.save_model(m, str(tmp_path / "m"))
     one, two = (sorted(map(tuple, MD.score(x, abt).collect())) for x in (m, MD.load_model(str(tmp_path / "m"))))
     assert one == two and len(one) == 300
-
-
-def test_rfe_key_uses_the_reference_folds(monkeypatch):
-    from sellerlens.plans import registry as R
-    seen = {}
-    monkeypatch.setattr(R, "_train_oot_score", lambda *a: (type("T", (), {"count": lambda self: 1})(), None, None))
-    monkeypatch.setattr(R.MD, "rfe", lambda *a, **k: seen.update(k))
-    R._rfe(None, None, None)
-    assert seen["k"] == 10
