@@ -540,6 +540,34 @@ c AS (SELECT churn, bin, COUNT(*) AS count FROM b GROUP BY 1, 2)
 SELECT churn, bin, mn + bin * ((mx - mn) / 10) AS lo, mn + (bin + 1) * ((mx - mn) / 10) AS hi, count,
   count / NULLIF(SUM(count) OVER (PARTITION BY churn) * ((mx - mn) / 10), 0) AS density
 FROM c, mm"""
+
+
+def _histograms(features, caps):
+    """Every series of every feature by plain grouping; ranges by a window over the series."""
+    values = " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", churn, {_dbl(c)} AS v FROM abt WHERE {c} IS NOT NULL"
+        + (f" AND {c} <= {caps[c]}" if c in caps else "") for c in features)
+    return f"""WITH {_ABT_CTES},
+v AS ({values}),
+s AS (
+  SELECT 'all' AS series, "column", CAST(NULL AS INTEGER) AS class, v AS x, 25 AS bins FROM v
+  UNION ALL SELECT 'class', "column", CAST(churn AS INTEGER), v, 22 FROM v WHERE churn IS NOT NULL
+  UNION ALL SELECT 'class_log1p', "column", CAST(churn AS INTEGER), ln(1 + v), 22 FROM v WHERE churn IS NOT NULL AND v > -1
+),
+r AS (SELECT series, "column", class, min(x) AS a, max(x) AS b, count(*) AS n FROM s GROUP BY ALL),
+e AS (SELECT series, "column", class, n, a - CASE WHEN a = b THEN 0.5 ELSE 0 END AS mn, b + CASE WHEN a = b THEN 0.5 ELSE 0 END AS mx FROM r),
+c AS (
+  SELECT s.series, s."column", s.class, s.bins, mn, mx, n, CAST(least(floor((x - mn) / (mx - mn) * s.bins), s.bins - 1) AS INTEGER) AS bin, count(*) AS count
+  FROM s JOIN e ON s.series = e.series AND s."column" = e."column" AND s.class IS NOT DISTINCT FROM e.class GROUP BY ALL
+)
+SELECT series, "column", class, bin, mn + bin * ((mx - mn) / bins) AS lo, mn + (bin + 1) * ((mx - mn) / bins) AS hi, count,
+  count / (n * ((mx - mn) / bins)) AS density FROM c"""
+
+
+HISTOGRAMS = _histograms(FEATS, {})
+HISTOGRAMS_CAPPED = _histograms(
+    ["frequency", "quantity_delay_orders", "quantity_products_selled", "quantity_unique_product_selled"],
+    {"frequency": 1, "quantity_delay_orders": 10, "quantity_products_selled": 35, "quantity_unique_product_selled": 50})
 RECENCY_ECDF = f"""WITH {_ABT_CTES},
 sizes AS (SELECT churn, COUNT(*) AS class_n FROM abt GROUP BY 1),
 c AS (SELECT churn, CAST(LEAST(floor((recency - 1) / 5), 8) AS INTEGER) AS bin, COUNT(*) AS count
@@ -736,7 +764,7 @@ SIG: dict[str, list[str]] = {
     "bowley": ["bowley"],
     "correlation": ["corr"],
     "point_biserial": ["r", "t"],
-    "histogram_by_class": ["lo", "hi", "density"],
+    "histogram_by_class": ["lo", "hi", "density"], "histograms": ["lo", "hi", "density"], "histograms_capped": ["lo", "hi", "density"],
     "roi_summary": ["total_ltv", "total_gift", "share_of_floor_sellers"],
     "describe_full": ["count", "mean", "std", "min", "q25", "q50", "q75", "max", "skew", "kurtosis", "bowley"],
 }
@@ -757,7 +785,8 @@ DOUBLES.update({
 })
 _RAW.update({
     "describe": DESCRIBE, "skew_kurtosis": SKEW_KURTOSIS, "bowley": BOWLEY, "correlation": CORRELATION,
-    "point_biserial": POINT_BISERIAL, "histogram_by_class": HISTOGRAM_BY_CLASS, "recency_ecdf": RECENCY_ECDF,
+    "point_biserial": POINT_BISERIAL, "histogram_by_class": HISTOGRAM_BY_CLASS, "histograms": HISTOGRAMS,
+    "histograms_capped": HISTOGRAMS_CAPPED, "recency_ecdf": RECENCY_ECDF,
     "flag_rate_by_class": FLAG_RATE_BY_CLASS, "class_balance": CLASS_BALANCE, "shape": SHAPE,
     "seller_history": SELLER_HISTORY, "time_split": TIME_SPLIT, "target_rate": TARGET_RATE,
     "argmax_history": ARGMAX_HISTORY, "manual_sigmoid": MANUAL_SIGMOID, "score_by_ref": SCORE_BY_REF,

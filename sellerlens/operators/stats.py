@@ -200,6 +200,41 @@ def histogram_by_class(df: DataFrame, col: str, label: str = "churn", bins: int
         F.try_divide(F.col("count"), F.sum("count").over(w) * width).alias("density"))
 
 
+def histograms(df: DataFrame, cols: Sequence[str] | None = None, label: str = "churn", bins: int = 25, class_bins: int = 22,
+               caps: dict[str, float] | None = None) -> DataFrame:
+    """T6 for any number of columns: (series, column, class, bin, lo, hi, count, density).
+
+    Series ``all`` has ``bins`` bins over all rows, ``class`` and ``class_log1p`` have ``class_bins`` per
+    class of ``label``, raw and of log(1 + x); every series has its own range (last bin closed; a
+    single value takes the middle of a range of length 1). ``caps`` (P15) leaves values above a
+    column's cap out. Nulls, and values without a logarithm, count nowhere.
+
+    Two passes: ranges, then counters per (series, column, class, bin); both are partial
+    aggregates, so what is shuffled depends on the columns and bins, not on the rows."""
+    cols = list(cols or numeric_columns(df, exclude=[label]))
+    df = cut_lineage(df.select(label, *cols))  # read by both passes
+    body = ", ".join(f"'{c}', " + (f"CASE WHEN `{c}` <= {float(caps[c])} THEN CAST(`{c}` AS DOUBLE) END" if caps and c in caps
+                                   else f"CAST(`{c}` AS DOUBLE)") for c in cols)
+    long = df.selectExpr(f"CAST(`{label}` AS INT) AS class", f"stack({len(cols)}, {body}) AS (column, v)").where("v IS NOT NULL")
+    series = F.array(
+        F.struct(F.lit("all").alias("series"), F.lit(None).cast("int").alias("class"), F.col("v").alias("x"), F.lit(bins).alias("bins")),
+        F.struct(F.lit("class").alias("series"), F.col("class"), F.col("v").alias("x"), F.lit(class_bins).alias("bins")),
+        F.struct(F.lit("class_log1p").alias("series"), F.col("class"), F.log1p("v").alias("x"), F.lit(class_bins).alias("bins")))
+    x = long.select("column", F.explode(series).alias("s")).select("column", "s.*").where("x IS NOT NULL AND (series = 'all' OR class IS NOT NULL)")
+    keys = ["series", "column", "class"]
+    ranges = x.groupBy(*keys).agg(F.min("x").alias("a"), F.max("x").alias("b"), F.count(F.lit(1)).alias("n"))
+    # one row per series, column and class
+    ranges = ranges.select(*[F.col(k).alias(f"_{k}") for k in keys], "n",
+                           F.when(F.col("a") == F.col("b"), F.col("a") - 0.5).otherwise(F.col("a")).alias("mn"),
+                           F.when(F.col("a") == F.col("b"), F.col("b") + 0.5).otherwise(F.col("b")).alias("mx"))
+    on = (F.col("series") == F.col("_series")) & (F.col("column") == F.col("_column")) & F.col("class").eqNullSafe(F.col("_class"))
+    bin_ = F.least(F.floor((F.col("x") - F.col("mn")) / (F.col("mx") - F.col("mn")) * F.col("bins")), F.col("bins") - 1).cast("int")
+    counts = x.join(F.broadcast(ranges), on).groupBy(*keys, "bins", "mn", "mx", "n", bin_.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    width = (F.col("mx") - F.col("mn")) / F.col("bins")
+    return counts.select(*keys, "bin", (F.col("mn") + F.col("bin") * width).alias("lo"), (F.col("mn") + (F.col("bin") + 1) * width).alias("hi"),
+                         "count", (F.col("count") / (F.col("n") * width)).alias("density"))
+
+
 def recency_ecdf(df: DataFrame, col: str = "recency", label: str = "churn",
                  start: int = 1, stop: int = 50, step: int = 5) -> DataFrame:
     """Per class counts in fixed-width bins [start, stop) (last edge
@@ -271,21 +306,11 @@ def score_by_ref(scored: DataFrame, proba: str = "churn_proba", ref: str = "_mt_
     return scored.groupBy(ref).agg(F.avg(proba).alias("mean_proba"), F.count(F.lit(1)).alias("n_rows"))
 
 
-def describe_full(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
-    """T1 + T2 + T3 side by side (U3) from one long-form aggregation: the
-    summary, sample-adjusted skew/kurtosis and Bowley from the quartiles."""
+def describe_full(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """T1 + T2 + T3 side by side (U3): the summary with exact quartiles, sample-adjusted skew and
+    kurtosis, and Bowley's skewness, joined on the column name (one row per column)."""
     cols = list(cols or numeric_columns(df))
-    x = F.col("value")
-    q = (F.percentile(x, [0.25, 0.5, 0.75]) if exact
-         else F.percentile_approx(x, [0.25, 0.5, 0.75], 100000).cast("array<double>"))
-    g = to_long(df, cols).groupBy("column").agg(
-        F.count(x).cast("double").alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
-        F.min(x).alias("min"), q.alias("q"), F.max(x).alias("max"),
-        F.skewness(x).alias("g1"), F.kurtosis(x).alias("g2"))
-    n = F.col("count")
-    q1, q2, q3 = F.col("q")[0], F.col("q")[1], F.col("q")[2]
-    return g.select(
-        "column", "count", "mean", "std", "min", q1.alias("q25"), q2.alias("q50"), q3.alias("q75"), "max",
-        (F.try_divide(F.sqrt(n * (n - 1)), n - 2) * F.col("g1")).alias("skew"),
-        (F.try_divide(n - 1, (n - 2) * (n - 3)) * ((n + 1) * F.col("g2") + 6)).alias("kurtosis"),
-        F.try_divide((q3 - q2) - (q2 - q1), q3 - q1).alias("bowley"))
+    df = cut_lineage(df.select(*cols))  # read by the moments and by the quartiles
+    q1, q2, q3 = F.col("q25"), F.col("q50"), F.col("q75")
+    return describe(df, cols).join(F.broadcast(skew_kurtosis(df, cols)), "column").withColumn(
+        "bowley", F.try_divide((q3 - q2) - (q2 - q1), q3 - q1))

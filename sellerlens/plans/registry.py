@@ -432,6 +432,22 @@ def _hist(spark, sf, p):
     return ST.histogram_by_class(_abt(spark, sf, p), "recency", "churn", bins=10)
 
 
+@register("histograms")
+def _hists(spark, sf, p):
+    """T6 of every ABT feature, overall and per class, raw and log(1 + x)."""
+    return ST.histograms(_abt(spark, sf, p), ABT_NUMERIC[:-1])
+
+
+# The outlier caps of the charts.
+HISTOGRAM_CAPS = {"frequency": 1, "quantity_delay_orders": 10, "quantity_products_selled": 35, "quantity_unique_product_selled": 50}
+
+
+@register("histograms_capped")
+def _hists_capped(spark, sf, p):
+    """T6 + P15: the four capped features."""
+    return ST.histograms(_abt(spark, sf, p), list(HISTOGRAM_CAPS), caps=HISTOGRAM_CAPS)
+
+
 @register("recency_ecdf")
 def _ecdf(spark, sf, p):
     return ST.recency_ecdf(_abt(spark, sf, p))

@@ -24,6 +24,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master:
         b = b.master(master)
@@ -53,6 +54,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         _local_dirs[sc.applicationId] = d
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
+        # Spark makes a folder of its own there, which nobody needs after this application
+        remove_at_exit(spark, sc.getCheckpointDir())
     return d
 
 

@@ -3,11 +3,13 @@
 Operations are the ones a lakehouse catalog offers (create, append,
 create-or-replace, reload one partition, upsert); on plain parquet:
 * partition reload = dynamic partition overwrite (one write, idempotent);
-* replace and upsert (target ``left_anti`` source, ``unionByName`` source)
-  write a new version folder and then switch the table's small pointer file:
-  readers see the old version or the new one whole, a crash leaves the old
-  one live, and a plan may read the table that it replaces. The version
-  before the live one is kept for readers that still run, older ones go;
+* replace, and upsert of a table without partitions (target ``left_anti``
+  source, ``unionByName`` source), write a new version folder and then switch
+  the table's small pointer file by a rename: readers see the old version or
+  the new one whole, a crash leaves one of them live, and a plan may read the
+  table that it replaces. The version before the live one is kept for readers
+  that still run, older ones go;
+* upsert of a partitioned table rewrites the touched partitions only;
 * row counts for the load log are read back from the written parquet
   footers (metadata only, restricted to the partitions just written), so the
   batch is never scanned a second time. (``df.observe`` would avoid even
@@ -18,12 +20,15 @@ create-or-replace, reload one partition, upsert); on plain parquet:
 from __future__ import annotations
 
 import datetime as _dt
+import functools
 import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 LOAD_LOG = ("_meta", "load_log")
 
 
@@ -79,16 +84,38 @@ class TableStore:
         return f"{self.path(db, table)}/{found[0]}"
 
     def _switch(self, db: str, table: str, version: str) -> None:
+        """Point to ``version``: the new pointer is written beside the old one and renamed over it in
+        one step, so a crash leaves a whole pointer, old or new."""
         before = self.versions(db, table)
-        fs, p = self._fs(f"{self.path(db, table)}/{POINTER}")
-        stream = fs.create(p, True)
+        fs, fresh = self._fs(f"{self.path(db, table)}/{POINTER}-{version}")
+        stream = fs.create(fresh, True)
         try:
             stream.write(bytearray(" ".join([version, *before[:1]]).encode()))
         finally:
             stream.close()
+        self._rename_over(fresh, self._fs(f"{self.path(db, table)}/{POINTER}")[1])
         for old in before[1:]:
             fs.delete(self._fs(f"{self.path(db, table)}/{old}")[1], True)
 
+    def _rename_over(self, source, target) -> None:
+        sc = self.spark.sparkContext
+        hadoop = sc._jvm.org.apache.hadoop.fs
+        how = sc._gateway.new_array(getattr(sc._jvm, "org.apache.hadoop.fs.Options$Rename"), 1)
+        how[0] = getattr(hadoop, "Options$Rename").OVERWRITE
+        fs = source.getFileSystem(sc._jsc.hadoopConfiguration())
+        hadoop.FileContext.getFileContext(fs.getUri(), sc._jsc.hadoopConfiguration()).rename(source, target, how)
+
+    def partition_columns(self, db: str, table: str) -> list[str]:
+        """The columns that the live version is partitioned by, outermost first."""
+        found, path = [], self.live(db, table)
+        while True:
+            fs, p = self._fs(path)
+            inside = [f.getPath() for f in fs.listStatus(p) if f.isDirectory() and "=" in f.getPath().getName()]
+            if not inside:
+                return found
+            found.append(inside[0].getName().split("=")[0])
+            path = inside[0].toString()
+
     def exists(self, db: str, table: str) -> bool:
         """K7."""
         return bool(self.versions(db, table))
@@ -162,7 +189,12 @@ class TableStore:
         return int(t.count())
 
     def upsert(self, df, db, table, keys: Sequence[str] | str) -> int:
-        """K5: update-all / insert-all on one or comma-separated keys."""
+        """K5: update-all / insert-all on one or comma-separated keys; null keys equal each other.
+
+        Of a partitioned table only the partitions that hold one of the feed's keys, or take one of
+        its rows, are rewritten (dynamic overwrite); all other files stay as they are. The same feed
+        again gives the same table, so a load that broke off is simply repeated. A table without
+        partitions gets a new version."""
         if isinstance(keys, str):
             keys = [k.strip() for k in keys.split(",") if k.strip()]
         dup = df.groupBy(*keys).count().where(F.col("count") > 1).limit(1)
@@ -170,9 +202,27 @@ class TableStore:
             raise DuplicateKeyError(f"source rows repeat a key of {keys}")
         if not self.exists(db, table):
             return self.create(df, db, table)
-        target = self.read(db, table)
-        merged = target.join(df.select(*keys), list(keys), "left_anti").unionByName(df)
-        self._new_version(merged, db, table)
+        target, parts = self.read(db, table), self.partition_columns(db, table)
+        # partition values as the table types them; the right sides of joins have names of their own
+        typed = df.select(*[df[c].cast(target.schema[c].dataType).alias(c) for c in target.columns])
+        right = lambda d, cols: d.select(*[F.col(c).alias(f"_r_{c}") for c in cols])
+        same = lambda cols: functools.reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in cols])
+        fed = right(typed, keys)
+        if not parts:
+            self._new_version(target.join(fed, same(keys), "left_anti").unionByName(typed), db, table)
+            return self.count_rows(db, table)
+        places = target.select(*dict.fromkeys([*keys, *parts]))
+        held = places.join(fed, same(keys), "left_semi").select(*parts)
+        touched = cut_lineage(held.unionByName(typed.select(*parts)).distinct())
+        old = target.withColumn("_dir", F.regexp_replace(F.input_file_name(), "/[^/]*$", "")).join(right(touched, parts), same(parts), "left_semi")
+        # written before the table is, as it reads what the write replaces
+        new = cut_lineage(old.drop("_dir").join(fed, same(keys), "left_anti").unionByName(typed))
+        emptied = old.select("_dir", *parts).distinct().join(right(new, parts).distinct(), same(parts), "left_anti").select("_dir").collect()
+        self._into_live(new, db, table, "overwrite", parts)
+        jvm = self.spark.sparkContext._jvm
+        for r in emptied:  # folders of partitions whose rows have all moved away
+            p = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(r["_dir"]))
+            p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
         return self.count_rows(db, table)
 
     def write(self, df, db, table, mode: str, keys=None, partition_by=()) -> int:
