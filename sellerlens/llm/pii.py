@@ -1,13 +1,14 @@
 """Personal data: base patterns and bootstrapped contextual extraction.
 
 Base spans (email, ip, card, phone) are the seed entities. Their neighbours
-become lexical patterns: the word to the left or to the right of a slot.
-Other identifier-like tokens (long, with several digits) are candidates, and
+become lexical patterns: the word to the left or to the right of a slot, past
+quotes, assignment signs and other marks. Other identifier-like tokens (long,
+with several digits, not yet judged by a base pattern) are candidates, and
 stand with their shape: runs of letters and digits reduced to classes, so that
 unseen identifiers of one make support each other. Spark scores the graph of
 patterns and shapes in turns: a pattern by the share of known occurrences in
-its slot and by their number, a shape by the share of its occurrences in good
-slots and by the number of different patterns. Accepted shapes count as known
+its slot and by their number, a shape by the share of its occurrences in slots
+that are good without it and by the number of different patterns. Accepted shapes count as known
 in the next turn. In the end candidates of accepted shapes in accepted slots
 join the base spans as kind ``id``.
 
@@ -49,9 +50,11 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 DIGIT_OR_AT = re.compile(r"[0-9@]")
 FROM_DIGIT = re.compile(r"[0-9]\S*")
-WORD_LEFT = re.compile(r"(\S{1,40})\s*\Z")
-WORD_RIGHT = re.compile(r"\s*(\S{1,40})")
-EDGE = "\"'`()[]{}<>.,;:!?*|"
+WORD_LEFT = re.compile(r"(\S{1,40})\Z")
+WORD_RIGHT = re.compile(r"\S{1,40}")
+EDGE = "\"'`()[]{}<>.,;:!?*|=#$%&~^"
+# Marks between a word and its slot (quotes, assignment, table bars) are no words of their own.
+MARKS = EDGE + "\\/-_ \t\r\n\v\f"
 
 
 def luhn(digits: str) -> bool:
@@ -99,7 +102,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 
 def shape(token: str) -> str:
-    """Letters up to a separator kept as they are before '=' or ':', else classes; mixed runs become one class with their length."""
+    """Letters up to a separator kept as they are before '=' or ':', else classes, whatever their case; mixed runs become one class with their length."""
     head, sep, tail = "", "", token
     m = re.match(r"([A-Za-z_]{2,30})([=:])(.+)", token, re.DOTALL)
     if m:
@@ -107,16 +110,17 @@ def shape(token: str) -> str:
 
     def run(m: re.Match) -> str:
         s = m[0]
-        kinds = ("a" if re.search("[a-z]", s) else "") + ("A" if re.search("[A-Z]", s) else "") + ("0" if re.search("[0-9]", s) else "")
+        kinds = ("a" if re.search("[A-Za-z]", s) else "") + ("0" if re.search("[0-9]", s) else "")
         return f"{kinds}{len(s)}" if len(s) < 64 else f"{kinds}64+"
 
     return f"{head}{sep}" + re.sub(r"[A-Za-z0-9]+", run, tail)[:60]
 
 
 def _neighbours(text: str, start: int, end: int) -> tuple[str, str]:
-    left = WORD_LEFT.search(text[max(0, start - 60):start])
-    right = WORD_RIGHT.match(text, end, end + 60)
-    fold = lambda m, mark: mark + re.sub("[0-9]", "0", m[1].lower()) if m else mark + "^"
+    """The nearest words on both sides, marks skipped and cut off; digits are folded."""
+    left = WORD_LEFT.search(text[max(0, start - 60):start].rstrip(MARKS))
+    right = WORD_RIGHT.match(text[end:end + 60].lstrip(MARKS))
+    fold = lambda m, mark: mark + (re.sub("[0-9]", "0", m[0].strip(MARKS).lower()) if m else "^")
     return fold(left, "L:"), fold(right, "R:")
 
 
@@ -140,6 +144,8 @@ def candidates(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[int,
             k += 1
         if any(a < e and s < b for a, b in spans[k:k + 8]):
             continue
+        if DOTTED.fullmatch(text, s, e) or PHONE.fullmatch(text, s, e) or (CARD.fullmatch(text, s, e) and 16 <= len(_only_digits(text[s:e])) <= 19):
+            continue  # a base pattern has judged it already
         out.append((s, e, shape(text[s:e])))
     return out
 
@@ -185,11 +191,14 @@ def bootstrap(slots: DataFrame, turns: int = TURNS, min_share: float = MIN_SHARE
             .withColumn("ok", (F.col("good") >= min_seen) & (F.col("good") >= min_share * F.col("n")))
         )
         patterns = rated.where("ok").select("pattern", "score")
-        # a shape is judged by the slots that are seen often enough to be rated
+        # a shape is judged by slots that are seen often enough without it: its own occurrences say nothing
+        # about a slot, so a keyword that always goes with one shape is no evidence for or against it
+        others, good = F.col("_n") - F.col("n"), F.col("_good") - F.when(F.col("_in"), F.col("n")).otherwise(0)
         found = (
-            graph.where("NOT seed").join(rated.select("pattern", "score", "ok"), "pattern").groupBy("shape")
-            .agg(F.sum("n").alias("n"), F.sum(F.when(F.col("ok"), F.col("n")).otherwise(0)).alias("good"),
-                 F.sum(F.col("ok").cast("int")).alias("patterns"))
+            known.where("NOT seed").join(rated.select("pattern", F.col("n").alias("_n"), F.col("good").alias("_good")), "pattern")
+            .withColumns({"_seen": others >= min_seen, "_ok": (good >= min_seen) & (good >= min_share * others)}).where("_seen").groupBy("shape")
+            .agg(F.sum("n").alias("n"), F.sum(F.when(F.col("_ok"), F.col("n")).otherwise(0)).alias("good"),
+                 F.sum(F.col("_ok").cast("int")).alias("patterns"))
             .where((F.col("good") >= min_share * F.col("n")) & (F.col("patterns") >= min_patterns))
         )
         shapes = materialise(graph.where("seed").select("shape", "seed").distinct().unionByName(

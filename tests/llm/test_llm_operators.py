@@ -128,6 +128,50 @@ def test_bootstrap_finds_unseen_identifiers(spark):
     assert all([x.kind for x in r.base] == ["email"] for r in out if r.doc_id < 30)
 
 
+def plain_bootstrap(rows, turns=3, share=0.6, seen=3, least=3):
+    """(accepted patterns, accepted shapes) of (pattern, shape, seed) rows, by plain counting."""
+    count = collections.Counter(rows)
+    known = {(s, True) for _, s, seed in rows if seed}
+    for _ in range(turns):
+        n, good = collections.Counter(), collections.Counter()
+        for (p, s, seed), c in count.items():
+            n[p] += c
+            good[p] += c * ((s, seed) in known)
+        fine = {p for p in n if n[p] >= seen and good[p] >= seen and good[p] >= share * n[p]}
+        total, held, places = collections.Counter(), collections.Counter(), collections.Counter()
+        for (p, s, seed), c in count.items():
+            if seed or n[p] < seen or n[p] - c < seen:
+                continue
+            g = good[p] - c * ((s, False) in known)
+            ok = g >= seen and g >= share * (n[p] - c)
+            total[s] += c
+            held[s] += c * ok
+            places[s] += ok
+        known = {x for x in known if x[1]} | {(s, False) for s in total if held[s] >= share * total[s] and places[s] >= least}
+    return fine, {s for s, seed in known if not seed}
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_bootstrap_equals_plain_counting(spark, seed):
+    r = random.Random(seed)
+    rows = [(f"p{int(r.random() ** 2 * 12)}", r.choice(["email", "ip"]), True) for _ in range(300)]
+    rows += [(f"p{int(r.random() ** r.choice((1, 2)) * 16)}", f"s{r.randrange(5)}", False) for _ in range(150)]
+    rows += [("key", "s1", False)] * 40
+    patterns, shapes = pii.bootstrap(spark.createDataFrame(rows, "pattern string, shape string, seed boolean"))
+    assert ({x.pattern for x in patterns.collect()}, {x[0] for x in shapes.collect()}) == plain_bootstrap(rows)
+
+
+def test_tokens_behind_a_keyword_are_found_by_the_other_side(spark):
+    r = random.Random(4)
+    after = ["and", "the", "of", "with", "into"]
+    key = lambda: "".join(r.choices("0123456789abcdef", k=40))
+    seeds = [f"word{i} mail u{i}@example.org {after[i % 5]} so" for i in range(60)]
+    tokens = [f'x{i} token = "{key()}" {after[i % 5]} so' for i in range(20)] + [f'X TOKEN = "{key().upper()}"!! {after[i]} so' for i in range(5)]
+    out = pii.find_pii(frame(spark, seeds + tokens)).collect()
+    assert {x.doc_id: x.spans[0].e - x.spans[0].s for x in out if x.doc_id >= 60} == dict.fromkeys(range(60, 85), 40)
+    assert all([s.kind for s in x.spans] == ["email"] for x in out if x.doc_id < 60)
+
+
 def test_pii_on_hostile_rows(spark, hostile):
     out = pii.find_pii(hostile).collect()
     assert len(out) == hostile.count()
