@@ -699,6 +699,20 @@ MIN_MAX_SCALE = (f"WITH {_ABT_CTES},\nm AS (SELECT " + ", ".join(
 DOUBLES.update({"robust_scale": list(_ROBUST), "min_max_scale": list(_MINMAX)})
 _RAW.update({"robust_scale": ROBUST_SCALE, "min_max_scale": MIN_MAX_SCALE})
 
+SPLIT = (f"WITH {_ABT_CTES}\nSELECT _mt_date_reference, seller_id, churn, "
+         "('0x' || left(md5('2:' || strftime(_mt_date_reference, '%Y-%m-%d') || ':' || seller_id), 8))::BIGINT % 100 < 80 AS is_train "
+         f"FROM abt WHERE _mt_date_reference < {_d(P.oot_month)}")
+# quartiles and ranges of the training months, missing values as 0, a spread of 0 as 1
+_LEARNT = [f"quantile_cont(coalesce({c}, 0)::DOUBLE, [0.25, 0.5, 0.75]) AS q_{c}" for c in _ROBUST] + [
+    f"[min(coalesce({c}, 0))::DOUBLE, max(coalesce({c}, 0))::DOUBLE] AS m_{c}" for c in _MINMAX]
+_APPLIED = [f"(coalesce({c}, 0) - q_{c}[2]) / CASE WHEN q_{c}[3] = q_{c}[1] THEN 1 ELSE q_{c}[3] - q_{c}[1] END AS {c}" for c in _ROBUST] + [
+    f"(coalesce({c}, 0) - m_{c}[1]) / CASE WHEN m_{c}[2] = m_{c}[1] THEN 1 ELSE m_{c}[2] - m_{c}[1] END AS {c}" for c in _MINMAX]
+FEATURE_PIPELINE = (f"WITH {_ABT_CTES},\nlearnt AS (SELECT {', '.join(_LEARNT)} FROM abt WHERE _mt_date_reference < {_d(P.oot_month)})\n"
+                    f"SELECT _mt_date_reference, seller_id, {', '.join(_APPLIED)} FROM abt, learnt")
+DOUBLES.update({"feature_pipeline": [*_ROBUST, *_MINMAX]})
+_RAW.update({"split": SPLIT, "feature_pipeline": FEATURE_PIPELINE})
+
+
 def _inner(sql: str) -> str:
     """Body of a ``WITH ...`` statement usable as a CTE after the ABT CTEs."""
     return sql.split("\n", 1)[1] if sql.startswith("WITH ") else sql

@@ -87,5 +87,7 @@ def tier(c, table: Sequence[tuple[float, float]], default: float) -> Column:
 
 
 def stable_hash_bucket(cols: Sequence, seed: int, modulus: int = 100) -> Column:
-    """Partitioning-independent pseudo-random bucket of a key."""
-    return F.pmod(F.xxhash64(F.lit(int(seed)), *[col_(c) for c in cols]), F.lit(modulus))
+    """Partitioning-independent pseudo-random bucket of a key: the first 32 bits of the MD5 of
+    ``seed:col:col..`` as text (nulls are left out), so other engines find the same rows."""
+    text = F.concat_ws(":", F.lit(str(int(seed))), *[col_(c).cast("string") for c in cols])
+    return F.pmod(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long"), F.lit(modulus))

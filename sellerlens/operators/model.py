@@ -1,7 +1,8 @@
-"""Model preparation, training and scoring on MLlib.
+"""Model preparation, training and scoring.
 
-Every fit is a distributed MLlib job over the ABT; only coefficients,
-p-values and per-fold metrics (a few rows) reach the driver. sklearn's
+Single fits are distributed MLlib jobs over the ABT, searches over many fits
+share their passes (``logit``); only coefficients, p-values and per-fold
+metrics (a few rows) reach the driver. sklearn's
 ``C`` maps to ``regParam = 1 / (C * n)`` with ``standardization=False``;
 "balanced" class weights become a ``weightCol`` of ``n / (2 * n_class)``.
 """
@@ -12,7 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import MinMaxScaler, RobustScaler, SQLTransformer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import stable_hash_bucket
 from ..session import cut_lineage
 from . import logit
+from .scaling import MIN_MAX, ROBUST, ColumnScaler
 
 KEYS = ("_mt_date_reference", "seller_id")
 
@@ -100,25 +102,13 @@ def impute_stage(features: Sequence[str], values: dict[str, float]) -> SQLTransf
 def build_pipeline(estimator=None, robust_features: Sequence[str] = ROBUST_FEATURES,
                    minmax_features: Sequence[str] = MINMAX_FEATURES,
                    impute: dict[str, float] = IMPUTE) -> Pipeline:
-    """Impute -> scale two feature groups -> assemble -> estimator. Columns in
-    neither group are not used (the reference drops them)."""
-    imp = impute_stage([*robust_features, *minmax_features], impute)
-
-    def name(c):
-        return f"{c}__imp"
-    stages = [imp]
-    parts = []
-    if robust_features:
-        stages += [VectorAssembler(inputCols=[name(c) for c in robust_features], outputCol="_rb_raw",
-                                   handleInvalid="keep"),
-                   RobustScaler(inputCol="_rb_raw", outputCol="_rb", withCentering=True, withScaling=True)]
-        parts.append("_rb")
-    if minmax_features:
-        stages += [VectorAssembler(inputCols=[name(c) for c in minmax_features], outputCol="_mm_raw",
-                                   handleInvalid="keep"),
-                   MinMaxScaler(inputCol="_mm_raw", outputCol="_mm")]
-        parts.append("_mm")
-    stages.append(VectorAssembler(inputCols=parts, outputCol="features", handleInvalid="keep"))
+    """Impute -> scale two feature groups by exact quartiles and ranges -> assemble -> estimator.
+    Columns in neither group are not used (Q12: they are dropped)."""
+    names = [*robust_features, *minmax_features]
+    stages = [impute_stage(names, impute),
+              ColumnScaler([f"{c}__imp" for c in names], [f"{c}__scaled" for c in names],
+                           [ROBUST] * len(robust_features) + [MIN_MAX] * len(minmax_features)),
+              VectorAssembler(inputCols=[f"{c}__scaled" for c in names], outputCol="features", handleInvalid="keep")]
     if estimator is not None:
         stages.append(estimator)
     return Pipeline(stages=stages)
@@ -253,35 +243,44 @@ def _evaluator_auc(pred: DataFrame, label: str) -> float:
 
 # ---------------------------------------------------------------- M13
 def grid_search(df: DataFrame, Cs: Sequence[float], penalties: Sequence[str] = ("l2", "none"),
-                weights: Sequence[bool] = (True, False), k: int = 5, label: str = "churn",
-                parallelism: int = 4) -> DataFrame:
-    """Mean and std of the stratified k-fold AUC for every (C, penalty, class
-    weight); ``penalty='none'`` has no C (regParam 0), fitted once."""
-    from pyspark.ml.evaluation import BinaryClassificationEvaluator
-    from pyspark.ml.tuning import CrossValidator
-    n = df.count()
-    dfw = cut_lineage(stratified_folds(with_balanced_weights(df, label), k, label))
-    ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction",
-                                       metricName="areaUnderROC", numBins=0)
-    rows = []
-    for balanced in weights:
-        lr = LogisticRegression(featuresCol="features", labelCol=label, standardization=False, maxIter=100)
-        if balanced:
-            lr.setWeightCol("class_weight")
-        grid, tags = [], []
-        for pen in penalties:
-            cs = [None] if pen == "none" else list(Cs)
-            for c in cs:
-                reg = 0.0 if c is None else 1.0 / (c * n)
-                grid.append({lr.regParam: reg, lr.elasticNetParam: 1.0 if pen == "l1" else 0.0})
-                tags.append((c, pen))
-        cvm = CrossValidator(estimator=build_pipeline(lr), estimatorParamMaps=grid, evaluator=ev,
-                             foldCol="fold", numFolds=k, parallelism=parallelism).fit(dfw)
-        for (c, pen), mean, std in zip(tags, cvm.avgMetrics, cvm.stdMetrics):
-            rows.append((None if c is None else float(c), pen, "balanced" if balanced else "none",
-                         float(mean), float(std)))
-    return df.sparkSession.createDataFrame(rows, "C double, penalty string, class_weight string, "
-                                                 "mean_auc double, std_auc double")
+                weights: Sequence[bool] = (True, False), k: int = 5, label: str = "churn") -> DataFrame:
+    """Mean and std (over the folds) of the AUC on the held-out fold and on the training folds for
+    every (C, penalty, class weight); ``penalty='none'`` has no C and is fitted once.
+
+    The preparation is fitted once per fold, on its training rows. All points of the grid then take
+    their Newton steps over these rows together, and one pass ranks the scores of all of them."""
+    if not set(penalties) <= {"l2", "none"}:
+        raise ValueError("penalties are 'l2' and 'none'")
+    points = [(None if c is None else float(c), pen, balanced) for balanced in weights for pen in penalties
+              for c in ([None] if pen == "none" else Cs)]
+    folded = cut_lineage(stratified_folds(df, k, label))
+    names = feature_names()
+    parts = []
+    for f in range(k):
+        train = folded.where(F.col("fold") != f)
+        rows = logit.rows_of(prepared(folded, label, ["fold"], build_pipeline().fit(train)), "features", label, "fold")
+        sizes = {r[label]: r["count"] for r in train.groupBy(label).count().collect()}  # one row per class
+        n = sum(sizes.values())
+        balance = tuple(n / (2 * sizes[y]) if sizes.get(y) else 1.0 for y in (0, 1))
+        fits = [logit.new_fit(len(names), True, c, f, class_weights=balance if b else (1.0, 1.0)) for c, _, b in points]
+        logit.newton(rows, fits, True)
+        scores = logit.scored(rows, [(i, logit.ALL, fit.w) for i, fit in enumerate(fits)], True, keep_fold=True)
+        held = (F.col("fold") == f).alias("held")
+        aucs = logit.grouped_auc(scores.select("model", held, "y", "score"), ["model", "held"])
+        parts += [(f, r.model, r.held, r.auc) for r in aucs.collect()]  # two rows per point
+    out = []
+    for i, (c, pen, balanced) in enumerate(points):
+        test, train = ([a for _, m, h, a in parts if m == i and h == side and a is not None] for side in (True, False))
+        out.append((c, pen, "balanced" if balanced else "none", *_mean_std(test), *_mean_std(train)))
+    return df.sparkSession.createDataFrame(out, "C double, penalty string, class_weight string, mean_auc double, "
+                                                "std_auc double, mean_auc_train double, std_auc_train double")
+
+
+def _mean_std(values: Sequence[float]) -> tuple[float | None, float | None]:
+    if not values:
+        return None, None
+    mean = sum(values) / len(values)
+    return mean, (sum((v - mean) ** 2 for v in values) / len(values)) ** 0.5
 
 
 # ---------------------------------------------------------------- M19

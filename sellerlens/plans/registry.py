@@ -620,10 +620,10 @@ def _mmscale(spark, sf, p):
 
 @register("feature_pipeline")
 def _pipe(spark, sf, p):
-    from pyspark.ml.functions import vector_to_array
-    tr, _, _ = _train_oot_score(spark, sf, p)
-    prep = MD.build_pipeline().fit(tr)
-    return prep.transform(_abt(spark, sf, p)).select(FS.REF, "seller_id", vector_to_array("features").alias("features"))
+    """Imputed and scaled features of the whole ABT; the scalers are fitted on the training months."""
+    abt = cut_lineage(_abt(spark, sf, p))
+    prep = MD.build_pipeline().fit(abt.where(F.col(FS.REF) < F.lit(p.oot_month)))
+    return prep.transform(abt).select(FS.REF, "seller_id", *[F.col(f"{c}__scaled").alias(c) for c in MD.feature_names()])
 
 
 @register("glm_binomial")

@@ -6,10 +6,12 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import functions as F
 
 from sellerlens.operators import logit
 from sellerlens.operators import model as MD
+from sellerlens.operators.scaling import MIN_MAX, ROBUST, ColumnScaler
 
 
 @pytest.fixture(scope="module")
@@ -160,8 +162,49 @@ def test_folds_elimination_and_grid(abt):
     cv = MD.cv(abt, abt, lambda: MD.logistic(1.0, n), k=2, test=abt).collect()
     assert sorted(r.fold for r in cv) == [-1, 0, 1] and all(r.auc_train > 0.8 and r.auc_test > 0.8 for r in cv)
     assert all(r.auc_valid == r.auc_test for r in cv if r.fold == -1)
-    grid = MD.grid_search(abt, (1.0,), ("l2",), (True, False), k=2).collect()
-    assert len(grid) == 2 and all(0.8 < r.mean_auc <= 1 for r in grid)
+
+
+def test_grid_search_equals_one_fit_per_point(abt):
+    """Every point of every fold against a plain fit on features that were prepared on the fold's training rows."""
+    k, c = 3, 0.5
+    got = {(r.C, r.penalty, r.class_weight): r for r in MD.grid_search(abt, (c,), ("l2", "none"), (True, False), k).collect()}
+    assert set(got) == {(c, "l2", "balanced"), (c, "l2", "none"), (None, "none", "balanced"), (None, "none", "none")}
+    folded = MD.stratified_folds(abt, k).cache()
+    held, train = [], []
+    for f in range(k):
+        rows = MD.build_pipeline().fit(folded.where(F.col("fold") != f)).transform(folded).select("features", "churn", "fold").collect()
+        x = np.column_stack([np.array([r.features.toArray() for r in rows]), np.ones(len(rows))])
+        y, use = np.array([r.churn for r in rows], float), np.array([r.fold != f for r in rows])
+        share = use.sum() / (2 * np.array([(y[use] == 0).sum(), (y[use] == 1).sum()]))
+        w = np.zeros(x.shape[1])
+        ridge = np.append(np.full(x.shape[1] - 1, 1 / c), 0.0)
+        for _ in range(60):
+            p = 1 / (1 + np.exp(-x[use] @ w))
+            s = share[y[use].astype(int)]
+            w -= np.linalg.solve((x[use] * (s * p * (1 - p))[:, None]).T @ x[use] + np.diag(ridge), x[use].T @ (s * (p - y[use])) + ridge * w)
+        held.append(plain_auc(y[~use], x[~use] @ w))
+        train.append(plain_auc(y[use], x[use] @ w))
+    r = got[c, "l2", "balanced"]
+    assert np.allclose([r.mean_auc, r.std_auc, r.mean_auc_train, r.std_auc_train],
+                       [np.mean(held), np.std(held), np.mean(train), np.std(train)], atol=1e-6)
+    assert all(r.mean_auc_train >= r.mean_auc - 0.05 for r in got.values())
+
+
+def test_scaler_is_exact_and_survives_saving(spark, tmp_path):
+    df = spark.createDataFrame([(1.0, 5.0, 7, None), (2.0, 5.0, 9, None), (4.0, 5.0, 3, None), (None, 5.0, 3, None)],
+                               "a double, flat double, n int, empty double")
+    stage = ColumnScaler(["a", "flat", "n", "empty", "n"], ["sa", "sf", "sn", "se", "sr"], [ROBUST, ROBUST, MIN_MAX, ROBUST, ROBUST])
+    model = Pipeline(stages=[stage]).fit(df)
+    model.write().overwrite().save(str(tmp_path / "p"))
+    for m in (model, PipelineModel.load(str(tmp_path / "p"))):
+        got = [tuple(r) for r in m.transform(df).orderBy(F.asc_nulls_last("a")).select("sa", "sf", "sn", "se", "sr").collect()]
+        # quartiles of a: 1.5, 2, 3; of n: 3, 5, 7.5
+        assert got == [(-1 / 1.5, 0.0, 4 / 6, None, 2 / 4.5), (0.0, 0.0, 1.0, None, 4 / 4.5), (2 / 1.5, 0.0, 0.0, None, -2 / 4.5), (None, 0.0, 0.0, None, -2 / 4.5)]
+    Pipeline(stages=[stage]).write().overwrite().save(str(tmp_path / "e"))
+    again = Pipeline.load(str(tmp_path / "e")).fit(df).transform(df)
+    assert again.agg(F.sum("sa")).first()[0] == model.transform(df).agg(F.sum("sa")).first()[0]
+    with pytest.raises(ValueError):
+        ColumnScaler(["a"], ["b"], ["other"])
 
 
 def test_saved_model_scores_alike(abt, tmp_path):
