@@ -106,6 +106,22 @@ daily AS (SELECT seller_id, day AS date, sum(amount) AS monetary FROM padded GRO
 SELECT seller_id, date, monetary, monetary - lag(monetary) OVER one AS diff_monetary
 FROM daily WINDOW one AS (PARTITION BY seller_id ORDER BY date)"""
 
+# the dense grid of the common seller key, cut where a day sells, follows a sale, or follows such a day
+SELLERS_DAILY_RUNS = f"""WITH {SALES},
+calendar AS (SELECT DISTINCT order_purchase_timestamp::DATE AS day FROM so WHERE order_purchase_timestamp IS NOT NULL),
+sold AS (SELECT seller_id, day, sum(amount) AS amount FROM sales WHERE day IS NOT NULL GROUP BY ALL),
+grid AS (
+  SELECT s.seller_id, c.day, sold.day IS NOT NULL AS sells, coalesce(sold.amount, 0) AS monetary
+  FROM (SELECT DISTINCT seller_id FROM si) s CROSS JOIN calendar c LEFT JOIN sold ON sold.seller_id = s.seller_id AND sold.day = c.day),
+seen AS (
+  SELECT *, monetary - lag(monetary) OVER one AS diff_monetary,
+    NOT sells AND NOT coalesce(lag(sells) OVER one, true) AS quiet FROM grid WINDOW one AS (PARTITION BY seller_id ORDER BY day)),
+cut AS (
+  SELECT *, NOT quiet OR NOT lag(quiet) OVER one AS opens FROM seen WINDOW one AS (PARTITION BY seller_id ORDER BY day)),
+numbered AS (SELECT *, sum(opens::INTEGER) OVER (PARTITION BY seller_id ORDER BY day) AS run FROM cut)
+SELECT seller_id, min(day) AS date_from, max(day) AS date_to, count(*)::INTEGER AS n_days,
+  any_value(monetary) AS monetary, any_value(diff_monetary) AS diff_monetary FROM numbered GROUP BY seller_id, run"""
+
 # ------------------------------------------------------------ descriptive
 _COHORT_BODY = f"""active AS (
   SELECT DISTINCT seller_id, date_trunc('month', day)::DATE AS m FROM sales
@@ -393,7 +409,7 @@ FS_BACKFILL = (f"WITH {ADAPTER},\n{_refs_cte()},\n{_FS1}\n"
 DOUBLES: dict[str, list[str]] = {
     "sellers_rfm": ["monetary", "frequency_recency", "monetary_frequency"],
     "sellers_price_selling_days": ["monetary", "lag_price", "diff_monetary"],
-    "sellers_intermittent_daily": ["monetary", "diff_monetary"],
+    "sellers_intermittent_daily": ["monetary", "diff_monetary"], "sellers_daily_runs": ["monetary", "diff_monetary"],
     "cohort_retention": ["retention"],
     "lookup": ["price", "freight_value"],
     "lookup_seller": ["price", "freight_value"],
@@ -420,7 +436,7 @@ DOUBLES: dict[str, list[str]] = {
 _RAW: dict[str, str] = {
     "sellers_rfm": SELLERS_RFM,
     "sellers_price_selling_days": SELLERS_PRICE_SELLING_DAYS,
-    "sellers_intermittent_daily": SELLERS_INTERMITTENT_DAILY,
+    "sellers_intermittent_daily": SELLERS_INTERMITTENT_DAILY, "sellers_daily_runs": SELLERS_DAILY_RUNS,
     "cohort": COHORT,
     "cohort_retention": COHORT_RETENTION,
     "cohort_pivot": _cohort_pivot(),
@@ -454,7 +470,8 @@ _RAW: dict[str, str] = {
     "abt_seller_churn_order_scope": _order_scope(ABT_SELLER_CHURN),
     "seller_record": f"SELECT * FROM (\n{ABT_SELLER_CHURN}\n) z WHERE seller_id = {P.lookup_seller_id}",
     "gold_load": """SELECT 'postgres_public_sellers_rfm' AS table_name, count(DISTINCT l_partkey) AS written_lines, 'overwrite' AS update_key FROM lineitem
-      UNION ALL SELECT 'postgres_public_sellers_price_selling_days', count(DISTINCT (l_partkey, o_orderdate)), 'overwrite' FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
+      UNION ALL SELECT 'postgres_public_sellers_price_selling_days', count(DISTINCT (l_partkey, o_orderdate)), 'overwrite' FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+      UNION ALL SELECT 'postgres_public_sellers_daily_runs', count(*), 'overwrite' FROM (""" + SELLERS_DAILY_RUNS + ")",
     "bronze_stamp": BRONZE_STAMP,
     "silver_orders": SILVER_ORDERS,
     "silver_items": SILVER_ITEMS,

@@ -7,6 +7,7 @@ tables in the store; within a step everything is one Spark plan.
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
@@ -14,12 +15,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import Params
 from ..functions.columns import dates_array
 from ..operators import abt as A
 from ..operators import features as FS
 from ..operators import marts as G
 from ..operators import quality as Q
 from ..session import ensure_checkpoint_dir, remove_at_exit
+from ..sources import adapter
 from ..sources.tables import TableStore, latest_snapshot, missing_refs
 
 BRONZE_PART = "_mt_bronze_partition_date"
@@ -83,7 +86,7 @@ def run_silver(store: TableStore, run_ts: _dt.datetime,
 GOLD: dict[str, Callable[[DataFrame, DataFrame], DataFrame]] = {
     "postgres_public_sellers_rfm": G.sellers_rfm,
     "postgres_public_sellers_price_selling_days": G.sellers_price_selling_days,
-    "postgres_public_sellers_intermitent_time_series": G.sellers_intermittent_daily,
+    "postgres_public_sellers_daily_runs": G.sellers_daily_runs,  # G.expand_daily_runs gives the dense rows
 }
 
 
@@ -101,6 +104,7 @@ def run_gold(store: TableStore, run_ts: _dt.datetime,
 
 
 # ---------------------------------------------------------- feature stores
+ABT_TABLE = ("analytics", "abt_seller_churn")
 FEATURE_STORES = {
     "fs_seller_purchases": FS.fs_seller_purchases,
     "fs_seller_orders": FS.fs_seller_orders,
@@ -129,9 +133,9 @@ def run_feature_stores(store: TableStore, orders: DataFrame, items: DataFrame,
             df = fn(orders, items, todo, lookback_months, item_scope=item_scope,
                     run_ts=F.lit(run_ts).cast("timestamp_ntz"))
             if store.exists("analytics", name):
-                n = store.append(df, "analytics", name, [FS.REF], partition_values=todo)
+                n = store.append(df, "analytics", name, [FS.REF], partition_values=todo, distribution="hash")
             else:
-                n = store.create(df, "analytics", name, [FS.REF])
+                n = store.create(df, "analytics", name, [FS.REF], distribution="hash")
             store.log_load(name, n, run_ts, "analytics")
         done[name] = todo
     return done
@@ -147,6 +151,47 @@ def run_abt(store: TableStore, orders: DataFrame, items: DataFrame, refs: Sequen
     df = (feats.join(first, [FS.REF, "seller_id"], "left")
           .select(*A.ABT_FEATURES, F.when(ok, 0).otherwise(1).alias("churn")))
     # partitioned by reference date: train / out-of-time / scoring reads prune
-    n = store.replace(df, "analytics", "abt_seller_churn", [FS.REF])
+    n = store.replace(df, "analytics", ABT_TABLE[1], [FS.REF], distribution="hash")
     store.log_load("abt_seller_churn", n, run_ts, "analytics")
     return n
+
+
+# ------------------------------------------------------------- stored ABT
+_abts: dict[tuple, tuple[TableStore, list[str]]] = {}
+
+
+def input_state(spark: SparkSession, paths: Sequence[str]) -> str:
+    """A digest of the names, lengths and change times of all files below ``paths``."""
+    digest, sc = hashlib.sha256(), spark.sparkContext
+    for path in paths:
+        p = sc._jvm.org.apache.hadoop.fs.Path(path)
+        found, files = p.getFileSystem(sc._jsc.hadoopConfiguration()).listFiles(p, True), []
+        while found.hasNext():
+            f = found.next()
+            files.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}")
+        digest.update("\n".join([*sorted(files), ""]).encode())
+    return digest.hexdigest()
+
+
+def stored_abt(spark: SparkSession, sf_dir: str, params: Params) -> DataFrame:
+    """The ABT of these parameters and input files, stored by month and written once in an
+    application; statistics and models read it with column pruning and month filters. Changed
+    input files, or other parameters that the ABT depends on, make a new one."""
+    key = (spark.sparkContext.applicationId, tuple(params.refs), params.lookback_months, params.churn_days, params.item_scope,
+           input_state(spark, [adapter.path_of(sf_dir, t) for t in ("orders", "lineitem")]))
+    store, columns = _abts.get(key, (None, None))
+    if store is None or not store.exists(*ABT_TABLE):
+        abt = A.abt_seller_churn(*adapter.load(spark, sf_dir), params.refs, params.lookback_months, params.churn_days, params.item_scope)
+        store, columns = scratch_store(spark, "abt"), abt.columns
+        store.replace(abt, *ABT_TABLE, [FS.REF], distribution="hash")
+        _abts[key] = store, columns
+    return store.read(*ABT_TABLE).select(*columns)
+
+
+def forget_stored_abts() -> None:
+    """The next reader builds its ABT anew (for measuring; files go when the driver ends)."""
+    _abts.clear()
+
+
+def has_stored_abt() -> bool:
+    return bool(_abts)

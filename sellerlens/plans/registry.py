@@ -58,6 +58,13 @@ def _daily(spark, sf, p):
     return G.sellers_intermittent_daily(i, o)
 
 
+@register("sellers_daily_runs")
+def _daily_runs(spark, sf, p):
+    """G3 on the common seller key, in runs."""
+    o, i = _oi(spark, sf)
+    return G.sellers_daily_runs(i, o)
+
+
 # ---------------------------------------------------------- descriptive
 @register("cohort")
 def _cohort(spark, sf, p):
@@ -241,7 +248,7 @@ def _abtl(spark, sf, p):
 
 
 @register("abt_seller_churn")
-def _abt(spark, sf, p):
+def _abt_built(spark, sf, p):
     o, i = _oi(spark, sf)
     return A.abt_seller_churn(o, i, p.refs, p.lookback_months, p.churn_days, p.item_scope)
 
@@ -344,8 +351,7 @@ def _backfill(spark, sf, p):
 
 
 def _abt(spark, sf, p):
-    o, i = _oi(spark, sf)
-    return A.abt_seller_churn(o, i, p.refs, p.lookback_months, p.churn_days, p.item_scope)
+    return M.stored_abt(spark, sf, p)
 
 
 @register("seller_record")
@@ -356,16 +362,14 @@ def _seller_record(spark, sf, p):
 
 @register("gold_load")
 def _gold_load(spark, sf, p):
-    """G1, G2 stamped, stored and logged from the silver tables."""
+    """G1-G3 stamped, stored and logged from the silver tables."""
     store = M.scratch_store(spark, "gold")
     o, i = _oi(spark, sf)
     store.create(i, "silver", "postgres_public_order_items")
     store.create(o, "silver", "postgres_public_orders")
-    M.run_gold(store, RUN_TS, {k: f for k, f in M.GOLD.items() if "intermitent" not in k})
+    M.run_gold(store, RUN_TS)
     keys = None
     for name in M.GOLD:
-        if "intermitent" in name:
-            continue
         t = store.read("gold", name).select(F.lit(name).alias("table_name"), F.col("_mt_gold_update_key").alias("update_key")).distinct()
         keys = t if keys is None else keys.unionByName(t)
     log = store.load_log().where("layer = 'gold'").select("table_name", "written_lines")

@@ -24,6 +24,7 @@ import functools
 import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +34,7 @@ LOAD_LOG = ("_meta", "load_log")
 
 
 POINTER = "_live"
+SCHEMA = "_schema"  # of a version when it was written: a table without rows has no file to take it from
 
 
 class DuplicateKeyError(ValueError):
@@ -47,14 +49,22 @@ class TableNotFoundError(LookupError):
     pass
 
 
+def _checked(distribution: str) -> str:
+    if distribution not in ("none", "hash"):
+        raise ValueError(f"unknown write distribution {distribution!r}")
+    return distribution
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str, max_records_per_file: int = 5_000_000,
-                 dictionary_page_bytes: int = 128 * 1024 * 1024):
+                 dictionary_page_bytes: int = 128 * 1024 * 1024, distribution: str = "none"):
         self.spark = spark
         self.root = root.rstrip("/")
         self.max_records_per_file = max_records_per_file
         # K6: the reference's 128 MiB parquet dictionary size
         self.dictionary_page_bytes = dictionary_page_bytes
+        # K6: how partitioned writes are dealt, unless a call says otherwise
+        self.distribution = _checked(distribution)
 
     # ------------------------------------------------------------ paths
     def path(self, db: str, table: str) -> str:
@@ -70,11 +80,7 @@ class TableStore:
         fs, p = self._fs(f"{self.path(db, table)}/{POINTER}")
         if not fs.exists(p):
             return []
-        stream = fs.open(p)
-        try:
-            return bytes(stream.readAllBytes()).decode().split()
-        finally:
-            stream.close()
+        return self._text(p.toString()).split()
 
     def live(self, db: str, table: str) -> str:
         """The folder of the live version."""
@@ -121,27 +127,52 @@ class TableStore:
         return bool(self.versions(db, table))
 
     def read(self, db: str, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.live(db, table))
+        live = self.live(db, table)
+        try:
+            return self.spark.read.parquet(live)
+        except AnalysisException as e:
+            if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+                raise
+        return self.spark.read.schema(self._text(f"{live}/{SCHEMA}")).parquet(live)  # partitions, but not a row yet
+
+    def _text(self, path: str) -> str:
+        fs, p = self._fs(path)
+        stream = fs.open(p)
+        try:
+            return bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
 
     # ----------------------------------------------------------- writes
-    def _writer(self, df: DataFrame, mode: str, partition_by: Sequence[str] = ()):
-        # no repartition by the partition column: a daily batch has a single
-        # partition value and would land in one writer task; every input task
-        # writes its own files instead, capped in size by maxRecordsPerFile
+    def _writer(self, df: DataFrame, mode: str, partition_by: Sequence[str] = (), distribution: str | None = None):
+        """K6. Distribution ``none``: every input task writes its own files, right for a batch of one
+        partition value. ``hash``: rows are dealt by the partition columns first, so a partition has few
+        files instead of one per task; adaptive execution splits what is above its advisory size between
+        tasks (small partitions that hash to a hot one's place with it) and joins small pieces. Files are capped by ``max_records_per_file`` either way."""
+        if partition_by and _checked(distribution or self.distribution) == "hash":
+            df = df.hint("rebalance", *partition_by)
         w = (df.write.mode(mode).option("maxRecordsPerFile", self.max_records_per_file)
              .option("parquet.dictionary.page.size", self.dictionary_page_bytes))
         return w.partitionBy(*partition_by) if partition_by else w
 
-    def _new_version(self, df: DataFrame, db: str, table: str, partition_by: Sequence[str] = ()) -> None:
+    def _new_version(self, df: DataFrame, db: str, table: str, partition_by: Sequence[str] = (), distribution: str | None = None) -> None:
         version = f"v-{uuid.uuid4().hex[:12]}"
-        self._writer(df, "errorifexists", partition_by).parquet(f"{self.path(db, table)}/{version}")
+        path = f"{self.path(db, table)}/{version}"
+        self._writer(df, "errorifexists", partition_by, distribution).parquet(path)
+        fs, p = self._fs(f"{path}/{SCHEMA}")
+        stream = fs.create(p, True)
+        try:
+            stream.write(bytearray(df.schema.toDDL().encode()))
+        finally:
+            stream.close()
         self._switch(db, table, version)
 
-    def _into_live(self, df: DataFrame, db: str, table: str, mode: str, partition_by: Sequence[str] = ()) -> None:
+    def _into_live(self, df: DataFrame, db: str, table: str, mode: str, partition_by: Sequence[str] = (),
+                   distribution: str | None = None) -> None:
         if not self.exists(db, table):
-            self._new_version(df, db, table, partition_by)
+            self._new_version(df, db, table, partition_by, distribution)
             return
-        w = self._writer(df, mode, partition_by)
+        w = self._writer(df, mode, partition_by, distribution)
         if mode == "overwrite":  # only the partitions that df holds
             w = w.option("partitionOverwriteMode", "dynamic")
         w.parquet(self.live(db, table))
@@ -154,24 +185,24 @@ class TableStore:
             t = t.where(F.col(partition_col).isin(list(values)))
         return int(t.count())
 
-    def create(self, df, db, table, partition_by=()) -> int:
+    def create(self, df, db, table, partition_by=(), distribution=None) -> int:
         """K1."""
         if self.exists(db, table):
             raise TableExistsError(f"{db}.{table}")
-        self._new_version(df, db, table, partition_by)
+        self._new_version(df, db, table, partition_by, distribution)
         return self.count_rows(db, table)
 
-    def append(self, df, db, table, partition_by=(), partition_values=None) -> int | None:
+    def append(self, df, db, table, partition_by=(), partition_values=None, distribution=None) -> int | None:
         """K2. Returns the rows of ``partition_values`` when given (the
         partitions this append creates), else ``None``."""
-        self._into_live(df, db, table, "append", partition_by)
+        self._into_live(df, db, table, "append", partition_by, distribution)
         if partition_by and partition_values is not None:
             return self.count_rows(db, table, partition_by[0], partition_values)
         return None
 
-    def replace(self, df, db, table, partition_by=()) -> int:
+    def replace(self, df, db, table, partition_by=(), distribution=None) -> int:
         """K3: create-or-replace; ``df`` may read the table itself."""
-        self._new_version(df, db, table, partition_by)
+        self._new_version(df, db, table, partition_by, distribution)
         return self.count_rows(db, table)
 
     def reload_partition(self, df, db, table, partition_col: str, values=None) -> int:

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from sellerlens.functions.columns import year_month
 from sellerlens.operators import descriptive as D
 from sellerlens.operators import marts as G
+from sellerlens.sources import adapter
 
 
 def test_one_sale_seller_rfm(spark):
@@ -67,3 +68,24 @@ def test_year_month_and_month_clamp(spark):
     df = spark.createDataFrame([(d("2018-01-15"), d("2018-08-31"))], "a date, b date")
     r = df.select(year_month("a").alias("ym"), F.add_months("b", -6).alias("m")).first()
     assert r["ym"] == "2018-01" and str(r["m"]) == "2018-02-28"
+
+
+def test_daily_runs_expand_to_the_dense_grid(spark):
+    """On the given tables, and on sellers without a sale, with sales at both ends, in a row and of value 0."""
+    o = make_orders(spark, [(k, "DELIVERED", f"2000-01-{day:02d} 10:00:00") for k, day in enumerate([1, 2, 3, 5, 6, 9, 12, 13], 1)]
+                    + [(50, "CREATED", None)])
+    i = make_items(spark, [(1, 1, 1, 7, 5.0), (2, 1, 1, 7, 5.0), (8, 1, 1, 7, 2.0), (4, 1, 1, 8, 0.0), (4, 2, 1, 9, 3.0), (4, 1, 2, 9, 1.0),
+                           (6, 1, 1, 9, 4.0), (50, 1, 1, 10, 9.0), (99, 1, 1, 11, 9.0)])
+    cases = [(o, i), adapter.load(spark, "/root/testdata/sf0.001", "suppkey")]
+    for orders, items in cases:
+        runs = G.sellers_daily_runs(items, orders)
+        dense = G.sellers_intermittent_daily(items, orders)
+        got, want = (sorted((tuple(r) for r in d.select("seller_id", "date", "monetary", "diff_monetary").collect()), key=lambda t: t[:2])
+                     for d in (G.expand_daily_runs(runs, orders), dense))
+        assert len(got) == len(want)
+        for a, b in zip(got, want):
+            assert a[:2] == b[:2] and abs(a[2] - b[2]) < 1e-6
+            assert (a[3] is None) == (b[3] is None) and (a[3] is None or abs(a[3] - b[3]) < 1e-6)
+    small = G.sellers_daily_runs(i, o)
+    assert small.where("seller_id = 10").count() == 2  # no dated sale: the first day and the rest
+    assert small.where("seller_id = 7").count() == 5  # three sales, the day after the second, the quiet days

@@ -1,13 +1,17 @@
+import dataclasses
 import datetime as dt
 import os
+import pathlib
 import tempfile
 
 import pytest
 from conftest import SF
 from pyspark.sql import functions as F
 
+from sellerlens import Params
 from sellerlens.operators import quality as Q
 from sellerlens.plans import medallion as M
+from sellerlens.plans import registry
 from sellerlens.sources import adapter
 from sellerlens.sources.tables import DuplicateKeyError, TableStore, latest_snapshot, missing_refs
 
@@ -178,3 +182,46 @@ def test_replace_switches_versions_and_may_read_itself(spark, tmp_path):
     except Exception:
         pass
     assert store.live("d", "t") == live and store.read("d", "t").count() == 5
+
+
+def test_hash_distribution_bounds_files_per_partition(spark, tmp_path):
+    """K6: of 64 tasks each would write every partition; dealt by it, most partitions have one file and
+    the hot one is split between tasks instead of being one task's."""
+    df = spark.range(0, 40_000, 1, 64).selectExpr("IF(id % 10 < 9, 0, id % 97) AS p", "id", "sha2(CAST(id AS STRING), 512) AS pad")
+    old = {k: spark.conf.get(k, None) for k in ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.shuffle.partitions")}
+    files = {}
+    try:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "512k")
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        for how in ("none", "hash"):
+            store = TableStore(spark, str(tmp_path / how), distribution=how)
+            assert store.create(df, "db", "t", ["p"]) == 40_000
+            live = pathlib.Path(store.live("db", "t").removeprefix("file:"))
+            files[how] = {d.name: len(list(d.glob("*.parquet"))) for d in live.glob("p=*")}
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    cold = [n for d, n in files["hash"].items() if d != "p=0"]
+    assert files["none"]["p=0"] == 64 and 2 <= files["hash"]["p=0"] <= 32
+    # only partitions that hash to the hot one's place are split with it: one in 16
+    assert sum(n > 1 for n in cold) <= 16 and sorted(cold)[len(cold) // 2] == 1 and max(cold) <= files["hash"]["p=0"]
+    with pytest.raises(ValueError):
+        TableStore(spark, str(tmp_path), distribution="range")
+
+
+def test_stored_abt_is_built_once_and_prunes_months(spark):
+    """Same rows as the ABT built anew, one build per parameters and inputs, month filters reach the scan."""
+    p, sf = Params(), "/root/testdata/sf0.001"
+    M.forget_stored_abts()
+    one = M.stored_abt(spark, sf, p)
+    plan = one.where(F.col("_mt_date_reference") == F.lit(p.score_month)).select("seller_id", "ltv")
+    text = plan._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(_mt_date_reference" in text and "ReadSchema: struct<seller_id:bigint,ltv:double>" in text
+    assert M.stored_abt(spark, sf, p).inputFiles() == one.inputFiles()
+    built = registry.run("abt_seller_churn", spark, sf)
+    assert one.columns == built.columns and dict(one.dtypes) == dict(built.dtypes)
+    assert one.exceptAll(built).isEmpty() and built.exceptAll(one).isEmpty()
+    other = M.stored_abt(spark, sf, dataclasses.replace(p, churn_days=30))
+    assert set(other.inputFiles()).isdisjoint(one.inputFiles())
+    early = dataclasses.replace(p, refs=(dt.date(1900, 1, 1),))
+    assert M.stored_abt(spark, sf, early).count() == 0  # a table without rows can be read
