@@ -472,6 +472,10 @@ _RAW: dict[str, str] = {
     "gold_load": """SELECT 'postgres_public_sellers_rfm' AS table_name, count(DISTINCT l_partkey) AS written_lines, 'overwrite' AS update_key FROM lineitem
       UNION ALL SELECT 'postgres_public_sellers_price_selling_days', count(DISTINCT (l_partkey, o_orderdate)), 'overwrite' FROM lineitem JOIN orders ON l_orderkey = o_orderkey
       UNION ALL SELECT 'postgres_public_sellers_daily_runs', count(*), 'overwrite' FROM (""" + SELLERS_DAILY_RUNS + ")",
+    "landing_to_bronze": """SELECT * FROM (
+        SELECT 'postgres_public_orders' AS table_name, count(*) AS n_rows, count(DISTINCT o_orderkey) AS n_orders FROM orders
+        UNION ALL SELECT 'postgres_public_order_items', count(*), count(DISTINCT l_orderkey) FROM lineitem),
+      (VALUES ('2001-07-31'), ('2001-08-01')) d(partition_date), (VALUES (2::BIGINT)) l(n_loads)""",
     "bronze_stamp": BRONZE_STAMP,
     "silver_orders": SILVER_ORDERS,
     "silver_items": SILVER_ITEMS,
@@ -772,6 +776,36 @@ holt AS (
   FROM hs h LEFT JOIN tuned b ON b.seller_id = h.seller_id
   WHERE h.i = h.n)"""
 HOLT_FORECAST = f"WITH RECURSIVE {_HOLT_CTES}\nSELECT * FROM holt"
+
+
+def _holt_fitted() -> str:
+    """Ten more searches, each over the nine pairs around the best one so far, at half the last distance."""
+    ctes, best = [_HOLT_CTES.split(",\ntuned AS")[0], """t0 AS (
+  SELECT seller_id, a, b, l + t AS f FROM rec WHERE i = n
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY seller_id ORDER BY sse, a, b, l + t) = 1)"""], "t0"
+    for k, step in enumerate(["0.1", "0.05", "0.025", "0.0125", "0.00625", "0.003125", "0.0015625", "0.00078125", "0.000390625", "0.0001953125"], 1):
+        ctes.append(f"""c{k} AS (
+  SELECT DISTINCT seller_id, greatest(0::DOUBLE, least(1::DOUBLE, a + x::DOUBLE * {step}::DOUBLE)) AS a,
+    greatest(0::DOUBLE, least(1::DOUBLE, b + y::DOUBLE * {step}::DOUBLE)) AS b
+  FROM {best}, (VALUES (-1), (0), (1)) vx(x), (VALUES (-1), (0), (1)) vy(y)),
+r{k} AS (
+  SELECT g.seller_id, g.a, g.b, 2 AS i, s2.y AS l, s2.y - s1.y AS t, 0::DOUBLE AS sse, s2.n
+  FROM c{k} g JOIN hs s1 ON s1.seller_id = g.seller_id AND s1.i = 1 JOIN hs s2 ON s2.seller_id = g.seller_id AND s2.i = 2
+  UNION ALL
+  SELECT r.seller_id, r.a, r.b, r.i + 1, r.a * s.y + (1 - r.a) * (r.l + r.t),
+    r.b * ((r.a * s.y + (1 - r.a) * (r.l + r.t)) - r.l) + (1 - r.b) * r.t,
+    r.sse + (s.y - r.l - r.t) * (s.y - r.l - r.t), r.n
+  FROM r{k} r JOIN hs s ON s.seller_id = r.seller_id AND s.i = r.i + 1),
+t{k} AS (
+  SELECT seller_id, a, b, l + t AS f FROM r{k} WHERE i = n
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY seller_id ORDER BY sse, a, b, l + t) = 1)""")
+        best = f"t{k}"
+    return ("WITH RECURSIVE " + ",\n".join(ctes) + f"""
+SELECT h.seller_id, CAST(h.last_ds + INTERVAL 1 MONTH AS DATE) AS order_month_purchase,
+  greatest(COALESCE(b.f, h.y), 0.0) AS forecast_ltv, b.a AS alpha, b.b AS beta
+FROM hs h LEFT JOIN {best} b ON b.seller_id = h.seller_id WHERE h.i = h.n""")
+
+
 # the decision step's inputs: the scoring month's sellers, their forecast LTV and gift
 _GIFT = "CASE WHEN churn_proba >= 0.95 THEN 10000.0 WHEN churn_proba >= 0.85 THEN 400.0 WHEN churn_proba >= 0.75 THEN 100.0 ELSE 50.0 END"
 _INPUTS_CTES = (f"RECURSIVE {_SCORED},\n{_HOLT_CTES},\ninputs AS (SELECT scored.seller_id, churn_proba, coalesce(holt.forecast_ltv, 0) AS ltv, "
@@ -780,8 +814,8 @@ _INPUTS_CTES = (f"RECURSIVE {_SCORED},\n{_HOLT_CTES},\ninputs AS (SELECT scored.
                 f"cands AS (SELECT * FROM inputs WHERE churn_proba >= {P.proba_floor})")
 FORECAST_PROFIT = (f"WITH RECURSIVE {_HOLT_CTES}\nSELECT MIN(order_month_purchase) AS month, COUNT(*) AS sellers, "
                    f"SUM(forecast_ltv) AS forecast_ltv_total FROM holt WHERE {_OF_MONTH}")
-_RAW.update({"holt_forecast": HOLT_FORECAST, "forecast_profit": FORECAST_PROFIT})
-DOUBLES.update({"holt_forecast": ["forecast_ltv", "alpha", "beta"]})
+_RAW.update({"holt_forecast": HOLT_FORECAST, "holt_fitted": _holt_fitted(), "forecast_profit": FORECAST_PROFIT})
+DOUBLES.update({k: ["forecast_ltv", "alpha", "beta"] for k in ("holt_forecast", "holt_fitted")})
 SIG_EXTRA = {"forecast_profit": ["forecast_ltv_total"]}
 DOUBLES.update({"last_month_profit": ["ltv_last_month", "profit_last_month"],
                 "best_thresholds": ["p", "balanced_accuracy", "auc", "false_positive_rate", "precision",

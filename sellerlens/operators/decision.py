@@ -3,9 +3,10 @@
 * X1 Holt linear-trend forecast per seller, written with SQL higher-order
   functions over the seller's month array (bounded by the month calendar):
   a fold of (level, trend, SSE) for every (alpha, beta) of a small grid,
-  the lowest SSE wins. No Python UDF.
+  the lowest SSE wins; with ``refine`` a pattern search then fits the pair
+  to the series. No Python UDF.
 * X4 greedy: a gift is at least the smallest tier value, so at most
-  ``budget // min_gift`` rows can fit: top-k first, then a running sum over
+  ``budget // smallest tier`` rows can fit: top-k first, then a running sum over
   those rows only.
 * X5 exact 0/1 knapsack for few distinct weights: inside one weight class an
   optimal pick is always the class's top-n by value, so the search is over
@@ -35,17 +36,10 @@ HOLT_BETAS = (0.05, 0.1, 0.2, 0.3, 0.5)
 
 
 # ------------------------------------------------------------------ X1, X2
-def holt_forecast(series: DataFrame, key: str = "seller_id", ds: str = "order_month_purchase",
-                  y: str = "forecast_ltv", alphas: Sequence[float] = HOLT_ALPHAS,
-                  betas: Sequence[float] = HOLT_BETAS, floor: float | None = 0.0) -> DataFrame:
-    """One-step Holt forecast per key: level0 = y2, trend0 = y2 - y1, then
-    l' = a*y + (1-a)*(l+t), t' = b*(l'-l) + (1-b)*t, SSE of one-step errors;
-    fewer than two points -> last value. Result floored at ``floor``."""
-    grid = ", ".join(f"named_struct('a', {a}D, 'b', {b}D)" for a in alphas for b in betas)
-    s = series.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(F.col(ds), F.col(y).cast("double")
-                                                                      .alias("y")))).alias("pts"))
-    fold = f"""
-      transform(array({grid}), g -> aggregate(
+def _holt_runs(candidates: str) -> str:
+    """SQL: (sse, a, b, f) of every candidate (a, b) over the array ``ys``, a fold of (level, trend, sse)."""
+    return f"""
+      transform({candidates}, g -> aggregate(
         slice(ys, 3, greatest(size(ys) - 2, 0)),
         named_struct('l', ys[1], 't', ys[1] - ys[0], 'sse', 0D),
         (acc, v) -> named_struct(
@@ -53,11 +47,33 @@ def holt_forecast(series: DataFrame, key: str = "seller_id", ds: str = "order_mo
           't', g.b * ((g.a * v + (1 - g.a) * (acc.l + acc.t)) - acc.l) + (1 - g.b) * acc.t,
           'sse', acc.sse + (v - acc.l - acc.t) * (v - acc.l - acc.t)),
         acc -> named_struct('sse', acc.sse, 'a', g.a, 'b', g.b, 'f', acc.l + acc.t)))"""
+
+
+def holt_forecast(series: DataFrame, key: str = "seller_id", ds: str = "order_month_purchase",
+                  y: str = "forecast_ltv", alphas: Sequence[float] = HOLT_ALPHAS,
+                  betas: Sequence[float] = HOLT_BETAS, floor: float | None = 0.0, refine: int = 0) -> DataFrame:
+    """One-step Holt forecast per key: level0 = y2, trend0 = y2 - y1, then
+    l' = a*y + (1-a)*(l+t), t' = b*(l'-l) + (1-b)*t, SSE of one-step errors;
+    fewer than two points -> last value. Result floored at ``floor``.
+
+    (alpha, beta) is the grid's best (ties: the smaller pair). ``refine`` rounds then fit it to the
+    series: each moves to the best of the nine points around the present one, inside [0, 1], and
+    halves the distance, from 0.1 on. The present point is one of the nine, so the error never
+    rises above the grid's."""
+    grid = ", ".join(f"named_struct('a', {a}D, 'b', {b}D)" for a in alphas for b in betas)
+    s = series.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(F.col(ds), F.col(y).cast("double")
+                                                                      .alias("y")))).alias("pts"))
+    fold = f"array_min({_holt_runs(f'array({grid})')})"
+    if refine:
+        steps = ", ".join(f"{x!r}D" for x in holt_steps(refine))
+        inside = lambda p, k: f"greatest(0D, least(1D, p.{p} + {k}D * step))"
+        around = ", ".join(f"named_struct('a', {inside('a', i)}, 'b', {inside('b', j)})" for i in (-1, 0, 1) for j in (-1, 0, 1))
+        fold = f"aggregate(array({steps}), {fold}, (p, step) -> array_min({_holt_runs(f'array({around})')}))"
     with_y = s.select(key, F.col("pts"), F.transform("pts", lambda p: p["y"]).alias("ys"),
                       F.element_at(F.col("pts"), -1)[ds].alias("last_ds"))
     best = with_y.select(
         key, "last_ds",
-        F.when(F.size("ys") >= 2, F.array_min(F.expr(fold))).alias("best"),
+        F.when(F.size("ys") >= 2, F.expr(fold)).alias("best"),
         F.element_at("ys", -1).alias("last_y"))
     f = F.coalesce(F.col("best.f"), F.col("last_y"))
     if floor is not None:
@@ -66,6 +82,11 @@ def holt_forecast(series: DataFrame, key: str = "seller_id", ds: str = "order_mo
                        F.col("best.a").alias("alpha"), F.col("best.b").alias("beta"))
 
 
+def holt_steps(rounds: int) -> list[float]:
+    """The distances of the refinement: 0.1, halved from round to round."""
+    return [0.1 / 2 ** r for r in range(rounds)]
+
+
 def monthly_profit(series: DataFrame, key: str = "seller_id", ds: str = "order_month_purchase",
                    y: str = "forecast_ltv") -> DataFrame:
     """Month-over-month change of the cumulative value per key."""
@@ -83,11 +104,12 @@ def gift_tier(scored: DataFrame, proba: str = "churn_proba", tiers=GIFT_TIERS,
 # ------------------------------------------------------------------- X4
 def budget_greedy(cands: DataFrame, budget: float, proba: str = "churn_proba",
                   gift: str = "gift", key: str = "seller_id", skip_gift: float = SKIP_GIFT,
-                  min_gift: float = GIFT_DEFAULT) -> DataFrame:
+                  tiers=GIFT_TIERS, default: float = GIFT_DEFAULT) -> DataFrame:
     """By score (desc, key asc), keep the prefix whose running gift total
     stays within budget; the top tier is skipped."""
     c = cands.where(F.col(gift) < skip_gift)
-    k = int(budget // min_gift) if min_gift > 0 else None
+    least = min(default, *[g for _, g in tiers])  # of the table that gave the gifts
+    k = int(budget // least) if least > 0 else None
     head = c.orderBy(F.desc(proba), F.asc(key))
     if k is not None:
         head = head.limit(k)  # no more rows than this can fit

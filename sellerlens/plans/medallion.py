@@ -23,6 +23,7 @@ from ..operators import marts as G
 from ..operators import quality as Q
 from ..session import ensure_checkpoint_dir, remove_at_exit
 from ..sources import adapter
+from ..sources.landing import landing_path, read_landing
 from ..sources.tables import TableStore, latest_snapshot, missing_refs
 
 BRONZE_PART = "_mt_bronze_partition_date"
@@ -49,6 +50,15 @@ def run_bronze(store: TableStore, landing: Mapping[str, DataFrame], run_ts: _dt.
     return written
 
 
+def run_bronze_from_landing(store: TableStore, root: str, tables: Sequence[str], run_ts: _dt.datetime,
+                            reload: bool = True) -> dict[str, int]:
+    """The daily bronze job (S2, S1, Q5, K8, K4): each table's landing folder becomes today's partition.
+    A folder that is missing is skipped and reported. A table that already has today's partition is
+    loaded again in its place, or left as it is with ``reload=False`` (a run taken up again)."""
+    todo = [t for t in tables if reload or not store.partition_loaded("bronze", t, BRONZE_PART, run_ts.date())]
+    return run_bronze(store, {t: read_landing(store.spark, landing_path(root, t)) for t in todo}, run_ts)
+
+
 # ------------------------------------------------------------------ silver
 @dataclass(frozen=True)
 class SilverSpec:

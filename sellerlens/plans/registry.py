@@ -258,6 +258,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from ..operators import quality as Q  # noqa: E402
 from ..params import RUN_TS, RUN_TS_PREV  # noqa: E402
+from ..sources import landing as L  # noqa: E402
 from ..sources import tables as K  # noqa: E402
 from . import medallion as M  # noqa: E402
 
@@ -288,6 +289,29 @@ def _two_day_bronze(spark, sf):
     return store
 
 
+@register("landing_to_bronze")
+def _landing_to_bronze(spark, sf, p):
+    """S8 -> S2/S1 -> Q5 -> K8/K4: snapshots of two days go through the daily job; a run taken up
+    again on the second day loads nothing twice, and a table without a folder is skipped."""
+    store = M.scratch_store(spark, "landing")
+    root = f"{store.root}/landing"
+    sources = {"postgres_public_orders": adapter.landing_orders, "postgres_public_order_items": adapter.landing_items}
+    for name, load in sources.items():
+        L.snapshot(Q.fix_void_columns(load(spark, sf)), L.landing_path(root, name), RUN_TS_PREV)
+    wanted = [*sources, "postgres_public_absent"]
+    M.run_bronze_from_landing(store, root, wanted, RUN_TS_PREV)
+    M.run_bronze_from_landing(store, root, wanted[1:], RUN_TS)
+    M.run_bronze_from_landing(store, root, wanted, RUN_TS, reload=False)
+    both = None
+    for name in sources:
+        t = (store.read("bronze", name).groupBy(F.col(M.BRONZE_PART).cast("string").alias("partition_date"))
+             .agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("order_id").alias("n_orders"))
+             .withColumn("table_name", F.lit(name)))
+        both = t if both is None else both.unionByName(t)
+    loads = store.load_log().groupBy("table_name").agg(F.count(F.lit(1)).alias("n_loads"))
+    return both.join(loads, "table_name")
+
+
 @register("latest_snapshot")
 def _latest(spark, sf, p):
     store = _two_day_bronze(spark, sf)
@@ -587,6 +611,13 @@ def _holt(spark, sf, p):
     return X.holt_forecast(D.monthly_ltv(o, i, p.window_start, p.window_end))
 
 
+@register("holt_fitted")
+def _holt_fitted(spark, sf, p):
+    """X1 with (alpha, beta) fitted per seller instead of the grid's best."""
+    o, i = _oi(spark, sf)
+    return X.holt_forecast(D.monthly_ltv(o, i, p.window_start, p.window_end), refine=10)
+
+
 # ------------------------------------------------------------------ models
 from ..operators import model as MD  # noqa: E402
 

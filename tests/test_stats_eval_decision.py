@@ -159,6 +159,45 @@ def test_holt_matches_python_recurrence(spark):
         assert abs(got[k] - _holt_py(ys, X.HOLT_ALPHAS, X.HOLT_BETAS)) < 1e-6
 
 
+def _holt_sse(ys, a, b):
+    lv, tr, sse = ys[1], ys[1] - ys[0], 0.0
+    for v in ys[2:]:
+        sse += (v - lv - tr) ** 2
+        lv, tr, last = a * v + (1 - a) * (lv + tr), tr, lv
+        tr = b * (lv - last) + (1 - b) * tr
+    return sse, lv + tr
+
+
+def test_fitted_holt_is_never_worse_than_the_grid(spark):
+    """Against the same pattern search in plain Python, and against the grid's error."""
+    rnd = random.Random(11)
+    series = {k: [round(rnd.uniform(0, 100) + 5 * t * rnd.random(), 2) for t in range(rnd.randint(1, 12))] for k in range(25)}
+    rows = [(k, d(f"2000-{t + 1:02d}-01"), y) for k, ys in series.items() for t, y in enumerate(ys)]
+    df = spark.createDataFrame(rows, "seller_id long, order_month_purchase date, forecast_ltv double")
+    got = {r["seller_id"]: r for r in X.holt_forecast(df, floor=None, refine=10).collect()}
+    better = 0
+    for k, ys in series.items():
+        if len(ys) < 2:
+            assert got[k]["alpha"] is None and got[k]["forecast_ltv"] == ys[-1]
+            continue
+        grid = min((_holt_sse(ys, a, b)[0], a, b) for a in X.HOLT_ALPHAS for b in X.HOLT_BETAS)
+        best = grid
+        for step in X.holt_steps(10):
+            around = [(max(0.0, min(1.0, best[1] + i * step)), max(0.0, min(1.0, best[2] + j * step))) for i in (-1, 0, 1) for j in (-1, 0, 1)]
+            best = min((_holt_sse(ys, a, b)[0], a, b) for a, b in around)
+        sse, forecast = _holt_sse(ys, got[k]["alpha"], got[k]["beta"])
+        assert sse <= grid[0] + 1e-9 and abs(sse - best[0]) < 1e-6 * (1 + sse) and abs(forecast - got[k]["forecast_ltv"]) < 1e-6
+        better += sse < grid[0] - 1e-6
+    assert better > 10
+
+
+def test_greedy_takes_the_row_bound_from_the_tier_table(spark):
+    """Tiers below the default gift: more rows fit than the default's size would allow."""
+    rows = [(k, 0.9 - k / 100, 10.0, 1.0) for k in range(20)]
+    df = spark.createDataFrame(rows, "seller_id long, churn_proba double, gift double, ltv double")
+    assert X.budget_greedy(df, 150, tiers=((0.5, 10.0),)).count() == 15
+
+
 def test_t_pvalue(spark):
     known = [(2.0, 10.0, 0.07338803477), (-2.0, 10.0, 0.07338803477), (0.5, 1.0, 0.70483276469), (0.0, 5.0, 1.0),
              (12.7062047364, 1.0, 0.05), (1.9623390808, 1000.0, 0.05), (3.290526731, 1e9, 0.001), (40.0, 30.0, 0.0)]

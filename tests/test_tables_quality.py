@@ -225,3 +225,20 @@ def test_stored_abt_is_built_once_and_prunes_months(spark):
     assert set(other.inputFiles()).isdisjoint(one.inputFiles())
     early = dataclasses.replace(p, refs=(dt.date(1900, 1, 1),))
     assert M.stored_abt(spark, sf, early).count() == 0  # a table without rows can be read
+
+
+def test_bronze_job_from_landing_folders(spark, store, tmp_path):
+    """Missing folders are skipped; a run taken up again leaves loaded tables, a full run replaces them."""
+    from sellerlens.sources.landing import landing_path, snapshot
+    one, two = dt.datetime(2020, 1, 1, 5), dt.datetime(2020, 1, 2, 5)
+    names, root = ["erp_public_a", "erp_public_b_c"], str(tmp_path)
+    for n in names:
+        snapshot(spark.range(3), landing_path(root, n), one)
+    assert M.run_bronze_from_landing(store, root, [*names, "erp_public_none"], one) == {n: 3 for n in names}
+    assert M.run_bronze_from_landing(store, root, names[:1], two) == {names[0]: 3}
+    snapshot(spark.range(5), landing_path(root, names[0]), two)
+    assert M.run_bronze_from_landing(store, root, names, two, reload=False) == {names[1]: 3}
+    assert M.run_bronze_from_landing(store, root, names, two) == {names[0]: 5, names[1]: 3}
+    sizes = {str(r[M.BRONZE_PART]): r["count"] for r in store.read("bronze", names[0]).groupBy(M.BRONZE_PART).count().collect()}
+    assert sizes == {"2020-01-01": 3, "2020-01-02": 5}
+    assert not store.exists("bronze", "erp_public_none")
