@@ -620,6 +620,7 @@ def _holt_fitted(spark, sf, p):
 
 # ------------------------------------------------------------------ models
 from ..operators import model as MD  # noqa: E402
+from ..operators import subsets as SB  # noqa: E402
 
 GRID_C = (0.001, 0.01, 0.1, 1, 10, 100, 1000)
 FINAL_C = 0.1
@@ -715,6 +716,16 @@ def _rfe(spark, sf, p):
     return MD.rfe(tr, C=100, k=10)
 
 
+@register("subset_search")
+def _subsets(spark, sf, p):
+    """Subsets of the features that the GLM keeps, with fits on 80 % of the known months."""
+    known, oot, _ = _train_oot_score(spark, sf, p)
+    halves = MD.split(known, 80, 2)
+    tr, test = cut_lineage(halves.where("is_train")), halves.where("NOT is_train")
+    kept = {r.feature for r in MD.select_by_pvalue(MD.glm_binomial(tr), 0.2).collect()}  # one row per feature
+    return SB.subset_search(tr, test, oot, [n for n in MD.feature_names() if n in kept], k=10)
+
+
 @register("grid_search")
 def _grid(spark, sf, p):
     tr, _, _ = _train_oot_score(spark, sf, p)

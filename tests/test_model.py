@@ -2,6 +2,7 @@
 
 import collections
 import datetime as dt
+import itertools
 import math
 
 import numpy as np
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from sellerlens.operators import logit
 from sellerlens.operators import model as MD
+from sellerlens.operators import subsets as SB
 from sellerlens.operators.scaling import MIN_MAX, ROBUST, ColumnScaler
 
 
@@ -212,3 +214,42 @@ def test_saved_model_scores_alike(abt, tmp_path):
     MD.save_model(m, str(tmp_path / "m"))
     one, two = (sorted(map(tuple, MD.score(x, abt).collect())) for x in (m, MD.load_model(str(tmp_path / "m"))))
     assert one == two and len(one) == 300
+
+
+def test_subsets_go_from_the_whole_set_to_single_features():
+    want = sorted((c for n in range(1, 5) for c in itertools.combinations(range(4), n)), key=lambda c: (len(c), c), reverse=True)
+    assert list(SB.subsets(4)) == want and list(SB.subsets(0)) == []
+
+
+def test_subset_search_equals_one_fit_per_subset_and_fold(spark, abt):
+    names, k = ["avg_ticket", "avg_order_product", "quantity_date_orders"], 3
+    train, test, oot = (abt.where(F.pmod("seller_id", F.lit(3)) == i) for i in range(3))
+    got = {(r.comb_idx, r.metric): r for r in SB.subset_search(train, test, oot, names, k=k, batch=3).collect()}
+    assert len(got) == 7 * 3 and got[0, "auc_train"].features == names
+    prep, at = MD.build_pipeline().fit(train), [MD.feature_names().index(n) for n in names]
+
+    def part(df):
+        rows = prep.transform(df).select("features", "churn").collect()
+        return np.array([r.features.toArray()[at] for r in rows]), np.array([r.churn for r in rows], float)
+
+    rows = prep.transform(MD.stratified_folds(train, k)).select("features", "churn", "fold").collect()
+    x, y, fold = np.array([r.features.toArray()[at] for r in rows]), np.array([r.churn for r in rows], float), np.array([r.fold for r in rows])
+    others = {"auc_test": part(test), "auc_oot": part(oot)}
+    for i, s in enumerate(SB.subsets(3)):
+        aucs = {m: [] for m in SB.PARTS}
+        for f in [*range(k), -1]:
+            use, cols = fold != f, list(s)
+            w = newton(x[use][:, cols], y[use], np.zeros(len(s)))
+            for m, (xs, ys) in {"auc_train": (x[use], y[use]), **others}.items():
+                aucs[m].append(plain_auc(ys, np.rint(1000 / (1 + np.exp(-xs[:, cols] @ w)))))
+        for m, a in aucs.items():
+            r = got[i, m]
+            assert r.features == [names[j] for j in s] and np.allclose([r.min, r.mean, r.max], [min(a), np.mean(a), max(a)], atol=1e-9)
+
+
+def test_subset_search_limits_and_empty_sides(spark, abt):
+    nothing = abt.where("false")
+    got = SB.subset_search(abt, nothing, abt.where("churn = 1"), ["ltv", "frequency"], k=2, max_subsets=2, batch=1).collect()
+    assert [(r.comb_idx, r.n_features, r.metric) for r in got] == [(i, 2 - i, m) for i in range(2) for m in SB.PARTS]
+    assert all((r.mean is None) == (r.metric != "auc_train") for r in got)
+    assert SB.subset_search(abt, abt, abt, []).collect() == []
