@@ -1,21 +1,24 @@
 """Licence scan with a positional rare-token index.
 
-Templates are short licence notices with one mandatory key phrase each. Their
-words go into a postings table word -> (template, position). Document
-frequencies over all documents give each licence word its IDF, and a
-template's anchor is the highest-IDF word of its key phrase. A file's words
-that are anchors are looked up, rarest first; each posting proposes the place
-where the template would begin. The key phrase is verified there word by
-word, which no occurrence can escape, as each holds its anchor. The rest of
-the template votes by relative position: the IDF share of its words found in
-their place is the score.
+Templates are licence texts and notices with one mandatory key phrase each.
+Document frequencies over all documents give each licence word its IDF. A
+template posts its rarest words with their positions, and the two rarest
+places of its key phrase always. A file's licence words are looked up, rarest
+first: where the two posted key words stand at their relative position, the
+template is proposed, and its key phrase is verified there word by word. No
+occurrence of the phrase can escape, as each holds both words. The template's
+other posted words vote by relative position: the IDF share of those that stand
+within ``SLACK`` words of their place is the score, so names and years that a
+notice has gained, or a line that it lost, cost only the words concerned.
 
 The frequency table has one row per template word at most, whatever the corpus.
 
-Cases: null or empty text has no words, labels or places and score 0;
-overlapping places all count; words rank equally by template order when
-frequencies tie; repeated rows are judged alike; an empty table gives an
-empty result; columns besides (doc_id, text) are ignored.
+Cases: null or empty text has no words, labels or places and score 0; a text
+altered inside its key phrase has no place of that template, however much of the
+rest stands there; overlapping places all count; words of equal frequency rank
+by their position in the template; repeated rows are judged alike; an empty
+table gives an empty result; columns besides (doc_id, text) are ignored; a
+template without its key phrase is an error.
 """
 
 from __future__ import annotations
@@ -57,9 +60,38 @@ TEMPLATES = [
     Template("cc-by-sa", "licensed under cc by sa 4 0", "cc by sa"),
     Template("cc-by", "licensed under cc by 4 0", "cc by 4 0"),
     Template("cc0", "dedicated to the public domain under cc0 1 0", "public domain under cc0"),
+    Template("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
+             "documentation files the software to deal in the software without restriction including without limitation the rights to "
+             "use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the "
+             "software is furnished to do so", "use copy modify merge publish distribute sublicense and or sell copies"),
+    Template("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted "
+             "provided that the above copyright notice and this permission notice appear in all copies",
+             "permission to use copy modify and or distribute this software"),
+    Template("bsd-3-clause", "redistributions of source code must retain the above copyright notice this list of conditions and the "
+             "following disclaimer neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+             "promote products derived from this software without specific prior written permission",
+             "may be used to endorse or promote products derived from this software"),
+    Template("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held "
+             "liable for any damages arising from the use of this software permission is granted to anyone to use this software for any "
+             "purpose including commercial applications and to alter it and redistribute it freely",
+             "and to alter it and redistribute it freely"),
+    Template("boost", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and "
+             "accompanying documentation covered by this license the software to use reproduce display distribute execute and transmit "
+             "the software", "use reproduce display distribute execute and transmit the software"),
+    Template("unlicense", "this is free and unencumbered software released into the public domain anyone is free to copy modify publish "
+             "use compile sell or distribute this software either in source code form or as a compiled binary",
+             "free and unencumbered software"),
+    Template("apache", "unless required by applicable law or agreed to in writing software distributed under the license is distributed "
+             "on an as is basis without warranties or conditions of any kind either express or implied see the license for the specific "
+             "language governing permissions and limitations under the license", "language governing permissions and limitations"),
+    Template("epl", "this program and the accompanying materials are made available under the terms of the eclipse public license",
+             "eclipse public license"),
     Template("reserved", "all rights reserved", "all rights reserved"),
 ]
 
+RARE = 12  # words that a template posts
+SLACK = 8  # words by which a posted word may be out of its place
+
 SCAN = ("doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels array<string>, "
         "labels array<string>, score double, places array<struct<template:int,word:int,score:double>>")
 
@@ -84,29 +116,41 @@ def document_frequency(docs: DataFrame, templates: list[Template]) -> dict[bytes
 
 
 class Index:
-    """Anchors: word -> [(template, words of its key, anchor's place in the key)], rarest words first."""
+    """Postings of rare words by position.
+
+    ``anchors``: word -> [(template, key phrase, the word's place in it, other word, its distance)],
+    rarest words first; ``posted``: per template (position seen from the key phrase, word, IDF)."""
 
-    def __init__(self, templates: list[Template], df: dict[bytes, int], n_docs: int):
-        self.templates = templates
+    def __init__(self, templates: list[Template], df: dict[bytes, int], n_docs: int, rare: int = RARE, slack: int = SLACK):
+        self.templates, self.slack = templates, slack
         words = vocabulary(templates)
-        self.idf = {w: math.log((n_docs + 1) / (df.get(w, 0) + 1)) + 1e-9 for w in words}
-        rank = {w: (-self.idf[w], i) for i, w in enumerate(words)}
-        postings: dict[bytes, list] = {}
-        self.notice, self.key_at = [], []
+        idf = {w: math.log((n_docs + 1) / (df.get(w, 0) + 1)) + 1e-9 for w in words}
+        rank = {w: (df.get(w, 0), i) for i, w in enumerate(words)}
+        anchors: dict[bytes, list] = {}
+        self.posted = []
         for t, template in enumerate(templates):
             key, notice = template.key.encode().split(), template.notice.encode().split()
-            self.notice.append(notice)
-            self.key_at.append(next((i for i in range(len(notice)) if notice[i:i + len(key)] == key), 0))
-            anchor = min(range(len(key)), key=lambda i: (rank[key[i]], i))
-            postings.setdefault(key[anchor], []).append((t, key, anchor))
-        self.postings = dict(sorted(postings.items(), key=lambda x: rank[x[0]]))
-        self.anchors = frozenset(postings)
+            at = next((i for i in range(len(notice)) if key and notice[i:i + len(key)] == key), None)
+            if at is None:
+                raise ValueError(f"the notice of {template.label} lacks its key phrase: {template.key}")
+
+            def rarest(places, n):
+                return sorted(places, key=lambda i: (df.get(notice[i], 0), i))[:n]
+
+            in_key = rarest(range(at, at + len(key)), 2)
+            first, other = in_key[0], in_key[-1]
+            anchors.setdefault(notice[first], []).append((t, key, first - at, notice[other], other - first))
+            self.posted.append([(i - at, notice[i], idf[notice[i]]) for i in sorted({*rarest(range(len(notice)), rare), *in_key})])
+        self.anchors = dict(sorted(anchors.items(), key=lambda x: rank[x[0]]))
+        self.words = frozenset(anchors)
 
     def places(self, words: list[bytes]) -> list[tuple[int, int, float]]:
         """(template, first word of the key phrase, score) of every verified place."""
-        present = self.anchors.intersection(words)
-        found = []
-        for anchor in self.postings:
+        present = self.words.intersection(words)
+        if not present:
+            return []
+        found, n = [], len(words)
+        for anchor in self.anchors:
             if anchor not in present:
                 continue
             at = -1
@@ -115,20 +159,20 @@ class Index:
                     at = words.index(anchor, at + 1)
                 except ValueError:
                     break
-                for t, key, k in self.postings[anchor]:
-                    start = at - k
-                    if start >= 0 and words[start:start + len(key)] == key:
+                for t, key, k, other, distance in self.anchors[anchor]:
+                    start, beside = at - k, at + distance
+                    if start >= 0 and 0 <= beside < n and words[beside] == other and words[start:start + len(key)] == key:
                         found.append((t, start, self.score(t, start, words)))
         return sorted(found, key=lambda x: (x[1], x[0]))
 
     def score(self, t: int, start: int, words: list[bytes]) -> float:
-        begin = start - self.key_at[t]
         total = hit = 0.0
-        for i, w in enumerate(self.notice[t]):
-            total += self.idf[w]
-            if 0 <= begin + i < len(words) and words[begin + i] == w:
-                hit += self.idf[w]
-        return min(1.0, hit / total) if total else 0.0
+        for i, w, idf in self.posted[t]:
+            total += idf
+            at = start + i
+            if w in words[max(0, at - self.slack):max(0, at + self.slack + 1)]:
+                hit += idf
+        return min(1.0, hit / total)
 
 
 def scan(docs: DataFrame, templates: list[Template] = TEMPLATES) -> DataFrame:

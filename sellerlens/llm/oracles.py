@@ -1,5 +1,7 @@
 """DuckDB statements for the queries that SQL can express, written from the contracts, not from the operators."""
 
+from sellerlens.llm.license_scan import TEMPLATES  # data only
+
 UP, LOW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _FOLD = f"translate(coalesce(text, ''), '{UP}', '{LOW}')"
 
@@ -95,28 +97,8 @@ SELECT conv_id::BIGINT AS conv_id, count(*)::BIGINT AS n_turns,
 FROM c GROUP BY conv_id
 """
 
-# Key phrases by plain comparison at every position; the notice is laid over each place.
-_NOTICES = [
-    ("mit", "released under the mit license", "mit license", 1),
-    ("apache", "licensed under the apache license version 2 0", "apache license", 1),
-    ("gpl", "licensed under the gnu general public license version 3", "general public license", 1),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software",
-     "permission is hereby granted free of charge", 0),
-    ("apache", "you may not use this file except in compliance with the license", "except in compliance with the license", 0),
-    ("gpl", "this program is free software you can redistribute it and or modify it", "free software you can redistribute it", 0),
-    ("lgpl", "licensed under the gnu lesser general public license", "lesser general public license", 0),
-    ("agpl", "licensed under the gnu affero general public license", "affero general public license", 0),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted",
-     "redistribution and use in source and binary forms", 0),
-    ("bsd", "licensed under the bsd license", "bsd license", 0),
-    ("mpl", "licensed under the mozilla public license version 2 0", "mozilla public license", 0),
-    ("cc-by-nc", "licensed under cc by nc 4 0", "cc by nc", 0),
-    ("cc-by-sa", "licensed under cc by sa 4 0", "cc by sa", 0),
-    ("cc-by", "licensed under cc by 4 0", "cc by 4 0", 0),
-    ("cc0", "dedicated to the public domain under cc0 1 0", "public domain under cc0", 0),
-    ("reserved", "all rights reserved", "all rights reserved", 0),
-]
-_NOTICE_ROWS = ", ".join(f"({i}, '{a}', '{b}', '{c}', {d})" for i, (a, b, c, d) in enumerate(_NOTICES))
+# Key phrases by plain comparison at every position; the rarest words of the notice are sought near their place.
+_NOTICE_ROWS = ", ".join(f"({i}, '{t.label}', '{t.notice}', '{t.key}', {int(t.base)})" for i, t in enumerate(TEMPLATES))
 OP3 = f"""
 WITH d AS (SELECT doc_id, regexp_extract_all({_FOLD}, {_ALNUM}) AS w FROM documents),
 t AS (
@@ -127,14 +109,21 @@ t AS (
 vocab AS (SELECT DISTINCT unnest(list_concat(nw, kw)) AS x FROM t),
 df AS (SELECT x, count(*) AS n FROM (SELECT unnest(list_distinct(w)) AS x FROM d) JOIN vocab USING (x) GROUP BY x),
 idf AS (SELECT x, ln(((SELECT count(*) FROM d) + 1.0) / (coalesce(df.n, 0) + 1.0)) + 1e-9 AS v FROM vocab LEFT JOIN df USING (x)),
+laid AS (
+  SELECT i, k - shift AS k, x, v, row_number() OVER (PARTITION BY i ORDER BY n, k) AS r,
+    k >= shift AND k < shift + n_key AND row_number() OVER (PARTITION BY i, k >= shift AND k < shift + n_key ORDER BY n, k) <= 2 AS of_key
+  FROM (SELECT i, shift, len(kw) AS n_key, unnest(range(len(nw))) AS k, unnest(nw) AS x FROM t)
+  JOIN (SELECT x, v, coalesce(df.n, 0) AS n FROM idf LEFT JOIN df USING (x)) USING (x)
+),
+posted AS (SELECT i, k, x, v FROM laid WHERE r <= 12 OR of_key),
 spot AS (SELECT doc_id, w, unnest(range(len(w))) AS p FROM d),
 place AS (
   SELECT o.doc_id, o.w, o.p, t.* FROM spot o JOIN t ON o.w[o.p + 1] = t.kw[1] WHERE list_slice(o.w, o.p + 1, o.p + len(t.kw)) = t.kw
 ),
-laid AS (SELECT doc_id, p, i, w, nw, p - shift AS b, unnest(range(len(nw))) AS k FROM place),
 scored AS (
-  SELECT doc_id, p, i, least(1.0, sum(CASE WHEN b + k >= 0 AND w[b + k + 1] = nw[k + 1] THEN idf.v ELSE 0 END) / sum(idf.v)) AS s
-  FROM laid JOIN idf ON idf.x = nw[k + 1] GROUP BY ALL
+  SELECT doc_id, p, i, least(1.0, sum(CASE WHEN p + k + 8 >= 0 AND list_contains(list_slice(w, greatest(p + k - 8, 0) + 1, p + k + 9), x)
+    THEN v ELSE 0 END) / sum(v)) AS s
+  FROM place JOIN posted USING (i) GROUP BY doc_id, p, i
 ),
 doc AS (
   SELECT doc_id, count(*) FILTER (base = 1) AS n_base, min(p) FILTER (base = 1) AS first_word, max(p) FILTER (base = 1) AS last_word,

@@ -284,6 +284,60 @@ def test_license_labels_and_hostile_rows(spark, hostile):
     assert license_scan.scan(hostile.limit(0)).count() == 0
 
 
+def plain_license_places(words, templates, df, n_docs):
+    """(template, start, score) by trying every key phrase at every word."""
+    out = []
+    idf = lambda w: np.log((n_docs + 1) / (df.get(w, 0) + 1)) + 1e-9
+    for t, template in enumerate(templates):
+        notice, key = template.notice.split(), template.key.split()
+        shift = next(i for i in range(len(notice)) if notice[i:i + len(key)] == key)
+        by_rarity = sorted(range(len(notice)), key=lambda i: (df.get(notice[i], 0), i))
+        posted = set(by_rarity[:license_scan.RARE]) | set([i for i in by_rarity if shift <= i < shift + len(key)][:2])
+        for p in range(len(words)):
+            if words[p:p + len(key)] == key:
+                near = {i: [words[q] for q in range(p - shift + i - license_scan.SLACK, p - shift + i + license_scan.SLACK + 1) if 0 <= q < len(words)] for i in posted}
+                out.append((t, p, sum(idf(notice[i]) for i in posted if notice[i] in near[i]) / sum(idf(notice[i]) for i in posted)))
+    return sorted(out, key=lambda x: (x[1], x[0]))
+
+
+def test_license_places_and_scores_equal_brute_force(spark):
+    r = random.Random(5)
+    pool = [w for t in license_scan.TEMPLATES for w in t.notice.split()]
+    texts = []
+    for _ in range(150):
+        words = [r.choice(pool) for _ in range(r.randrange(0, 30))]
+        for t in r.sample(license_scan.TEMPLATES, r.randrange(0, 4)):  # whole notices, some with words lost, gained or changed
+            notice = t.notice.split()
+            for _ in range(r.randrange(0, 5)):
+                at = r.randrange(len(notice))
+                notice[at:at + r.randrange(0, 2)] = [r.choice(pool)] * r.randrange(0, 3)
+                notice = notice or ["x"]
+            words += notice + [r.choice(pool) for _ in range(r.randrange(0, 9))]
+        texts.append(" ".join(words))
+    words = [t.split() for t in texts]
+    df = collections.Counter(w for ws in words for w in set(ws))
+    got = {x.doc_id: x for x in license_scan.scan(frame(spark, texts)).collect()}
+    n_places = 0
+    for i, ws in enumerate(words):
+        want = plain_license_places(ws, license_scan.TEMPLATES, df, len(texts))
+        n_places += len(want)
+        assert [(p.template, p.word) for p in got[i].places] == [w[:2] for w in want]
+        assert np.allclose([p.score for p in got[i].places], [w[2] for w in want])
+        assert got[i].labels == sorted({license_scan.TEMPLATES[t].label for t, _, _ in want})
+    assert n_places > 100
+
+
+def test_license_altered_notices(spark):
+    """Words gained and lost outside the key phrase cost their share only; inside it, the template is not found."""
+    t = next(t for t in license_scan.TEMPLATES if t.label == "bsd-3-clause")
+    owner = t.notice.replace("the copyright holder", "Example Widgets of Nowhere Ltd")
+    out = license_scan.scan(frame(spark, [t.notice, owner, t.notice.replace("may be used", "must not be used"), t.key])).orderBy("doc_id").collect()
+    assert [r.labels for r in out] == [["bsd-3-clause"], ["bsd-3-clause"], [], ["bsd-3-clause"]]
+    assert out[0].score == pytest.approx(1.0) and out[0].score > out[1].score > out[3].score > 0 == out[2].score
+    with pytest.raises(ValueError):
+        license_scan.Index([license_scan.Template("x", "some notice", "other words")], {}, 1)
+
+
 # ---------------------------------------------------------------- decontamination
 
 def alnum(t):
