@@ -136,6 +136,77 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_b
 FROM d LEFT JOIN doc USING (doc_id)
 """
 
+# Rules by comparing every url with every rule; aliases by recursive closure over redirect, canonical and refresh edges.
+_RULES = "('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')"
+
+
+def _host(url):
+    return f"translate(regexp_extract({url}, '(?s)^.*?://([^/?#]*)', 1), '{UP}', '{LOW}')"
+
+
+def _path(url):
+    return f"regexp_extract({url}, '(?s)^.*?://[^/?#]*([^?#]*)', 1)"
+
+
+def _redirect(url):
+    bare = f"CASE WHEN regexp_matches({_host(url)}, '^(www|m)[.][^.]+[.]') THEN regexp_replace({_host(url)}, '^(www|m)[.]', '') ELSE {_host(url)} END"
+    path = f"regexp_replace(regexp_replace(regexp_replace({_path(url)}, '/index[.]html?$', '/'), '[.]html?$', ''), '/+$', '')"
+    kept = (f"list_filter(string_split(regexp_extract({url}, '^[^?#]*[?]([^#]*)', 1), '&'), lambda p: p <> '' AND "
+            "NOT regexp_matches(p, '^(utm_[a-z]+|ref|gclid|fbclid|mc_eid|igshid)(=|$)'))")
+    return f"'https://' || ({bare}) || ({path}) || CASE WHEN len({kept}) > 0 THEN '?' || array_to_string({kept}, '&') ELSE '' END"
+
+
+def _value(tag, name):
+    at = f"(?is)\\b{name}\\s*=\\s*"
+    first = " WHEN ".join(f"regexp_extract({tag}, '{at}{q}([^{q}]*){q}', 1) <> '' THEN regexp_extract({tag}, '{at}{q}([^{q}]*){q}', 1)" for q in ('"', "''"))
+    return f"replace(trim(CASE WHEN {first} ELSE regexp_extract({tag}, '{at}([^\\s\"''>]+)', 1) END), '&amp;', '&')"
+
+
+OP8 = f"""
+WITH RECURSIVE p AS (SELECT page_id, url, html FROM pages),
+tags AS (
+  SELECT url, unnest(regexp_extract_all(html, '(?is)<link\\b[^>]*\\brel\\s*=\\s*["'']?canonical\\b[^>]*>')) AS tag, true AS canonical FROM p
+  UNION ALL
+  SELECT url, unnest(regexp_extract_all(html, '(?is)<meta\\b[^>]*\\bhttp-equiv\\s*=\\s*["'']?refresh\\b[^>]*>')), false FROM p
+),
+aim AS (
+  SELECT url, CASE WHEN canonical THEN {_value('tag', 'href')}
+    ELSE regexp_extract({_value('tag', 'content')}, '(?is)url\\s*=\\s*["'']?([^"'']*)', 1) END AS t
+  FROM tags WHERE contains(url, '://')
+),
+declared AS (
+  SELECT url AS a, CASE
+    WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN t
+    WHEN starts_with(t, '//') THEN regexp_extract(url, '^([^:/?#]+)://', 1) || ':' || t
+    WHEN starts_with(t, '/') THEN regexp_extract(url, '^([^:/?#]+)://', 1) || '://' || {_host('url')} || t
+    WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*:|^#') THEN NULL
+    ELSE regexp_extract(url, '^([^:/?#]+)://', 1) || '://' || {_host('url')} || regexp_replace({_path('url')}, '[^/]*$', '')
+      || CASE WHEN {_path('url')} = '' THEN '/' ELSE '' END || t END AS b
+  FROM aim WHERE t <> ''
+),
+edge AS (
+  SELECT DISTINCT a, b FROM (
+    SELECT url AS a, {_redirect('url')} AS b FROM p WHERE contains(url, '://')
+    UNION ALL SELECT a, b FROM declared WHERE contains(b, '://')
+    UNION ALL SELECT b, {_redirect('b')} FROM declared WHERE contains(b, '://')
+  ) WHERE a <> b
+),
+both_ways AS (SELECT a, b FROM edge UNION SELECT b, a FROM edge),
+reach(a, b) AS (SELECT a, a FROM both_ways UNION SELECT r.a, e.b FROM reach r JOIN both_ways e ON e.a = r.b),
+u AS (SELECT url FROM p WHERE url IS NOT NULL UNION SELECT a FROM both_ways),
+fit AS (
+  SELECT url, rh || rp AS rule, rv, row_number() OVER (PARTITION BY url ORDER BY length(rh || rp) DESC, length(rh) DESC, rv) AS r
+  FROM (SELECT url, {_host('url')} AS host, {_path('url')} AS path FROM u)
+  JOIN (VALUES {_RULES}) v(rh, rp, rv) ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp)
+),
+judged AS (SELECT url, rule, rv FROM fit WHERE r = 1),
+said AS (SELECT reach.a AS url, bool_or(rv = 'allow') AS allows, bool_or(rv = 'block') AS blocks FROM reach JOIN judged ON judged.url = reach.b GROUP BY reach.a)
+SELECT page_id, coalesce({_host('p.url')}, '') AS host, coalesce({_path('p.url')}, '') AS path, rule,
+  coalesce(rv, CASE WHEN allows THEN 'allow' WHEN blocks THEN 'block' END, 'allow') AS verdict,
+  CASE WHEN rule IS NOT NULL THEN 'rule' WHEN allows OR blocks THEN 'alias' ELSE 'default' END AS decided_by
+FROM p LEFT JOIN judged USING (url) LEFT JOIN said USING (url)
+"""
+
 # Every term of every document scored for every item that holds it, in 64-bit integers.
 OP11 = f"""
 WITH d AS (
@@ -166,5 +237,6 @@ ORACLES = {
     "op2_jaccard_join": OP2,
     "op4_decontaminate": OP4,
     "op5_line_dedup": OP5,
+    "op8_url_filters": OP8,
     "op9_chat_format": OP9,
 }

@@ -7,6 +7,7 @@ import random
 import re
 import zlib
 
+import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
@@ -14,8 +15,8 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from sellerlens.llm import (chat_format, common, decontaminate, jaccard_join, language_id, license_scan, line_dedup, packing,
-                            pii, quality_llr, url_filters)
+from sellerlens.llm import (chat_format, common, decontaminate, jaccard_join, language_id, license_scan, line_dedup, oracles, packing,
+                            pii, quality_llr, queries, url_filters)
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 # columns whose names the operators use inside
@@ -498,6 +499,81 @@ def test_language_learns_from_training_rows_only(spark):
     assert a == language_id.identify(lied, dims=256).orderBy("doc_id").collect()
 
 
+def plain_language_model(rows, dims, epochs=language_id.EPOCHS):
+    """Text -> probability of every language, by dictionaries: n-gram counts, IDF, FTRL one coordinate at a time."""
+    mask, a, b, c = (1 << 64) - 1, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9
+
+    def grams(text):
+        t = [ord(x) + 1 for x in f" {text.lower()} "]
+        out = collections.Counter()
+        for n in (1, 2, 3):
+            for i in range(len(t) - n + 1):
+                h = sum(x * m for x, m in zip(t[i:i + n], (a, b, c))) & mask
+                out[((h ^ (h >> 29)) * b & mask) >> (64 - (dims - 1).bit_length())] += 1
+        return out
+
+    seen = collections.Counter()
+    for _, text, _ in rows:
+        seen.update(set(grams(text)))
+    classes = sorted({lang for _, _, lang in rows})
+    idf = lambda g: math.log((len(rows) + 1) / (seen[g] + 1)) + 1.0
+
+    def weigh(text):
+        x = {g: math.log(1 + n) * idf(g) for g, n in grams(text).items()}
+        size = math.sqrt(sum(v * v for v in x.values()))
+        return {g: v / size for g, v in x.items()}
+
+    def rank(doc_id):  # Spark's xxhash64 of a long, its low 30 bits
+        return xxhash.xxh64(doc_id.to_bytes(8, "little", signed=True), seed=42).intdigest() % (1 << 30), doc_id
+
+    order = []
+    for lang in classes:
+        mine = sorted((r for r in rows if r[2] == lang), key=lambda r: rank(r[0]))
+        order += [(i, classes.index(lang), weigh(text)) for i, (_, text, _) in enumerate(mine, 1)]
+    order.sort(key=lambda o: o[:2])
+    z, n = collections.defaultdict(float), collections.defaultdict(float)
+
+    def weight(g, k):
+        v = z[g, k]
+        if abs(v) <= language_id.L1:
+            return 0.0
+        return -(v - math.copysign(language_id.L1, v)) / ((language_id.BETA + math.sqrt(n[g, k])) / language_id.ALPHA + language_id.L2)
+
+    def scores(x):
+        return [sum(v * weight(g, k) for g, v in x.items()) for k in range(len(classes))]
+
+    def soft(s):
+        e = [math.exp(v - max(s)) for v in s]
+        return [v / sum(e) for v in e]
+
+    for _ in range(epochs):
+        for i, y, x in order:
+            if i % 5 == 0:
+                continue
+            p = soft(scores(x))
+            step = {(g, k): (v * (p[k] - (k == y)), weight(g, k)) for g, v in x.items() for k in range(len(classes))}
+            for at, (d, w) in step.items():
+                z[at] += d - (math.sqrt(n[at] + d * d) - math.sqrt(n[at])) / language_id.ALPHA * w
+                n[at] += d * d
+    held = [(scores(x), y) for i, y, x in order if i % 5 == 0]
+    loss = lambda t: -sum(math.log(soft([v / t for v in s])[y] + 1e-12) for s, y in held) / len(held)
+    t = min((math.exp(math.log(0.05) + i * math.log(400) / 4000) for i in range(4001)), key=loss)
+    return lambda text: dict(zip(classes, soft([v / t for v in scores(weigh(text))])))
+
+
+def test_language_equals_plain_model(spark):
+    r = random.Random(12)
+    parts = {"en": ["the", "of", "tion", "ing", "rea"], "de": ["der", "sch", "und", "ein", "rea"], "fr": ["les", "que", "eau", "ê", "rea"]}
+    rows = [(i, " ".join(r.choice(parts[r.choice(["en", "de", "fr"])] if r.random() < 0.35 else parts[lang]) for _ in range(r.randrange(2, 9))), lang, i % 4 != 2)
+            for i, lang in ((i, r.choice(list(parts))) for i in range(120))]
+    got = language_id.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string, train boolean"), dims=512).collect()
+    predict = plain_language_model([x[:3] for x in rows if x[3]], 512)
+    assert len(got) == len(rows) and len({g.lang_pred for g in got}) == 3
+    for g in got:
+        p = predict(rows[g.doc_id][1])
+        assert g.lang_pred == max(p, key=p.get) and abs(g.score - max(p.values())) < 5e-3
+
+
 def test_language_on_hostile_rows(spark, hostile):
     df = hostile.withColumn("train", F.lit(True))
     out = {r.doc_id: r for r in language_id.identify(df, dims=256).collect()}
@@ -605,6 +681,24 @@ def test_urls_rules_and_aliases(spark):
     assert url_filters.filter_urls(df.limit(0), url_filters.rule_table(spark)).count() == 0
 
 
+def test_urls_equal_recursive_closure(spark, tmp_path):
+    """Random chains of links, redirects and rules against the SQL closure."""
+    r = random.Random(4)
+    hosts = ["a.net", "www.b.net", "m.c.org", "c.org", "d.com", "www.d.com", "www.Example.com", "x.example.com", "e.org", "www.f.org", "f.org"]
+    spot = lambda: r.choice(hosts) + r.choice(["", "/", "/en/", "/es/1", "/fr/2.html", "/fr/2", "/q/index.html", "/q"])
+    urls = [r.choice(["http://", "https://"]) + spot() + r.choice(["", "?ref=1", "?id=2&utm_source=x", "#z"]) for _ in range(90)] + ["none", None, "://", ""]
+    forms = ["<link rel=canonical href={}>", '<LINK href="{}" rel="canonical">', "<link rel='canonical' href='{}'/>",
+             '<meta http-equiv="refresh" content="3; url={}">', "<a href='{}'>"]
+    targets = lambda: r.choice([r.choice(urls[:90]), "//" + spot(), "/es/1", "side", "mailto:a@b", "#top", "", "/q?a=1&amp;b=2"])
+    pages = [(i, u, r.choice([None, "", *(r.choice(forms).format(targets()) for _ in range(4))])) for i, u in enumerate(urls)]
+    spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    got = sorted(map(tuple, queries.QUERIES["op8_url_filters"](spark, str(tmp_path)).collect()))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    assert got == sorted(con.execute(oracles.ORACLES["op8_url_filters"]).fetchall())
+    assert {v[4:] for v in got} >= {("block", "alias"), ("allow", "alias"), ("block", "rule"), ("allow", "default")}
+
+
 # ---------------------------------------------------------------- chats
 
 def test_chat_template_round_trip():
