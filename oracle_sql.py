@@ -553,6 +553,17 @@ POINT_BISERIAL = (f"WITH {_ABT_CTES},\npb AS (\n" + "\nUNION ALL\n".join(
     f"SELECT '{c}' AS \"column\", corr(CAST(churn AS DOUBLE), {_dbl(c)}) AS r, "
     f"COUNT(CASE WHEN {c} IS NOT NULL AND churn IS NOT NULL THEN 1 END) AS n FROM abt" for c in FEATS) + ")\n"
     "SELECT \"column\", r, n, r * sqrt((n - 2) / NULLIF(1 - r * r, 0)) AS t FROM pb")
+# Two-sided tail of Student's t with k degrees of freedom: with t = sqrt(k) * tan(a) the density is
+# cos(a) ** (k - 1) up to a factor, so the tail is a ratio of two integrals, here by Simpson's rule.
+_ANGLE = "(lo + (pi() / 2 - lo) * s / 100000.0)"
+_SIMPSON = (f"SUM(CASE WHEN s IN (0, 100000) THEN 1 WHEN s % 2 = 1 THEN 4 ELSE 2 END * "
+            f"exp((n - 3) * ln(greatest(cos({_ANGLE}), 1e-300)))) * (pi() / 2 - lo)")
+POINT_BISERIAL_TEST = f"""WITH pbt AS ({POINT_BISERIAL}),
+ends AS (SELECT "column", n, atan(abs(t) / sqrt(n - 2)) AS lo, 1 AS tail FROM pbt WHERE t IS NOT NULL
+  UNION ALL SELECT "column", n, 0.0, 0 FROM pbt WHERE t IS NOT NULL),
+area AS (SELECT "column", tail, {_SIMPSON} AS v FROM ends, range(100001) g(s) GROUP BY "column", n, lo, tail),
+p AS (SELECT "column", MAX(v) FILTER (tail = 1) / MAX(v) FILTER (tail = 0) AS p_value FROM area GROUP BY "column")
+SELECT pbt.*, coalesce(p.p_value, 'nan'::DOUBLE) AS p_value FROM pbt LEFT JOIN p USING ("column")"""
 HISTOGRAM_BY_CLASS = f"""WITH {_ABT_CTES},
 d AS (SELECT CAST(recency AS DOUBLE) AS x, churn FROM abt WHERE recency IS NOT NULL),
 mm AS (SELECT MIN(x) AS mn, MAX(x) AS mx FROM d),
@@ -828,7 +839,7 @@ SIG: dict[str, list[str]] = {
     "skew_kurtosis": ["skew", "kurtosis"],
     "bowley": ["bowley"],
     "correlation": ["corr"],
-    "point_biserial": ["r", "t"],
+    "point_biserial": ["r", "t"], "point_biserial_test": ["r", "t", "p_value"],
     "histogram_by_class": ["lo", "hi", "density"], "histograms": ["lo", "hi", "density"], "histograms_capped": ["lo", "hi", "density"],
     "roi_summary": ["total_ltv", "total_gift", "share_of_floor_sellers"],
     "describe_full": ["count", "mean", "std", "min", "q25", "q50", "q75", "max", "skew", "kurtosis", "bowley"],
@@ -850,7 +861,7 @@ DOUBLES.update({
 })
 _RAW.update({
     "describe": DESCRIBE, "skew_kurtosis": SKEW_KURTOSIS, "bowley": BOWLEY, "correlation": CORRELATION,
-    "point_biserial": POINT_BISERIAL, "histogram_by_class": HISTOGRAM_BY_CLASS, "histograms": HISTOGRAMS,
+    "point_biserial": POINT_BISERIAL, "point_biserial_test": POINT_BISERIAL_TEST, "histogram_by_class": HISTOGRAM_BY_CLASS, "histograms": HISTOGRAMS,
     "histograms_capped": HISTOGRAMS_CAPPED, "recency_ecdf": RECENCY_ECDF,
     "flag_rate_by_class": FLAG_RATE_BY_CLASS, "class_balance": CLASS_BALANCE, "shape": SHAPE,
     "seller_history": SELLER_HISTORY, "time_split": TIME_SPLIT, "target_rate": TARGET_RATE,

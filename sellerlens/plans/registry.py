@@ -560,7 +560,8 @@ def _inputs(spark, sf, p, floor=True):
     the shared checkpoint dir: greedy, optimal and the summary all read it."""
     o, i = _oi(spark, sf)
     scored = _scored(spark, sf, p).where(F.col(FS.REF) == F.lit(p.score_month))
-    forecast = X.holt_forecast(D.monthly_ltv(o, i, p.window_start, p.window_end))
+    series = D.monthly_ltv(o, i, p.window_start, p.window_end).join(scored.select("seller_id"), "seller_id", "left_semi")
+    forecast = X.holt_forecast(series)
     d = cut_lineage(X.decision_inputs(scored, p.score_month, forecast))
     return d.where(F.col("churn_proba") >= p.proba_floor) if floor else d
 
