@@ -594,7 +594,7 @@ def _roi(spark, sf, p):
 def _score_decision(spark, sf, p):
     """The whole chain: fitted model -> scores -> forecast LTV -> gifts -> exact selection."""
     o, i = _oi(spark, sf)
-    forecast = X.holt_forecast(D.monthly_ltv(o, i, p.window_start, p.window_end))
+    forecast = X.holt_forecast(_scoring_sellers(spark, sf, p, D.monthly_ltv(o, i, p.window_start, p.window_end)))
     scored = cut_lineage(X.decision_inputs(_score(spark, sf, p), p.score_month, forecast))
     ws = [g for _, g in X.GIFT_TIERS] + [X.GIFT_DEFAULT]
     return X.budget_optimal(scored.where(F.col("churn_proba") >= p.proba_floor), p.budget, ws)

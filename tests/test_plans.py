@@ -9,7 +9,7 @@ from conftest import SF
 from sellerlens.plans import registry
 
 MODEL_KEYS = {"cv", "rfe", "grid_search", "glm_binomial", "select_by_pvalue", "logistic", "coefficients",
-              "lasso", "score", "persist_model", "feature_pipeline", "score_decision"}
+              "lasso", "subset_search", "score", "persist_model", "feature_pipeline", "score_decision"}
 
 
 def test_no_cartesian_nested_loop_or_row_udf(spark):
