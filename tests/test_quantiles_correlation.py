@@ -26,3 +26,19 @@ def test_quantiles_outside_their_brackets_are_counted_in_full(spark, monkeypatch
     place = ST.F.percentile_approx
     monkeypatch.setattr(ST.F, "percentile_approx", lambda v, p, n: ST.F.transform(place(v, p, n), lambda x: x + 300))
     assert [r.q for r in ST.quantiles(ST.to_long(df, ["a"]), [0.25]).collect()] == [249.75]
+
+
+def test_correlation_of_pairs_with_nulls_and_constants(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(500, 4)) + [0, 1e6, 0, 5]
+    x[:, 3] = 5.0
+    rows = [tuple(None if (j == 1 and i % 7 == 0) or (j == 2 and i % 3) else float(v) for j, v in enumerate(r)) for i, r in enumerate(x)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double").repartition(6)
+    got = {(r.column_a, r.column_b): r.corr for r in ST.correlation(df).collect()}
+    m = np.array([[np.nan if v is None else v for v in r] for r in rows])
+    for i, a in enumerate("abc"):
+        for j, b in enumerate("abc"):
+            if i < j:
+                both = ~np.isnan(m[:, i]) & ~np.isnan(m[:, j])
+                assert got[a, b] == pytest.approx(np.corrcoef(m[both, i], m[both, j])[0, 1], abs=1e-9)
+    assert len(got) == 6 and all(got[a, "d"] is None for a in "abc")
