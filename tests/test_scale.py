@@ -5,7 +5,10 @@ import datetime as dt
 import pytest
 from conftest import make_items, make_orders
 
+from pyspark.sql import functions as F
 from sellerlens.operators import features as FS
+from sellerlens.operators import model as MD
+from sellerlens.operators import subsets as SB
 
 REFS = [dt.date(2000, 1, 1), dt.date(2000, 2, 1)]
 
@@ -30,3 +33,12 @@ def test_order_scope_counts_items_without_seller_and_repeated_orders(spark):
     got = {(str(r[FS.REF]), r.seller_id): r for r in FS.seller_day_core(o, i, REFS, 6, "order").collect()}
     r = got["2000-01-01", 5]
     assert (r.quantity_products_selled, r.max_item_price, r.min_item_price, r.ltv) == (6, 10.0, 2.0, 20.0)
+
+
+def test_subset_rows_spread_over_the_cores(spark):
+    names = MD.feature_names()
+    cols = [F.rand(i).alias(c) for i, c in enumerate(names)]
+    df = spark.range(9000).select(F.lit(dt.date(2000, 1, 1)).alias(FS.REF), F.col("id").alias("seller_id"), *cols, (F.col("id") % 3 == 0).cast("int").alias("churn"))
+    rows = SB._rows(df.where("seller_id < 7000"), df.where("seller_id BETWEEN 7000 AND 7999"), df.where("seller_id >= 8000"), names[:3], 4, "churn")
+    assert rows.rdd.getNumPartitions() == 4  # local[4]; 20,000 rows a task were one task
+    assert rows.count() == 9000
