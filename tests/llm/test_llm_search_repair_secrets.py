@@ -284,3 +284,26 @@ def test_candidates_are_whole_token_runs():
         t = (t or "").encode()
         want = [m.span() for m in re.finditer(rb"[A-Za-z0-9+/_.=-]+", t) if len(m[0]) >= 24 or (len(m[0]) >= 8 and re.search(rb"[0-9]", m[0]))]
         assert secret_scan.candidates(t) == want
+
+
+def test_secrets_learn_from_every_candidate(spark, monkeypatch):
+    """All different candidates are examples, whatever their number, and shards learn what one process learns."""
+    rng = random.Random(3)
+    word = lambda n, of: "".join(rng.choice(of) for _ in range(n))
+    texts = [f"password = {word(14, 'abcdefgh0123456789')}0" for _ in range(120)] + [f"order number {word(9, '0123456789')} of may" for _ in range(240)]
+    found = secret_scan.find(frame(spark, enumerate(texts * 2))).cache()
+    rows, n = secret_scan.examples_of(found, 50)
+    assert rows.count() == 360 and n == 8
+    assert rows.groupBy("kind").count().count() == 2
+
+    def one_process(*_):
+        raise AssertionError("trained in one process")
+
+    data = [(r.before, r.value, r.after, r.kind) for r in sorted(rows.collect(), key=lambda r: (r.o, r.before, r.value, r.after, r.kind or ""))]
+    plain = secret_scan.train(data)
+    monkeypatch.setattr(secret_scan, "train", one_process)
+    same, dealt = secret_scan.fit(found, 1000), secret_scan.fit(found, 50)
+    assert np.allclose(same.net.w["conv"], plain.net.w["conv"]) and abs(same.threshold - plain.threshold) < 1e-6
+    for model in (same, dealt):
+        right = [(model.probability(*x[:3]) >= model.threshold) == (x[3] is not None) for x in data]
+        assert sum(right) >= 0.97 * len(right)
