@@ -18,6 +18,8 @@ Shuffles: items are dealt once by order, which serves the (order, seller)
 measures and the join with the orders, and what remains once by seller, which
 serves the (seller, day) rows, the per-seller window, the fan-out to reference
 dates and the (ref, seller) aggregates. Nothing is shuffled after the fan-out.
+Where only orders of the look-back windows count, items of other orders are
+left out before they are dealt (``items_of``).
 """
 
 from __future__ import annotations
@@ -32,6 +34,9 @@ from ..functions.columns import dates_array, day_of, safe_div, ts_of
 REF = "_mt_date_reference"
 TS = "order_purchase_timestamp"
 
+# Rows of the bit table that marks orders, at most.
+FILTER_WORDS = 1 << 20
+
 _MEASURES = [
     ("n_prod", lambda: F.count("product_id")),
     ("sum_price", lambda: F.sum("price")),
@@ -62,6 +67,19 @@ def _window_filter(orders: DataFrame, refs: Sequence, lookback_months: int) -> D
     return orders.where((F.col(TS) >= ts_of(lo)) & (F.col(TS) < ts_of(F.lit(max(refs)))))
 
 
+def items_of(orders: DataFrame, items: DataFrame) -> DataFrame:
+    """Items whose order may be among ``orders``: none of theirs is lost, and few others stay for the join to drop.
+
+    The orders mark one bit each of a table of at most ``FILTER_WORDS`` 64-bit rows, whatever their
+    number, which is broadcast; so items of other orders never reach a shuffle."""
+    spot = F.pmod(F.xxhash64("order_id"), F.lit(FILTER_WORDS * 64))
+    word, bit = F.shiftright(spot, 6), F.pmod(spot, F.lit(64)).cast("int")
+    marks = (orders.select(word.alias("_w"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("_b"))
+             .groupBy("_w").agg(F.bit_or("_b").alias("_b")))
+    marked = F.col("_b").bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), bit)) != 0
+    return items.join(F.broadcast(marks), (word == F.col("_w")) & marked, "left_semi")
+
+
 def seller_orders_base(orders: DataFrame, items: DataFrame, item_scope: str = "seller") -> DataFrame:
     """One row per (seller, order): order attributes plus item measures.
 
@@ -262,15 +280,17 @@ def fs_seller_purchases(orders: DataFrame, items: DataFrame, refs: Sequence,
                         lookback_months: int = 6, item_scope: str = "seller",
                         run_ts: Column | None = None) -> DataFrame:
     """FS1: purchase features per (reference date, seller)."""
-    core = seller_day_core(orders, items, refs, lookback_months, item_scope)
+    # no reference date sees what is sold after the last one; only the label's first sale does
+    past = orders.where(F.col(TS) < ts_of(F.lit(max(refs))))
+    core = seller_day_core(past, items, refs, lookback_months, item_scope)
     return _with_unique_products(core, orders, items, refs, lookback_months, item_scope, run_ts)
 
 
 def _with_unique_products(core: DataFrame, orders: DataFrame, items: DataFrame, refs: Sequence,
                           lookback_months: int, item_scope: str, run_ts: Column | None = None,
                           extra: Sequence[str] = ()) -> DataFrame:
-    uniq = seller_unique_products(_window_filter(orders, refs, lookback_months), items, refs,
-                                  lookback_months, item_scope)
+    some = _window_filter(orders, refs, lookback_months)
+    uniq = seller_unique_products(some, items_of(some, items), refs, lookback_months, item_scope)
     out = (core.join(uniq, [REF, "seller_id"], "left")
            .withColumn("quantity_unique_product_selled",
                        F.coalesce("quantity_unique_product_selled", F.lit(0)))
@@ -312,7 +332,8 @@ def fs_seller_orders(orders: DataFrame, items: DataFrame, refs: Sequence,
     ``compat_counts=True`` reproduces the reference's COUNT(flag), which
     counts false flags too (shares are then 1.0).
     """
-    base = seller_orders_base(_window_filter(orders, refs, lookback_months), items, item_scope)
+    some = _window_filter(orders, refs, lookback_months)
+    base = seller_orders_base(some, items_of(some, items), item_scope)
     t = _order_totals(base.select("seller_id", "order_id", "order_status", TS, "order_approved_at", "order_delivered_customer_date",
                                   "order_estimated_delivery_date", "sum_price", "sum_freight").repartition("seller_id"), refs, lookback_months)
     ref_ts = ts_of(F.col(REF))
