@@ -18,8 +18,8 @@ Shuffles: items are dealt once by order, which serves the (order, seller)
 measures and the join with the orders, and what remains once by seller, which
 serves the (seller, day) rows, the per-seller window, the fan-out to reference
 dates and the (ref, seller) aggregates. Nothing is shuffled after the fan-out.
-Where only orders of the look-back windows count, items of other orders are
-left out before they are dealt (``items_of``).
+For the distinct products, where only orders of the look-back windows count,
+items of other orders are left out before they are dealt (``items_of``).
 """
 
 from __future__ import annotations
@@ -332,8 +332,7 @@ def fs_seller_orders(orders: DataFrame, items: DataFrame, refs: Sequence,
     ``compat_counts=True`` reproduces the reference's COUNT(flag), which
     counts false flags too (shares are then 1.0).
     """
-    some = _window_filter(orders, refs, lookback_months)
-    base = seller_orders_base(some, items_of(some, items), item_scope)
+    base = seller_orders_base(_window_filter(orders, refs, lookback_months), items, item_scope)
     t = _order_totals(base.select("seller_id", "order_id", "order_status", TS, "order_approved_at", "order_delivered_customer_date",
                                   "order_estimated_delivery_date", "sum_price", "sum_freight").repartition("seller_id"), refs, lookback_months)
     ref_ts = ts_of(F.col(REF))

@@ -145,5 +145,5 @@ def test_items_of_other_orders_are_left_out_before_the_shuffle(spark):
     assert {i for i in range(1, 601) if i % 20 == 0} <= set(kept) and len(kept) < 40
     assert FS.items_of(orders.limit(0), items).count() == 0
     for scope in ("seller", "order"):
-        plan = FS.fs_seller_orders(orders, items, [d("2000-07-01")], 1, scope)._jdf.queryExecution().optimizedPlan().toString()
+        plan = FS.fs_seller_purchases(orders, items, [d("2000-07-01")], 1, scope)._jdf.queryExecution().optimizedPlan().toString()
         assert "LeftSemi" in plan
