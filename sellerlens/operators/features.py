@@ -163,12 +163,27 @@ def seller_life(orders: DataFrame, items: DataFrame, refs: Sequence) -> DataFram
     )
 
 
+def _day_slots(kept: DataFrame, refs: Sequence, lookback_months: int) -> DataFrame:
+    """(seller, slot) rows: a sale day inside the windows is a slot of its own. Of the days before all
+    windows only totals and the first day are asked for, of those from the last reference date on only
+    the first: each side is one slot, with its first day as ``day``."""
+    lo, hi = F.add_months(F.lit(min(refs)), -lookback_months), F.lit(max(refs))
+    slot = F.when(F.col("day") < lo, F.date_sub(lo, 1)).when(F.col("day") >= hi, hi).otherwise(F.col("day"))
+    return (kept.repartition("seller_id").groupBy("seller_id", slot.alias("slot"))
+            .agg(F.min("day").alias("day"), F.sum("n_prod").alias("n_prod"), F.sum("sum_price").alias("sum_price"),
+                 F.sum("n_price").alias("n_price"), F.sum("sum_line").alias("sum_line"),
+                 F.sum("n_line").alias("n_line"), F.max("max_line").alias("max_line"),
+                 F.min("min_line").alias("min_line"), F.max("max_price").alias("max_price"),
+                 F.min("min_price").alias("min_price"), F.sum("own_price").alias("own_price"),
+                 F.count(F.lit(1)).alias("n_orders")))
+
+
 def seller_day_core(orders: DataFrame, items: DataFrame, refs: Sequence, lookback_months: int = 6,
                     item_scope: str = "seller") -> DataFrame:
     """FS1 (without distinct products) and the first sale on/after each ref,
     for every (ref, seller) with a sale inside the ref's look-back window, in
-    one pass: (order, seller) measures -> (seller, day) rows over all history
-    -> one per-seller window (running totals, previous / next sale day) -> one
+    one pass: (order, seller) measures -> (seller, day) rows, one for all days
+    before the windows and one for all after them -> one per-seller window (running totals, previous / next sale day) -> one
     explode that routes each day to
       * refs whose window holds it          (window statistics),
       * the ref it is the last sale before  (as-of life totals; this day is
@@ -187,14 +202,8 @@ def seller_day_core(orders: DataFrame, items: DataFrame, refs: Sequence, lookbac
     some = (F.col("day") >= F.add_months(F.lit(min(refs)), -lookback_months)) & (F.col("day") < F.lit(max(refs)))
     kept = per.join(o, "order_id").select("seller_id", "day", "own_price", *[
         F.when(some, F.col(n)).alias(n) for n, _ in _MEASURES if n != "sum_freight"])
-    sd = (kept.repartition("seller_id").groupBy("seller_id", "day")
-          .agg(F.sum("n_prod").alias("n_prod"), F.sum("sum_price").alias("sum_price"),
-               F.sum("n_price").alias("n_price"), F.sum("sum_line").alias("sum_line"),
-               F.sum("n_line").alias("n_line"), F.max("max_line").alias("max_line"),
-               F.min("min_line").alias("min_line"), F.max("max_price").alias("max_price"),
-               F.min("min_price").alias("min_price"), F.sum("own_price").alias("own_price"),
-               F.count(F.lit(1)).alias("n_orders")))
-    w = Window.partitionBy("seller_id").orderBy("day")
+    sd = _day_slots(kept, refs, lookback_months)
+    w = Window.partitionBy("seller_id").orderBy("slot")
     run = w.rowsBetween(Window.unboundedPreceding, 0)
     sd = sd.select("*",
                    F.sum("own_price").over(run).alias("ltv"),
