@@ -1,10 +1,10 @@
 """Business decision step.
 
-* X1 Holt linear-trend forecast per seller, written with SQL higher-order
-  functions over the seller's month array (bounded by the month calendar):
-  a fold of (level, trend, SSE) for every (alpha, beta) of a small grid,
+* X1 Holt linear-trend forecast per seller, over the seller's month array
+  (bounded by the month calendar): a fold of (level, trend, SSE) for every
+  (alpha, beta) of a small grid, in NumPy for blocks of sellers at once;
   the lowest SSE wins; with ``refine`` a pattern search then fits the pair
-  to the series. No Python UDF.
+  to the series.
 * X4 greedy: a gift is at least the smallest tier value, so at most
   ``budget // smallest tier`` rows can fit: top-k first, then a running sum over
   those rows only.
@@ -18,14 +18,23 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import tier
 from ..session import cut_lineage
 
+# what tasks run goes with them, so workers need not find this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Gift tiers of the reference (floor of churn probability -> gift).
 GIFT_TIERS = ((0.95, 10000.0), (0.85, 400.0), (0.75, 100.0))
 GIFT_DEFAULT = 50.0
@@ -36,17 +45,78 @@ HOLT_BETAS = (0.05, 0.1, 0.2, 0.3, 0.5)
 
 
 # ------------------------------------------------------------------ X1, X2
-def _holt_runs(candidates: str) -> str:
-    """SQL: (sse, a, b, f) of every candidate (a, b) over the array ``ys``, a fold of (level, trend, sse)."""
-    return f"""
-      transform({candidates}, g -> aggregate(
-        slice(ys, 3, greatest(size(ys) - 2, 0)),
-        named_struct('l', ys[1], 't', ys[1] - ys[0], 'sse', 0D),
-        (acc, v) -> named_struct(
-          'l', g.a * v + (1 - g.a) * (acc.l + acc.t),
-          't', g.b * ((g.a * v + (1 - g.a) * (acc.l + acc.t)) - acc.l) + (1 - g.b) * acc.t,
-          'sse', acc.sse + (v - acc.l - acc.t) * (v - acc.l - acc.t)),
-        acc -> named_struct('sse', acc.sse, 'a', g.a, 'b', g.b, 'f', acc.l + acc.t)))"""
+CELLS = 1_000_000  # of one block of series, and of its candidates
+
+
+def _holt_runs(ys: np.ndarray, sizes: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(sse, forecast) of every series, a row of ``ys`` of two values at least, the longest first, and
+    every candidate, a column of ``a`` and ``b``: a fold of (level, trend, sse) over the months."""
+    shape = (len(ys), a.shape[1])
+    level, trend, sse = np.broadcast_to(ys[:, 1:2], shape).copy(), np.broadcast_to(ys[:, 1:2] - ys[:, :1], shape).copy(), np.zeros(shape)
+    for k in range(2, ys.shape[1]):
+        n = int(np.searchsorted(-sizes, -k, side="left"))  # series with a value here
+        v, x, z, l, t = ys[:n, k:k + 1], a[:n], b[:n], level[:n], trend[:n]
+        error = v - l - t
+        now = x * v + (1 - x) * (l + t)
+        trend[:n] = z * (now - l) + (1 - z) * t
+        level[:n] = now
+        sse[:n] += error * error
+    return sse, level + trend
+
+
+def _lowest(sse: np.ndarray) -> np.ndarray:
+    """Each row's first lowest place; NaN is above every number."""
+    unknown = np.isnan(sse)
+    at = np.argmin(np.where(unknown, np.inf, sse), axis=1)
+    lost = unknown[np.arange(len(sse)), at]
+    at[lost] = np.argmin(unknown[lost], axis=1)
+    return at
+
+
+def _holt_best(alphas: Sequence[float], betas: Sequence[float], steps: Sequence[float]):
+    """Batches of (key, last_ds, ys, last_y) -> (key, last_ds, alpha, beta, f, last_y): the best candidate and its forecast, null
+    for a series of fewer than two values; a null value leaves the first candidate and no forecast."""
+    grid = np.array(sorted((float(a), float(b)) for a in alphas for b in betas)).reshape(-1, 2).T
+    around = np.array([(i, j) for i in (-1, 0, 1) for j in (-1, 0, 1)], float).T
+
+    def block(ys, sizes, known):
+        a, b = (np.broadcast_to(c, (len(ys), len(c))) for c in grid)
+        rows = np.arange(len(ys))
+        for step in (None, *steps):
+            if step is not None:
+                a, b = (np.clip(c[:, None] + d * step, 0.0, 1.0) for c, d in zip((best_a, best_b), around))
+            sse, f = _holt_runs(ys, sizes, a, b)
+            sse[~known] = 0.0
+            at = _lowest(sse)
+            best_a, best_b, best_f = a[rows, at], b[rows, at], f[rows, at]
+        return best_a, best_b, best_f
+
+    def run(batches):
+        for batch in batches:
+            series = batch.column(2)
+            sizes = pc.list_value_length(series).to_numpy(zero_copy_only=False)
+            values = series.flatten()
+            flat, held = values.fill_null(0.0).to_numpy(zero_copy_only=False), ~np.asarray(values.is_null())
+            starts = np.concatenate(([0], np.cumsum(sizes)))
+            order = np.argsort(-sizes, kind="stable")
+            order = order[sizes[order] >= 2]
+            out, fitted, forecast = np.zeros((3, len(sizes))), np.zeros(len(sizes), bool), np.zeros(len(sizes), bool)
+            at = 0
+            while at < len(order):
+                longest = int(sizes[order[at]])
+                mine = order[at:at + max(1, CELLS // max(longest, grid.shape[1]))]
+                at += len(mine)
+                ys, known = np.zeros((len(mine), longest)), np.zeros(len(mine), bool)
+                for i, j in enumerate(mine):
+                    ys[i, :sizes[j]] = flat[starts[j]:starts[j + 1]]
+                    known[i] = held[starts[j]:starts[j + 1]].all()
+                with np.errstate(all="ignore"):
+                    out[:, mine] = block(ys, sizes[mine], known)
+                fitted[mine], forecast[mine] = True, known
+            found = [pa.array(c, mask=~m) for c, m in zip(out, (fitted, fitted, forecast))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *found, batch.column(3)], names=[*batch.schema.names[:2], "alpha", "beta", "f", "last_y"])
+
+    return run
 
 
 def holt_forecast(series: DataFrame, key: str = "seller_id", ds: str = "order_month_purchase",
@@ -60,26 +130,16 @@ def holt_forecast(series: DataFrame, key: str = "seller_id", ds: str = "order_mo
     series: each moves to the best of the nine points around the present one, inside [0, 1], and
     halves the distance, from 0.1 on. The present point is one of the nine, so the error never
     rises above the grid's."""
-    grid = ", ".join(f"named_struct('a', {a}D, 'b', {b}D)" for a in alphas for b in betas)
     s = series.groupBy(key).agg(F.sort_array(F.collect_list(F.struct(F.col(ds), F.col(y).cast("double")
                                                                       .alias("y")))).alias("pts"))
-    fold = f"array_min({_holt_runs(f'array({grid})')})"
-    if refine:
-        steps = ", ".join(f"{x!r}D" for x in holt_steps(refine))
-        inside = lambda p, k: f"greatest(0D, least(1D, p.{p} + {k}D * step))"
-        around = ", ".join(f"named_struct('a', {inside('a', i)}, 'b', {inside('b', j)})" for i in (-1, 0, 1) for j in (-1, 0, 1))
-        fold = f"aggregate(array({steps}), {fold}, (p, step) -> array_min({_holt_runs(f'array({around})')}))"
-    with_y = s.select(key, F.col("pts"), F.transform("pts", lambda p: p["y"]).alias("ys"),
-                      F.element_at(F.col("pts"), -1)[ds].alias("last_ds"))
-    best = with_y.select(
-        key, "last_ds",
-        F.when(F.size("ys") >= 2, F.expr(fold)).alias("best"),
-        F.element_at("ys", -1).alias("last_y"))
-    f = F.coalesce(F.col("best.f"), F.col("last_y"))
+    with_y = s.select(key, F.element_at(F.col("pts"), -1)[ds].alias("last_ds"), F.transform("pts", lambda p: p["y"]).alias("ys"),
+                      F.element_at(F.col("pts"), -1)["y"].alias("last_y"))
+    kept = T.StructType([*with_y.schema.fields[:2], *[T.StructField(c, T.DoubleType()) for c in ("alpha", "beta", "f", "last_y")]])
+    best = with_y.mapInArrow(_holt_best(alphas, betas, holt_steps(refine)), kept)
+    f = F.coalesce(F.col("f"), F.col("last_y"))
     if floor is not None:
         f = F.greatest(f, F.lit(float(floor)))
-    return best.select(key, F.add_months(F.col("last_ds"), 1).alias(ds), f.alias(y),
-                       F.col("best.a").alias("alpha"), F.col("best.b").alias("beta"))
+    return best.select(key, F.add_months(F.col("last_ds"), 1).alias(ds), f.alias(y), "alpha", "beta")
 
 
 def holt_steps(rounds: int) -> list[float]:

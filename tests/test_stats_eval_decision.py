@@ -1,3 +1,4 @@
+import datetime as dt
 import itertools
 import math
 import random
@@ -237,3 +238,29 @@ def test_running_totals_over_many_ranges_are_exact(spark):
     assert out.columns == ["k", "id", "w", "extra", "cum_w"]
     r = out.selectExpr("count(DISTINCT cum_w) AS d", "max(cum_w) AS hi", "min(cum_w) AS lo", "count(extra) AS n").first()
     assert (r.d, r.hi, r.lo, r.n) == (n, n, 1, n)
+
+
+def test_holt_takes_blocks_of_series_in_the_plan_and_short_null_and_nan_series(spark):
+    rows = [(k, dt.date(2000, m + 1, 1), float((k * 7 + m * m) % 11)) for k in range(1, 40) for m in range(1 + k % 9)]
+    rows += [(100, dt.date(2000, m, 1), y) for m, y in ((1, 1.0), (2, None), (3, 4.0))]
+    rows += [(101, dt.date(2000, m, 1), y) for m, y in ((1, 1.0), (2, float("nan")), (3, 4.0))]
+    rows += [(102, dt.date(2000, 1, 1), None), (None, dt.date(2000, 1, 1), 2.0), (None, dt.date(2000, 2, 1), 3.0)]
+    df = spark.createDataFrame(rows, "seller_id long, order_month_purchase date, forecast_ltv double")
+    out = X.holt_forecast(df, floor=None)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "aggregate(" not in plan.split("MapInArrow")[0]  # no interpreted fold per candidate
+    got = {r.seller_id: r for r in out.collect()}
+    series = {}
+    for k, _, y in rows:
+        series.setdefault(k, []).append(y)
+    assert set(got) == set(series)
+    for k in [*range(1, 40), None]:
+        ys = series[k]
+        if len(ys) < 2:
+            assert (got[k].alpha, got[k].beta, got[k].forecast_ltv) == (None, None, ys[-1])
+            continue
+        best = min((_holt_sse(ys, a, b)[0], a, b) for a in X.HOLT_ALPHAS for b in X.HOLT_BETAS)
+        assert got[k][3:] == best[1:]
+        assert got[k].forecast_ltv == _holt_sse(ys, *best[1:])[1]
+    assert got[100][2:] == (4.0, 0.1, 0.05) and got[102][2:] == (None, None, None)
+    assert got[101].forecast_ltv != got[101].forecast_ltv and got[101][3:] == (0.1, 0.05)
