@@ -111,13 +111,13 @@ def sellers_daily_runs(items: DataFrame, orders: DataFrame) -> DataFrame:
     first, start = F.col("pi").isNull(), F.lit(0)
     before = F.coalesce(i, F.size(calendar))  # a seller without any dated sale: the whole calendar
     change = F.when(i > 0, v - F.when(F.col("pi") == i - 1, F.col("pv")).otherwise(zero))
-    runs = F.array_compact(F.array(
+    runs = F.array(
         run(start, start, zero, none, first & (before > 0)),
         run(F.lit(1), before - 1, zero, zero, first),
         run(i, i, v, change, i.isNotNull()),
         run(i + 1, i + 1, zero, zero - v, F.col("ni") > i + 1),
-        run(i + 2, F.col("ni") - 1, zero, zero, i.isNotNull())))
-    r = near.select("seller_id", F.explode(runs).alias("r")).select("seller_id", "r.*")
+        run(i + 2, F.col("ni") - 1, zero, zero, i.isNotNull()))
+    r = near.select("seller_id", F.explode(runs).alias("r")).where("r IS NOT NULL").select("seller_id", "r.*")
     return r.select("seller_id", F.element_at(calendar, F.col("a") + 1).alias("date_from"), F.element_at(calendar, F.col("b") + 1).alias("date_to"),
                     (F.col("b") - F.col("a") + 1).alias("n_days"), "monetary", "diff_monetary")
 

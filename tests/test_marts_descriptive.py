@@ -89,3 +89,12 @@ def test_daily_runs_expand_to_the_dense_grid(spark):
     small = G.sellers_daily_runs(i, o)
     assert small.where("seller_id = 10").count() == 2  # no dated sale: the first day and the rest
     assert small.where("seller_id = 7").count() == 5  # three sales, the day after the second, the quiet days
+
+
+def test_daily_runs_are_not_filtered_by_an_interpreted_lambda(spark):
+    o = make_orders(spark, [(1, "DELIVERED", "2018-01-10 10:00:00"), (2, "DELIVERED", "2018-01-13 09:00:00")])
+    i = make_items(spark, [(1, 1, 100, 7, 10.0), (2, 2, 100, 7, 4.0)])
+    runs = G.sellers_daily_runs(i, o)
+    assert "lambdafunction" not in runs._jdf.queryExecution().optimizedPlan().toString()
+    got = [(r.seller_id, str(r.date_from), str(r.date_to), r.n_days, r.monetary, r.diff_monetary) for r in runs.orderBy("date_from").collect()]
+    assert got == [(7, "2018-01-10", "2018-01-10", 1, 10.0, None), (7, "2018-01-13", "2018-01-13", 1, 8.0, -2.0)]
